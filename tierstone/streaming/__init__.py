@@ -1,0 +1 @@
+"""Intentionally empty: the workload is batch, every refresh re-reads whole files."""
