@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -66,25 +68,16 @@ def refresh(
     """
     done: dict[str, Commit] = {}
 
-    def save(table: str, df: DataFrame) -> DataFrame:
-        done[table] = write_snapshot(df, table_path(root, table), committed_at=at)
-        return read(table)
-
     def read(table: str) -> DataFrame:
-        return read_snapshot(
-            spark, table_path(root, table), version_as_of=done[table].version
-        )
+        version = done[table].version
+        return read_snapshot(spark, table_path(root, table), version_as_of=version)
 
-    sources = (
-        ("orders", landing.orders, ORDERS, None),
-        ("customers", landing.customers, None, CUSTOMER_KEYS),
-        ("products", landing.products, None, PRODUCT_KEYS),
-    )
-    for entity, files, schema, keys in sources:
-        done[f"bronze_{entity}"] = ingest(
+    def ingested(entity: str, files: str | list[str], schema=None, keys=None) -> None:
+        table = f"bronze_{entity}"
+        done[table] = ingest(
             spark,
             files,
-            table_path(root, f"bronze_{entity}"),
+            table_path(root, table),
             schema,
             overrides=keys,
             source_file=landing.label(entity),
@@ -92,21 +85,53 @@ def refresh(
             committed_at=at,
         )
 
-    orders = save(
-        "silver_orders",
-        silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at),
-    )
-    customers = save("silver_customers", silver_customers(read("bronze_customers"), updated_at=at))
-    products = save("silver_products", silver_products(read("bronze_products"), updated_at=at))
+    def save(table: str, build: Callable[[], DataFrame]) -> None:
+        done[table] = write_snapshot(build(), table_path(root, table), committed_at=at)
 
-    enriched = save(
-        "gold_enriched_orders", enrich_orders(orders, customers, products, updated_at=at)
+    # Tables of one group do not depend on each other, so their jobs share the cluster.
+    _together(
+        lambda: ingested("orders", landing.orders, schema=ORDERS),
+        lambda: ingested("customers", landing.customers, keys=CUSTOMER_KEYS),
+        lambda: ingested("products", landing.products, keys=PRODUCT_KEYS),
+    )
+    _together(
+        lambda: save(
+            "silver_orders",
+            lambda: silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at),
+        ),
+        lambda: save(
+            "silver_customers",
+            lambda: silver_customers(read("bronze_customers"), updated_at=at),
+        ),
+        lambda: save(
+            "silver_products", lambda: silver_products(read("bronze_products"), updated_at=at)
+        ),
     )
+    save(
+        "gold_enriched_orders",
+        lambda: enrich_orders(
+            read("silver_orders"),
+            read("silver_customers"),
+            read("silver_products"),
+            updated_at=at,
+        ),
+    )
+    enriched = read("gold_enriched_orders")
     # Tables hold no row order, so none is paid for here; readers sort.
-    save("gold_sales_by_city", sales_by(enriched, "city", ordered=False))
-    save("gold_sales_by_category", sales_by(enriched, "category", ordered=False))
-    save("gold_top_customers", top_customers(enriched, ordered=False))
-    return done
+    _together(
+        lambda: save("gold_sales_by_city", lambda: sales_by(enriched, "city", ordered=False)),
+        lambda: save(
+            "gold_sales_by_category", lambda: sales_by(enriched, "category", ordered=False)
+        ),
+        lambda: save("gold_top_customers", lambda: top_customers(enriched, ordered=False)),
+    )
+    return {table: done[table] for table in UPSTREAM}
+
+
+def _together(*steps: Callable[[], None]) -> None:
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for result in [pool.submit(step) for step in steps]:
+            result.result()
 
 
 def layer_audit(spark: SparkSession, root: str) -> DataFrame:

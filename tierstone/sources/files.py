@@ -6,13 +6,14 @@ import json
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstone.functions import audit_time
 
+_LOCK = "schema_json string"
+
 
 def scan_csv(
     spark: SparkSession,
@@ -78,18 +79,14 @@ def lock_schema(
 
     Only the first run pays for the inference scan, and later files cannot drift the types.
     """
-    try:
-        stored = spark.read.text(lock_path, wholetext=True).first()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = None
+    # "ignore" leaves an existing lock alone without running a job.
+    spark.createDataFrame([], _LOCK).write.mode("ignore").parquet(lock_path)
+    stored = spark.read.schema(_LOCK).parquet(lock_path).first()
     if stored is not None:
-        return T.StructType.fromJson(json.loads(stored[0]))
+        return T.StructType.fromJson(json.loads(stored["schema_json"]))
     schema = infer_schema(spark, path, sampling_ratio=sampling_ratio, overrides=overrides)
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(lock_path)
+    lock = spark.range(1, numPartitions=1).select(F.lit(schema.json()).alias("schema_json"))
+    lock.write.mode("append").parquet(lock_path)
     return schema
 
 

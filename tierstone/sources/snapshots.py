@@ -19,7 +19,7 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,9 +54,19 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(_HISTORY).parquet(f"{path}/history")
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _HISTORY)
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise VersionNotFound(f"no table at {path}") from None
+        raise
+
+
+def _create_history(spark: SparkSession, path: str) -> None:
+    """An empty history, unless there is one already (then no job runs)."""
+    spark.createDataFrame([], _HISTORY).write.mode("ignore").parquet(f"{path}/history")
+
+
+def _append_history(spark: SparkSession, path: str, record: dict[str, Column]) -> None:
+    row = spark.range(1, numPartitions=1).select(*[c.alias(n) for n, c in record.items()])
+    row.write.mode("append").parquet(f"{path}/history")
 
 
 def _newest(commits: DataFrame, path: str) -> Commit | None:
@@ -92,6 +102,7 @@ def write_snapshot(
     Rows are counted while they are written, so verifying a write costs no second scan.
     """
     spark = df.sparkSession
+    _create_history(spark, path)
     current = _newest(_commits(spark, path), path)
     if current and not overwrite_schema and _columns(current.schema) != _columns(df.schema):
         raise SchemaChanged(
@@ -109,11 +120,18 @@ def write_snapshot(
     num_rows = seen.get.get("rows", 0)
 
     parameters = {"mode": "Overwrite", "overwriteSchema": str(overwrite_schema).lower()}
-    moment = committed_at or datetime.now(timezone.utc)
-    record = (version, moment, "WRITE", parameters, df.schema.json(), num_rows, commit_folder)
-    spark.createDataFrame([record], _HISTORY).coalesce(1).write.mode("append").parquet(
-        f"{path}/history"
-    )
+    record = {
+        "version": F.lit(version).cast("long"),
+        "timestamp": F.lit(committed_at or datetime.now(timezone.utc)),
+        "operation": F.lit("WRITE"),
+        "operationParameters": F.create_map(
+            *[F.lit(x) for pair in parameters.items() for x in pair]
+        ),
+        "schema_json": F.lit(df.schema.json()),
+        "num_rows": F.lit(num_rows).cast("long"),
+        "folder": F.lit(commit_folder),
+    }
+    _append_history(spark, path, record)
     return Commit(path, version, num_rows, df.schema, commit_folder)
 
 

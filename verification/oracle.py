@@ -125,6 +125,7 @@ def _sql(body: str) -> str:
 
 
 _AUDIT = "true as has_ingestion_timestamp"
+_UPDATED = "true as has_updated_timestamp"
 _RAW_ORDERS = f"select {_ORDER_COLUMNS} from raw_orders"
 _BRONZE_ORDERS = f"select *, 'orders.csv' as source_file, {_AUDIT} from raw_orders"
 _RESTATED = "select *, upper(category) as department from raw_products"
@@ -168,9 +169,11 @@ _BODIES = {
     f" coalesce(status, 'unknown') as status, {_PRE_FILL} as data_quality_flag from raw_orders",
     "normalise_customers": "select * from silver_people",
     # silver
-    "silver_orders": "select *, true as has_updated_timestamp from silver",
-    "silver_customers": "select *, true as has_updated_timestamp from silver_people",
-    "silver_products": "select *, true as has_updated_timestamp from raw_products",
+    "silver_orders": f"select *, 'orders.csv' as source_file, {_AUDIT}, {_UPDATED} from silver",
+    "silver_customers": f"select *, 'customers.csv' as source_file, {_AUDIT}, {_UPDATED}"
+    " from silver_people",
+    "silver_products": f"select *, 'products.csv' as source_file, {_AUDIT}, {_UPDATED}"
+    " from raw_products",
     # gold
     "join_customers_left": "select s.order_id, s.customer_id, s.amount, c.customer_name, c.city"
     " from silver s left join silver_people c on s.customer_id = c.customer_id",
@@ -178,14 +181,15 @@ _BODIES = {
     " from silver s left join raw_products p on s.product_id = p.product_id",
     "join_large_lookup": "select s.order_id, s.customer_id, s.amount, c.customer_name, c.city"
     " from silver s left join silver_people c on s.customer_id = c.customer_id",
-    "gold_enriched_orders": "select *, true as has_updated_timestamp from enriched",
+    "gold_enriched_orders": f"select *, {_UPDATED} from enriched",
     "sales_by_city": "select * from by_city",
     "sales_by_category": "select * from by_category",
     "customer_spend": "select * from spend",
     "top_customers": "select * from ranked",
+    "top_customers_distributed": "select * from ranked",
     "top_customers_k": "select * from ranked where rank <= 10",
     "dense_rank_distributed": "select *, cast(dense_rank() over (order by amount desc nulls last)"
-    " as integer) as amount_rank from (select order_id, amount from deduped) as amounts",
+    " as integer) as amount_rank from (select order_id, amount from raw_orders) as amounts",
     # all layers
     "layer_audit": """select *, rows_in - rows_out as rows_removed from (
       select 'bronze_orders' as "table", 'bronze' as layer, count(*) as rows_in,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,16 +35,15 @@ from tierstone.plans.silver import normalised_customers, order_issues
 from tierstone.sources import (
     infer_schema,
     landing_inventory,
-    latest_commit,
     lock_schema,
     read_snapshot,
     scan_csv,
     scratch_path,
     snapshot_history,
-    stage,
     write_snapshot,
 )
-from verification.raw_tables import landing, raw_customers, raw_orders, raw_products
+from verification.layers import stored, stored_data, tables_root
+from verification.raw_tables import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -76,22 +74,6 @@ def shown(df: DataFrame) -> DataFrame:
     return df
 
 
-def _silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.silver_orders(raw_orders(spark, sf_dir)).drop("updated_timestamp")
-
-
-def _silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.silver_customers(raw_customers(spark, sf_dir))
-
-
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.enrich_orders(
-        _silver_orders(spark, sf_dir),
-        _silver_customers(spark, sf_dir),
-        raw_products(spark, sf_dir),
-    )
-
-
 # --- sources ---------------------------------------------------------------------------
 
 
@@ -152,7 +134,7 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snapshot_roundtrip")
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "silver_orders")
-    write_snapshot(_silver_orders(spark, sf_dir), table)
+    write_snapshot(stored_data(spark, sf_dir, "silver_orders"), table)
     return read_snapshot(spark, table)
 
 
@@ -160,7 +142,7 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = scratch_path(spark, "silver_orders")
     for _ in range(2):
-        write_snapshot(_silver_orders(spark, sf_dir), table)
+        write_snapshot(stored_data(spark, sf_dir, "silver_orders"), table)
     return read_snapshot(spark, table)
 
 
@@ -207,27 +189,27 @@ def snapshot_history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("filter_completed")
 def filter_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return completed_only(raw_orders(spark, sf_dir))
+    return completed_only(stored_data(spark, sf_dir, "bronze_orders"))
 
 
 @query("drop_critical_nulls")
 def drop_critical_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return require_not_null(raw_orders(spark, sf_dir), CRITICAL)
+    return require_not_null(stored_data(spark, sf_dir, "bronze_orders"), CRITICAL)
 
 
 @query("fill_defaults")
 def fill_defaults_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fill_defaults(raw_orders(spark, sf_dir), _DEFAULTS)
+    return fill_defaults(stored_data(spark, sf_dir, "bronze_orders"), _DEFAULTS)
 
 
 @query("dedupe_orders")
 def dedupe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe_by_key(raw_orders(spark, sf_dir), ORDER_KEY)
+    return dedupe_by_key(stored_data(spark, sf_dir, "bronze_orders"), ORDER_KEY)
 
 
 @query("parse_order_date")
 def parse_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_orders(spark, sf_dir).select(
+    return stored(spark, sf_dir, "bronze_orders").select(
         "order_id",
         F.col("order_date").alias("order_date_text"),
         parse_day(F.col("order_date")).alias("order_date"),
@@ -236,9 +218,10 @@ def parse_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cast_numeric")
 def cast_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From text, with some quantities that are no numbers."""
     qty = F.col("quantity")
     text = F.when(qty == 50, "fifty").otherwise(qty.cast("string"))
-    return raw_orders(spark, sf_dir).select(
+    return stored(spark, sf_dir, "bronze_orders").select(
         "order_id",
         as_type(text, "int").alias("quantity"),
         as_type(F.col("amount").cast("string"), "double").alias("amount"),
@@ -247,14 +230,14 @@ def cast_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("quality_flag")
 def quality_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = fill_defaults(raw_orders(spark, sf_dir), _DEFAULTS)
+    filled = fill_defaults(stored(spark, sf_dir, "bronze_orders"), _DEFAULTS)
     flagged = flag_quality(filled, order_issues("post_fill"))
     return flagged.select("order_id", "amount", "status", "data_quality_flag")
 
 
 @query("quality_flag_prefill")
 def quality_flag_prefill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = flag_quality(raw_orders(spark, sf_dir), order_issues("pre_fill"))
+    flagged = flag_quality(stored(spark, sf_dir, "bronze_orders"), order_issues("pre_fill"))
     return fill_defaults(flagged, _DEFAULTS).select(
         "order_id", "amount", "status", "data_quality_flag"
     )
@@ -262,7 +245,7 @@ def quality_flag_prefill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("normalise_customers")
 def normalise_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalised_customers(raw_customers(spark, sf_dir))
+    return normalised_customers(stored_data(spark, sf_dir, "bronze_customers"))
 
 
 # --- silver ----------------------------------------------------------------------------
@@ -270,17 +253,17 @@ def normalise_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("silver_orders")
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(plans.silver_orders(raw_orders(spark, sf_dir)))
+    return shown(plans.silver_orders(stored(spark, sf_dir, "bronze_orders")))
 
 
 @query("silver_customers")
 def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_silver_customers(spark, sf_dir))
+    return shown(plans.silver_customers(stored(spark, sf_dir, "bronze_customers")))
 
 
 @query("silver_products")
 def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(plans.silver_products(raw_products(spark, sf_dir)))
+    return shown(plans.silver_products(stored(spark, sf_dir, "bronze_products")))
 
 
 # --- gold ------------------------------------------------------------------------------
@@ -288,26 +271,25 @@ def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("join_customers_left")
 def join_customers_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _silver_orders(spark, sf_dir).select("order_id", "customer_id", "amount")
-    customers = _silver_customers(spark, sf_dir)
+    orders = stored(spark, sf_dir, "silver_orders").select("order_id", "customer_id", "amount")
+    customers = stored(spark, sf_dir, "silver_customers")
     return lookup_join(orders, customers, "customer_id", ["customer_name", "city"])
 
 
 @query("join_products_left")
 def join_products_left(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _silver_orders(spark, sf_dir).select("order_id", "product_id", "amount")
-    products = raw_products(spark, sf_dir)
+    orders = stored(spark, sf_dir, "silver_orders").select("order_id", "product_id", "amount")
+    products = stored(spark, sf_dir, "silver_products")
     return lookup_join(orders, products, "product_id", ["product_name", "category"])
 
 
 @query("join_large_lookup")
 def join_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for a lookup beyond the broadcast bound."""
-    orders = _silver_orders(spark, sf_dir).select("order_id", "customer_id", "amount")
-    customers = _silver_customers(spark, sf_dir)
+    """The plan for a lookup beyond the broadcast bound, with some keys taken as hot."""
+    orders = stored(spark, sf_dir, "silver_orders").select("order_id", "customer_id", "amount")
     return lookup_join(
-        stage(orders, "orders"),
-        customers,
+        orders,
+        stored(spark, sf_dir, "silver_customers"),
         "customer_id",
         ["customer_name", "city"],
         broadcast="never",
@@ -317,55 +299,59 @@ def join_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gold_enriched_orders")
 def gold_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_enriched(spark, sf_dir))
+    return shown(
+        plans.enrich_orders(
+            stored(spark, sf_dir, "silver_orders"),
+            stored(spark, sf_dir, "silver_customers"),
+            stored(spark, sf_dir, "silver_products"),
+        )
+    )
 
 
 @query("sales_by_city")
 def sales_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_by(_enriched(spark, sf_dir), "city")
+    return sales_by(stored(spark, sf_dir, "gold_enriched_orders"), "city")
 
 
 @query("sales_by_category")
 def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_by(_enriched(spark, sf_dir), "category")
+    return sales_by(stored(spark, sf_dir, "gold_enriched_orders"), "category")
 
 
 @query("customer_spend")
 def customer_spend_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_spend(_enriched(spark, sf_dir))
+    return customer_spend(stored(spark, sf_dir, "gold_enriched_orders"))
 
 
 @query("top_customers")
 def top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.top_customers(_enriched(spark, sf_dir))
+    return plans.top_customers(stored(spark, sf_dir, "gold_enriched_orders"))
 
 
 @query("top_customers_k")
 def top_customers_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.top_customers(_enriched(spark, sf_dir), k=10)
+    return plans.top_customers(stored(spark, sf_dir, "gold_enriched_orders"), k=10)
+
+
+@query("top_customers_distributed")
+def top_customers_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking plan for tables too large for one task."""
+    return plans.top_customers(stored(spark, sf_dir, "gold_enriched_orders"), buckets=16)
 
 
 @query("dense_rank_distributed")
 def dense_rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The multi-task ranking over every order: many ties, one hot value, nulls."""
-    amounts = dedupe_by_key(raw_orders(spark, sf_dir), ORDER_KEY).select("order_id", "amount")
-    return dense_rank_global(stage(amounts, "amounts"), "amount", "amount_rank", buckets=64)
+    """The multi-task ranking over every raw order: many ties, a hot value, nulls."""
+    amounts = stored(spark, sf_dir, "bronze_orders").select("order_id", "amount")
+    return dense_rank_global(amounts, "amount", "amount_rank", buckets=64)
 
 
 # --- all layers ------------------------------------------------------------------------
 
 
-@cache
-def _refreshed(spark: SparkSession, application: str, sf_dir: str) -> str:
-    root = scratch_path(spark, "tables")
-    plans.refresh(spark, landing(spark, sf_dir), root)
-    return root
-
-
 @query("layer_audit")
 def layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _refreshed(spark, spark.sparkContext.applicationId, sf_dir)
-    return plans.layer_audit(spark, root)
+    return plans.layer_audit(spark, tables_root(spark, sf_dir))
 
 
 @query("end_to_end_sales")
@@ -375,8 +361,7 @@ def end_to_end_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     plans.refresh(spark, landing(spark, sf_dir), root)
 
     def report(table: str, name: str, key: str, **columns) -> DataFrame:
-        stored = read_snapshot(spark, plans.table_path(root, table))
-        return stored.select(
+        return read_snapshot(spark, plans.table_path(root, table)).select(
             F.lit(name).alias("report"),
             F.col(key).alias("key"),
             columns.get("rank", F.lit(None).cast("int")).alias("rank"),
