@@ -6,6 +6,7 @@ from tierstone.functions.columns import (
     money,
     parse_day,
     proper_case,
+    row_bytes,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "money",
     "parse_day",
     "proper_case",
+    "row_bytes",
 ]

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the day format raw files use.
 ISO_DAY = "yyyy-MM-dd"
@@ -44,3 +45,23 @@ def issue_label(rules: Mapping[str, Column], clean: str = "clean", sep: str = "&
     """
     found = F.concat_ws(sep, *[F.when(rule, F.lit(name)) for name, rule in rules.items()])
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(clean))
+
+
+# Upper estimates for one row of an in-memory hash table: header, key copy and pointers,
+# then an 8-byte slot per column, doubled for the table's load factor.
+_ROW_BYTES, _COLUMN_BYTES = 64, 16
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """Upper estimate of a row's size in an in-memory hash table.
+
+    Null for a schema with nested columns, whose size has no cheap bound.
+    """
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    if any(isinstance(f.dataType, nested) for f in schema):
+        return F.lit(None).cast("long")
+    size = F.lit(_ROW_BYTES + _COLUMN_BYTES * len(schema)).cast("long")
+    for field in schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return size

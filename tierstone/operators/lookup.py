@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tierstone.functions import row_bytes
 
 # A dimension is copied to every executor only up to this measured size.
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
-# Per-row cost of a hashed row on top of its column slots (key copy, pointers, header).
-_ROW_OVERHEAD = 64
-_SLOT = 16
-
 # Keys above this many rows are joined apart from the shuffle. At most MAX_HOT_KEYS are
 # taken, heaviest first; every other key goes through the ordinary shuffle join.
 HOT_KEY_ROWS = 1_000_000
@@ -28,20 +25,10 @@ def completed_only(df: DataFrame, status: str = "completed", column: str = "stat
 def in_memory_bytes(df: DataFrame) -> int | None:
     """Upper estimate of a frame's size as an in-memory hash table, from its actual rows.
 
-    One aggregate over the frame. ``None`` when a column's size cannot be bounded this
-    way (nested types).
+    One aggregate over the frame. ``None`` when the size cannot be bounded this way.
     """
-    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    if any(isinstance(f.dataType, nested) for f in df.schema):
-        return None
-    text: list[Column] = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)).cast("long")
-        for f in df.schema
-        if isinstance(f.dataType, (T.StringType, T.BinaryType))
-    ]
-    variable = sum(text, F.lit(0).cast("long"))
-    rows, payload = df.agg(F.count(F.lit(1)), F.sum(variable)).first()
-    return rows * (_ROW_OVERHEAD + _SLOT * len(df.columns)) + (payload or 0)
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df.schema))).first()
+    return size if rows else 0
 
 
 def _fits(df: DataFrame, max_bytes: int) -> bool:
@@ -88,6 +75,7 @@ def lookup_join(
     columns: Sequence[str],
     *,
     broadcast: str = "auto",
+    dim_bytes: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     min_hot_rows: int = HOT_KEY_ROWS,
     require_unique: bool = False,
@@ -98,9 +86,10 @@ def lookup_join(
     row (``require_unique=True`` makes that an error). ``dim`` is pruned to the key and
     ``columns`` first.
 
-    ``broadcast="auto"`` measures the pruned dimension and copies it to the executors when
-    it is at most ``max_broadcast_bytes``: the fact table is then not shuffled at all.
-    Beyond that, or with ``broadcast="never"``, both sides shuffle on the key, except that
+    ``broadcast="auto"`` copies the dimension to the executors when it is at most
+    ``max_broadcast_bytes``: the fact table is then not shuffled at all. The size is
+    measured on the pruned rows, unless an upper bound from :func:`in_memory_bytes` or the
+    table's commit record is given as ``dim_bytes`` and already settles it. Beyond that, or with ``broadcast="never"``, both sides shuffle on the key, except that
 
     * fact rows with a null key cannot match and skip the shuffle, and
     * fact rows of hot keys stay where they are and are joined to a broadcast of just those
@@ -114,7 +103,11 @@ def lookup_join(
     lookup = dim.select(key, *columns)
     if require_unique:
         _reject_duplicates(lookup, key)
-    if broadcast == "auto" and _fits(lookup, max_broadcast_bytes):
+    small = broadcast == "auto" and (
+        (dim_bytes is not None and dim_bytes <= max_broadcast_bytes)
+        or _fits(lookup, max_broadcast_bytes)
+    )
+    if small:
         return fact.join(F.broadcast(lookup), key, "left")
 
     hot = hot_keys(fact, key, min_hot_rows)

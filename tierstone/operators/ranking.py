@@ -66,10 +66,13 @@ def dense_rank_global(
         raise TypeError(f"cannot range-split {by!r} of type {dtype.simpleString()}")
     buckets = buckets or min(MAX_BUCKETS, max(2, -(-rows // ROWS_PER_BUCKET)))
 
-    valued = df.filter(F.col(by).isNotNull()).withColumn(_VALUE, F.col(by).cast("double"))
+    # Adding zero makes -0.0 equal 0.0 for the binary search below, as it is in Spark.
+    valued = df.filter(F.col(by).isNotNull()).withColumn(
+        _VALUE, F.col(by).cast("double") + F.lit(0.0)
+    )
     points = [i / buckets for i in range(1, buckets)]
     cuts = valued.approxQuantile(_VALUE, points, 1 / (4 * buckets)) if points else []
-    splits = [-inf, *sorted({c for c in cuts if not isinf(c)}), inf]
+    splits = [-inf, *(sorted({c for c in cuts if not isinf(c)}) or [0.0]), inf]
     # Buckets are [low, high), numbered upwards; NaN sorts highest and gets a last one.
     bucketed = Bucketizer(
         splits=splits, inputCol=_VALUE, outputCol=_BUCKET, handleInvalid="keep"

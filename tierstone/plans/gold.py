@@ -27,22 +27,35 @@ def enrich_orders(
     customers: DataFrame,
     products: DataFrame,
     *,
+    customer_bytes: int | None = None,
+    product_bytes: int | None = None,
     updated_at: datetime | None = None,
     **lookup_options,
 ) -> DataFrame:
     """Completed orders with customer and product details; orders without a match are kept.
 
     Orders are filtered in the scan and pruned to the columns used. While both dimensions
-    are within the broadcast bound this is map-only. ``lookup_options`` are those of
-    :func:`tierstone.operators.lookup_join`.
+    are within the broadcast bound this is map-only. ``customer_bytes`` and
+    ``product_bytes`` are known size bounds, measured when absent; ``lookup_options`` are
+    those of :func:`tierstone.operators.lookup_join`.
     """
     details = ("customer_name", "city", "product_name", "category")
     facts = completed_only(orders, COMPLETED).select([c for c in ENRICHED if c not in details])
     named = lookup_join(
-        facts, customers, "customer_id", ["customer_name", "city"], **lookup_options
+        facts,
+        customers,
+        "customer_id",
+        ["customer_name", "city"],
+        dim_bytes=customer_bytes,
+        **lookup_options,
     )
     full = lookup_join(
-        named, products, "product_id", ["product_name", "category"], **lookup_options
+        named,
+        products,
+        "product_id",
+        ["product_name", "category"],
+        dim_bytes=product_bytes,
+        **lookup_options,
     )
     return full.select(ENRICHED).withColumn("updated_timestamp", audit_time(updated_at))
 

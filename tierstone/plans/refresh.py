@@ -14,7 +14,7 @@ from tierstone.plans.bronze import ingest
 from tierstone.plans.fixed_values import CUSTOMER_KEYS, ORDERS, PRODUCT_KEYS
 from tierstone.plans.gold import enrich_orders, top_customers
 from tierstone.plans.silver import silver_customers, silver_orders, silver_products
-from tierstone.sources import Commit, latest_commit, read_snapshot, write_snapshot
+from tierstone.sources import Commit, latest_commit, read_commit, write_snapshot
 
 # Table -> the table its rows come from; None for raw files.
 UPSTREAM = {
@@ -69,8 +69,7 @@ def refresh(
     done: dict[str, Commit] = {}
 
     def read(table: str) -> DataFrame:
-        version = done[table].version
-        return read_snapshot(spark, table_path(root, table), version_as_of=version)
+        return read_commit(spark, done[table])
 
     def ingested(entity: str, files: str | list[str], schema=None, keys=None) -> None:
         table = f"bronze_{entity}"
@@ -113,6 +112,8 @@ def refresh(
             read("silver_orders"),
             read("silver_customers"),
             read("silver_products"),
+            customer_bytes=done["silver_customers"].in_memory_bytes,
+            product_bytes=done["silver_products"].in_memory_bytes,
             updated_at=at,
         ),
     )

@@ -10,6 +10,7 @@ from tierstone.sources.snapshots import (
     SchemaChanged,
     VersionNotFound,
     latest_commit,
+    read_commit,
     read_snapshot,
     snapshot_history,
     write_snapshot,
@@ -24,6 +25,7 @@ __all__ = [
     "landing_inventory",
     "latest_commit",
     "lock_schema",
+    "read_commit",
     "read_snapshot",
     "scan_csv",
     "scratch_path",

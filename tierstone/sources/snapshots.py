@@ -3,12 +3,12 @@
 Layout of a table at ``path``::
 
     path/v=<n>-<token>/part-*.parquet   the rows of version n
-    path/history/part-*.parquet         one row per committed version
+    path/history/part-*.json            one line per committed version
 
-A version exists once its history row does, and the row names the data folder. A failed or
-repeated attempt leaves an unnamed folder that no reader sees; a committed folder is never
-written again, so a table can be read while it is being rebuilt, and old versions stay
-readable. One writer per table at a time is assumed.
+A version exists once its history line does, and the line names the data folder. A failed
+or repeated attempt leaves an unnamed folder that no reader sees; a committed folder is
+never written again, so a table can be read while it is being rebuilt, and old versions
+stay readable. One writer per table at a time is assumed.
 """
 
 from __future__ import annotations
@@ -19,14 +19,18 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierstone.functions import row_bytes
+
 _HISTORY = (
     "version long, timestamp timestamp, operation string,"
-    " operationParameters map<string,string>, schema_json string, num_rows long, folder string"
+    " operationParameters map<string,string>, schema_json string, num_rows long,"
+    " in_memory_bytes long, folder string"
 )
+_MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 class SchemaChanged(ValueError):
@@ -39,42 +43,57 @@ class VersionNotFound(LookupError):
 
 @dataclass(frozen=True)
 class Commit:
+    """One stored version. ``in_memory_bytes`` bounds its size as a broadcast table."""
+
     path: str
     version: int
     num_rows: int
+    in_memory_bytes: int | None
     schema: T.StructType
     folder: str
 
-    @property
-    def location(self) -> str:
-        return f"{self.path}/{self.folder}"
-
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(_HISTORY).parquet(f"{path}/history")
+        return (
+            spark.read.schema(_HISTORY)
+            .option("timestampFormat", _MICROSECONDS)
+            .json(f"{path}/history")
+        )
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise VersionNotFound(f"no table at {path}") from None
         raise
 
 
-def _create_history(spark: SparkSession, path: str) -> None:
-    """An empty history, unless there is one already (then no job runs)."""
-    spark.createDataFrame([], _HISTORY).write.mode("ignore").parquet(f"{path}/history")
+def _create_history(spark: SparkSession, path: str) -> bool:
+    """Start an empty history. False when there is one already."""
+    try:
+        spark.range(0, numPartitions=1).write.json(f"{path}/history")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return False
+    return True
 
 
 def _append_history(spark: SparkSession, path: str, record: dict[str, Column]) -> None:
-    row = spark.range(1, numPartitions=1).select(*[c.alias(n) for n, c in record.items()])
-    row.write.mode("append").parquet(f"{path}/history")
+    line = spark.range(1, numPartitions=1).select(*[c.alias(n) for n, c in record.items()])
+    line.write.mode("append").option("timestampFormat", _MICROSECONDS).json(f"{path}/history")
 
 
 def _newest(commits: DataFrame, path: str) -> Commit | None:
-    row: Row | None = commits.orderBy(F.desc("version")).first()
+    row = commits.orderBy(F.desc("version")).first()
     if row is None:
         return None
-    schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-    return Commit(path, row["version"], row["num_rows"], schema, row["folder"])
+    return Commit(
+        path=path,
+        version=row["version"],
+        num_rows=row["num_rows"],
+        in_memory_bytes=row["in_memory_bytes"],
+        schema=T.StructType.fromJson(json.loads(row["schema_json"])),
+        folder=row["folder"],
+    )
 
 
 def latest_commit(spark: SparkSession, path: str) -> Commit:
@@ -99,40 +118,49 @@ def write_snapshot(
     """Replace the table's content by ``df`` as a new version.
 
     Column names and types must match the current version unless ``overwrite_schema``.
-    Rows are counted while they are written, so verifying a write costs no second scan.
+    Rows are counted and sized while they are written, so neither verifying a write nor
+    sizing a lookup table costs another scan.
     """
     spark = df.sparkSession
-    _create_history(spark, path)
-    current = _newest(_commits(spark, path), path)
+    current = None if _create_history(spark, path) else _newest(_commits(spark, path), path)
     if current and not overwrite_schema and _columns(current.schema) != _columns(df.schema):
         raise SchemaChanged(
             f"{path}: table has {_columns(current.schema)}, frame has {_columns(df.schema)};"
             " pass overwrite_schema=True to change it"
         )
     version = current.version + 1 if current else 0
-    commit_folder = f"v={version}-{uuid4().hex[:12]}"
+    folder = f"v={version}-{uuid4().hex[:12]}"
     # Observed directly under the write, i.e. in the result stage, where Spark counts every
     # partition once even when tasks are retried.
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(
-        f"{path}/{commit_folder}"
-    )
-    num_rows = seen.get.get("rows", 0)
+    written = Observation()
+    df.observe(
+        written,
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(row_bytes(df.schema)).alias("bytes"),
+    ).write.parquet(f"{path}/{folder}")
+    num_rows = written.get["rows"]
+    size = written.get["bytes"] if num_rows else 0
 
     parameters = {"mode": "Overwrite", "overwriteSchema": str(overwrite_schema).lower()}
     record = {
-        "version": F.lit(version).cast("long"),
+        "version": F.lit(version),
         "timestamp": F.lit(committed_at or datetime.now(timezone.utc)),
         "operation": F.lit("WRITE"),
         "operationParameters": F.create_map(
             *[F.lit(x) for pair in parameters.items() for x in pair]
         ),
         "schema_json": F.lit(df.schema.json()),
-        "num_rows": F.lit(num_rows).cast("long"),
-        "folder": F.lit(commit_folder),
+        "num_rows": F.lit(num_rows),
+        "in_memory_bytes": F.lit(size),
+        "folder": F.lit(folder),
     }
     _append_history(spark, path, record)
-    return Commit(path, version, num_rows, df.schema, commit_folder)
+    return Commit(path, version, num_rows, size, df.schema, folder)
+
+
+def read_commit(spark: SparkSession, commit: Commit) -> DataFrame:
+    """The rows of one stored version; runs no job."""
+    return spark.read.schema(commit.schema).parquet(f"{commit.path}/{commit.folder}")
 
 
 def read_snapshot(
@@ -157,7 +185,7 @@ def read_snapshot(
     if commit is None:
         wanted = next((w for w in (version_as_of, timestamp_as_of) if w is not None), "latest")
         raise VersionNotFound(f"no version {wanted} of {path}")
-    return spark.read.schema(commit.schema).parquet(commit.location)
+    return read_commit(spark, commit)
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
