@@ -5,8 +5,8 @@ from datetime import date, datetime, timezone
 import pytest
 
 from tests.helpers import rows
-from tierstone import plans
 from tierstone.plans import Landing, layer_audit, refresh, table_path
+from tierstone.plans.refresh import UPSTREAM, shuffle_partitions
 from tierstone.sources import read_snapshot, snapshot_history
 
 ORDERS = """order_id,customer_id,product_id,quantity,order_date,status,amount
@@ -41,7 +41,7 @@ P004,Mixer,Appliances
 P005,Racket,Sports
 """
 AT = datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
-TABLES = list(plans.refresh.__globals__["UPSTREAM"])
+TABLES = list(UPSTREAM)
 
 
 @pytest.fixture(scope="module")
@@ -197,3 +197,14 @@ def test_second_run_adds_a_version_with_the_same_rows(spark, landing, tmp_path):
         before, after = (read_snapshot(spark, path, version_as_of=v) for v in (0, 1))
         assert rows(before) == rows(after), name
         assert [r["version"] for r in snapshot_history(spark, path).collect()] == [1, 0]
+
+
+def test_shuffles_grow_with_the_data(spark, landing, tmp_path):
+    mb = 1024 * 1024
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(100 * 256 * mb + 1, 8) == 101
+    assert shuffle_partitions(100 * 256 * mb, 200) == 200
+    assert shuffle_partitions(100 * 1024**4, 200) == 50_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    refresh(spark, landing, str(tmp_path), at=AT)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tierstone.functions import row_bytes
 
 # A dimension is copied to every executor only up to this measured size.
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 # Keys above this many rows are joined apart from the shuffle. At most MAX_HOT_KEYS are
 # taken, heaviest first; every other key goes through the ordinary shuffle join.
 HOT_KEY_ROWS = 1_000_000
@@ -78,6 +78,7 @@ def lookup_join(
     dim_bytes: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     min_hot_rows: int = HOT_KEY_ROWS,
+    count_keys_in: DataFrame | None = None,
     require_unique: bool = False,
 ) -> DataFrame:
     """Left lookup: every fact row is kept, with ``columns`` of the matching ``dim`` rows.
@@ -96,7 +97,9 @@ def lookup_join(
       keys' dimension rows (bounded and measured again), so no reduce task receives a
       hot key's rows.
 
-    The shuffle path reads ``fact`` more than once; give it a table-backed frame.
+    The shuffle path reads ``fact`` more than once; give it a table-backed frame. When
+    ``fact`` is itself a join, name the table its keys come from as ``count_keys_in``, so
+    that counting keys does not run that join.
     """
     if broadcast not in ("auto", "never"):
         raise ValueError(f"broadcast must be 'auto' or 'never', not {broadcast!r}")
@@ -110,7 +113,7 @@ def lookup_join(
     if small:
         return fact.join(F.broadcast(lookup), key, "left")
 
-    hot = hot_keys(fact, key, min_hot_rows)
+    hot = hot_keys(fact if count_keys_in is None else count_keys_in, key, min_hot_rows)
     apart = F.col(key).isNull()
     hot_lookup = lookup.filter(F.lit(False))
     if hot:

@@ -55,6 +55,7 @@ def enrich_orders(
         "product_id",
         ["product_name", "category"],
         dim_bytes=product_bytes,
+        count_keys_in=facts,
         **lookup_options,
     )
     return full.select(ENRICHED).withColumn("updated_timestamp", audit_time(updated_at))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -16,6 +17,12 @@ from tierstone.plans.gold import enrich_orders, top_customers
 from tierstone.plans.silver import silver_customers, silver_orders, silver_products
 from tierstone.sources import Commit, latest_commit, read_commit, write_snapshot
 
+# Shuffle partitions are sized for this much of the orders' in-memory size each. More than
+# the upper limit would make the blocks between map and reduce tasks too small to be read
+# efficiently; beyond it, partitions grow and sort by spilling.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 50_000
+
 # Table -> the table its rows come from; None for raw files.
 UPSTREAM = {
     "bronze_orders": None,
@@ -68,71 +75,79 @@ def refresh(
     """
     done: dict[str, Commit] = {}
 
+    def ingested(table: str, files: str | list[str], **options) -> Commit:
+        label = landing.label(table.removeprefix("bronze_"))
+        path = table_path(root, table)
+        return ingest(
+            spark, files, path, source_file=label, ingested_at=at, committed_at=at, **options
+        )
+
+    def saved(table: str, rows: DataFrame) -> Commit:
+        return write_snapshot(rows, table_path(root, table), committed_at=at)
+
     def read(table: str) -> DataFrame:
         return read_commit(spark, done[table])
 
-    def ingested(entity: str, files: str | list[str], schema=None, keys=None) -> None:
-        table = f"bronze_{entity}"
-        done[table] = ingest(
-            spark,
-            files,
-            table_path(root, table),
-            schema,
-            overrides=keys,
-            source_file=landing.label(entity),
-            ingested_at=at,
-            committed_at=at,
-        )
-
-    def save(table: str, build: Callable[[], DataFrame]) -> None:
-        done[table] = write_snapshot(build(), table_path(root, table), committed_at=at)
+    def build(**steps: Callable[[str], Commit]) -> None:
+        """Tables that do not depend on each other, so their jobs share the cluster."""
+        with ThreadPoolExecutor(len(steps)) as pool:
+            running = {table: pool.submit(step, table) for table, step in steps.items()}
+        done.update({table: job.result() for table, job in running.items()})
 
-    # Tables of one group do not depend on each other, so their jobs share the cluster.
-    _together(
-        lambda: ingested("orders", landing.orders, schema=ORDERS),
-        lambda: ingested("customers", landing.customers, keys=CUSTOMER_KEYS),
-        lambda: ingested("products", landing.products, keys=PRODUCT_KEYS),
-    )
-    _together(
-        lambda: save(
-            "silver_orders",
-            lambda: silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at),
-        ),
-        lambda: save(
-            "silver_customers",
-            lambda: silver_customers(read("bronze_customers"), updated_at=at),
-        ),
-        lambda: save(
-            "silver_products", lambda: silver_products(read("bronze_products"), updated_at=at)
-        ),
+    build(
+        bronze_orders=lambda t: ingested(t, landing.orders, schema=ORDERS),
+        bronze_customers=lambda t: ingested(t, landing.customers, overrides=CUSTOMER_KEYS),
+        bronze_products=lambda t: ingested(t, landing.products, overrides=PRODUCT_KEYS),
     )
-    save(
-        "gold_enriched_orders",
-        lambda: enrich_orders(
+    with _shuffles_sized_for(spark, done["bronze_orders"].in_memory_bytes):
+        build(
+            silver_orders=lambda t: saved(
+                t, silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at)
+            ),
+            silver_customers=lambda t: saved(
+                t, silver_customers(read("bronze_customers"), updated_at=at)
+            ),
+            silver_products=lambda t: saved(
+                t, silver_products(read("bronze_products"), updated_at=at)
+            ),
+        )
+        enriched = enrich_orders(
             read("silver_orders"),
             read("silver_customers"),
             read("silver_products"),
             customer_bytes=done["silver_customers"].in_memory_bytes,
             product_bytes=done["silver_products"].in_memory_bytes,
             updated_at=at,
-        ),
-    )
-    enriched = read("gold_enriched_orders")
-    # Tables hold no row order, so none is paid for here; readers sort.
-    _together(
-        lambda: save("gold_sales_by_city", lambda: sales_by(enriched, "city", ordered=False)),
-        lambda: save(
-            "gold_sales_by_category", lambda: sales_by(enriched, "category", ordered=False)
-        ),
-        lambda: save("gold_top_customers", lambda: top_customers(enriched, ordered=False)),
-    )
-    return {table: done[table] for table in UPSTREAM}
+        )
+        build(gold_enriched_orders=lambda t: saved(t, enriched))
+        sales = read("gold_enriched_orders")
+        # Tables hold no row order, so none is paid for here; readers sort.
+        build(
+            gold_sales_by_city=lambda t: saved(t, sales_by(sales, "city", ordered=False)),
+            gold_sales_by_category=lambda t: saved(t, sales_by(sales, "category", ordered=False)),
+            gold_top_customers=lambda t: saved(t, top_customers(sales, ordered=False)),
+        )
+    return done
+
 
+def shuffle_partitions(data_bytes: int, configured: int) -> int:
+    """Partitions for shuffling ``data_bytes``; never fewer than ``configured``.
 
-def _together(*steps: Callable[[], None]) -> None:
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for result in [pool.submit(step) for step in steps]:
-            result.result()
+    AQE merges what turns out too small, but cannot split a plain shuffle that was planned
+    with too few.
+    """
+    return max(configured, min(MAX_PARTITIONS, -(-data_bytes // PARTITION_BYTES)))
+
+
+@contextmanager
+def _shuffles_sized_for(spark: SparkSession, data_bytes: int) -> Iterator[None]:
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    spark.conf.set(name, shuffle_partitions(data_bytes, int(configured)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
 
 
 def layer_audit(spark: SparkSession, root: str) -> DataFrame:
