@@ -95,6 +95,17 @@ def test_ingest_infers_once(spark, csv, tmp_path):
     assert rows(read_snapshot(spark, table).select("id", "n")) == [("c", None)]
 
 
+def test_intended_schema_change_renews_the_lock(spark, csv, tmp_path):
+    table = str(tmp_path / "bronze")
+    ingest(spark, csv("id,n\na,1\n"), table)
+    changed = csv("id,n,extra\nb,x,2.5\n")
+    ingest(spark, changed, table, overwrite_schema=True)
+    assert rows(read_snapshot(spark, table).select("id", "n", "extra")) == [("b", "x", 2.5)]
+    assert rows(read_snapshot(spark, table, version_as_of=0).select("id", "n")) == [("a", 1)]
+    ingest(spark, changed, table)  # the renewed lock holds without asking again
+    assert rows(read_snapshot(spark, table).select("extra")) == [(2.5,)]
+
+
 def test_inventory(spark, csv, tmp_path):
     csv("12345", "a.csv")
     csv("1", "b.csv")

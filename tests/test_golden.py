@@ -5,8 +5,10 @@ from datetime import date, datetime, timezone
 import pytest
 
 from tests.helpers import rows
+from tierstone.__main__ import main
 from tierstone.plans import Landing, layer_audit, refresh, table_path
-from tierstone.plans.refresh import UPSTREAM, shuffle_partitions
+from tierstone.plans.refresh import UPSTREAM
+from tierstone.plans.sizing import shuffle_partitions, split_bytes, total_bytes
 from tierstone.sources import read_snapshot, snapshot_history
 
 ORDERS = """order_id,customer_id,product_id,quantity,order_date,status,amount
@@ -199,12 +201,43 @@ def test_second_run_adds_a_version_with_the_same_rows(spark, landing, tmp_path):
         assert [r["version"] for r in snapshot_history(spark, path).collect()] == [1, 0]
 
 
-def test_shuffles_grow_with_the_data(spark, landing, tmp_path):
-    mb = 1024 * 1024
+def test_files_with_more_columns(spark, landing, tmp_path):
+    root = str(tmp_path / "tables")
+    refresh(spark, landing, root, at=AT)
+    wider = tmp_path / "products.csv"
+    wider.write_text("product_id,product_name,category,brand\nP001,Laptop,Electronics,Acme\n")
+    changed = Landing(landing.orders, landing.customers, str(wider))
+    refresh(spark, changed, root, at=AT, overwrite_schema=True)
+    path = table_path(root, "silver_products")
+    assert read_snapshot(spark, path).first()["brand"] == "Acme"
+    assert "brand" not in read_snapshot(spark, path, version_as_of=0).columns
+    assert read_snapshot(spark, table_path(root, "gold_enriched_orders")).count() == 8
+
+
+def test_task_sizes_follow_the_data():
+    mb, tb = 1024**2, 1024**4
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(100 * 256 * mb + 1, 8) == 101
     assert shuffle_partitions(100 * 256 * mb, 200) == 200
-    assert shuffle_partitions(100 * 1024**4, 200) == 50_000
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert shuffle_partitions(100 * tb, 200) == 50_000
+    assert split_bytes(0) == split_bytes(tb) == 128 * mb
+    assert 500 * mb < split_bytes(50 * tb) < 600 * mb
+    assert split_bytes(10_000 * tb) == 1024 * mb
+
+
+def test_session_settings_are_restored(spark, landing, tmp_path):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(n) for n in names]
     refresh(spark, landing, str(tmp_path), at=AT)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert [spark.conf.get(n) for n in names] == before
+    assert total_bytes(spark, landing.orders) == len(ORDERS)
+
+
+def test_command_line(spark, landing, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr(spark, "stop", lambda: None)
+    arguments = ["--root", str(tmp_path)]
+    for name in ("orders", "customers", "products"):
+        arguments += [f"--{name}", getattr(landing, name)]
+    main(arguments)
+    printed = capsys.readouterr().out
+    assert "gold_top_customers" in printed and "Alice Smith" in printed and "orders.csv" in printed

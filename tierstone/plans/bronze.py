@@ -17,6 +17,7 @@ def bronze_rows(
     schema: T.StructType | str | None = None,
     *,
     lock_path: str | None = None,
+    renew_lock: bool = False,
     overrides: Mapping[str, str] | None = None,
     sampling_ratio: float = 1.0,
     source_file: str | None = None,
@@ -28,7 +29,12 @@ def bronze_rows(
         if lock_path is None:
             raise ValueError("give a schema, or a lock_path to keep the inferred one")
         schema = lock_schema(
-            spark, files, lock_path, sampling_ratio=sampling_ratio, overrides=overrides
+            spark,
+            files,
+            lock_path,
+            sampling_ratio=sampling_ratio,
+            overrides=overrides,
+            renew=renew_lock,
         )
     rows = scan_csv(spark, files, schema, strict_header=strict_header)
     return with_ingest_audit(rows, source_file, ingested_at)
@@ -46,11 +52,12 @@ def ingest(
 ) -> Commit:
     """Replace bronze ``table`` by the files' rows: one pass over the files, no shuffle.
 
-    Without ``schema`` it is inferred once and locked next to the table's data.
-    ``options`` are those of :func:`bronze_rows`.
+    Without ``schema`` it is inferred once and locked next to the table's data;
+    ``overwrite_schema`` infers it again. ``options`` are those of :func:`bronze_rows`.
     """
     if schema is None:
         options.setdefault("lock_path", f"{table}/schema_lock")
+        options.setdefault("renew_lock", overwrite_schema)
     rows = bronze_rows(spark, files, schema, **options)
     return write_snapshot(
         rows, table, overwrite_schema=overwrite_schema, committed_at=committed_at

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -14,15 +13,10 @@ from tierstone.operators import sales_by
 from tierstone.plans.bronze import ingest
 from tierstone.plans.fixed_values import CUSTOMER_KEYS, ORDERS, PRODUCT_KEYS
 from tierstone.plans.gold import enrich_orders, top_customers
+from tierstone.plans.sizing import shuffles_sized_for, splits_sized_for, total_bytes
 from tierstone.plans.silver import silver_customers, silver_orders, silver_products
 from tierstone.sources import Commit, latest_commit, read_commit, write_snapshot
 
-# Shuffle partitions are sized for this much of the orders' in-memory size each. More than
-# the upper limit would make the blocks between map and reduce tasks too small to be read
-# efficiently; beyond it, partitions grow and sort by spilling.
-PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
-
 # Table -> the table its rows come from; None for raw files.
 UPSTREAM = {
     "bronze_orders": None,
@@ -66,24 +60,25 @@ def refresh(
     *,
     at: datetime | None = None,
     flag_mode: str = "post_fill",
+    overwrite_schema: bool = False,
 ) -> dict[str, Commit]:
     """Rebuild all ten tables under ``root`` from the raw files; returns their commits.
 
     Every layer is written before the next one reads it, and reads only the layer below,
     so each table is computed once and a lost executor costs at most part of one step.
-    ``at`` fixes the audit time of the whole run. Safe to run again: it adds versions.
+    ``at`` fixes the audit time of the whole run. ``overwrite_schema`` lets the files bring
+    changed columns. Safe to run again: it adds versions.
     """
     done: dict[str, Commit] = {}
+    commit = {"committed_at": at, "overwrite_schema": overwrite_schema}
 
     def ingested(table: str, files: str | list[str], **options) -> Commit:
         label = landing.label(table.removeprefix("bronze_"))
-        path = table_path(root, table)
-        return ingest(
-            spark, files, path, source_file=label, ingested_at=at, committed_at=at, **options
-        )
+        options |= {"source_file": label, "ingested_at": at}
+        return ingest(spark, files, table_path(root, table), **options, **commit)
 
     def saved(table: str, rows: DataFrame) -> Commit:
-        return write_snapshot(rows, table_path(root, table), committed_at=at)
+        return write_snapshot(rows, table_path(root, table), **commit)
 
     def read(table: str) -> DataFrame:
         return read_commit(spark, done[table])
@@ -94,62 +89,45 @@ def refresh(
             running = {table: pool.submit(step, table) for table, step in steps.items()}
         done.update({table: job.result() for table, job in running.items()})
 
-    build(
-        bronze_orders=lambda t: ingested(t, landing.orders, schema=ORDERS),
-        bronze_customers=lambda t: ingested(t, landing.customers, overrides=CUSTOMER_KEYS),
-        bronze_products=lambda t: ingested(t, landing.products, overrides=PRODUCT_KEYS),
-    )
-    with _shuffles_sized_for(spark, done["bronze_orders"].in_memory_bytes):
-        build(
-            silver_orders=lambda t: saved(
-                t, silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at)
-            ),
-            silver_customers=lambda t: saved(
-                t, silver_customers(read("bronze_customers"), updated_at=at)
-            ),
-            silver_products=lambda t: saved(
-                t, silver_products(read("bronze_products"), updated_at=at)
-            ),
-        )
-        enriched = enrich_orders(
-            read("silver_orders"),
-            read("silver_customers"),
-            read("silver_products"),
-            customer_bytes=done["silver_customers"].in_memory_bytes,
-            product_bytes=done["silver_products"].in_memory_bytes,
-            updated_at=at,
-        )
-        build(gold_enriched_orders=lambda t: saved(t, enriched))
-        sales = read("gold_enriched_orders")
-        # Tables hold no row order, so none is paid for here; readers sort.
+    with splits_sized_for(spark, total_bytes(spark, landing.orders)):
         build(
-            gold_sales_by_city=lambda t: saved(t, sales_by(sales, "city", ordered=False)),
-            gold_sales_by_category=lambda t: saved(t, sales_by(sales, "category", ordered=False)),
-            gold_top_customers=lambda t: saved(t, top_customers(sales, ordered=False)),
+            bronze_orders=lambda t: ingested(t, landing.orders, schema=ORDERS),
+            bronze_customers=lambda t: ingested(t, landing.customers, overrides=CUSTOMER_KEYS),
+            bronze_products=lambda t: ingested(t, landing.products, overrides=PRODUCT_KEYS),
         )
+        with shuffles_sized_for(spark, done["bronze_orders"].in_memory_bytes):
+            build(
+                silver_orders=lambda t: saved(
+                    t, silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at)
+                ),
+                silver_customers=lambda t: saved(
+                    t, silver_customers(read("bronze_customers"), updated_at=at)
+                ),
+                silver_products=lambda t: saved(
+                    t, silver_products(read("bronze_products"), updated_at=at)
+                ),
+            )
+            enriched = enrich_orders(
+                read("silver_orders"),
+                read("silver_customers"),
+                read("silver_products"),
+                customer_bytes=done["silver_customers"].in_memory_bytes,
+                product_bytes=done["silver_products"].in_memory_bytes,
+                updated_at=at,
+            )
+            build(gold_enriched_orders=lambda t: saved(t, enriched))
+            sales = read("gold_enriched_orders")
+            # Tables hold no row order, so none is paid for here; readers sort.
+            build(
+                gold_sales_by_city=lambda t: saved(t, sales_by(sales, "city", ordered=False)),
+                gold_sales_by_category=lambda t: saved(
+                    t, sales_by(sales, "category", ordered=False)
+                ),
+                gold_top_customers=lambda t: saved(t, top_customers(sales, ordered=False)),
+            )
     return done
 
 
-def shuffle_partitions(data_bytes: int, configured: int) -> int:
-    """Partitions for shuffling ``data_bytes``; never fewer than ``configured``.
-
-    AQE merges what turns out too small, but cannot split a plain shuffle that was planned
-    with too few.
-    """
-    return max(configured, min(MAX_PARTITIONS, -(-data_bytes // PARTITION_BYTES)))
-
-
-@contextmanager
-def _shuffles_sized_for(spark: SparkSession, data_bytes: int) -> Iterator[None]:
-    name = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(name)
-    spark.conf.set(name, shuffle_partitions(data_bytes, int(configured)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, configured)
-
-
 def layer_audit(spark: SparkSession, root: str) -> DataFrame:
     """Rows in, out and removed per table, from the commit records alone."""
     rows = {t: latest_commit(spark, table_path(root, t)).num_rows for t in UPSTREAM}

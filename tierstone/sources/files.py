@@ -74,19 +74,21 @@ def lock_schema(
     *,
     sampling_ratio: float = 1.0,
     overrides: Mapping[str, str] | None = None,
+    renew: bool = False,
 ) -> T.StructType:
     """The schema stored at ``lock_path``; inferred from ``path`` and stored when absent.
 
     Only the first run pays for the inference scan, and later files cannot drift the types.
+    ``renew`` infers again and replaces the lock, for an intended schema change.
     """
     # "ignore" leaves an existing lock alone without running a job.
     spark.createDataFrame([], _LOCK).write.mode("ignore").parquet(lock_path)
     stored = spark.read.schema(_LOCK).parquet(lock_path).first()
-    if stored is not None:
+    if stored is not None and not renew:
         return T.StructType.fromJson(json.loads(stored["schema_json"]))
     schema = infer_schema(spark, path, sampling_ratio=sampling_ratio, overrides=overrides)
     lock = spark.range(1, numPartitions=1).select(F.lit(schema.json()).alias("schema_json"))
-    lock.write.mode("append").parquet(lock_path)
+    lock.write.mode("overwrite").parquet(lock_path)
     return schema
 
 
