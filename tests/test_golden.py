@@ -7,7 +7,7 @@ import pytest
 from tests.helpers import rows
 from tierstone.__main__ import main
 from tierstone.plans import Landing, layer_audit, refresh, table_path
-from tierstone.plans.refresh import UPSTREAM
+from tierstone.plans.layers import UPSTREAM
 from tierstone.plans.sizing import shuffle_partitions, split_bytes, total_bytes
 from tierstone.sources import read_snapshot, snapshot_history
 

@@ -1,6 +1,6 @@
 from tierstone.plans.bronze import bronze_rows, ingest
 from tierstone.plans.gold import enrich_orders, top_customers
-from tierstone.plans.refresh import Landing, layer_audit, refresh, table_path
+from tierstone.plans.layers import Landing, layer_audit, refresh, table_path
 from tierstone.plans.silver import silver_customers, silver_orders, silver_products
 
 __all__ = [
