@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.helpers import rows
+from tierstone.operators import dedupe_by_key
 from tierstone.plans import bronze_rows, ingest
 from tierstone.plans.fixed_values import CUSTOMER_KEYS, ORDERS
 from tierstone.sources import (
@@ -95,6 +96,13 @@ def test_ingest_infers_once(spark, csv, tmp_path):
     assert rows(read_snapshot(spark, table).select("id", "n")) == [("c", None)]
 
 
+def test_awkward_header_names(spark, csv, tmp_path):
+    table = str(tmp_path / "bronze")
+    ingest(spark, csv("a.b,c d,e`f\nx,1,y\nx,2,y\n"), table, corrupt_column="bad_line")
+    kept = dedupe_by_key(read_snapshot(spark, table).drop("bad_line"), ["`a.b`"])
+    assert rows(kept.select("c d")) == [(1,)]
+
+
 def test_intended_schema_change_renews_the_lock(spark, csv, tmp_path):
     table = str(tmp_path / "bronze")
     ingest(spark, csv("id,n\na,1\n"), table)

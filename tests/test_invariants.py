@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tests.helpers import plan
+from tierstone.plans import enrich_orders
 from verification.layers import stored
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -11,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def table(spark):
-    return lambda name: stored(spark, SF_DIR, name).cache()
+    return lambda name: stored(spark, SF_DIR, name)
 
 
 def test_one_row_per_order(table):
@@ -50,3 +52,14 @@ def test_ranks_have_no_gaps_and_follow_spend(table):
         "again", F.dense_rank().over(Window.orderBy(F.desc("total_spent")))
     )
     assert again.filter("again <> rank").count() == 0
+
+
+def test_enrichment_plan(spark):
+    """Filtered and pruned in the scan, no shuffle of the orders."""
+    tables = [stored(spark, SF_DIR, f"silver_{t}") for t in ("orders", "customers", "products")]
+    shown = plan(enrich_orders(*tables))
+    assert "PushedFilters: [IsNotNull(status), EqualTo(status,completed)]" in shown
+    assert shown.count("BroadcastHashJoin LeftOuter BuildRight") == 2
+    assert "hashpartitioning" not in shown and "SortMergeJoin" not in shown
+    for unused in ("source_file", "ingestion_timestamp", "email"):
+        assert unused not in shown

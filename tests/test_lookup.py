@@ -58,6 +58,11 @@ def test_repeated_null_keys_are_unique_enough(fact, dim):
     assert rows(joined) == sorted(WANT, key=repr)
 
 
+def test_clashing_columns(fact, dim):
+    with pytest.raises(ValueError, match="name"):
+        lookup_join(fact.withColumn("name", F.lit("x")), dim, "k", ["name"])
+
+
 def test_unknown_mode(fact, dim):
     with pytest.raises(ValueError, match="always"):
         lookup_join(fact, dim, "k", ["name"], broadcast="always")

@@ -4,6 +4,7 @@ from tierstone.functions.columns import (
     audit_time,
     issue_label,
     money,
+    named,
     parse_day,
     proper_case,
     row_bytes,
@@ -15,6 +16,7 @@ __all__ = [
     "audit_time",
     "issue_label",
     "money",
+    "named",
     "parse_day",
     "proper_case",
     "row_bytes",

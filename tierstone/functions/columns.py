@@ -13,6 +13,11 @@ from pyspark.sql import types as T
 ISO_DAY = "yyyy-MM-dd"
 
 
+def named(name: str) -> Column:
+    """The column called exactly ``name``, whatever characters the file header used."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def proper_case(text: Column) -> Column:
     """Strip edge spaces, then capitalise each space-separated word."""
     return F.initcap(F.trim(text))
@@ -63,5 +68,5 @@ def row_bytes(schema: T.StructType) -> Column:
     size = F.lit(_ROW_BYTES + _COLUMN_BYTES * len(schema)).cast("long")
     for field in schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+            size = size + F.coalesce(F.octet_length(named(field.name)), F.lit(0))
     return size

@@ -103,6 +103,9 @@ def lookup_join(
     """
     if broadcast not in ("auto", "never"):
         raise ValueError(f"broadcast must be 'auto' or 'never', not {broadcast!r}")
+    clash = set(columns) & set(fact.columns)
+    if clash:
+        raise ValueError(f"both sides have {sorted(clash)}; rename or drop one of them")
     lookup = dim.select(key, *columns)
     if require_unique:
         _reject_duplicates(lookup, key)

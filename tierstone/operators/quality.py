@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstone.functions import issue_label
+from tierstone.functions import issue_label, named
 
 # Columns that change on every run and so must never decide which copy survives.
 AUDIT_COLUMNS = ("ingestion_timestamp", "source_file", "updated_timestamp")
@@ -35,7 +35,7 @@ def dedupe_by_key(
     """
     if order_by is None:
         skip = {*keys, *AUDIT_COLUMNS}
-        order_by = [F.col(c).asc_nulls_last() for c in df.columns if c not in skip]
+        order_by = [named(c).asc_nulls_last() for c in df.columns if c not in skip]
     ordering = [*prefer, *order_by] or [F.lit(1)]
     copies = Window.partitionBy(*keys).orderBy(*ordering)
     return (

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 SINGLE_TASK_ROWS = 100_000
 # Rows a ranking task should sort.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4_096
+MAX_BUCKETS = 2_048
 # Largest k whose k values are broadcast back to the table.
 MAX_BROADCAST_K = 100_000
 
@@ -71,7 +71,7 @@ def dense_rank_global(
         _VALUE, F.col(by).cast("double") + F.lit(0.0)
     )
     points = [i / buckets for i in range(1, buckets)]
-    cuts = valued.approxQuantile(_VALUE, points, 1 / (4 * buckets)) if points else []
+    cuts = valued.approxQuantile(_VALUE, points, 1 / (2 * buckets)) if points else []
     splits = [-inf, *(sorted({c for c in cuts if not isinf(c)}) or [0.0]), inf]
     # Buckets are [low, high), numbered upwards; NaN sorts highest and gets a last one.
     bucketed = Bucketizer(

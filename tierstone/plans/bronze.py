@@ -23,6 +23,7 @@ def bronze_rows(
     source_file: str | None = None,
     ingested_at: datetime | None = None,
     strict_header: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """The files' rows under a declared ``schema``, or one locked at ``lock_path``."""
     if schema is None:
@@ -36,7 +37,9 @@ def bronze_rows(
             overrides=overrides,
             renew=renew_lock,
         )
-    rows = scan_csv(spark, files, schema, strict_header=strict_header)
+    rows = scan_csv(
+        spark, files, schema, strict_header=strict_header, corrupt_column=corrupt_column
+    )
     return with_ingest_audit(rows, source_file, ingested_at)
 
 
