@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.helpers import plan
+from tierstone.operators import sales_by
 from tierstone.plans import enrich_orders
 from verification.layers import stored
 
@@ -63,3 +64,8 @@ def test_enrichment_plan(spark):
     assert "hashpartitioning" not in shown and "SortMergeJoin" not in shown
     for unused in ("source_file", "ingestion_timestamp", "email"):
         assert unused not in shown
+
+
+def test_report_reads_three_columns(spark):
+    shown = plan(sales_by(stored(spark, SF_DIR, "gold_enriched_orders"), "city"))
+    assert "ReadSchema: struct<order_id:string,city:string,amount:double>" in shown

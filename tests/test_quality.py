@@ -41,7 +41,14 @@ def test_complete_copy_wins_and_dedupe_comes_before_rejection(spark):
     assert [(r["order_id"], r["customer_id"]) for r in kept] == [("7", "c"), ("8", "b")]
 
 
-def test_survivor_ignores_audit_columns_and_input_order(spark):
+def test_equal_copies_from_two_files_keep_the_first_file(spark):
+    df = order(spark, ("k", "c", "p", 1, None, "s", 1.0))
+    files = [df.withColumn("source_file", F.lit(f"{n}.csv")) for n in "cab"]
+    copies = files[0].unionByName(files[1]).unionByName(files[2])
+    assert dedupe_by_key(copies, ["order_id"]).first()["source_file"] == "a.csv"
+
+
+def test_survivor_ignores_audit_times_and_input_order(spark):
     lines = [("k", f"c{i % 5}", f"p{i % 7}", i % 3, None, "s", float(i)) for i in range(40)]
     want = None
     for seed in range(3):

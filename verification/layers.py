@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 from tierstone import plans
-from tierstone.operators.quality import AUDIT_COLUMNS
+from tierstone.operators.quality import AUDIT_TIMES
 from tierstone.sources import read_snapshot, scratch_path
 from verification.raw_tables import landing
 
@@ -29,4 +29,4 @@ def stored(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def stored_data(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The table's rows without audit columns."""
-    return stored(spark, sf_dir, table).drop(*AUDIT_COLUMNS)
+    return stored(spark, sf_dir, table).drop(*AUDIT_TIMES, "source_file")
