@@ -1,11 +1,20 @@
 import datetime
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from tierstone.functions import as_type, audit_time, issue_label, money, parse_day, proper_case
+from tierstone.functions import (
+    ISO_DAY,
+    as_type,
+    audit_time,
+    issue_label,
+    money,
+    parse_day,
+    proper_case,
+)
 from tierstone.operators import in_memory_bytes
 
 
@@ -33,6 +42,29 @@ def test_parse_day(spark):
         apply(spark, ["2024-02-30"], "string", lambda c: parse_day(c, strict=True))
 
 
+def test_parse_day_equals_the_formatted_parse(spark):
+    dice = random.Random(5)
+    texts = ["2024-01-10\n", " 2024-01-10", "2024-01-10 ", "2024-01-1T", "2024-01-10T00", "٢٠٢٤-٠١-١٠"]
+    texts += ["0000-01-01", "-2024-01-01", "+2024-01-01", "12024-01-01", "2000-02-29", "1900-02-29"]
+    for _ in range(5_000):
+        chars = list(f"{dice.randint(0, 9999):04d}-{dice.randint(0, 13):02d}-{dice.randint(0, 32):02d}")
+        if dice.random() < 0.3:
+            chars[dice.randrange(10)] = dice.choice("0123456789- /T+x\n")
+        if dice.random() < 0.1:
+            chars.insert(dice.randrange(10), dice.choice("0 -"))
+        texts.append("".join(chars))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = df.select("t", parse_day(F.col("t")).alias("a"), F.try_to_date("t", ISO_DAY).alias("b"))
+    assert both.filter("a is not null").count() > 2_000
+    assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+
+
+def test_parse_day_in_another_format(spark):
+    texts = ["10/01/2024", "2024-01-10"]
+    found = apply(spark, texts, "string", lambda c: parse_day(c, "dd/MM/yyyy"))
+    assert found == [datetime.date(2024, 1, 10), None]
+
+
 def test_as_type(spark):
     texts = ["7", "x", "1.5", None]
     assert apply(spark, texts, "string", lambda c: as_type(c, "int")) == [7, None, None, None]

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 # Fixed value: the day format raw files use.
 ISO_DAY = "yyyy-MM-dd"
 
+_PLAIN_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+
 
 def named(name: str) -> Column:
     """The column called exactly ``name``, whatever characters the file header used."""
@@ -24,8 +26,15 @@ def proper_case(text: Column) -> Column:
 
 
 def parse_day(text: Column, fmt: str = ISO_DAY, strict: bool = False) -> Column:
-    """Text to date. Unparseable text is null, or an error when ``strict``."""
-    return F.to_date(text, fmt) if strict else F.try_to_date(text, fmt)
+    """Text to date. Unparseable text is null, or an error when ``strict``.
+
+    Valid days in the usual format take a cast, which costs half of a formatted parse; all
+    other text is left to the parser.
+    """
+    parsed = F.to_date(text, fmt) if strict else F.try_to_date(text, fmt)
+    if fmt != ISO_DAY:
+        return parsed
+    return F.coalesce(F.when(text.rlike(_PLAIN_DAY), text.try_cast("date")), parsed)
 
 
 def as_type(value: Column, spark_type: str, strict: bool = False) -> Column:
