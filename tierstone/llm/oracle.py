@@ -68,6 +68,29 @@ from (
 """
 
 
+# white space of the line keys; a-z alone change case, so lower() of other letters won't do
+_LINES = r"""
+with lines as (
+  select doc_id, line, pos,
+         translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select doc_id, unnest(string_split(t, chr(10))) as line,
+               generate_subscripts(string_split(t, chr(10)), 1) as pos
+        from (select doc_id, coalesce(text, '') as t from documents))
+), shared as (
+  select key, min(doc_id) as first_id from lines where length(key) >= 10
+  group by key having count(distinct doc_id) >= 2
+), judged as (
+  select lines.*, coalesce(shared.first_id < doc_id, false) as gone
+  from lines left join shared using (key)
+)
+select doc_id, count(*)::bigint as n_lines, count(*) filter (where gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
 SQL: dict[str, str] = {
     "op2_quality_lines": _quality_sql(),
+    "op10_line_dedup": _LINES,
 }

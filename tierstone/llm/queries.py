@@ -9,13 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierstone.llm import quality_lines
+from tierstone.llm import line_dedup, quality_lines
+from tierstone.llm.shipping import ship
+from tierstone.sources import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +28,16 @@ def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", "_quality.*").drop("cleaned")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    index = line_dedup.LineIndex(spark, scratch_path(spark, "line_index"))
+    index.insert(docs)
+    return index.resolve(docs).select(
+        "doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2("_lines.text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_lines": op2_quality_lines,
+    "op10_line_dedup": op10_line_dedup,
 }
