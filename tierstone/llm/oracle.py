@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tierstone.llm import decontaminate as b
 from tierstone.llm import quality_lines as q
 
 
@@ -90,7 +91,76 @@ from judged group by doc_id
 """
 
 
+def _leaks_sql(match: b.Match = b.Match()) -> str:
+    def words(source: str) -> str:
+        t = "coalesce(text, '')"
+        for _ in range(2):
+            t = f"regexp_replace({t}, {_quoted(b.DECIMAL)}, '\\1_\\2', 'g')"
+        for _ in range(2):  # RE2 has no look-behind: two passes mark names that follow names
+            t = f"regexp_replace({t}, {_quoted('(' + b.INSIDE + ')' + '([A-Z]|' + chr(92) + 'p{Lu})')}, concat('\\1', chr(1), 'p', '\\2'), 'g')"
+        t = f"trim(regexp_replace(lower({t}), {_quoted(b.NO_WORD)}, ' ', 'g'))"
+        units = _quoted(f"([0-9]) ({b.UNITS})( |" + r"\z)")
+        t = f"regexp_replace({t}, {units}, concat('\\1 ', chr(1), 'u', '\\2', '\\3'), 'g')"
+        return f"list_filter(string_split({t}, ' '), lambda x: x <> '')"
+
+    def is_slot(word: str) -> str:
+        return f"(starts_with({word}, chr(1)) or left({word}, 1) between '0' and '9')"
+
+    typed = """list_transform(w, lambda x: case when starts_with(x, chr(1)) then left(x, 2)
+      when left(x, 1) between '0' and '9' then concat(chr(1), 'n') else x end)"""
+    n = match.window
+
+    def windows(source: str, ident: str) -> str:
+        return f"""
+  select {ident}, i - 1 as pos, array_to_string(h[i : i + {n - 1}], ' ') as key
+  from (select {ident}, h, unnest(range(1, len(h) - {n - 2})) as i from {source} where len(h) >= {n})
+  where len(list_filter(h[i : i + {n - 1}], lambda x: starts_with(x, chr(1)))) <= {n - match.literals}"""
+
+    return f"""
+with all_items as (
+  select item_id, w, {typed} as h from (select item_id, {words("benchmark")} as w from benchmark)
+), items as (
+  select min(item_id) as item_id, count(*) as n_items, arg_min(w, item_id) as w, any_value(h) as h
+  from all_items where len(h) >= {n} group by array_to_string(h, ' ')
+), docs as (
+  select doc_id, w, {typed} as h from (select doc_id, {words("documents")} as w from documents)
+), item_windows as ({windows("items", "item_id")}
+), doc_windows as ({windows("docs", "doc_id")}
+), hits as (
+  select doc_id, item_id, d.pos - i.pos as shift, i.pos as item_pos
+  from doc_windows d join item_windows i using (key)
+), covered as (
+  select distinct doc_id, item_id, shift, p
+  from (select doc_id, item_id, shift, unnest(range(item_pos, item_pos + {n})) as p from hits)
+), slots as (
+  select distinct doc_id, item_id, shift, items.w[p + 1] as item, docs.w[p + shift + 1] as doc
+  from covered join items using (item_id) join docs using (doc_id)
+  where {is_slot("items.w[p + 1]")}
+), checked as (
+  select doc_id, item_id, shift, count(*) filter (where item <> doc) as changed
+  from slots group by doc_id, item_id, shift
+  having count(distinct item) <> count(*) or count(distinct doc) <> count(*)
+), changes as (
+  select doc_id, item_id, shift, count(*) filter (where item <> doc) as changed
+  from slots group by doc_id, item_id, shift
+), scored as (
+  select doc_id, item_id, count(distinct item_pos) as n_windows, max(coalesce(changed, 0)) as n_slots
+  from hits left join changes using (doc_id, item_id, shift)
+  where not exists (
+    select 1 from checked c
+    where c.doc_id = hits.doc_id and c.item_id = hits.item_id and c.shift = hits.shift)
+  group by doc_id, item_id
+)
+select doc_id, item_id, n_items::bigint as n_items, n_windows::bigint as n_windows,
+       item_windows::bigint as item_windows, n_slots::bigint as n_slots
+from scored join items using (item_id)
+join (select item_id, count(*) as item_windows from item_windows group by item_id) using (item_id)
+where n_windows >= item_windows * {match.share} or n_windows >= {match.run}
+"""
+
+
 SQL: dict[str, str] = {
     "op2_quality_lines": _quality_sql(),
+    "op6_decontaminate": _leaks_sql(),
     "op10_line_dedup": _LINES,
 }

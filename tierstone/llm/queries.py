@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import line_dedup, near_dups, quality_lines
+from tierstone.llm import decontaminate, line_dedup, near_dups, quality_lines
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -37,6 +37,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -44,6 +48,7 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality_lines": op2_quality_lines,
+    "op6_decontaminate": op6_decontaminate,
     "op8_near_dups": op8_near_dups,
     "op10_line_dedup": op10_line_dedup,
 }
