@@ -6,9 +6,10 @@ of the registers, and two registers agree about as often as the sets overlap. Ba
 put similar sets in the same bucket; the joint maximum likelihood estimate from all registers
 drops pairs that are far from the bar; what is left is confirmed on full sets.
 
-Equal sets are one node from the start. In a bucket every member is linked to the bucket's least
-member, never to all others; pairs across groups are taken up only in buckets that still hold
-two groups after that, so a bucket of copies costs one pair per member.
+Equal sets are one node from the start. In a bucket every member is paired with the one that
+shares the most buckets with others, never with all, so a bucket of copies costs one pair per
+member. Buckets that still hold two groups after that are searched in blocks of registers; only
+pairs across groups whose estimate is near the bar come out of that search.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -33,20 +35,25 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Sketch:
-    """Shape of the sketch. 32 bands of 4 miss a pair at similarity 0.75 about once in 200,000
-    times, and one at 0.8 once in 20 million."""
+    """Shape of the sketch. 40 bands of 4 miss a pair at similarity 0.75 about twice in ten million
+    times, and an estimate from 256 registers falls short by ``slack`` once in a million."""
 
     shingle: int = 5
-    bands: int = 32
-    rows: int = 4  # 16-bit registers, four to a 64-bit band
+    bands: int = 40
+    words: int = 64  # 64-bit words of four 16-bit registers; the first ``bands`` are the bands
     base: float = 1.001
     rate: float = 20.0
     percent: int = 75
-    slack: float = 0.22  # about six deviations of the estimate from 128 registers
+    slack: float = 0.13
+    block: int = 512
 
     @property
     def registers(self) -> int:
-        return self.bands * self.rows
+        return self.words * 4
+
+    @property
+    def least_likely(self) -> float:
+        return self.percent / 100 - self.slack
 
     def multipliers(self) -> np.ndarray:
         return mix(np.arange(1, self.registers + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -151,7 +158,7 @@ def _verified(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[pa.
         likely = likely_similarity(*regs, n_a, n_b, sketch.base) if len(n_a) else np.zeros(0)
         keep = np.zeros(len(likely), dtype=bool)
         ids = col["a"].to_numpy()
-        for i in np.flatnonzero(likely >= sketch.percent / 100 - sketch.slack):
+        for i in np.flatnonzero(likely >= sketch.least_likely):
             if last != ids[i]:
                 last, held = ids[i], _set_of(col["packed_a"][i].as_py(), hasher, sketch.shingle)
             other = _set_of(col["packed_b"][i].as_py(), hasher, sketch.shingle)
@@ -191,29 +198,19 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "tex
         ),
         "classes",
     )
-    rows = classes.select("rep", "n", F.posexplode("bands")).select(
-        _bucket(F.col("pos"), F.col("col")).alias("bucket"), "rep", "n"
-    )
-    centers = stage(
-        rows.groupBy("bucket").agg(F.min("rep").alias("center"), F.count("*").alias("c"), F.min_by("n", "rep").alias("n_center"))
-        .where("c > 1").drop("c"),
-        "centers",
-    )
-    star = stage(
-        rows.join(centers, "bucket").where("rep != center").select("bucket", "center", F.col("rep").alias("member"), "n", "n_center"),
-        "star",
+    rows = classes.select("rep", "n", F.posexplode(F.slice("bands", 1, sketch.bands))).select(
+        _bucket(F.col("pos"), F.col("col")).alias("bucket"), F.col("pos").alias("band"), "rep", "n"
     )
-    pairs = star.where(f"100 * least(n, n_center) >= {sketch.percent} * greatest(n, n_center)").select(
-        F.col("center").alias("a"), F.col("member").alias("b")
-    ).distinct()
+    shared = stage(rows.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"), "buckets")
+    members = stage(rows.join(shared, "bucket"), "members")
+    star = stage(_star(members), "star")
+    pairs = star.where(_sizes_allow("n_a", "n_b", sketch)).select("a", "b").distinct()
     links = stage(_confirm(pairs, sets, sketch), "links")
     found = components(links, "groups")
 
-    more = stage(_across(star, found, sketch), "across")
-    if more.limit(1).count():
-        extra = stage(_confirm(more, sets, sketch), "more_links")
-        if extra.limit(1).count():
-            found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(extra), "groups")
+    extra = stage(_across(members, star, found, sets, sketch), "more_links")
+    if extra.limit(1).count():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(extra), "groups")
 
     reps = classes.select("s1", "s2", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("component")
@@ -228,37 +225,108 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "tex
     )
 
 
-def _across(star: DataFrame, found: DataFrame, sketch: Sketch) -> DataFrame:
-    """Pairs that share a bucket but not yet a group, each group's main members left unpaired.
+def _sizes_allow(n: str, m: str, sketch: Sketch) -> str:
+    return f"100 * least({n}, {m}) >= {sketch.percent} * greatest({n}, {m})"
 
-    Such a bucket has a member that is not in its center's group. Members outside the bucket's
-    largest group meet all of the bucket's other groups; those inside it do not meet each other.
+
+def _star(members: DataFrame) -> DataFrame:
+    """``bucket, a, n_a, b, n_b``: each member ``b`` with its bucket's center ``a``.
+
+    The center is the member that meets the most others over all its buckets: of edited copies
+    and their original that is the original, which is the nearest to all.
     """
-    of = found.toDF("id", "group")
+    meets = stage(members.groupBy("rep").agg(F.sum("c").alias("meets")), "meets")
+    ranked = members.join(meets, "rep")
+    centers = stage(
+        ranked.groupBy("bucket").agg(F.max(F.struct("meets", (-F.col("rep")).alias("minus"), "n")).alias("top"))
+        .select("bucket", (-F.col("top.minus")).alias("a"), F.col("top.n").alias("n_a")),
+        "centers",
+    )
+    joined = members.join(centers, "bucket").where("rep != a")
+    return joined.select("bucket", "a", "n_a", F.col("rep").alias("b"), F.col("n").alias("n_b"))
+
+
+def _linked(left: pd.DataFrame, right: pd.DataFrame, sketch: Sketch) -> pd.DataFrame:
+    """Confirmed links between different groups, one end from each side of a bucket.
+
+    A pair that shares several buckets is looked at in the first of them alone. Registers rule
+    most pairs out; sets are made once for each member that is left.
+    """
+
+    def regs(side: pd.DataFrame) -> np.ndarray:
+        return np.stack(side["bands"].to_list())
+
+    bands_x, bands_y, found = regs(left), regs(right), []
+    x, y, band = bands_x.view(np.uint16), bands_y.view(np.uint16), int(left["band"].iloc[0])
+    n_x, n_y = left["n"].to_numpy(np.float64), right["n"].to_numpy(np.float64)
+    id_x, id_y, g_x, g_y = left["rep"].to_numpy(), right["rep"].to_numpy(), left["g"].to_numpy(), right["g"].to_numpy()
+    # two registers are equal at least as often as the sets overlap, so few equal ones rule a pair out
+    bar = sketch.least_likely * sketch.registers
+    hasher, sets = WordHasher(), {}
+
+    def set_of(side: pd.DataFrame, at: int) -> np.ndarray:
+        ident = (side is left, at)
+        if ident not in sets:
+            sets[ident] = _set_of(side["packed"].iloc[at], hasher, sketch.shingle)
+        return sets[ident]
+
+    for i in range(len(x)):
+        small, large = np.minimum(n_x[i], n_y), np.maximum(n_x[i], n_y)
+        some = np.flatnonzero((g_y != g_x[i]) & (100 * small >= sketch.percent * large))
+        some = some[(y[some] == x[i]).sum(axis=1) >= bar]
+        some = some[(bands_y[some, :band] != bands_x[i, :band]).all(axis=1)]
+        if len(some):
+            sizes, same = np.full(len(some), n_x[i]), np.broadcast_to(x[i], (len(some), x.shape[1]))
+            some = some[likely_similarity(same, y[some], sizes, n_y[some], sketch.base) >= sketch.least_likely]
+        for j in some:
+            held, other = set_of(left, i), set_of(right, j)
+            both = len(np.intersect1d(held, other, assume_unique=True))
+            if 100 * both >= sketch.percent * (len(held) + len(other) - both):
+                found.append((min(id_x[i], id_y[j]), max(id_x[i], id_y[j])))
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+
+def _across(members: DataFrame, star: DataFrame, found: DataFrame, sets: DataFrame, sketch: Sketch) -> DataFrame:
+    """Links ``a, b`` between members of one bucket that are not in one group yet.
+
+    A bucket is searched if one of its members is not in its center's group. Members outside the
+    bucket's largest group, dealt in blocks, meet blocks of all its members.
+    """
+    of = found.toDF("_id", "_g")
 
     def grouped(df: DataFrame, id_: str, name: str) -> DataFrame:
-        joined = df.join(of.toDF(id_, "_g"), id_, "left")
-        return joined.withColumn(name, F.coalesce("_g", id_)).drop("_g")
-
-    apart = grouped(grouped(star.select("center", "member").distinct(), "center", "gc"), "member", "gm").where("gc != gm")
-    mixed = star.join(stage(apart.select("center", "member"), "apart"), ["center", "member"], "left_semi").select("bucket").distinct()
-    rows = star.join(stage(mixed, "mixed"), "bucket", "left_semi")
-    members = rows.select("bucket", F.col("member").alias("id"), "n").union(
-        rows.select("bucket", F.col("center").alias("id"), F.col("n_center").alias("n")).distinct()
+        joined = df.join(of, F.col(id_) == F.col("_id"), "left")
+        return joined.withColumn(name, F.coalesce("_g", id_)).drop("_g", "_id")
+
+    apart = grouped(grouped(star.select("bucket", "a", "b"), "a", "g_a"), "b", "g_b").where("g_a != g_b")
+    mixed = stage(apart.select("bucket").distinct(), "mixed")
+    inside = stage(grouped(members.join(mixed, "bucket", "left_semi"), "rep", "g"), "mixed_members")
+    largest = (
+        inside.groupBy("bucket", "g").agg(F.count("*").alias("k"))
+        .groupBy("bucket").agg(F.max(F.struct("k", "g")).alias("top")).select("bucket", F.col("top.g").alias("main"))
     )
-    members = stage(grouped(members, "id", "g"), "mixed_members")
-    main = (
-        members.groupBy("bucket", "g").agg(F.count("*").alias("c"))
-        .groupBy("bucket").agg(F.max(F.struct("c", "g")).alias("top")).select("bucket", F.col("top.g").alias("main"))
-    )
-    members = stage(members.join(main, "bucket"), "mixed_members")
-    odd = members.where("g != main").select("bucket", F.col("id").alias("x"), F.col("g").alias("gx"), F.col("n").alias("nx"))
-    pairs = odd.join(members, "bucket").where(
-        f"g != gx and (g = main or x < id) and 100 * least(n, nx) >= {sketch.percent} * greatest(n, nx)"
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("c") / sketch.block))
+    inside = stage(
+        inside.join(stage(largest, "largest"), "bucket").select(
+            "bucket", "band", "rep", "n", "g", (F.col("g") != F.col("main")).alias("odd"),
+            F.pmod(F.xxhash64("rep"), blocks).alias("block"), blocks.alias("blocks"),
+        ),
+        "mixed_blocks",
     )
-    pairs = pairs.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    seen = star.select(F.col("center").alias("a"), F.col("member").alias("b")).distinct()
-    return pairs.join(seen, ["a", "b"], "left_anti")
+    inside = inside.join(sets.select(F.col("id").alias("rep"), "bands", "packed"), "rep")
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    common = ("bucket", "band", "rep", "n", "g", "bands", "packed")
+    odd = inside.where("odd").select(*common, F.col("block").alias("i"), F.explode(every).alias("j"))
+    all_ = inside.select(*common, F.explode(every).alias("i"), F.col("block").alias("j"))
+    all_ = all_.toDF(*all_.columns)  # fresh columns: both sides come from one table
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return _linked(left, right, sketch)
+
+    keys = ("bucket", "i", "j")
+    return odd.groupBy(*keys).cogroup(all_.groupBy(*keys)).applyInPandas(search, "a long, b long").distinct()
 
 
 def keep_first(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "text") -> DataFrame:
