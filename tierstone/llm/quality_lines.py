@@ -145,19 +145,19 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
         100 * F.col("_repeats") > rules.max_repeat_percent * F.col("_n")
     )
     kept = ~failed & (F.col("_left") >= F.col("_n") * rules.min_kept_share)
-    return df.select(
-        *[df[f"`{c}`"] for c in own],
-        F.struct(
-            F.col("_n").alias("n_words"),
-            F.col("_chars").alias("word_chars"),
-            F.col("_symbols").alias("n_symbols"),
-            F.col("_dups").alias("n_dup_lines"),
-            F.col("_repeats").alias("n_repeat_words"),
-            failed.alias("base_failed"),
-            kept.alias("kept"),
-            F.col("_cleaned").alias("cleaned"),
-        ).alias("_quality"),
+    measures = F.struct(
+        F.col("_n").alias("n_words"),
+        F.col("_chars").alias("word_chars"),
+        F.col("_symbols").alias("n_symbols"),
+        F.col("_dups").alias("n_dup_lines"),
+        F.col("_repeats").alias("n_repeat_words"),
+        failed.alias("base_failed"),
+        kept.alias("kept"),
+        F.col("_cleaned").alias("cleaned"),
     )
+    # through a generator of one row: a filter on the verdict must not be pushed below it, where
+    # the rules' expressions would be put into each other and run once per element
+    return df.select(*[df[f"`{c}`"] for c in own], F.explode(F.array(measures)).alias("_quality"))
 
 
 def clean(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, line_dedup, near_dups, quality_lines
+from tierstone.llm import decontaminate, line_dedup, near_dups, packing, quality_lines
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -28,6 +29,10 @@ def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", "_quality.*").drop("cleaned")
 
 
+def op9_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     index = line_dedup.LineIndex(spark, scratch_path(spark, "line_index"))
@@ -50,5 +55,6 @@ QUERIES: dict[str, Query] = {
     "op2_quality_lines": op2_quality_lines,
     "op6_decontaminate": op6_decontaminate,
     "op8_near_dups": op8_near_dups,
+    "op9_pattern_packing": op9_pattern_packing,
     "op10_line_dedup": op10_line_dedup,
 }
