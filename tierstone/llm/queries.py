@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, line_dedup, near_dups, packing, quality_lines
+from tierstone.llm import decontaminate, id_store, line_dedup, near_dups, packing, quality_lines
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -24,6 +24,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "ids")
+    id_store.write_ids(_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return id_store.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality_lines.measure(_table(spark, sf_dir, "documents"))
     return measured.select("doc_id", "_quality.*").drop("cleaned")
@@ -52,6 +58,7 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_id_store": op1_id_store,
     "op2_quality_lines": op2_quality_lines,
     "op6_decontaminate": op6_decontaminate,
     "op8_near_dups": op8_near_dups,
