@@ -46,6 +46,7 @@ class Sketch:
     percent: int = 75
     slack: float = 0.13
     block: int = 512
+    together: int = 1000
 
     @property
     def registers(self) -> int:
@@ -252,37 +253,39 @@ def _linked(left: pd.DataFrame, right: pd.DataFrame, sketch: Sketch) -> pd.DataF
     A pair that shares several buckets is looked at in the first of them alone. Registers rule
     most pairs out; sets are made once for each member that is left.
     """
-
-    def regs(side: pd.DataFrame) -> np.ndarray:
-        return np.stack(side["bands"].to_list())
-
-    bands_x, bands_y, found = regs(left), regs(right), []
-    x, y, band = bands_x.view(np.uint16), bands_y.view(np.uint16), int(left["band"].iloc[0])
-    n_x, n_y = left["n"].to_numpy(np.float64), right["n"].to_numpy(np.float64)
-    id_x, id_y, g_x, g_y = left["rep"].to_numpy(), right["rep"].to_numpy(), left["g"].to_numpy(), right["g"].to_numpy()
+    left, right = left.sort_values("bucket"), right.sort_values("bucket")
+    bands_x, bands_y = (np.stack(side["bands"].to_list()) for side in (left, right))
+    x, y = bands_x.view(np.uint16), bands_y.view(np.uint16)
+    id_x, n_x, g_x, band, bucket = (left[c].to_numpy(np.int64) for c in ("rep", "n", "g", "band", "bucket"))
+    id_y, n_y, g_y, buckets = (right[c].to_numpy(np.int64) for c in ("rep", "n", "g", "bucket"))
+    begin, end = np.searchsorted(buckets, bucket), np.searchsorted(buckets, bucket, side="right")
     # two registers are equal at least as often as the sets overlap, so few equal ones rule a pair out
-    bar = sketch.least_likely * sketch.registers
-    hasher, sets = WordHasher(), {}
-
-    def set_of(side: pd.DataFrame, at: int) -> np.ndarray:
-        ident = (side is left, at)
+    bar, ends = sketch.least_likely * sketch.registers, []
+    for i, (a, b, k) in enumerate(zip(begin.tolist(), end.tolist(), band.tolist())):
+        large, small = np.maximum(n_y[a:b], n_x[i]), np.minimum(n_y[a:b], n_x[i])
+        some = a + np.flatnonzero((g_y[a:b] != g_x[i]) & (100 * small >= sketch.percent * large))
+        if len(some):
+            some = some[(y[some] == x[i]).sum(axis=1) >= bar]
+            some = some[(bands_y[some, :k] != bands_x[i, :k]).all(axis=1)]
+            ends.append(np.stack([np.full(len(some), i), some]))
+    at, to = np.concatenate(ends, axis=1) if ends else np.zeros((2, 0), np.int64)
+    hasher, sets, found = WordHasher(), {}, []
+
+    def set_of(side: pd.DataFrame, where: int) -> np.ndarray:
+        ident = (side is left, where)
         if ident not in sets:
-            sets[ident] = _set_of(side["packed"].iloc[at], hasher, sketch.shingle)
+            sets[ident] = _set_of(side["packed"].iloc[where], hasher, sketch.shingle)
         return sets[ident]
 
-    for i in range(len(x)):
-        small, large = np.minimum(n_x[i], n_y), np.maximum(n_x[i], n_y)
-        some = np.flatnonzero((g_y != g_x[i]) & (100 * small >= sketch.percent * large))
-        some = some[(y[some] == x[i]).sum(axis=1) >= bar]
-        some = some[(bands_y[some, :band] != bands_x[i, :band]).all(axis=1)]
-        if len(some):
-            sizes, same = np.full(len(some), n_x[i]), np.broadcast_to(x[i], (len(some), x.shape[1]))
-            some = some[likely_similarity(same, y[some], sizes, n_y[some], sketch.base) >= sketch.least_likely]
-        for j in some:
-            held, other = set_of(left, i), set_of(right, j)
+    for a in range(0, len(at), 8192):
+        i, j = at[a : a + 8192], to[a : a + 8192]
+        likely = likely_similarity(x[i], y[j], n_x[i].astype(np.float64), n_y[j].astype(np.float64), sketch.base)
+        near = likely >= sketch.least_likely
+        for p, q in zip(i[near].tolist(), j[near].tolist()):
+            held, other = set_of(left, p), set_of(right, q)
             both = len(np.intersect1d(held, other, assume_unique=True))
             if 100 * both >= sketch.percent * (len(held) + len(other) - both):
-                found.append((min(id_x[i], id_y[j]), max(id_x[i], id_y[j])))
+                found.append((min(id_x[p], id_y[q]), max(id_x[p], id_y[q])))
     return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
 
@@ -313,9 +316,12 @@ def _across(members: DataFrame, star: DataFrame, found: DataFrame, sets: DataFra
         ),
         "mixed_blocks",
     )
+    # buckets of one block share calls of about ``together`` members; larger ones have calls of their own
+    calls = max(1, inside.where("blocks = 1").count() // sketch.together)
+    inside = inside.withColumn("call", F.when(F.col("blocks") > 1, F.col("bucket")).otherwise(F.pmod("bucket", F.lit(calls))))
     inside = inside.join(sets.select(F.col("id").alias("rep"), "bands", "packed"), "rep")
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    common = ("bucket", "band", "rep", "n", "g", "bands", "packed")
+    common = ("call", "blocks", "bucket", "band", "rep", "n", "g", "bands", "packed")
     odd = inside.where("odd").select(*common, F.col("block").alias("i"), F.explode(every).alias("j"))
     all_ = inside.select(*common, F.explode(every).alias("i"), F.col("block").alias("j"))
     all_ = all_.toDF(*all_.columns)  # fresh columns: both sides come from one table
@@ -325,7 +331,7 @@ def _across(members: DataFrame, star: DataFrame, found: DataFrame, sets: DataFra
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         return _linked(left, right, sketch)
 
-    keys = ("bucket", "i", "j")
+    keys = ("call", "blocks", "i", "j")
     return odd.groupBy(*keys).cogroup(all_.groupBy(*keys)).applyInPandas(search, "a long, b long").distinct()
 
 

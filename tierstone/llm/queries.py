@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, id_store, line_dedup, near_dups, packing, quality_lines
+from tierstone.llm import decontaminate, id_store, line_dedup, near_dups, packing, quality_lines, sharding
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -48,6 +48,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_matrix_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shuffle_into_shards(_table(spark, sf_dir, "documents"), shards=8)
+    text = F.coalesce("text", F.lit(""))
+    return placed.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        F.lit(sharding.LAW).alias("law"),
+        "_place.shard",
+        "_place.slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +74,7 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_id_store": op1_id_store,
     "op2_quality_lines": op2_quality_lines,
+    "op3_matrix_shuffle": op3_matrix_shuffle,
     "op6_decontaminate": op6_decontaminate,
     "op8_near_dups": op8_near_dups,
     "op9_pattern_packing": op9_pattern_packing,
