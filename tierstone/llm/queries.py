@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, id_store, line_dedup, near_dups, packing, quality_lines, sharding
+from tierstone.llm import decontaminate, id_store, line_dedup, nbsvm, near_dups, packing, quality_lines, sharding
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -66,6 +66,15 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
+    model = nbsvm.train(docs.join(labels, "doc_id"), "quality")
+    scored = docs.select("doc_id", held_out.alias("held_out"), nbsvm.score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
@@ -76,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_lines": op2_quality_lines,
     "op3_matrix_shuffle": op3_matrix_shuffle,
     "op6_decontaminate": op6_decontaminate,
+    "op7_nbsvm_quality": op7_nbsvm_quality,
     "op8_near_dups": op8_near_dups,
     "op9_pattern_packing": op9_pattern_packing,
     "op10_line_dedup": op10_line_dedup,
