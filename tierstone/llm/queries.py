@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, id_store, line_dedup, nbsvm, near_dups, packing, quality_lines, sharding
+from tierstone.llm import decontaminate, id_store, line_dedup, nbsvm, near_dups, packing, quality_lines, sharding, site_templates
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -62,6 +62,11 @@ def op3_matrix_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = site_templates.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("_main").alias("text"), F.length("_main").cast("long").alias("n_chars"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op1_id_store": op1_id_store,
     "op2_quality_lines": op2_quality_lines,
     "op3_matrix_shuffle": op3_matrix_shuffle,
+    "op4_site_templates": op4_site_templates,
     "op6_decontaminate": op6_decontaminate,
     "op7_nbsvm_quality": op7_nbsvm_quality,
     "op8_near_dups": op8_near_dups,
