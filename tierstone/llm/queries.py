@@ -12,7 +12,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, id_store, line_dedup, nbsvm, near_dups, packing, quality_lines, sharding, site_templates
+from tierstone.llm import decontaminate, id_store, line_dedup, nbsvm, near_dups, packing, quality_lines, sharding, site_templates, substring_dedup
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 
@@ -67,6 +67,18 @@ def op4_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", F.col("_main").alias("text"), F.length("_main").cast("long").alias("n_chars"))
 
 
+def op5_induced_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    kept = F.col("_repeats.kept")
+    return found.select(
+        "doc_id",
+        "_repeats.n_bytes",
+        (F.col("_repeats.n_bytes") - F.length(kept)).cast("long").alias("n_removed"),
+        F.size("_repeats.spans").cast("long").alias("n_spans"),
+        F.sha2(kept, 256).alias("kept_sha256"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -90,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_lines": op2_quality_lines,
     "op3_matrix_shuffle": op3_matrix_shuffle,
     "op4_site_templates": op4_site_templates,
+    "op5_induced_sort": op5_induced_sort,
     "op6_decontaminate": op6_decontaminate,
     "op7_nbsvm_quality": op7_nbsvm_quality,
     "op8_near_dups": op8_near_dups,
