@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 _WHITE = "\t-\r \x85\xa0  -     　"
 _PIECES = re.compile(f" [a-zA-Z]+(?![^{_WHITE},.])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 LONGEST_PIECE = 64
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_200_000
 _TOGETHER = 1024
 
 
