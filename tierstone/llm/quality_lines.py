@@ -97,7 +97,10 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
     the cleaning. Windows are compared by 64-bit hashes within one text.
     """
     own = [c for c in docs.columns if c != "_quality"]
-    df = docs.select(*[docs[f"`{c}`"] for c in own], F.coalesce(docs[f"`{text}`"], F.lit("")).alias("_t"))
+    # names of their own on the way, so that none of the input's can clash with the ones used here
+    given = [f"_given{i}" for i in range(len(own))]
+    df = docs.select(*[docs[f"`{c}`"].alias(g) for c, g in zip(own, given)])
+    df = df.withColumn("_t", F.coalesce(given[own.index(text)], F.lit("")))
     df = df.withColumn("_w", _words(F.col("_t"))).withColumn(
         "_lines", F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(NOT_SPACE))
     )
@@ -132,7 +135,7 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
         _repeat_words(F.col("_h"), F.col("_g"), F.col("_ranked"))
     )
     df = df.select(
-        *[df[f"`{c}`"] for c in own],
+        *given,
         F.size("_w").cast("long").alias("_n"),
         F.length(F.array_join("_w", "")).cast("long").alias("_chars"),
         _count(F.col("_t"), SYMBOLS).cast("long").alias("_symbols"),
@@ -157,7 +160,8 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
     )
     # through a generator of one row: a filter on the verdict must not be pushed below it, where
     # the rules' expressions would be put into each other and run once per element
-    return df.select(*[df[f"`{c}`"] for c in own], F.explode(F.array(measures)).alias("_quality"))
+    back = [F.col(g).alias(c) for c, g in zip(own, given)]
+    return df.select(*back, F.explode(F.array(measures)).alias("_quality"))
 
 
 def clean(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
