@@ -1,0 +1,136 @@
+"""Main text of pages, benchmark leaks and the quality classifier."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import frame
+from tierstone.llm import decontaminate, nbsvm, site_templates
+from tierstone.llm.site_templates import Page
+
+ITEM = "A train leaves Boston at 7 with Mary aboard and covers 120 km before it meets the slow train from Dover with John at the old bridge."
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("", ""),
+        ("plain  text &amp; more", "plain text & more"),
+        ("<p>a<b>b</b>c<p>d&#233;<br>e &am", "abc\ndé e &am"),
+        ("<script>var t='</p>';</script><p>x</p><!-- <p>no</p> --><style>p{}</style>", "x"),
+        ("<nav><ul><li>menu</ul></nav><div class='ad'>buy</div><article><h1>T</h1><p>one<p>two</article><footer>f</footer>", "T\none\ntwo"),
+        ("<header>site</header><main><header><h1>H</h1></header><p>m</p><aside>s</aside></main>tail", "m"),
+        ("<article><header><h1>H</h1></header><section class='reader-comments'><p>c</p></section>t</article>", "H\nt"),
+        ("<div id=sidebar>s</div><p title='a>b'>q</p><table><tr><td>1<td>2</table><p>z < 3 &lt;b&gt;", "q\n1\n2\nz < 3 <b>"),
+        ("<div role='dialog'>c</div><p hidden>h</p><p style='display: none'>n</p>left", "left"),
+        ("<article><p>cut off <b>he", "cut off he"),
+        ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a\nb\nc"),
+    ],
+)
+def test_main_text(html, text):
+    assert Page(html).main_text() == text
+
+
+def test_deep_and_broken_pages_end():
+    assert Page("<div>" * 5000 + "x" + "</b></p>" * 50).main_text() == "x"
+    assert Page("<p a='" * 2000).main_text() == ""
+    assert Page("<" * 5000).main_text() == "<" * 5000
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string, _row string, host string, subtree string")
+
+
+def test_templates_of_a_host_go(spark):
+    def page(i, host):
+        return (i, f"https://{host}/{i}", f"<body><div>Welcome to the site</div><p>Story {i}.</p><div>Call us</div></body>", "r", "h", "s")
+
+    rows = [page(i, "a.example.com") for i in range(30)] + [page(i, "b.example.com") for i in range(100, 103)]
+    rows += [(200, None, "<div>Welcome to the site</div>", "r", "h", "s"), (201, "https://a.example.com/x", None, "r", "h", "s"), (202, "not a url", "", "r", "h", "s")]
+    quoted = [(300 + i, f"https://q.example.com/{i}", f"<article><p>A passage that many quote.</p><p>Own {i}.</p></article>", "r", "h", "s") for i in range(18)]
+    for rows_broadcast in (10**6, 0):
+        out = site_templates.extract(_pages(spark, rows + quoted), site_templates.Template(broadcast_rows=rows_broadcast))
+        got = {r["page_id"]: r for r in out.collect()}
+        assert got[3]["_main"] == "Story 3." and got[100]["_main"] == "Welcome to the site\nStory 100.\nCall us"
+        assert got[200]["_main"] == "Welcome to the site" and got[201]["_main"] == got[202]["_main"] == ""
+        assert got[305]["_main"] == "A passage that many quote.\nOwn 5." and got[3]["_row"] == "r"
+    assert site_templates.extract(_pages(spark, [])).collect() == []
+
+
+def _benchmark(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def _leaks(spark, texts, items=((1, ITEM),), **options):
+    docs = frame(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)], clashes=True)
+    found = decontaminate.leaks(docs, _benchmark(spark, list(items)), decontaminate.Match(**options))
+    return sorted((r["doc_id"], r["item_id"], r["n_slots"]) for r in found.collect())
+
+
+def test_copies_and_changed_values_are_caught(spark):
+    changed = ITEM.replace("120 km", "350 miles").replace("Mary", "Lucy").replace("Boston", "Leeds").replace(" 7 ", " 9 ")
+    twisted = ITEM.replace("Mary aboard and covers 120 km", "Mary aboard and covers 7 km")  # 7 would stand for 7 and for 120
+    texts = [ITEM, f"Before.\n{ITEM.lower()} After.", changed, "Nothing of the kind is written here at all, not a single word of it.",
+             ITEM[:60], None, "", twisted, f"{ITEM} {ITEM}"]
+    got = _leaks(spark, texts)
+    print(got)
+    slots = {d: n for d, _, n in got}
+    assert slots[0] == 0 and slots[2] == 5 and 8 in slots
+    assert {3, 4, 5, 6}.isdisjoint(slots)
+
+
+def test_shuffled_joins_give_the_same(spark):
+    texts = [ITEM, "x " + ITEM, None]
+    items = [(1, ITEM), (2, ITEM.replace("120", "90")), (3, None), (4, "too short"), (1, ITEM)]
+    assert _leaks(spark, texts, items) == _leaks(spark, texts, items, broadcast_rows=-1)
+    assert {i for _, i, _ in _leaks(spark, texts, items)} == {1}
+
+
+def test_clean_keeps_other_documents(spark):
+    docs = frame(spark, [(1, ITEM, "en", "a", 1), (2, "Free of it.", "en", "a", 1), (None, None, None, None, None), (None, "x", None, None, None)], clashes=True)
+    kept = decontaminate.clean(docs, _benchmark(spark, [(1, ITEM)]))
+    assert kept.columns == docs.columns and sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 2]
+    assert decontaminate.clean(docs, _benchmark(spark, [])).count() == 4
+    assert decontaminate.leaks(frame(spark, []), _benchmark(spark, [(1, ITEM)])).collect() == []
+
+
+def _labelled(spark, n=160):
+    rows = []
+    for i in range(n):
+        good = f"This is text {i} with a plain sentence, and word{i * 7 % 31} comes after. It goes on."
+        bad = f"BUY!! NOW!! {i}!! CHEAP!! word{i % 13}!! OFFER!! END!!"
+        rows.append((i, good if i % 2 else bad, i % 2))
+    return spark.createDataFrame(rows, "doc_id long, text string, y int")
+
+
+def test_classifier_learns_and_scores_everything(spark):
+    model = nbsvm.train(_labelled(spark), "y")
+    docs = spark.createDataFrame([(1, "A new plain sentence, with words. It goes on."), (2, "SALE!! SALE!! TODAY!!"), (3, None), (4, "")], "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", nbsvm.score(docs, model).alias("s")).collect()}
+    assert got[1] > 0.8 > 0.2 > got[2] and got[3] == got[4] and all(0 <= x <= 1 for x in got.values())
+
+
+def test_classifier_without_two_classes(spark):
+    labelled = _labelled(spark, 20)
+    only = nbsvm.train(labelled.where("y = 1"), "y")
+    assert only.score(np.zeros(1, np.int64)) == pytest.approx(11 / 12)
+    none = nbsvm.train(labelled.where("y > 5").withColumn("y", F.lit(None).cast("int")), "y")
+    assert none.score(np.zeros(1, np.int64)) == pytest.approx(0.5)
+
+
+def test_dual_coordinate_descent_meets_the_optimality_conditions():
+    r = np.random.default_rng(8)
+    rows = [np.unique(r.integers(0, 40, 12)) for _ in range(80)]
+    values, truth = np.ones(40), r.normal(size=40)
+    y = np.array([1 if truth[x].sum() > 0 else -1 for x in rows])
+    fit = nbsvm.Fit(epochs=400)
+    w, bias = nbsvm.dual_coordinate_descent(rows, values, y, fit)
+
+    def objective(w, bias):
+        margins = np.array([w[x].sum() + bias for x in rows])
+        weight = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum()))
+        return 0.5 * (w @ w + bias * bias) + (weight * np.maximum(0, 1 - y * margins)).sum()
+
+    best = objective(w, bias)
+    for _ in range(300):
+        assert objective(w + 0.05 * r.normal(size=40), bias + 0.05 * r.normal()) >= best - 1e-6

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 LAW = "rows"
 ROWS_PER_CELL = 200_000
@@ -66,12 +67,34 @@ def _hypergeometric(random: np.random.Generator, good: int, bad: int, n: int) ->
         return 0
     if not bad:
         return min(good, n)
-    limit = 10**9 - 1  # what numpy draws from in one call; larger urns are split in two
-    if good <= limit and bad <= limit:
+    if max(good, bad) < 10**9:  # what numpy draws from
         return int(random.hypergeometric(good, bad, n))
-    g, b = good // 2, bad // 2
-    from_first = _hypergeometric(random, g + b, good + bad - g - b, n)
-    return _hypergeometric(random, g, b, from_first) + _hypergeometric(random, good - g, bad - b, n - from_first)
+    return _log_concave(random, good, bad, n)
+
+
+def _log_concave(random: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """The same draw for any size, by Devroye's rejection for log-concave laws: a flat top around
+    the mode with exponential tails lies above the probabilities."""
+
+    def choose(a: int, b: int) -> float:
+        return math.lgamma(a + 1) - math.lgamma(b + 1) - math.lgamma(a - b + 1)
+
+    def log_p(k: int) -> float:
+        return choose(good, k) + choose(bad, n - k) - choose(good + bad, n)
+
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(high, max(low, (good + 1) * (n + 1) // (good + bad + 2)))
+    at_mode = math.exp(log_p(mode))
+    flat = 1 + at_mode / 2
+    while True:
+        if random.random() <= flat / (1 + flat):
+            y, top = random.random() * flat / at_mode, 1.0
+        else:
+            e = random.exponential()
+            y, top = (flat + e) / at_mode, math.exp(-e)
+        k = mode + (1 if random.random() < 0.5 else -1) * round(y)
+        if low <= k <= high and random.random() * top <= math.exp(log_p(k)) / at_mode:
+            return k
 
 
 def _deal(batches: Iterator[pa.RecordBatch], plan: Draw) -> Iterator[pa.RecordBatch]:
@@ -117,7 +140,7 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 0) -> DataFram
         return df.withColumn("_cell", F.greatest(F.lit(0), F.least(F.lit(cells - 1), F.floor(position))).cast("int"))
 
     def dealt(df: DataFrame) -> DataFrame:
-        schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, _shard int, _order long"
+        schema = StructType([*df.schema, StructField("_shard", IntegerType()), StructField("_order", LongType())])
         return celled(df.mapInArrow(lambda batches: _deal(batches, plan), schema))
 
     light = dealt(docs.select(F.lit(1).cast("byte").alias("_one")))
