@@ -7,6 +7,8 @@ from tierstone.operators import dedupe_by_key
 from tierstone.plans import bronze_rows, ingest
 from tierstone.plans.fixed_values import CUSTOMER_KEYS, ORDERS
 from tierstone.sources import (
+    SchemaChanged,
+    count_lines,
     infer_schema,
     landing_inventory,
     lock_schema,
@@ -43,9 +45,23 @@ def test_quoted_empty_text_is_null(spark, csv):
 def test_reordered_header(spark, csv):
     path = csv("amount,order_id\n5,o1\n")
     schema = "order_id string, amount string"
-    assert rows(scan_csv(spark, path, schema)) == [("5", "o1")]
-    with pytest.raises(Exception, match="header does not conform"):
-        scan_csv(spark, path, schema, strict_header=True).collect()
+    assert rows(scan_csv(spark, path, schema, strict_header=False)) == [("5", "o1")]
+    with pytest.raises(SchemaChanged, match="amount"):
+        scan_csv(spark, path, schema)
+
+
+@pytest.mark.parametrize("second", ["amount,order_id\n5,o1\n", "order_id,amount,x\no1,5,7\n", "order_id\no1\n"])
+def test_later_files_with_another_header_fail(spark, tmp_path, second):
+    (tmp_path / "a.csv").write_text("order_id,amount\no1,5\n" * 1)
+    (tmp_path / "b.csv").write_text(second)
+    with pytest.raises(SchemaChanged):
+        ingest(spark, str(tmp_path / "*.csv"), str(tmp_path / "t"), "order_id string, amount string")
+
+
+def test_lines_are_counted_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n\n3,4\n")
+    (tmp_path / "b.csv").write_text("a,b\n")
+    assert count_lines(spark, str(tmp_path / "*.csv")) == 2
 
 
 def test_export_keeps_edge_spaces(spark, tmp_path):

@@ -1,5 +1,6 @@
 """The whole refresh on the 13 / 7 / 5-row sample, with every published result."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
 import pytest
@@ -9,7 +10,9 @@ from tierstone.__main__ import main
 from tierstone.plans import Landing, layer_audit, refresh, table_path
 from tierstone.plans.layers import UPSTREAM
 from tierstone.plans.sizing import shuffle_partitions, split_bytes, total_bytes
-from tierstone.sources import read_snapshot, snapshot_history
+from tierstone.plans import ingest
+from tierstone.plans.fixed_values import ORDERS as ORDER_COLUMNS
+from tierstone.sources import SchemaChanged, read_snapshot, snapshot_history
 
 ORDERS = """order_id,customer_id,product_id,quantity,order_date,status,amount
 1001,C001,P001,1,2024-01-10,completed,1500.0
@@ -89,11 +92,11 @@ def test_row_counts(table, name, count):
 def test_audit_matches_row_counts(spark, root):
     audit = {r["table"]: tuple(r)[1:] for r in layer_audit(spark, root).collect()}
     assert list(audit) == TABLES
-    assert audit["bronze_orders"] == ("bronze", 13, 13, 0)
-    assert audit["silver_orders"] == ("silver", 13, 11, 2)
-    assert audit["silver_customers"] == ("silver", 7, 7, 0)
-    assert audit["gold_enriched_orders"] == ("gold", 11, 8, 3)
-    assert audit["gold_top_customers"] == ("gold", 8, 5, 3)
+    assert audit["bronze_orders"] == ("bronze", None, 13, None, True, None)
+    assert audit["silver_orders"] == ("silver", 13, 11, 2, True, None)
+    assert audit["silver_customers"] == ("silver", 7, 7, 0, True, None)
+    assert audit["gold_enriched_orders"] == ("gold", 11, 8, 3, True, None)
+    assert audit["gold_top_customers"] == ("gold", 8, 5, 3, True, None)
 
 
 def test_bronze_keeps_rows_as_they_came(table):
@@ -241,3 +244,79 @@ def test_command_line(spark, landing, tmp_path, capsys, monkeypatch):
     main(arguments)
     printed = capsys.readouterr().out
     assert "gold_top_customers" in printed and "Alice Smith" in printed and "orders.csv" in printed
+
+
+def _files(folder, **texts):
+    folder.mkdir()
+    texts = {"orders": ORDERS, "customers": CUSTOMERS, "products": PRODUCTS} | texts
+    for name, text in texts.items():
+        (folder / f"{name}.csv").write_text(text)
+    return Landing(**{name: str(folder / f"{name}.csv") for name in texts})
+
+
+def _columns(text, order):
+    return "\n".join(",".join((line.split(",") + ["new"])[i] for i in order) for line in text.strip().split("\n")) + "\n"
+
+
+@pytest.mark.parametrize("entity, text", [("orders", ORDERS), ("customers", CUSTOMERS), ("products", PRODUCTS)])
+def test_changed_files_raise_and_come_in_when_asked_for(spark, tmp_path, entity, text):
+    n = text.split("\n")[0].count(",") + 1
+    tables = str(tmp_path / "tables")
+    refresh(spark, _files(tmp_path / "first"), tables, at=AT)
+    swapped = _columns(text, [1, 0, *range(2, n)])
+    for i, changed in enumerate((_columns(text, range(n + 1)), _columns(text, range(n - 1)), swapped)):
+        landing = _files(tmp_path / f"changed{i}", **{entity: changed})
+        with pytest.raises(SchemaChanged):
+            refresh(spark, landing, tables, at=AT)
+    refresh(spark, landing, tables, at=AT, overwrite_schema=True)
+    found = read_snapshot(spark, table_path(tables, f"bronze_{entity}"))
+    key = f"{entity[:-1]}_id"
+    assert {r[0] for r in found.select(key).collect()} == {x.split(",")[0] for x in text.strip().split("\n")[1:]}
+    assert found.columns[:2] == swapped.split("\n")[0].split(",")[:2]
+
+
+def test_audit_tells_lost_rows_and_mixed_refreshes(spark, landing, tmp_path):
+    root = str(tmp_path / "tables")
+    refresh(spark, landing, root, at=AT, count_source=True)
+    audit = {r["table"]: r for r in layer_audit(spark, root, read_back=True).collect()}
+    assert all(r["follows"] and r["rows_stored"] == r["rows_out"] for r in audit.values())
+    assert (audit["bronze_orders"]["rows_in"], audit["bronze_orders"]["rows_removed"]) == (13, 0)
+
+    # a quoted line feed swallows a row: the files have one line more than the table has rows
+    broken = ORDERS.replace("1004,C001", '"1004,C001').replace("600.0\n", '600.0"\n')
+    lost = _files(tmp_path / "lost", orders=broken)
+    refresh(spark, lost, root, at=AT, count_source=True)
+    audit = {r["table"]: r for r in layer_audit(spark, root).collect()}
+    stored = read_snapshot(spark, table_path(root, "bronze_orders"))
+    assert audit["bronze_orders"]["rows_in"] == 13 and audit["bronze_orders"]["rows_out"] == stored.count()
+
+    ingest(spark, landing.orders, table_path(root, "bronze_orders"), ORDER_COLUMNS, source_file="again")
+    audit = {r["table"]: r for r in layer_audit(spark, root).collect()}
+    assert not audit["silver_orders"]["follows"] and audit["silver_customers"]["follows"]
+    assert audit["silver_orders"]["rows_removed"] >= 0 and audit["bronze_orders"]["rows_in"] is None
+    part = next((tmp_path / "tables" / "gold_top_customers").glob("v=1-*/part-*.parquet"))
+    keep = spark.read.parquet(str(part)).limit(1).toPandas()
+    keep.to_parquet(part)
+    part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    audit = {r["table"]: r for r in layer_audit(spark, root, read_back=True).collect()}
+    assert audit["gold_top_customers"]["rows_stored"] < audit["gold_top_customers"]["rows_out"]
+
+
+def test_overlapping_refreshes_leave_the_settings_alone(spark, landing, tmp_path):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(n) for n in names]
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(refresh, spark, landing, str(tmp_path / f"t{i}"), at=AT) for i in range(2)]
+        assert all(r.result()["gold_top_customers"].num_rows == 5 for r in runs)
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    landing = _files(tmp_path / "bad", orders=ORDERS + "1013,C001,P001,many,2024-01-22,completed,5.0\n")
+    refresh(spark, landing, root, at=AT, corrupt_column="bad_line")
+    bronze = read_snapshot(spark, table_path(root, "bronze_orders"))
+    assert [r[0] for r in bronze.select("bad_line").where("bad_line is not null").collect()] == [
+        "1013,C001,P001,many,2024-01-22,completed,5.0"
+    ]
+    assert "bad_line" not in read_snapshot(spark, table_path(root, "silver_orders")).columns

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows
-from tierstone.operators import hot_keys, lookup_join
+from tierstone.operators import hot_key_rows, hot_keys, lookup_join
 from tierstone.plans import enrich_orders
 from tierstone.plans.fixed_values import ENRICHED
 
@@ -90,16 +90,38 @@ def test_hot_keys(spark):
     assert hot_keys(fact, "k", 1, limit=1) == ["hot"]
 
 
-def test_hot_and_missing_keys_skip_the_shuffle(spark):
-    fact, dim = skewed(spark), lookups(spark)
+def test_hot_and_missing_keys_are_dealt_to_several_tasks(spark, tmp_path):
+    skewed(spark).write.parquet(str(tmp_path / "fact"))
+    lookups(spark).write.parquet(str(tmp_path / "dim"))
+    fact, dim = (spark.read.parquet(str(tmp_path / t)) for t in ("fact", "dim"))
     want = rows(fact.join(dim, "k", "left"))
-    joined = lookup_join(fact, dim, "k", ["name"], broadcast="never", min_hot_rows=10_000)
+    assert hot_key_rows(fact, ["k", "id"], 4_000) == {"k": {"hot": 18_000, None: 6_000}, "id": {}}
+    joined = lookup_join(fact, dim, "k", ["name"], broadcast="never", min_hot_rows=4_000)
     assert rows(joined) == want
-    shown = plan(joined)
-    assert "SortMergeJoin" in shown and "BroadcastHashJoin" in shown and "Union" in shown
-    # The branch that shuffles holds neither the hot key's rows nor those without key.
-    cold = fact.filter("k is not null and k <> 'hot'").count()
-    assert cold < fact.count() * 2 / 3
+    tree = plan(joined).split("\n\n")[0].split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in tree and "BroadcastHashJoin" not in tree and "Union" not in tree
+    assert tree.count("Scan parquet") == 2  # the facts once, the lookup once
+    few = lookup_join(fact, dim, "k", ["name"], broadcast="never", hot={"hot": 18_000, None: 6_000}, min_hot_rows=4_000)
+    assert rows(few) == want
+
+
+def test_star_join_beyond_the_bound_scans_the_orders_once(spark, tmp_path):
+    n = F.col("id")
+    orders = spark.range(4_000, numPartitions=4).select(
+        n.cast("string").alias("order_id"), F.when(n % 7 > 0, (n % 5).cast("string")).alias("customer_id"),
+        F.when(n % 3 > 0, (n % 11).cast("string")).alias("product_id"), F.lit(1).alias("quantity"),
+        F.lit("completed").alias("status"), F.lit(1.0).alias("amount"), F.lit("clean").alias("data_quality_flag"),
+        F.lit("2024-01-01").alias("order_date"),
+    )
+    orders.write.parquet(str(tmp_path / "orders"))
+    orders = spark.read.parquet(str(tmp_path / "orders"))
+    people = spark.range(4).selectExpr("cast(id as string) customer_id", "concat('c', id) customer_name", "'x' city")
+    goods = spark.range(9).selectExpr("cast(id as string) product_id", "concat('p', id) product_name", "'y' category")
+    found = enrich_orders(orders, people, goods, broadcast="never", min_hot_rows=300).drop("updated_timestamp")
+    plain = enrich_orders(orders, people, goods).drop("updated_timestamp")
+    assert rows(found) == rows(plain)
+    initial = plan(found).split("\n\n")[0].split("== Initial Plan ==")[0]
+    assert initial.count("Scan parquet") == 1 and initial.count("SortMergeJoin") == 2
 
 
 def test_hot_lookup_rows_beyond_the_bound_stay_in_the_shuffle_join(spark):

@@ -1,10 +1,14 @@
 import math
 import random
+from datetime import date, datetime, timedelta
+from unittest import mock
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows
+from tierstone.operators import ranking
 from tierstone.operators import customer_spend, dense_rank_global, sales_by, top_ranked
 from tierstone.plans import top_customers
 
@@ -77,9 +81,52 @@ def test_wide_integers_that_share_a_double(spark):
     assert ranked(spark, values, "bigint", buckets=6) == brute_force(values)
 
 
-def test_text_cannot_be_range_split(spark):
-    with pytest.raises(TypeError):
-        ranked(spark, ["a"], "string", buckets=2)
+TYPED = {
+    "string": ["Customer#" + str(i % 40) for i in range(120)] + ["Customer#7"] * 60 + ["", "é", None],
+    "date": [date(2024, 1, 1) + timedelta(i % 50) for i in range(150)] + [None],
+    "timestamp": [datetime(2024, 1, 1) + timedelta(microseconds=i % 70) for i in range(150)] + [None],
+    "boolean": [True, False, None, True],
+    "double": [float("nan"), float("inf"), -0.0, 0.0, 1.5, None] * 9 + [3.0] * 40,
+    "binary": [bytes([i % 9]) for i in range(60)] + [None],
+    "struct<a:int,b:string>": [(i % 4, str(i % 3)) for i in range(60)] + [None],
+}
+
+
+@pytest.mark.parametrize("spark_type", TYPED)
+def test_every_type_ranks_alike_at_any_size(spark, spark_type):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(TYPED[spark_type])], f"i int, v {spark_type}")
+    small = rows(dense_rank_global(df, "v").select("i", "rank"))
+    assert rows(dense_rank_global(df, "v", single_task_rows=1).select("i", "rank")) == small
+    assert rows(dense_rank_global(df, "v", buckets=4).select("i", "rank")) == small
+    kept = [r for r in small if r[1] <= 3]
+    for limit in (ranking.MAX_BROADCAST_K, 2):
+        with mock.patch.object(ranking, "MAX_BROADCAST_K", limit):
+            assert rows(top_ranked(df, "v", 3).select("i", "rank")) == kept
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_a_column_named_like_the_rank_is_replaced(spark, buckets):
+    df = spark.createDataFrame([(1.0, "x", 9), (2.0, "y", 9)], "v double, t string, rank int")
+    found = dense_rank_global(df, "v", buckets=buckets)
+    assert found.columns == ["v", "t", "rank"] and rows(found) == [(1.0, "x", 2), (2.0, "y", 1)]
+    assert rows(top_ranked(df, "v", 1)) == [(2.0, "y", 1)]
+
+
+def test_values_that_cannot_be_sorted_fail_at_any_size(spark):
+    df = spark.range(3).select(F.create_map(F.lit(1), "id").alias("v"))
+    for buckets in (None, 2):
+        with pytest.raises(AnalysisException):
+            dense_rank_global(df, "v", buckets=buckets).collect()
+    with pytest.raises(ValueError, match="buckets"):
+        dense_rank_global(spark.range(3), "id", buckets=10**9)
+
+
+@pytest.mark.parametrize("buckets", [64, 512])
+def test_no_task_holds_two_ranges(spark, buckets):
+    values = spark.range(5_000).select((F.col("id") % 700).alias("v")).distinct()
+    dealt = values.repartitionByRange(buckets, F.desc("v")).groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min("v").alias("a"), F.max("v").alias("b")).orderBy("a").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(dealt, dealt[1:])) and len(dealt) > buckets / 2
 
 
 def test_no_task_sees_the_whole_table(spark):

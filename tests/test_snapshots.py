@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
+from tierstone.sources import snapshots
 from tierstone.sources import (
+    ConflictingVersions,
     SchemaChanged,
     VersionNotFound,
     latest_commit,
@@ -159,4 +161,21 @@ def test_cluster_without_a_shared_folder_is_refused():
         scratch_path(session(**{master: "yarn"}), "x")
     on_cluster = scratch_path(session(**{master: "yarn", shared: "hdfs:///shared/"}), "x")
     assert on_cluster.startswith("hdfs:///shared/tierstone/x-")
-    assert scratch_path(session(**{master: "local[2]"}), "x").startswith(tempfile.gettempdir())
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session(**{master: "yarn", shared: "file:///tmp/mine"}), "x")
+    local = session(**{master: "local[2]", "spark.sql.warehouse.dir": "file:/warehouse"})
+    assert scratch_path(local, "x").startswith("file:/warehouse/scratch/tierstone/x-")
+
+
+def test_a_version_committed_twice_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_snapshot(spark.range(2).toDF("n"), path)
+    commit = latest_commit(spark, path)
+    write_snapshot(spark.range(3).toDF("n"), path)
+    # another writer that had read the same history
+    line = spark.read.schema(snapshots._HISTORY).json(f"{path}/history").where("version = 1")
+    line.write.mode("append").json(f"{path}/history")
+    for use in (lambda: read_snapshot(spark, path), lambda: write_snapshot(spark.range(1).toDF("n"), path)):
+        with pytest.raises(ConflictingVersions):
+            use()
+    assert rows(read_snapshot(spark, path, version_as_of=0)) == [(0,), (1,)] and commit.version == 0

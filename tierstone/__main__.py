@@ -28,6 +28,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
         parser.add_argument(f"--{name}", required=True, nargs="+", help="CSV files or folders")
     parser.add_argument("--root", required=True, help="folder of the tables")
     parser.add_argument("--flag-mode", choices=("post_fill", "pre_fill"), default="post_fill")
+    parser.add_argument("--overwrite-schema", action="store_true", help="take changed columns")
+    parser.add_argument("--any-header", action="store_true", help="read by position, unchecked")
+    parser.add_argument("--corrupt-column", help="keep malformed lines in this bronze column")
+    parser.add_argument("--verify", action="store_true", help="count source lines and stored rows")
     parser.add_argument("--preview", type=int, default=20, help="rows to show per report")
     options = parser.parse_args(arguments)
 
@@ -37,9 +41,18 @@ def main(arguments: Sequence[str] | None = None) -> None:
     landing_inventory(spark, files).show(options.preview, truncate=False)
 
     landing = Landing(options.orders, options.customers, options.products)
-    commits = refresh(spark, landing, options.root, flag_mode=options.flag_mode)
+    commits = refresh(
+        spark,
+        landing,
+        options.root,
+        flag_mode=options.flag_mode,
+        overwrite_schema=options.overwrite_schema,
+        strict_header=not options.any_header,
+        corrupt_column=options.corrupt_column,
+        count_source=options.verify,
+    )
 
-    layer_audit(spark, options.root).show(truncate=False)
+    layer_audit(spark, options.root, read_back=options.verify).show(truncate=False)
     for table, (column, highest_first) in _REPORTS.items():
         print(table)
         snapshot_history(spark, table_path(options.root, table)).show(3, truncate=False)

@@ -1,5 +1,4 @@
 from tierstone.functions.columns import (
-    ISO_DAY,
     as_type,
     audit_time,
     issue_label,
@@ -9,6 +8,7 @@ from tierstone.functions.columns import (
     proper_case,
     row_bytes,
 )
+from tierstone.functions.fixed_values import ISO_DAY
 
 __all__ = [
     "ISO_DAY",

@@ -9,8 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the day format raw files use.
-ISO_DAY = "yyyy-MM-dd"
+from tierstone.functions.fixed_values import CLEAN, FLAG_SEPARATOR, ISO_DAY
 
 _PLAIN_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
@@ -52,7 +51,7 @@ def audit_time(moment: datetime | None = None) -> Column:
     return F.current_timestamp() if moment is None else F.lit(moment).cast("timestamp")
 
 
-def issue_label(rules: Mapping[str, Column], clean: str = "clean", sep: str = "&") -> Column:
+def issue_label(rules: Mapping[str, Column], clean: str = CLEAN, sep: str = FLAG_SEPARATOR) -> Column:
     """Names of all rules that hold, joined by ``sep``; ``clean`` when none does.
 
     A rule that evaluates to null counts as not holding.

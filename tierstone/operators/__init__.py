@@ -1,4 +1,11 @@
-from tierstone.operators.lookup import completed_only, hot_keys, in_memory_bytes, lookup_join
+from tierstone.operators.lookup import (
+    completed_only,
+    fits_broadcast,
+    hot_key_rows,
+    hot_keys,
+    in_memory_bytes,
+    lookup_join,
+)
 from tierstone.operators.metrics import customer_spend, sales_by
 from tierstone.operators.quality import (
     dedupe_by_key,
@@ -14,7 +21,9 @@ __all__ = [
     "dedupe_by_key",
     "dense_rank_global",
     "fill_defaults",
+    "fits_broadcast",
     "flag_quality",
+    "hot_key_rows",
     "hot_keys",
     "in_memory_bytes",
     "lookup_join",

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierstone.functions import row_bytes
+from tierstone.functions import named, row_bytes
+from tierstone.functions.fixed_values import COMPLETED
 
 # A dimension is copied to every executor only up to this measured size.
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-# Keys above this many rows are joined apart from the shuffle. At most MAX_HOT_KEYS are
-# taken, heaviest first; every other key goes through the ordinary shuffle join.
+# Keys above this many rows are dealt to several tasks. At most MAX_HOT_KEYS are, heaviest
+# first: a key beyond has fewer rows than the 10,000th, which AQE splits if it must.
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
+# Tasks that the rows of one key, or rows without a key, are dealt to at most.
+MAX_SPLITS = 4_096
 
+_SALT = "__salt"
 
-def completed_only(df: DataFrame, status: str = "completed", column: str = "status") -> DataFrame:
+
+def completed_only(df: DataFrame, status: str = COMPLETED, column: str = "status") -> DataFrame:
     """Rows whose status equals ``status`` exactly; null is dropped."""
     return df.filter(F.col(column) == status)
 
@@ -31,28 +36,69 @@ def in_memory_bytes(df: DataFrame) -> int | None:
     return size if rows else 0
 
 
-def _fits(df: DataFrame, max_bytes: int) -> bool:
-    size = in_memory_bytes(df)
-    return size is not None and size <= max_bytes
+def fits_broadcast(
+    dim: DataFrame,
+    dim_bytes: int | None = None,
+    *,
+    broadcast: str = "auto",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    **_,
+) -> bool:
+    """Whether a dimension may be copied to every executor; measured unless ``dim_bytes``, an
+    upper bound, already settles it."""
+    if broadcast != "auto":
+        return broadcast == "measured"
+    if dim_bytes is None or dim_bytes > max_broadcast_bytes:
+        dim_bytes = in_memory_bytes(dim)
+    return dim_bytes is not None and dim_bytes <= max_broadcast_bytes
+
+
+def hot_key_rows(
+    df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS
+) -> dict[str, dict]:
+    """Per key column: its heaviest values of at least ``min_rows`` rows and how many, null included.
+
+    All columns are counted in one pass. Counting is pre-aggregated per map task and the
+    answer is at most ``limit`` values a column, so neither a reducer nor the driver sees more.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    columns = df.select(*[named(k).alias(n) for k, n in zip(keys, names)])
+    counted = columns.groupingSets([[n] for n in names], *names).agg(
+        F.count(F.lit(1)).alias("n"), F.grouping_id().alias("set")
+    )
+    # what is left is few: no more values than rows divided by ``min_rows``
+    place = F.row_number().over(Window.partitionBy("set").orderBy(F.desc("n"), *names))
+    heaviest = counted.filter(F.col("n") >= min_rows).withColumn("place", place)
+    found: dict[str, dict] = {k: {} for k in keys}
+    for row in heaviest.filter(F.col("place") <= limit).orderBy("set", "place").collect():
+        # a set's bit is 0 for the column that it groups by
+        at = next(i for i in range(len(keys)) if not row["set"] >> (len(keys) - 1 - i) & 1)
+        found[keys[at]][row[names[at]]] = row["n"]
+    return found
 
 
 def hot_keys(
     df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS
 ) -> list:
-    """The heaviest key values with at least ``min_rows`` rows, null excluded.
-
-    Counting is pre-aggregated per map task and the answer is at most ``limit`` values,
-    so neither a reducer nor the driver sees more than that.
-    """
-    heavy = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_rows)
-        .orderBy(F.desc("n"))
-        .limit(limit)
-    )
-    return [row[0] for row in heavy.select(key).collect()]
+    """The heaviest key values with at least ``min_rows`` rows, null excluded."""
+    return [k for k in hot_key_rows(df, [key], min_rows, limit + 1)[key] if k is not None][:limit]
+
+
+def _splits(key: Column, rows_of: Mapping, min_rows: int) -> Column:
+    """How many tasks the rows of ``key`` are dealt to; 1 if it is not hot."""
+    by_splits: dict[int, list] = {}
+    for value, n in rows_of.items():
+        # powers of two, so that the expression has few branches
+        wanted = 1 << max(1, min(MAX_SPLITS, -(-n // min_rows)) - 1).bit_length()
+        by_splits.setdefault(wanted, []).append(value)
+    splits = F.lit(1)
+    for wanted, values in by_splits.items():
+        present = [v for v in values if v is not None]
+        here = key.isin(present) if present else F.lit(False)
+        if len(present) < len(values):
+            here = here | key.isNull()
+        splits = F.when(here, wanted).otherwise(splits)
+    return splits
 
 
 def _reject_duplicates(dim: DataFrame, key: str) -> None:
@@ -78,7 +124,7 @@ def lookup_join(
     dim_bytes: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     min_hot_rows: int = HOT_KEY_ROWS,
-    count_keys_in: DataFrame | None = None,
+    hot: Mapping | None = None,
     require_unique: bool = False,
 ) -> DataFrame:
     """Left lookup: every fact row is kept, with ``columns`` of the matching ``dim`` rows.
@@ -90,41 +136,31 @@ def lookup_join(
     ``broadcast="auto"`` copies the dimension to the executors when it is at most
     ``max_broadcast_bytes``: the fact table is then not shuffled at all. The size is
     measured on the pruned rows, unless an upper bound from :func:`in_memory_bytes` or the
-    table's commit record is given as ``dim_bytes`` and already settles it. Beyond that, or with ``broadcast="never"``, both sides shuffle on the key, except that
-
-    * fact rows with a null key cannot match and skip the shuffle, and
-    * fact rows of hot keys stay where they are and are joined to a broadcast of just those
-      keys' dimension rows (bounded and measured again), so no reduce task receives a
-      hot key's rows.
-
-    The shuffle path reads ``fact`` more than once; give it a table-backed frame. When
-    ``fact`` is itself a join, name the table its keys come from as ``count_keys_in``, so
-    that counting keys does not run that join.
+    table's commit record is given as ``dim_bytes`` and already settles it. Beyond that, or
+    with ``broadcast="never"`` (``"measured"``: the caller found it to fit), both sides shuffle on the key in one join: rows of hot keys,
+    and rows without a key if they are many, are dealt to several tasks, and the lookup's rows
+    of those keys alone are copied to each. Hot keys are counted in ``fact`` first; when that
+    is itself a join, count them in the table that they come from with :func:`hot_key_rows`
+    and pass them as ``hot``.
     """
-    if broadcast not in ("auto", "never"):
-        raise ValueError(f"broadcast must be 'auto' or 'never', not {broadcast!r}")
+    if broadcast not in ("auto", "never", "measured"):
+        raise ValueError(f"broadcast must be 'auto', 'never' or 'measured', not {broadcast!r}")
     clash = set(columns) & set(fact.columns)
     if clash:
         raise ValueError(f"both sides have {sorted(clash)}; rename or drop one of them")
     lookup = dim.select(key, *columns)
     if require_unique:
         _reject_duplicates(lookup, key)
-    small = broadcast == "auto" and (
-        (dim_bytes is not None and dim_bytes <= max_broadcast_bytes)
-        or _fits(lookup, max_broadcast_bytes)
-    )
-    if small:
+    if fits_broadcast(lookup, dim_bytes, broadcast=broadcast, max_broadcast_bytes=max_broadcast_bytes):
         return fact.join(F.broadcast(lookup), key, "left")
 
-    hot = hot_keys(fact if count_keys_in is None else count_keys_in, key, min_hot_rows)
-    apart = F.col(key).isNull()
-    hot_lookup = lookup.filter(F.lit(False))
-    if hot:
-        candidate = lookup.filter(F.col(key).isin(hot))
-        if _fits(candidate, max_broadcast_bytes):
-            hot_lookup, apart = candidate, apart | F.col(key).isin(hot)
-        # else: the hot keys repeat so often in the lookup that their rows are no small
-        # table; they stay in the shuffle join, where AQE splits skewed partitions.
-    shuffled = fact.filter(~apart).join(lookup.hint("merge"), key, "left")
-    local = fact.filter(apart).join(F.broadcast(hot_lookup), key, "left")
-    return shuffled.unionByName(local)
+    if hot is None:
+        hot = hot_key_rows(fact, [key], min_hot_rows)[key]
+    if not hot:
+        return fact.join(lookup.hint("merge"), key, "left")
+    splits = _splits(named(key), hot, min_hot_rows)
+    dealt = fact.withColumn(_SALT, F.pmod(F.monotonically_increasing_id(), splits.cast("long")).cast("int"))
+    copies = lookup.filter(named(key).isNotNull()).withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), splits - 1))
+    )
+    return dealt.join(copies.hint("merge"), [key, _SALT], "left").drop(_SALT)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstone.functions import issue_label, named
+from tierstone.functions.fixed_values import CLEAN
 
 # Columns that change on every run and so must never decide which copy survives.
 AUDIT_TIMES = ("ingestion_timestamp", "updated_timestamp")
@@ -98,7 +99,7 @@ def flag_quality(
     df: DataFrame,
     rules: Mapping[str, Column],
     out: str = "data_quality_flag",
-    clean: str = "clean",
+    clean: str = CLEAN,
 ) -> DataFrame:
     """Add ``out``: the names of the rules that hold for the row, or ``clean``."""
     return df.withColumn(out, issue_label(rules, clean))

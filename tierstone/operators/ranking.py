@@ -2,37 +2,29 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import pairwise
-from math import inf, isinf
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tierstone.operators.lookup import lookup_join
+from tierstone.sources import stage
 
 # Up to this many rows a plain window in one task is the cheapest correct plan.
 SINGLE_TASK_ROWS = 100_000
-# Rows a ranking task should sort.
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 2_048
+# Distinct values a ranking task should sort.
+VALUES_PER_RANGE = 1_000_000
+# Ranges a caller may ask for: the driver holds one number for each.
+MAX_RANGES = 100_000
 # Largest k whose k values are broadcast back to the table.
 MAX_BROADCAST_K = 100_000
 
-_VALUE, _BUCKET = "__rank_value", "__rank_bucket"
+_VALUE, _PLACE = "__rank_value", "__rank_place"
+# monotonically_increasing_id(): the partition above this bit, the row in it below.
+_ROW_BITS = 33
 
 
-def _single_valued(cuts: list[float], dtype: T.DataType) -> list[float]:
-    """Repeated cuts that stand for exactly one value of the ranked column.
-
-    Wide integers and decimals can share a double, so those stay with the window.
-    """
-    repeated = {a for a, b in pairwise(cuts) if a == b and not isinf(a)}
-    if isinstance(dtype, T.LongType):
-        repeated = {v for v in repeated if abs(v) < 2**53}
-    elif isinstance(dtype, T.DecimalType) and dtype.precision > 15:
-        repeated = set()
-    return sorted(repeated)
+def _without(df: DataFrame, out: str) -> DataFrame:
+    """The frame without a column that ``out`` is to replace."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != out.lower()])
 
 
 def dense_rank_global(
@@ -45,64 +37,50 @@ def dense_rank_global(
 ) -> DataFrame:
     """Add the dense rank of ``by`` over the whole frame, highest first, nulls last.
 
-    ``df`` is read several times and must give the same rows each time: pass a stored
-    table, not an aggregate over doubles. Small frames use the plain window. Larger ones
-    (or any frame when ``buckets`` is given):
-
-    1. approximate quantiles give bucket bounds. They only steer the load; the ranks are
-       exact for any bounds;
-    2. distinct values are counted per bucket (one row per bucket reaches the driver) and
-       added up into the number of distinct values above each bucket;
-    3. each bucket is ranked by its own window and shifted by that number.
+    Any type that Spark can sort is ranked, at any size. ``df`` is read several times and must
+    give the same rows each time: pass a stored table, not an aggregate over doubles. A column
+    named ``out`` is replaced. Small frames use the plain window. Larger ones (or any frame
+    when ``buckets`` is given):
 
-    A value so frequent that it fills whole quantiles shows up as a repeated bound. Its
-    rank follows from the counts alone, so its rows skip the shuffle and the window.
+    1. the distinct values, one row each however often they occur, are sorted into ranges,
+       one range a task, and written with their place;
+    2. the ranges' sizes (one number each reaches the driver) make the place a rank;
+    3. rows look their rank up by value: broadcast if the values are measured to be few, else
+       joined with frequent values dealt to several tasks.
     """
-    rows, valued_rows = df.agg(F.count(F.lit(1)), F.count(by)).first()
+    rows = df.count()
     if buckets is None and rows <= single_task_rows:
-        return df.withColumn(out, F.dense_rank().over(Window.orderBy(F.desc_nulls_last(by))))
-    dtype = df.schema[by].dataType
-    if not isinstance(dtype, T.NumericType):
-        raise TypeError(f"cannot range-split {by!r} of type {dtype.simpleString()}")
-    buckets = buckets or min(MAX_BUCKETS, max(2, -(-rows // ROWS_PER_BUCKET)))
-
-    # Adding zero makes -0.0 equal 0.0 for the binary search below, as it is in Spark.
-    valued = df.filter(F.col(by).isNotNull()).withColumn(
-        _VALUE, F.col(by).cast("double") + F.lit(0.0)
-    )
-    points = [i / buckets for i in range(1, buckets)]
-    cuts = valued.approxQuantile(_VALUE, points, 1 / (2 * buckets)) if points else []
-    splits = [-inf, *(sorted({c for c in cuts if not isinf(c)}) or [0.0]), inf]
-    # Buckets are [low, high), numbered upwards; NaN sorts highest and gets a last one.
-    bucketed = Bucketizer(
-        splits=splits, inputCol=_VALUE, outputCol=_BUCKET, handleInvalid="keep"
-    ).transform(valued)
-    bucketed = bucketed.withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
-
-    counts = bucketed.groupBy(_BUCKET).agg(F.count_distinct(by).alias("n")).collect()
-    distinct = {r[_BUCKET]: r["n"] for r in counts}
-    # from_top[b]: number of distinct values in bucket b and all higher ones.
-    from_top = [0] * (len(splits) + 1)
-    for b in reversed(range(len(splits))):
-        from_top[b] = from_top[b + 1] + distinct.get(b, 0)
-
-    def lookup(numbers: list[int]):
-        return F.element_at(F.array(*map(F.lit, numbers)), F.col(_BUCKET) + 1)
-
-    # A cut is the lowest value of its bucket, and NaN the only one of its own, so the
-    # rank of either is the number of distinct values from its bucket upwards.
-    closes_bucket = F.isnan(_VALUE) | F.col(_VALUE).isin(_single_valued(cuts, dtype))
-    local = F.dense_rank().over(Window.partitionBy(_BUCKET).orderBy(F.desc(by)))
-    parts = [
-        bucketed.filter(~closes_bucket).withColumn(out, local + lookup(from_top[1:])),
-        bucketed.filter(closes_bucket).withColumn(out, lookup(from_top[:-1])),
-    ]
-    if valued_rows < rows:
-        parts.append(df.filter(F.col(by).isNull()).withColumn(out, F.lit(from_top[0] + 1)))
-    return reduce(
-        DataFrame.unionByName,
-        [p.select(*df.columns, F.col(out).cast("int").alias(out)) for p in parts],
+        rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_last(by)))
+        ranked = df.withColumn("__rank", rank)
+        return _without(ranked, out).withColumnRenamed("__rank", out)
+    ranges = buckets or max(2, -(-rows // VALUES_PER_RANGE))
+    if not 1 <= ranges <= MAX_RANGES:
+        raise ValueError(f"buckets must be 1 to {MAX_RANGES}, not {ranges}")
+
+    values = df.filter(F.col(by).isNotNull()).select(F.col(by).alias(_VALUE)).distinct()
+    places = stage(
+        values.repartitionByRange(ranges, F.desc(_VALUE))
+        .sortWithinPartitions(F.desc(_VALUE))
+        .withColumn(_PLACE, F.monotonically_increasing_id()),
+        "rank-values",
     )
+    range_of = F.shiftright(_PLACE, _ROW_BITS)
+    counts = places.groupBy(range_of.alias("r")).agg(F.count(F.lit(1)).alias("n")).collect()
+    sizes = {r["r"]: r["n"] for r in counts}
+    above, total = [], 0
+    for r in range(max(sizes, default=-1) + 1):
+        above.append(total)
+        total += sizes.get(r, 0)
+    in_range = F.col(_PLACE).bitwiseAND((1 << _ROW_BITS) - 1) + 1
+
+    def before(column: Column) -> Column:
+        return F.element_at(F.array(*map(F.lit, above or [0])), column.cast("int") + 1)
+
+    ranks = places.select(F.col(_VALUE).alias(by), (before(range_of) + in_range).cast("int").alias("__rank"))
+    order = [c for c in df.columns if c.lower() != out.lower()]
+    found = lookup_join(df.select(*[F.col(f"`{c}`") for c in df.columns]), ranks, by, ["__rank"])
+    rank = F.coalesce("__rank", F.lit(total + 1)).cast("int")
+    return found.select(*[F.col(f"`{c}`") for c in order], rank.alias(out))
 
 
 def top_ranked(df: DataFrame, by: str, k: int, out: str = "rank") -> DataFrame:
@@ -110,12 +88,13 @@ def top_ranked(df: DataFrame, by: str, k: int, out: str = "rank") -> DataFrame:
 
     The k highest distinct values are a top-k over pre-aggregated values (at most k rows
     leave each task). They come back as a lookup of k rows, so no row of the table is
-    shuffled, however many rows tie. ``df`` is read twice; pass a stored table.
+    shuffled, however many rows tie. Beyond ``MAX_BROADCAST_K`` values the whole frame is
+    ranked. ``df`` is read twice; pass a stored table. A column named ``out`` is replaced.
     """
     if k > MAX_BROADCAST_K:
         return dense_rank_global(df, by, out).filter(F.col(out) <= k)
     best = df.select(F.col(by).alias(_VALUE)).distinct().orderBy(F.desc_nulls_last(_VALUE)).limit(k)
-    ranks = best.select(
-        _VALUE, F.dense_rank().over(Window.orderBy(F.desc_nulls_last(_VALUE))).alias(out)
-    )
-    return df.join(F.broadcast(ranks), F.col(by).eqNullSafe(F.col(_VALUE))).drop(_VALUE)
+    rank = F.dense_rank().over(Window.orderBy(F.desc_nulls_last(_VALUE)))
+    ranks = best.select(_VALUE, rank.alias("__rank"))
+    found = df.join(F.broadcast(ranks), F.col(by).eqNullSafe(F.col(_VALUE))).drop(_VALUE)
+    return _without(found, out).withColumnRenamed("__rank", out)

@@ -5,10 +5,21 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tierstone.sources import Commit, lock_schema, scan_csv, with_ingest_audit, write_snapshot
+from tierstone.sources import (
+    Commit,
+    SchemaChanged,
+    count_lines,
+    lock_schema,
+    scan_csv,
+    schema_by_header,
+    with_ingest_audit,
+    write_snapshot,
+)
 
 
 def bronze_rows(
@@ -22,7 +33,7 @@ def bronze_rows(
     sampling_ratio: float = 1.0,
     source_file: str | None = None,
     ingested_at: datetime | None = None,
-    strict_header: bool = False,
+    strict_header: bool = True,
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """The files' rows under a declared ``schema``, or one locked at ``lock_path``."""
@@ -51,17 +62,32 @@ def ingest(
     *,
     overwrite_schema: bool = False,
     committed_at: datetime | None = None,
+    count_source: bool = False,
     **options,
 ) -> Commit:
     """Replace bronze ``table`` by the files' rows: one pass over the files, no shuffle.
 
-    Without ``schema`` it is inferred once and locked next to the table's data;
-    ``overwrite_schema`` infers it again. ``options`` are those of :func:`bronze_rows`.
+    Without ``schema`` it is inferred once and locked next to the table's data. Files whose
+    header differs from the schema raise :class:`SchemaChanged`. ``overwrite_schema`` takes the
+    files' columns as they are: a declared schema is put in their order, a locked one inferred
+    again. ``count_source`` counts the files' lines in a pass of its own, for the audit.
+    ``options`` are those of :func:`bronze_rows`.
     """
     if schema is None:
         options.setdefault("lock_path", f"{table}/schema_lock")
         options.setdefault("renew_lock", overwrite_schema)
+    elif overwrite_schema and options.get("strict_header", True):
+        schema = schema_by_header(spark, files, schema)
     rows = bronze_rows(spark, files, schema, **options)
-    return write_snapshot(
-        rows, table, overwrite_schema=overwrite_schema, committed_at=committed_at
-    )
+    try:
+        return write_snapshot(
+            rows,
+            table,
+            overwrite_schema=overwrite_schema,
+            committed_at=committed_at,
+            upstream_rows=count_lines(spark, files) if count_source else None,
+        )
+    except (PySparkException, Py4JJavaError) as e:
+        if "CSV header" in str(e):  # of a file after the first, found by the task that reads it
+            raise SchemaChanged(f"{files}: files differ in their columns") from e
+        raise

@@ -1,4 +1,7 @@
-"""Fixed values of the data contract: they must be exactly these for right results."""
+"""Fixed values of the data contract: they must be exactly these for right results.
+
+Those that column expressions need are in ``tierstone.functions.fixed_values``.
+"""
 
 # Raw file columns, in file order. Keys are text; the order day stays text until silver.
 ORDERS = (
@@ -17,7 +20,8 @@ ORDER_KEY = ["order_id"]
 CRITICAL = ["customer_id", "product_id"]
 UNKNOWN_STATUS = "unknown"
 NO_AMOUNT = 0.0
-COMPLETED = "completed"
+MISSING_AMOUNT = "missing_amount"
+MISSING_STATUS = "missing_status"
 
 # Columns of the enriched order table, in order.
 ENRICHED = [

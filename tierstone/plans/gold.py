@@ -11,14 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierstone.functions import audit_time
+from tierstone.functions.fixed_values import COMPLETED
 from tierstone.operators import (
     completed_only,
     customer_spend,
     dense_rank_global,
+    fits_broadcast,
+    hot_key_rows,
     lookup_join,
     top_ranked,
 )
-from tierstone.plans.fixed_values import COMPLETED, ENRICHED
+from tierstone.operators.lookup import HOT_KEY_ROWS
+from tierstone.plans.fixed_values import ENRICHED
 from tierstone.sources import stage
 
 
@@ -41,23 +45,22 @@ def enrich_orders(
     """
     details = ("customer_name", "city", "product_name", "category")
     facts = completed_only(orders, COMPLETED).select([c for c in ENRICHED if c not in details])
-    named = lookup_join(
-        facts,
-        customers,
-        "customer_id",
-        ["customer_name", "city"],
-        dim_bytes=customer_bytes,
-        **lookup_options,
-    )
-    full = lookup_join(
-        named,
-        products,
-        "product_id",
-        ["product_name", "category"],
-        dim_bytes=product_bytes,
-        count_keys_in=facts,
-        **lookup_options,
-    )
+    dims = {
+        "customer_id": (customers, ["customer_name", "city"], customer_bytes),
+        "product_id": (products, ["product_name", "category"], product_bytes),
+    }
+    small = {
+        key: fits_broadcast(dim.select(key, *columns), size, **lookup_options)
+        for key, (dim, columns, size) in dims.items()
+    }
+    large = [key for key, fits in small.items() if not fits]
+    # all keys are counted in one pass over the facts, never over the first join
+    min_rows = lookup_options.get("min_hot_rows", HOT_KEY_ROWS)
+    hot = hot_key_rows(facts, large, min_rows) if large else {}
+    full = facts
+    for key, (dim, columns, _) in dims.items():
+        options = lookup_options | {"broadcast": "measured" if small[key] else "never"}
+        full = lookup_join(full, dim, key, columns, hot=hot.get(key), **options)
     return full.select(ENRICHED).withColumn("updated_timestamp", audit_time(updated_at))
 
 

@@ -61,27 +61,39 @@ def refresh(
     at: datetime | None = None,
     flag_mode: str = "post_fill",
     overwrite_schema: bool = False,
+    strict_header: bool = True,
+    corrupt_column: str | None = None,
+    count_source: bool = False,
 ) -> dict[str, Commit]:
     """Rebuild all ten tables under ``root`` from the raw files; returns their commits.
 
     Every layer is written before the next one reads it, and reads only the layer below,
     so each table is computed once and a lost executor costs at most part of one step.
-    ``at`` fixes the audit time of the whole run. ``overwrite_schema`` lets the files bring
-    changed columns. Safe to run again: it adds versions.
+    ``at`` fixes the audit time of the whole run. Files with other columns than the declared
+    or locked ones raise; ``overwrite_schema`` lets them bring changed columns, and
+    ``strict_header=False`` reads by position whatever the headers say. ``corrupt_column`` keeps
+    the text of malformed lines in the bronze tables. ``count_source`` counts the files' lines
+    apart, so that the audit can tell a row that was lost in reading. Safe to run again: it
+    adds versions.
+
+    Task sizes are set in a session of its own, a copy of the caller's, which stays as it is.
     """
+    spark = _own_session(spark)
     done: dict[str, Commit] = {}
     commit = {"committed_at": at, "overwrite_schema": overwrite_schema}
 
     def ingested(table: str, files: str | list[str], **options) -> Commit:
         label = landing.label(table.removeprefix("bronze_"))
-        options |= {"source_file": label, "ingested_at": at}
+        options |= {"source_file": label, "ingested_at": at, "strict_header": strict_header}
+        options |= {"corrupt_column": corrupt_column, "count_source": count_source}
         return ingest(spark, files, table_path(root, table), **options, **commit)
 
     def saved(table: str, rows: DataFrame) -> Commit:
-        return write_snapshot(rows, table_path(root, table), **commit)
+        return write_snapshot(rows, table_path(root, table), upstream=done[UPSTREAM[table]], **commit)
 
     def read(table: str) -> DataFrame:
-        return read_commit(spark, done[table])
+        rows = read_commit(spark, done[table])
+        return rows.drop(corrupt_column) if corrupt_column else rows
 
     def build(**steps: Callable[[str], Commit]) -> None:
         """Tables that do not depend on each other, so their jobs share the cluster."""
@@ -128,13 +140,35 @@ def refresh(
     return done
 
 
-def layer_audit(spark: SparkSession, root: str) -> DataFrame:
-    """Rows in, out and removed per table, from the commit records alone."""
-    rows = {t: latest_commit(spark, table_path(root, t)).num_rows for t in UPSTREAM}
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same settings, whose changes nobody else sees."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
+def layer_audit(spark: SparkSession, root: str, *, read_back: bool = False) -> DataFrame:
+    """Rows in, out and removed per table, for its current version.
+
+    ``rows_in`` is what the commit recorded: the rows of the version that it was built from, or
+    the lines counted in the files; null where the files were not counted. ``follows`` tells
+    whether that version is still the current one of the table above, so that numbers of
+    different refreshes are not taken for one. ``read_back`` counts the stored rows again, in
+    ``rows_stored``, from the files.
+    """
+    current = {t: latest_commit(spark, table_path(root, t)) for t in UPSTREAM}
     lines = []
     for table, upstream in UPSTREAM.items():
-        rows_in = rows[upstream or table]
-        lines.append((table, table.split("_")[0], rows_in, rows[table], rows_in - rows[table]))
+        commit = current[table]
+        rows_in, rows_out = commit.upstream_rows, commit.num_rows
+        follows = upstream is None or commit.upstream_folder == current[upstream].folder
+        stored = read_commit(spark, commit).count() if read_back else None
+        removed = None if rows_in is None else rows_in - rows_out
+        lines.append((table, table.split("_")[0], rows_in, rows_out, removed, follows, stored))
     return spark.createDataFrame(
-        lines, "table string, layer string, rows_in long, rows_out long, rows_removed long"
+        lines,
+        "table string, layer string, rows_in long, rows_out long, rows_removed long,"
+        " follows boolean, rows_stored long",
     )

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from tierstone.functions import as_type, audit_time, parse_day, proper_case
 from tierstone.operators import dedupe_by_key, fill_defaults, flag_quality, require_not_null
-from tierstone.plans.fixed_values import CRITICAL, NO_AMOUNT, ORDER_KEY, UNKNOWN_STATUS
+from tierstone.plans.fixed_values import (
+    CRITICAL,
+    MISSING_AMOUNT,
+    MISSING_STATUS,
+    NO_AMOUNT,
+    ORDER_KEY,
+    UNKNOWN_STATUS,
+)
 
 
 def order_issues(mode: str = "post_fill") -> dict[str, Column]:
@@ -27,7 +34,7 @@ def order_issues(mode: str = "post_fill") -> dict[str, Column]:
         no_status = F.col("status").isNull()
     else:
         raise ValueError(f"mode must be 'post_fill' or 'pre_fill', not {mode!r}")
-    return {"missing_amount": no_amount, "missing_status": no_status}
+    return {MISSING_AMOUNT: no_amount, MISSING_STATUS: no_status}
 
 
 def typed_orders(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -1,13 +1,18 @@
 from tierstone.sources.files import (
+    SchemaChanged,
+    check_header,
+    count_lines,
+    header_names,
     infer_schema,
     landing_inventory,
     lock_schema,
     scan_csv,
+    schema_by_header,
     with_ingest_audit,
 )
 from tierstone.sources.snapshots import (
     Commit,
-    SchemaChanged,
+    ConflictingVersions,
     VersionNotFound,
     latest_commit,
     read_commit,
@@ -19,8 +24,12 @@ from tierstone.sources.workspace import scratch_path, stage
 
 __all__ = [
     "Commit",
+    "ConflictingVersions",
     "SchemaChanged",
     "VersionNotFound",
+    "check_header",
+    "count_lines",
+    "header_names",
     "infer_schema",
     "landing_inventory",
     "latest_commit",
@@ -28,6 +37,7 @@ __all__ = [
     "read_commit",
     "read_snapshot",
     "scan_csv",
+    "schema_by_header",
     "scratch_path",
     "snapshot_history",
     "stage",

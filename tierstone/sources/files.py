@@ -15,22 +15,30 @@ from tierstone.functions import audit_time
 _LOCK = "schema_json string"
 
 
+class SchemaChanged(ValueError):
+    """Columns differ from the declared, locked or stored ones and no change was requested."""
+
+
 def scan_csv(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType | str,
     *,
-    strict_header: bool = False,
+    strict_header: bool = True,
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read CSV files with a header row under a declared schema; no inference pass.
 
-    Columns are matched by position. ``strict_header`` fails when the header names differ
-    from the schema instead of reading swapped columns. ``corrupt_column`` adds the raw
-    text of lines that do not fit the schema; without it their bad fields are just null.
+    Columns are matched by position, so every file's header must name the schema's columns in
+    its order, and no others: a first look at the files raises :class:`SchemaChanged`, and a
+    later file with another header fails the task that reads it. ``strict_header=False`` reads
+    by position whatever the headers say. ``corrupt_column`` adds the raw text of lines that
+    do not fit the schema; without it their bad fields are just null.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
+    if strict_header:
+        check_header(spark, path, schema.names)
     reader = spark.read.option("header", True).option("enforceSchema", not strict_header)
     if corrupt_column:
         schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
@@ -38,6 +46,40 @@ def scan_csv(
     return reader.schema(schema).csv(path)
 
 
+def header_names(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names in the header of the files; reads the first line of the first one."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def check_header(spark: SparkSession, path: str | list[str], names: list[str]) -> None:
+    found = header_names(spark, path)
+    # files without a line have no header to differ
+    if found and [c.lower() for c in found] != [c.lower() for c in names]:
+        raise SchemaChanged(f"{path}: the files have columns {found}, expected {list(names)}")
+
+
+def schema_by_header(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> T.StructType:
+    """``schema`` in the order of the files' header: known columns keep their type, new ones
+    are text, and missing ones are left out."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    known = {f.name.lower(): f.dataType for f in schema}
+    return T.StructType(
+        [T.StructField(c, known.get(c.lower(), T.StringType())) for c in header_names(spark, path)]
+    )
+
+
+def count_lines(spark: SparkSession, path: str | list[str]) -> int:
+    """Rows in the files by their lines: all that are not blank, less a header per file.
+
+    A pass of its own that parses nothing, to hold a CSV read against. Rows that span lines
+    count once per line.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    per_file = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    return per_file.agg(F.sum(F.col("n") - 1)).first()[0] or 0
+
+
 def infer_schema(
     spark: SparkSession,
     path: str | list[str],

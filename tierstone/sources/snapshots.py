@@ -8,7 +8,8 @@ Layout of a table at ``path``::
 A version exists once its history line does, and the line names the data folder. A failed
 or repeated attempt leaves an unnamed folder that no reader sees; a committed folder is
 never written again, so a table can be read while it is being rebuilt, and old versions
-stay readable. One writer per table at a time is assumed.
+stay readable. One writer per table at a time is assumed; two that commit the same version are
+found out by the next read, which refuses to choose.
 """
 
 from __future__ import annotations
@@ -24,26 +25,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstone.functions import row_bytes
+from tierstone.sources.files import SchemaChanged
 
 _HISTORY = (
     "version long, timestamp timestamp, operation string,"
     " operationParameters map<string,string>, schema_json string, num_rows long,"
-    " in_memory_bytes long, folder string"
+    " in_memory_bytes long, folder string, upstream_folder string, upstream_rows long"
 )
 _MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-class SchemaChanged(ValueError):
-    """The frame's columns differ from the table's and no schema change was requested."""
-
-
 class VersionNotFound(LookupError):
     """The table, or the requested version of it, does not exist."""
 
 
+class ConflictingVersions(RuntimeError):
+    """Two writers committed the same version; which one is current cannot be told."""
+
+
 @dataclass(frozen=True)
 class Commit:
-    """One stored version. ``in_memory_bytes`` bounds its size as a broadcast table."""
+    """One stored version. ``in_memory_bytes`` bounds its size as a broadcast table.
+
+    ``upstream_folder`` and ``upstream_rows`` tell what it was built from: a folder of another
+    table, or the rows counted in the source files.
+    """
 
     path: str
     version: int
@@ -51,6 +57,8 @@ class Commit:
     in_memory_bytes: int | None
     schema: T.StructType
     folder: str
+    upstream_folder: str | None = None
+    upstream_rows: int | None = None
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
@@ -66,26 +74,18 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def _create_history(spark: SparkSession, path: str) -> bool:
-    """Start an empty history. False when there is one already."""
-    try:
-        spark.range(0, numPartitions=1).write.json(f"{path}/history")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_ALREADY_EXISTS":
-            raise
-        return False
-    return True
-
-
 def _append_history(spark: SparkSession, path: str, record: dict[str, Column]) -> None:
     line = spark.range(1, numPartitions=1).select(*[c.alias(n) for n, c in record.items()])
     line.write.mode("append").option("timestampFormat", _MICROSECONDS).json(f"{path}/history")
 
 
 def _newest(commits: DataFrame, path: str) -> Commit | None:
-    row = commits.orderBy(F.desc("version")).first()
-    if row is None:
+    rows = commits.orderBy(F.desc("version")).limit(2).collect()
+    if not rows:
         return None
+    row = rows[0]
+    if len(rows) == 2 and rows[1]["version"] == row["version"]:
+        raise ConflictingVersions(f"{path}: version {row['version']} was committed twice")
     return Commit(
         path=path,
         version=row["version"],
@@ -93,9 +93,19 @@ def _newest(commits: DataFrame, path: str) -> Commit | None:
         in_memory_bytes=row["in_memory_bytes"],
         schema=T.StructType.fromJson(json.loads(row["schema_json"])),
         folder=row["folder"],
+        upstream_folder=row["upstream_folder"],
+        upstream_rows=row["upstream_rows"],
     )
 
 
+def _current(spark: SparkSession, path: str) -> Commit | None:
+    """The current version; None when there is no table yet. Reads the history once."""
+    try:
+        return _newest(_commits(spark, path), path)
+    except VersionNotFound:
+        return None
+
+
 def latest_commit(spark: SparkSession, path: str) -> Commit:
     """The current version's commit record; reads the history only, never the data."""
     commit = _newest(_commits(spark, path), path)
@@ -114,15 +124,18 @@ def write_snapshot(
     *,
     overwrite_schema: bool = False,
     committed_at: datetime | None = None,
+    upstream: Commit | None = None,
+    upstream_rows: int | None = None,
 ) -> Commit:
     """Replace the table's content by ``df`` as a new version.
 
     Column names and types must match the current version unless ``overwrite_schema``.
     Rows are counted and sized while they are written, so neither verifying a write nor
-    sizing a lookup table costs another scan.
+    sizing a lookup table costs another scan. ``upstream`` is the version that ``df`` was made
+    from; ``upstream_rows`` counts its rows where that is no table.
     """
     spark = df.sparkSession
-    current = None if _create_history(spark, path) else _newest(_commits(spark, path), path)
+    current = _current(spark, path)
     if current and not overwrite_schema and _columns(current.schema) != _columns(df.schema):
         raise SchemaChanged(
             f"{path}: table has {_columns(current.schema)}, frame has {_columns(df.schema)};"
@@ -141,6 +154,9 @@ def write_snapshot(
     num_rows = written.get["rows"]
     size = written.get["bytes"] if num_rows else 0
 
+    if upstream is not None:
+        upstream_rows = upstream.num_rows
+    upstream_folder = upstream.folder if upstream else None
     parameters = {"mode": "Overwrite", "overwriteSchema": str(overwrite_schema).lower()}
     record = {
         "version": F.lit(version),
@@ -153,9 +169,11 @@ def write_snapshot(
         "num_rows": F.lit(num_rows),
         "in_memory_bytes": F.lit(size),
         "folder": F.lit(folder),
+        "upstream_folder": F.lit(upstream_folder).cast("string"),
+        "upstream_rows": F.lit(upstream_rows).cast("long"),
     }
     _append_history(spark, path, record)
-    return Commit(path, version, num_rows, size, df.schema, folder)
+    return Commit(path, version, num_rows, size, df.schema, folder, upstream_folder, upstream_rows)
 
 
 def read_commit(spark: SparkSession, commit: Commit) -> DataFrame:

@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
+from urllib.parse import urlsplit
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tierstone-")
+def _on_one_machine(spark: SparkSession, path: str) -> bool:
+    """Whether a path is on the local file system, by its scheme or the default one."""
+    scheme = urlsplit(path).scheme
+    if not scheme:
+        default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+        scheme = urlsplit(default or "file:///").scheme
+    return scheme == "file"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may run without that setting; a folder of one machine is useless
-    to executors elsewhere.
+    Where that is unset, under the warehouse, which a session shares with its executors too.
+    On a cluster a path of the local file system is refused: other machines do not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        if not shared or _on_one_machine(spark, shared):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = _local_scratch()
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir", None) + "/scratch"
     return f"{shared.rstrip('/')}/tierstone/{label}-{uuid4().hex}"
 
 

@@ -15,7 +15,7 @@ from verification.raw_tables import landing
 @cache
 def _refreshed(spark: SparkSession, application: str, sf_dir: str) -> str:
     root = scratch_path(spark, "tables")
-    plans.refresh(spark, landing(spark, sf_dir), root)
+    plans.refresh(spark, landing(spark, sf_dir), root, count_source=True)
     return root
 
 

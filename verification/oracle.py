@@ -130,12 +130,21 @@ _RAW_ORDERS = f"select {_ORDER_COLUMNS} from raw_orders"
 _BRONZE_ORDERS = f"select *, 'orders.csv' as source_file, {_AUDIT} from raw_orders"
 _RESTATED = "select *, upper(category) as department from raw_products"
 
+_NULL_KEYS = (
+    "select o.order_id, o.customer_id, o.amount, c.customer_name, c.city"
+    " from raw_orders o left join silver_people c on o.customer_id = c.customer_id"
+)
+
 _BODIES = {
     # sources
     "csv_declared_schema": _RAW_ORDERS,
     "csv_inferred_schema": "select * replace (cast(customer_id as integer) as customer_id)"
     " from raw_customers",
     "csv_locked_schema": "select * from raw_customers",
+    "landing_inventory": """select *, true as every_file_listed, true as sizes_equal from (
+      select 'orders' as "extract", count(*) as rows_read from raw_orders
+      union all select 'customers', count(*) from raw_customers
+      union all select 'products', count(*) from raw_products) as extracts""",
     "bronze_audit_columns": _BRONZE_ORDERS,
     "bronze_orders": _BRONZE_ORDERS,
     "bronze_customers": f"select *, 'customers.csv' as source_file, {_AUDIT} from raw_customers",
@@ -181,6 +190,9 @@ _BODIES = {
     " from silver s left join raw_products p on s.product_id = p.product_id",
     "join_large_lookup": "select s.order_id, s.customer_id, s.amount, c.customer_name, c.city"
     " from silver s left join silver_people c on s.customer_id = c.customer_id",
+    "join_null_keys": _NULL_KEYS,
+    "join_null_keys_large_lookup": _NULL_KEYS,
+    "gold_enriched_large_lookups": f"select *, {_UPDATED} from enriched",
     "gold_enriched_orders": f"select *, {_UPDATED} from enriched",
     "sales_by_city": "select * from by_city",
     "sales_by_category": "select * from by_category",
@@ -190,8 +202,13 @@ _BODIES = {
     "top_customers_k": "select * from ranked where rank <= 10",
     "dense_rank_distributed": "select *, cast(dense_rank() over (order by amount desc nulls last)"
     " as integer) as amount_rank from (select order_id, amount from raw_orders) as amounts",
+    "dense_rank_text": "select *, cast(dense_rank() over (order by product_id desc nulls last)"
+    " as integer) as product_rank from (select order_id, amount, product_id from raw_orders) as o",
+    "dense_rank_date": "select *, cast(dense_rank() over (order by order_date desc nulls last)"
+    " as integer) as day_rank from (select order_id, order_date from silver) as o",
     # all layers
-    "layer_audit": """select *, rows_in - rows_out as rows_removed from (
+    "layer_audit": """select *, rows_in - rows_out as rows_removed, true as follows,
+      rows_out as rows_stored from (
       select 'bronze_orders' as "table", 'bronze' as layer, count(*) as rows_in,
         count(*) as rows_out from raw_orders
       union all select 'bronze_customers', 'bronze', count(*), count(*) from raw_customers

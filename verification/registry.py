@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from tierstone.operators import (
 )
 from tierstone.plans.fixed_values import (
     CRITICAL,
+    CUSTOMERS,
     CUSTOMER_KEYS,
     NO_AMOUNT,
     ORDER_KEY,
@@ -97,8 +99,26 @@ def csv_locked_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("landing_inventory")
 def landing_inventory_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing held against the files that the rows of each extract were read from."""
     raw = landing(spark, sf_dir)
-    return landing_inventory(spark, [raw.orders, raw.customers, raw.products])
+    listed = landing_inventory(spark, [raw.orders, raw.customers, raw.products])
+    extracts = {"orders": (raw.orders, ORDERS), "customers": (raw.customers, CUSTOMERS), "products": (raw.products, PRODUCTS)}
+    read = [
+        scan_csv(spark, files, schema)
+        .groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("extract", F.lit(name))
+        for name, (files, schema) in extracts.items()
+    ]
+    # listed and read paths spell the scheme differently
+    bare = F.regexp_replace("path", "^file:/+", "/")
+    listed = listed.select(bare.alias("listed"), "length")
+    found = reduce(DataFrame.unionByName, read).withColumn("listed", bare).join(listed, "listed", "left")
+    return found.groupBy("extract").agg(
+        F.sum("rows").alias("rows_read"),
+        F.every(F.col("length").isNotNull()).alias("every_file_listed"),
+        F.every(F.coalesce(F.col("length") == F.col("size"), F.lit(False))).alias("sizes_equal"),
+    )
 
 
 @query("bronze_audit_columns")
@@ -297,6 +317,39 @@ def join_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _null_keys(spark: SparkSession, sf_dir: str, broadcast: str) -> DataFrame:
+    """Bronze orders still have rows without a customer: they match nothing, and stay."""
+    orders = stored(spark, sf_dir, "bronze_orders").select("order_id", "customer_id", "amount")
+    customers = stored(spark, sf_dir, "silver_customers")
+    return lookup_join(
+        orders, customers, "customer_id", ["customer_name", "city"], broadcast=broadcast, min_hot_rows=50
+    )
+
+
+@query("join_null_keys")
+def join_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_keys(spark, sf_dir, "auto")
+
+
+@query("join_null_keys_large_lookup")
+def join_null_keys_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_keys(spark, sf_dir, "never")
+
+
+@query("gold_enriched_large_lookups")
+def gold_enriched_large_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star join with both lookups beyond the broadcast bound."""
+    return shown(
+        plans.enrich_orders(
+            stored(spark, sf_dir, "silver_orders"),
+            stored(spark, sf_dir, "silver_customers"),
+            stored(spark, sf_dir, "silver_products"),
+            broadcast="never",
+            min_hot_rows=50,
+        )
+    )
+
+
 @query("gold_enriched_orders")
 def gold_enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(
@@ -346,12 +399,24 @@ def dense_rank_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_rank_global(amounts, "amount", "amount_rank", buckets=64)
 
 
+@query("dense_rank_text")
+def dense_rank_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = stored(spark, sf_dir, "bronze_orders").select("order_id", "amount", "product_id")
+    return dense_rank_global(orders, "product_id", "product_rank", buckets=16)
+
+
+@query("dense_rank_date")
+def dense_rank_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = stored(spark, sf_dir, "silver_orders").select("order_id", "order_date")
+    return dense_rank_global(orders, "order_date", "day_rank", buckets=16)
+
+
 # --- all layers ------------------------------------------------------------------------
 
 
 @query("layer_audit")
 def layer_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.layer_audit(spark, tables_root(spark, sf_dir))
+    return plans.layer_audit(spark, tables_root(spark, sf_dir), read_back=True)
 
 
 @query("end_to_end_sales")
