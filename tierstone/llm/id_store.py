@@ -35,7 +35,7 @@ NO_ID = -(2**63)
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_BYTES = 32 << 10
 DICTIONARY_BYTES = 64 << 10
-LEVEL = 3
+LEVEL = 1
 SEGMENT_BYTES = 1 << 20
 _SEGMENTS = "part int, segment int, first_id long, last_id long, start_in_part long, n_tokens long, data binary"
 
@@ -112,7 +112,10 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, end_id: int, text: str = "te
 
 
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
-    return zstandard.ZstdCompressionDict(raw)
+    found = zstandard.ZstdCompressionDict(raw)
+    if raw:
+        found.precompute_compress(level=LEVEL)  # else every short frame would digest it anew
+    return found
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, text: str = "text") -> None:

@@ -1,8 +1,9 @@
 """Ids of whole texts with the tokenizers library, one call per distinct piece.
 
 Both kinds of tokenizer used here split a text into words before they merge, never across the
-start of a run of white space, and always between a letter and a comma or full stop. So the ids
-of a text are those of its pieces, one after the other, and frequent pieces are looked up.
+start of a run of white space, and always between a letter and a comma or full stop, and between
+a line feed and a letter. So the ids of a text are those of its pieces, one after the other, and
+frequent pieces are looked up.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ from tokenizers import Tokenizer
 
 # White space of the Unicode property White_Space, which the tokenizers' patterns go by.
 _WHITE = "\t-\r \x85\xa0  -     　"
-_PIECES = re.compile(f" [a-zA-Z]+(?![^{_WHITE},.])|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
+# All of these are letters to both kinds of tokenizer: basic Latin, Latin-1, Latin Extended A and B.
+_LETTERS = "a-zA-ZÀ-ÖØ-öø-ɏ"
+_WORD = f"[{_LETTERS}]+(?![^{_WHITE},.!?;:#$%&*)])"  # both end a word before these
+_PIECES = re.compile(f" {_WORD}|\n(?=[{_LETTERS}])|{_WORD}|[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
+_BLANK = "\u0120"  # how byte-level vocabularies spell a blank
 LONGEST_PIECE = 64
 CACHE_PIECES = 1_200_000
 _TOGETHER = 1024
@@ -30,23 +35,32 @@ class PieceEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._cache: dict[str, bytes] = {}
+        # a tokenizer that lower-cases gives A-Z and a-z the same ids: look them up as one
+        self._folds = "Lowercase" in str(self._tokenizer.normalizer)
+        # ids that can only begin a word after a blank, or only end one
+        vocabulary = self._tokenizer.get_vocab()
+        suffix = self._tokenizer.model.end_of_word_suffix
+        self._marks_end = bool(suffix)
+        self._marked = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._marked[[i for x, i in vocabulary.items() if (x.endswith(suffix) if suffix else x.startswith(_BLANK))]] = True
 
     def _each(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def _words(self, pieces: list[str]) -> list[bytes]:
-        """Pieces that begin with white space keep apart when joined: many in a call, told apart
-        by where each id's characters stand."""
-        found = self._tokenizer.encode("".join(pieces), add_special_tokens=False)
-        begin = np.cumsum([0] + [len(x) for x in pieces])
-        at = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
-        ids = np.array(found.ids, dtype="<u4").tobytes()
-        cut = (4 * np.searchsorted(at, begin)).tolist()
-        return [ids[a:b] for a, b in zip(cut, cut[1:])]
+        """Pieces of a blank and letters keep apart when joined, and are one word each: many in a
+        call, told apart by the ids that begin or end a word."""
+        ids = np.array(self._tokenizer.encode_batch_fast(["".join(pieces)], add_special_tokens=False)[0].ids, dtype="<u4")
+        marks = np.flatnonzero(self._marked[ids])
+        if len(marks) != len(pieces):
+            return self._each(pieces)
+        cut = [0, *(marks + 1).tolist()] if self._marks_end else [*marks.tolist(), len(ids)]
+        data = ids.tobytes()
+        return [data[4 * a : 4 * b] for a, b in zip(cut, cut[1:])]
 
     def _add(self, pieces: list[str]) -> None:
-        spaced = [x for x in pieces if x[0] == " " and len(x) > 1 and not x[1].isspace()]
+        spaced = [x for x in pieces if x[0] == " " and x[1:].isalpha()]
         for a in range(0, len(spaced), _TOGETHER):
             part = spaced[a : a + _TOGETHER]
             self._cache.update(zip(part, self._words(part)))
@@ -61,6 +75,8 @@ class PieceEncoder:
             self._cache.clear()
         held, found, unseen = self._cache.get, [], set()
         for text in texts:
+            if self._folds:
+                text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
             pieces = _PIECES.findall(text)
             ids = list(map(held, pieces))
             gaps = [i for i, x in enumerate(ids) if x is None]
