@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tierstone.llm.words import WordHasher, mix, text_blocks
+from tierstone.sources import stage
 
 _U = np.uint64
 BITS = 18
@@ -148,6 +149,17 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -35, 35))))
 
 
+def with_labels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", broadcast_rows: int = 4_000_000) -> DataFrame:
+    """The rows of ``docs`` that have a label, for :func:`train`, which reads them several times.
+
+    Labels (a key and a number) are broadcast if they are counted to be few, so that no text is
+    shuffled; else the texts are joined to them once, and written.
+    """
+    if labels.count() <= broadcast_rows:
+        return docs.join(F.broadcast(labels), key)
+    return stage(docs.join(labels, key), "labelled")
+
+
 def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") -> Model:
     """A model of ``label`` (0 or 1) from the labelled rows; rows with null labels are left out.
 

@@ -87,7 +87,7 @@ def op7_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out)
-    model = nbsvm.train(docs.join(labels, "doc_id"), "quality")
+    model = nbsvm.train(nbsvm.with_labels(docs, labels), "quality")
     scored = docs.select("doc_id", held_out.alias("held_out"), nbsvm.score(docs, model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
