@@ -10,7 +10,7 @@ import pyarrow as pa
 _U = np.uint64
 _MULTIPLIER = 0x9FB21C651E98DF25 | 1
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 512 << 10
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -28,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers_of(base: int, n: int) -> np.ndarray:
     out = np.ones(n, dtype=np.uint64)
     if n > 1:
         out[1:] = _U(base)
@@ -40,11 +40,11 @@ class WordHasher:
     """Hashes words of up to ``BLOCK_BYTES`` of text in one pass; longer texts in one own pass."""
 
     def __init__(self):
-        self._up, self._down = _powers(_MULTIPLIER, 1 << 16), _powers(_INVERSE, 1 << 16)
+        self._up, self._down = powers_of(_MULTIPLIER, 1 << 16), powers_of(_INVERSE, 1 << 16)
 
     def _grown(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n > len(self._up):
-            self._up, self._down = _powers(_MULTIPLIER, n), _powers(_INVERSE, n)
+            self._up, self._down = powers_of(_MULTIPLIER, n), powers_of(_INVERSE, n)
         return self._up, self._down
 
     def words(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
