@@ -71,11 +71,10 @@ def test_copies_and_changed_values_are_caught(spark):
     changed = ITEM.replace("120 km", "350 miles").replace("Mary", "Lucy").replace("Boston", "Leeds").replace(" 7 ", " 9 ")
     twisted = ITEM.replace("Mary aboard and covers 120 km", "Mary aboard and covers 7 km")  # 7 would stand for 7 and for 120
     texts = [ITEM, f"Before.\n{ITEM.lower()} After.", changed, "Nothing of the kind is written here at all, not a single word of it.",
-             ITEM[:60], None, "", twisted, f"{ITEM} {ITEM}"]
+             ITEM[:60], None, "", twisted, f"{ITEM} {ITEM}", ITEM.replace(" ", "\n"), ITEM.replace(" ", "   ")]
     got = _leaks(spark, texts)
-    print(got)
     slots = {d: n for d, _, n in got}
-    assert slots[0] == 0 and slots[2] == 5 and 8 in slots
+    assert slots[0] == 0 and slots[2] == 5 and {8, 9, 10} <= set(slots)
     assert {3, 4, 5, 6}.isdisjoint(slots)
 
 

@@ -18,10 +18,11 @@ from tierstone.sources import stage
 _LAST = 2**63 - 1
 MARK = "\u0001"
 
-# Patterns of the canonical form. A name is a capitalised word inside a sentence,
-# a number a word that begins with a digit, a unit one of these words after a number.
+# Patterns of the canonical form. A name is a word inside a sentence that begins with
+# a capital and a small letter (words all in capitals are words like any other), a number a word that begins with a digit, a unit one of these words after a number.
 DECIMAL = r"([0-9])[.,]([0-9])"
-INSIDE = r"[^\x20\x09-\x0D.!?:…] "
+INSIDE = r"[^\x20\x09-\x0D.!?:…]"
+NAME = r"\p{Lu}\p{Ll}"
 NO_WORD = r"[^\p{L}\p{N}\x01_]+"
 UNITS = (
     "km|m|cm|mm|mi|miles|mile|ft|feet|foot|inches|inch|kg|g|mg|lb|lbs|pounds|pound|tons|ton|l|ml|liters|"
@@ -48,8 +49,9 @@ def canonical(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     for _ in range(2):
         t = F.regexp_replace(t, DECIMAL, "$1_$2")
+    t = F.replace(t, F.lit("\n"), F.lit(" "))
     # the blank first: it is found fast, and few blanks go on to the two conditions
-    t = F.regexp_replace(t, rf" (?=\p{{Lu}})(?<={INSIDE})", f" {MARK}p")
+    t = F.regexp_replace(t, rf" (?={NAME})(?<={INSIDE} {{1,40}})", f" {MARK}p")
     t = F.trim(F.regexp_replace(F.lower(t), NO_WORD, " "))
     return F.regexp_replace(t, rf"([0-9]) ({UNITS})( |\z)", f"$1 {MARK}u$2$3")
 

@@ -96,8 +96,9 @@ def _leaks_sql(match: b.Match = b.Match()) -> str:
         t = "coalesce(text, '')"
         for _ in range(2):
             t = f"regexp_replace({t}, {_quoted(b.DECIMAL)}, '\\1_\\2', 'g')"
+        t = f"replace({t}, chr(10), ' ')"
         for _ in range(2):  # RE2 has no look-behind: two passes mark names that follow names
-            t = f"regexp_replace({t}, {_quoted('(' + b.INSIDE + ')' + '([A-Z]|' + chr(92) + 'p{Lu})')}, concat('\\1', chr(1), 'p', '\\2'), 'g')"
+            t = f"regexp_replace({t}, {_quoted(f"({b.INSIDE} {{0,39}}) ({b.NAME})")}, concat('\\1 ', chr(1), 'p', '\\2'), 'g')"
         t = f"trim(regexp_replace(lower({t}), {_quoted(b.NO_WORD)}, ' ', 'g'))"
         units = _quoted(f"([0-9]) ({b.UNITS})( |" + r"\z)")
         t = f"regexp_replace({t}, {units}, concat('\\1 ', chr(1), 'u', '\\2', '\\3'), 'g')"
