@@ -8,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[*]")
         .appName("tierstone-tests")
@@ -20,5 +20,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
