@@ -24,7 +24,11 @@ from pyspark.sql import functions as F
 from tierstone.llm.token_ids import encoder
 from tierstone.sources import stage
 
-ROWS_PER_CELL = 1_000_000
+# Rows of one length are ranked in cells of about CELL_ROWS, in at most MOST_CELLS of them until
+# that would make cells of more than MOST_CELL_ROWS.
+CELL_ROWS = 2_000
+MOST_CELLS = 64
+MOST_CELL_ROWS = 1_000_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -231,6 +235,11 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capa
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
 
 
+def _cells(n: int) -> int:
+    """The driver holds a number per cell: at most 64 for each length, and one for a million rows."""
+    return max(min(math.ceil(n / CELL_ROWS), MOST_CELLS), math.ceil(n / MOST_CELL_ROWS))
+
+
 def _narrow(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"))
 
@@ -250,7 +259,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
     places = Places.of(plan(histogram, capacity))
 
     # ranks among equal lengths: a frequent length is dealt to cells, counted first
-    split = [(length, math.ceil(n / ROWS_PER_CELL)) for length, n in histogram.items()]
+    split = [(length, _cells(n)) for length, n in histogram.items()]
     cells_of = spark.createDataFrame(split, "length long, cells long")
     mixed = F.xxhash64("doc_id", "piece", "ids_crc32")
     dealt = pieces.join(F.broadcast(cells_of), "length").withColumn("cell", F.pmod(mixed, F.col("cells")))
