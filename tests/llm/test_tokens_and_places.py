@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
@@ -107,6 +108,15 @@ def test_packed_pieces_and_sequences(spark):
     assert sorted(len(x) // 4 for x in made.values()) == sorted(sums.sum())
 
 
+def test_a_frequent_length_is_ranked_in_cells(spark):
+    docs = frame(spark, [(i, "the same text, and the same length", "en", "a", 1) for i in range(300)])
+    with mock.patch.object(packing, "CELL_ROWS", 20):
+        packed = packing.pack(docs, BYTE).toPandas().sort_values(["sequence_id", "offset"])
+    lengths = packed.groupby("sequence_id").length
+    assert len(packed) == 300 and lengths.sum().max() <= 2048 and packed.sequence_id.nunique() == 2
+    assert (packed.offset == lengths.cumsum() - packed.length).all()
+
+
 def test_rows_that_repeat_an_id_are_packed_each(spark):
     assert packing.pack(frame(spark), BYTE).where("doc_id is null or doc_id = 9").count() == 3
 
