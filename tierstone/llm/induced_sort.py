@@ -19,13 +19,14 @@ from tempfile import TemporaryDirectory
 import numpy as np
 
 RANGES = 512
+SEEDS_PER_RANGE = 700  # fewer, and the steps per range cost more than the tuples in it
 
 
 class TupleQueue:
     """A priority queue of (key, position) with non-decreasing removals, by ranges of keys."""
 
-    def __init__(self, top: int, folder: str, memory: int):
-        self._width = max(1, -(-top // RANGES))
+    def __init__(self, top: int, folder: str, memory: int, ranges: int = RANGES):
+        self._width = max(1, -(-top // ranges))
         self.ranges = -(-top // self._width)
         self._parts: list[list[np.ndarray]] = [[] for _ in range(self.ranges)]
         self._spilled: set[int] = set()
@@ -37,7 +38,7 @@ class TupleQueue:
         tuples = np.stack([keys, positions])
         where = keys // self._width
         if where[0] != where[-1] or (where != where[0]).any():
-            order = np.argsort(where.astype(np.uint16), kind="stable")
+            order = np.argsort(where.astype(np.uint16), kind="stable")  # by digits
             tuples, where = tuples[:, order], where[order]
         cut = np.flatnonzero(np.diff(where)) + 1
         for part in np.split(tuples, cut, axis=1):
@@ -76,7 +77,7 @@ def _sweep(seeds: np.ndarray, seed_keys: np.ndarray, key_of, top: int, folder: s
     Seeds have odd keys, induced positions even ones. ``key_of(positions)``: the key of each left
     neighbour, or -1 where it is not induced.
     """
-    queue, out = TupleQueue(top, folder, memory), []
+    queue, out = TupleQueue(top, folder, memory, min(RANGES, 1 + len(seeds) // SEEDS_PER_RANGE)), []
     starts = np.searchsorted(seed_keys, np.arange(queue.ranges + 1) * queue._width)
     for index in range(queue.ranges):
         a, b = starts[index], starts[index + 1]
@@ -183,8 +184,11 @@ def suffix_array(text: np.ndarray, top: int, folder: str, memory: int) -> np.nda
 def _merge(text: np.ndarray, larger: np.ndarray, smaller: np.ndarray, n: int) -> np.ndarray:
     """All suffixes: per first symbol the L ones, then the S ones; the last suffix comes first."""
     both = np.concatenate([np.array([n - 1], dtype=np.int32), larger, smaller])
-    kind = np.concatenate([[0], np.zeros(len(larger), np.int64), np.ones(len(smaller), np.int64)])
-    return both[np.argsort(2 * text[both].astype(np.int64) + kind, kind="stable")]
+    key = 2 * text[both].astype(np.int64)
+    key[1 + len(larger) :] += 1
+    if key.max() < 1 << 16:
+        key = key.astype(np.uint16)  # sorted by digits, not by comparisons
+    return both[np.argsort(key, kind="stable")]
 
 
 def sort_suffixes(data: np.ndarray, memory: int = 64 << 20) -> np.ndarray:

@@ -7,8 +7,10 @@ have equal anchors. Consecutive windows with one anchor make a segment.
 
 * Segments whose anchor occurs once are done: none of their windows is repeated.
 * Segments with equal bytes are one content; a content of two segments repeats in all its windows.
-* Contents that share an anchor but differ go to the anchor's shard, where a suffix array over
-  all contents, by external induced sorting, puts equal windows side by side.
+* Contents that share an anchor but differ are compared by longer anchors, to its right and to
+  its left: every window holds one of the two. Contents that still share one go to its shard,
+  where a suffix array over all of them, by external induced sorting, puts equal windows side by
+  side.
 
 Anchors of too many contents for a shard are made longer, which splits their windows further;
 at ``length`` bytes an anchor is the window itself, so this ends, exactly.
@@ -19,17 +21,18 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tierstone.llm.induced_sort import sort_suffixes
-from tierstone.llm.words import mix
+from tierstone.llm.words import mix, powers_of
 from tierstone.sources import stage
 
 _U = np.uint64
@@ -41,11 +44,21 @@ _POSITION_BITS = 23
 class Repeats:
     length: int = 200
     gram: int = 32
-    shard_bytes: int = 4 << 20
-    sort_memory: int = 48 << 20
+    shard_bytes: int = 1 << 20
+    sort_memory: int = 16 << 20
     contents_per_anchor: int = 5_000
     block: int = 2 << 20  # windows looked at in one step; less than 2 ** _POSITION_BITS
 
+    @property
+    def right(self) -> int:
+        """Bytes that the anchor of a right half adds behind the gram."""
+        return (self.length - self.gram) // 2
+
+    @property
+    def left(self) -> int:
+        """Bytes that the anchor of a left half adds before the gram."""
+        return self.length - self.gram - self.right
+
 
 # --- anchors ----------------------------------------------------------------------------
 
@@ -84,10 +97,17 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return held
 
 
-def segments_of(data: np.ndarray, how: Repeats) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of (anchor hash, content hash, first window, number of windows) of one text.
+@lru_cache(maxsize=1)
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers_of(int(_ODD), n), powers_of(pow(int(_ODD), -1, 1 << 64), n)
+
 
-    A segment's content is the bytes of all its windows and the place of the anchor in them.
+def segments_of(data: np.ndarray, how: Repeats) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks of (anchor hash, content hash, first window, number of windows, place of the anchor
+    in the first window, hashes of the longer anchors) of one text.
+
+    A segment's content is the bytes of all its windows and the place of the anchor in them. The
+    longer anchors' hashes are 32 bits each, the right one above.
     """
     windows = len(data) - how.length + 1
     for a in range(0, windows, how.block):
@@ -101,67 +121,62 @@ def segments_of(data: np.ndarray, how: Repeats) -> Iterator[tuple[np.ndarray, np
         first = np.flatnonzero(np.diff(place, prepend=-1))
         count = np.diff(np.append(first, len(place)))
         # contents: sums of mixed gram hashes, each by a power that depends on where it stands
-        powers = np.full(len(grams), _ODD, dtype=np.uint64)
-        powers[0] = 1
-        powers = np.multiply.accumulate(powers)
+        powers, inverse = _powers_to(1 << max(16, len(grams).bit_length()))
         sums = np.zeros(len(grams) + 1, dtype=np.uint64)
-        np.cumsum(grams * powers, out=sums[1:])
+        np.cumsum(grams * powers[: len(grams)], out=sums[1:])
         end = first + count - 1 + how.length - how.gram + 1
-        total = (sums[end] - sums[first]) * _inverse_powers(first)
         anchor = place[first]
-        content = mix(total ^ mix((count.astype(np.uint64) << _U(20)) ^ (anchor - first).astype(np.uint64)))
-        yield grams[anchor], content, first + a, count
 
+        def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return mix((sums[np.minimum(b, len(grams))] - sums[a]) * inverse[a])
 
-def _inverse_powers(exponents: np.ndarray) -> np.ndarray:
-    inverse = pow(int(_ODD), -1, 1 << 64)
-    out, base, rest = np.ones(len(exponents), dtype=np.uint64), inverse, exponents.copy()
-    while rest.any():
-        out[(rest & 1).astype(bool)] *= _U(base)
-        base = base * base % (1 << 64)
-        rest >>= 1
-    return out
+        total = between(first, end)
+        right = between(anchor, anchor + how.right + 1)
+        left = between(np.maximum(anchor - how.left, 0), anchor + 1)
+        sides = (right & ~_U(0xFFFFFFFF)) | (left >> _U(32))
+        content = mix(total ^ mix((count.astype(np.uint64) << _U(20)) ^ (anchor - first).astype(np.uint64)))
+        yield grams[anchor], content, first + a, count, anchor - first, sides
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch], how: Repeats, full: bool) -> Iterator[pa.RecordBatch]:
+def _anchor_rows(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
         held, size = [], 0
         for uid, text in zip(batch.column(0).to_pylist(), texts):
             data = np.frombuffer(text.as_py() or b"", dtype=np.uint8)
-            for keys, contents, first, count in segments_of(data, how):
-                held.append((np.full(len(keys), uid, np.int64), keys.view(np.int64), contents.view(np.int64), first, count))
+            for keys, contents, first, count, place, sides in segments_of(data, how):
                 size += len(keys)
+                shape = (count << 16) | place
+                uids, hashes = np.full(len(keys), uid, np.int64), (x.view(np.int64) for x in (keys, contents, sides))
+                held.append((uids, *hashes, first, shape))
             if size > 20_000:
-                yield _anchor_batch(held, full)
+                yield _anchor_batch(held)
                 held, size = [], 0
         if held:
-            yield _anchor_batch(held, full)
+            yield _anchor_batch(held)
 
 
-def _anchor_batch(held: list[tuple], full: bool) -> pa.RecordBatch:
-    uid, key, content, first, count = (np.concatenate(x) for x in zip(*held))
-    if not full:
-        return pa.RecordBatch.from_arrays([pa.array(key)], ["key"])
+def _anchor_batch(held: list[tuple]) -> pa.RecordBatch:
+    uid, key, content, sides, first, shape = (np.concatenate(x) for x in zip(*held))
     return pa.RecordBatch.from_arrays(
-        [pa.array(key), pa.array(content), pa.array(uid), pa.array(first), pa.array(count.astype(np.int32))],
-        ["key", "content", "uid", "first", "windows"],
+        [pa.array(x) for x in (key, content, uid, first, shape.astype(np.int32), sides)],
+        ["key", "content", "uid", "first", "shape", "sides"],
     )
 
 
-_ANCHORS = "key long, content long, uid long, first long, windows int"
+# shape: number of windows, times 2 ** 16, and place of the anchor
+_ANCHORS = "key long, content long, uid long, first long, shape int, sides long"
 
 
-def anchors(texts: DataFrame, how: Repeats, full: bool = True) -> DataFrame:
-    """Segments of ``uid, text``; with ``full`` off only their anchors' hashes."""
-    return texts.select("uid", "text").mapInArrow(
-        lambda batches: _anchor_rows(batches, how, full), _ANCHORS if full else "key long"
-    )
+def anchors(texts: DataFrame, how: Repeats) -> DataFrame:
+    """Segments of ``uid, text``."""
+    return texts.select("uid", "text").mapInArrow(lambda batches: _anchor_rows(batches, how), _ANCHORS)
 
 
 # --- shards -----------------------------------------------------------------------------
 
-_RECORDS = "key long, content long, anchor_key long, bytes binary, gram_at int, gram int, low int, high int"
+# bytes of the windows from ``base`` of a content; of those the ones in [low, high) count
+_RECORDS = "key long, content long, base int, anchor_key long, bytes binary, gram_at int, gram int, low int, high int"
 
 
 def _longer_anchors(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
@@ -179,15 +194,15 @@ def _longer_anchors(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator
                 if low < high:
                     data = np.frombuffer(r["bytes"], np.uint8)[at : at + r["gram"] + grow]
                     key = int(_gram_hashes(data, len(data)).view(np.int64)[0])
-                    rows.append((r["key"], r["content"], key, r["bytes"], at, r["gram"] + grow, low, high))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int32()] * 4]
-        columns = list(zip(*rows)) if rows else [()] * 8
+                    rows.append((r["key"], r["content"], r["base"], key, r["bytes"], at, r["gram"] + grow, low, high))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), *[pa.int32()] * 4]
+        columns = list(zip(*rows)) if rows else [()] * 9
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], batch.schema.names)
 
 
 def _repeated_runs(shard: pd.DataFrame, how: Repeats) -> pd.DataFrame:
-    """Runs of windows ``[low, high)`` of each record that equal a window of the shard elsewhere."""
-    texts = shard["bytes"].to_list()
+    """Runs of windows ``[low, high)`` of the contents that equal a window of the shard elsewhere."""
+    texts, base = shard["bytes"].to_list(), shard["base"].to_numpy()
     size = np.array([len(x) + 1 for x in texts])
     begin = np.cumsum(size) - size
     data = np.frombuffer(b"\x00".join(texts) + b"\x00", dtype=np.uint8)
@@ -217,7 +232,8 @@ def _repeated_runs(shard: pd.DataFrame, how: Repeats) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "key": shard["key"].to_numpy()[of], "content": shard["content"].to_numpy()[of],
-            "low": (run_low - begin[of]).astype(np.int32), "high": (run_high - begin[of]).astype(np.int32),
+            "low": (run_low - begin[of] + base[of]).astype(np.int32),
+            "high": (run_high - begin[of] + base[of]).astype(np.int32),
         }
     )
 
@@ -229,10 +245,16 @@ def _pack(texts: pa.Array) -> pa.Array:
 
 _PACKED = F.arrow_udf(_pack, BinaryType())
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
-_KEPT = StructType([StructField("n_bytes", LongType()), StructField("spans", ArrayType(_SPAN)), StructField("kept", BinaryType())])
-_SLICE = StructType(
-    [StructField("key", LongType()), StructField("content", LongType()), StructField("windows", IntegerType()), StructField("bytes", BinaryType())]
+_KEPT = StructType(
+    [StructField("n_bytes", LongType()), StructField("spans", ArrayType(_SPAN)), StructField("kept", BinaryType())]
 )
+_SPAN_ARROW = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+_KEPT_ARROW = pa.struct([("n_bytes", pa.int64()), ("spans", pa.list_(_SPAN_ARROW)), ("kept", pa.binary())])
+# how the slices are asked for, and what is handed on besides their bytes
+_ASKED = "first, span, key, content, base, anchor_key, gram_at, gram, low, high"
+_HANDED = [tuple(x.split()) for x in _RECORDS.split(", ")]
+_TYPES = {"long": (LongType(), pa.int64()), "int": (IntegerType(), pa.int32()), "binary": (BinaryType(), pa.binary())}
+_SLICE = StructType([StructField(n, _TYPES[t][0]) for n, t in _HANDED])
 
 
 def _cut_out(packed: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
@@ -253,52 +275,27 @@ def _cut_out(packed: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
             at = y
         kept.append(data[at:])
         rows.append({"n_bytes": len(data), "spans": [{"start": x, "end": y} for x, y in spans], "kept": b"".join(kept)})
-    return pa.array(rows, pa.struct([("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]))
+    return pa.array(rows, _KEPT_ARROW)
 
 
 def _slices(packed: pa.Array, wanted: pa.Array) -> pa.Array:
     unpacker, rows = zstandard.ZstdDecompressor(), []
     for blob, segments in zip(packed, wanted):
         data = unpacker.decompress(blob.as_py())
-        rows.append(
-            [
-                {"key": s["key"], "content": s["content"], "windows": s["windows"], "bytes": data[s["first"] : s["first"] + s["span"]]}
-                for s in segments.as_py()
-            ]
-        )
-    kind = pa.list_(pa.struct([("key", pa.int64()), ("content", pa.int64()), ("windows", pa.int32()), ("bytes", pa.binary())]))
-    return pa.array(rows, kind)
+        rows.append([s | {"bytes": data[s["first"] : s["first"] + s["span"]]} for s in segments.as_py()])
+    return pa.array(rows, pa.list_(pa.struct([(n, _TYPES[t][1]) for n, t in _HANDED])))
 
 
 def _unpack(packed: pa.Array, is_null: pa.Array) -> pa.Array:
     unpacker = zstandard.ZstdDecompressor()
-    return pa.array([None if n.as_py() else unpacker.decompress(x.as_py()).decode() for x, n in zip(packed, is_null)], pa.string())
+    texts = [None if n.as_py() else unpacker.decompress(x.as_py()).decode() for x, n in zip(packed, is_null)]
+    return pa.array(texts, pa.string())
 
 
 _unpacked = F.arrow_udf(_unpack, StringType())
 _CUT, _SLICED = F.arrow_udf(_cut_out, _KEPT), F.arrow_udf(_slices, ArrayType(_SLICE))
 
 
-def _gram_at(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
-    """Records of segments: where the anchor stands in the bytes."""
-    for batch in batches:
-        at = []
-        for key, data in zip(batch.column("key").to_pylist(), batch.column("bytes")):
-            hashes = _gram_hashes(np.frombuffer(data.as_py(), np.uint8), how.gram).view(np.int64)
-            inside = np.flatnonzero(hashes == key)
-            # every window holds the anchor: it stands between the last window's start and the first's end
-            last = len(hashes) - 1 - (how.length - how.gram)
-            at.append(int(inside[inside >= last][0]))
-        n = batch.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("key"), batch.column("content"), batch.column("key"), batch.column("bytes"), pa.array(at, pa.int32()),
-                pa.array(np.full(n, how.gram, np.int32)), pa.array(np.zeros(n, np.int32)), batch.column("windows"),
-            ],
-            [x.split()[0] for x in _RECORDS.split(", ")],
-        )
-
-
 def _shard_runs(records: DataFrame, how: Repeats) -> DataFrame:
     """``key, content, low, high``: repeated windows found by the suffix arrays of the shards."""
     records = stage(records, "segments")
@@ -313,17 +310,46 @@ def _shard_runs(records: DataFrame, how: Repeats) -> DataFrame:
     # anchors as long as a window need no sorting, and may be as many as there are documents
     whole = records.where(f"gram >= {how.length}")
     repeated = stage(whole.groupBy("anchor_key").agg(F.count("*").alias("n")).where("n > 1").select("anchor_key"), "windows")
-    runs = whole.join(repeated, "anchor_key", "left_semi").select("key", "content", "low", "high")
+    runs = whole.join(repeated, "anchor_key", "left_semi").selectExpr(
+        "key", "content", "low + base as low", "high + base as high"
+    )
     sortable = records.where(f"gram < {how.length}")
     total = sortable.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, math.ceil(total / how.shard_bytes))
     shard = F.pmod(F.xxhash64("anchor_key"), F.lit(shards))
-    sorted_ = sortable.select("key", "content", "bytes", "low", "high", shard.alias("shard")).groupBy("shard").applyInPandas(
+    dealt = sortable.select("key", "content", "base", "bytes", "low", "high", shard.alias("shard"))
+    sorted_ = dealt.groupBy("shard").applyInPandas(
         lambda x: _repeated_runs(x, how), "key long, content long, low int, high int"
     )
     return runs.union(sorted_)
 
 
+def _halves(contents: DataFrame, how: Repeats) -> DataFrame:
+    """Each content as the windows that hold the longer anchor to the right, and those that hold
+    the one to the left: where their bytes stand, and the anchor in them."""
+    split = F.greatest(F.lit(0), F.least("windows", F.col("place") - how.left))
+
+    def half(right: bool) -> Column:
+        low, high = (split, F.col("windows")) if right else (F.lit(0), split)
+        at = F.col("place") if right else F.col("place") - how.left
+        side = F.shiftrightunsigned("sides", 32) if right else F.col("sides").bitwiseAND(0xFFFFFFFF)
+        return F.struct(
+            F.xxhash64("key", F.lit(right), side).alias("anchor_key"),
+            (F.col("at.first") + low).alias("first"),
+            (high - low + how.length - 1).alias("span"),
+            low.alias("base"),
+            (at - low).alias("gram_at"),
+            F.lit(how.gram + (how.right if right else how.left)).alias("gram"),
+            F.lit(0).alias("low"),
+            (high - low).alias("high"),
+        )
+
+    both = contents.select(
+        "key", "content", "n", F.col("at.uid").alias("uid"), F.explode(F.array(half(True), half(False))).alias("h")
+    )
+    return both.select("key", "content", "n", "uid", "h.*").where("high > 0")
+
+
 # --- documents --------------------------------------------------------------------------
 
 
@@ -337,29 +363,35 @@ def remove_repeats(docs: DataFrame, how: Repeats = Repeats(), text: str = "text"
     own = [c for c in docs.columns if c != "_repeats"]
     uid = F.xxhash64(docs["doc_id"], docs[f"`{text}`"])  # rows that are equal in both have equal results
     texts = docs.select(uid.alias("uid"), docs[f"`{text}`"].alias("text"))
-    keys = anchors(texts, how, full=False).groupBy("key").agg(F.count("*").alias("n"))
+    every = stage(anchors(texts, how), "all_segments")
+    keys = every.groupBy("key").agg(F.count("*").alias("n"))
     repeated = stage(keys.where("n > 1").select("key"), "anchors")
-    segments = stage(anchors(texts, how).join(repeated, "key", "left_semi"), "segments")
+    segments = stage(every.join(repeated, "key", "left_semi"), "segments")
     contents = stage(
         segments.groupBy("key", "content").agg(
-            F.count("*").alias("n"), F.min(F.struct("uid", "first")).alias("at"), F.any_value("windows").alias("windows")
-        ),
+            F.count("*").alias("n"), F.min(F.struct("uid", "first")).alias("at"), F.any_value("shape").alias("shape"),
+            F.any_value("sides").alias("sides"),
+        ).withColumn("windows", F.shiftright("shape", 16)).withColumn("place", F.col("shape").bitwiseAND(0xFFFF)),
         "contents",
     )
     several = stage(contents.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "several")
+    halves = _halves(contents.join(several, "key", "left_semi"), how)
+    # where every content of an anchor is repeated already, there is nothing left to find
+    counted = halves.groupBy("anchor_key").agg(F.count("*").alias("c"), F.min("n").alias("least"))
+    shared = stage(counted.where("c > 1 and least = 1").select("anchor_key"), "shared")
     # one document that holds each content gives its bytes
-    wanted = contents.join(several, "key", "left_semi").select(
-        F.col("at.uid").alias("uid"),
-        F.struct("key", "content", "windows", F.col("at.first").alias("first"), (F.col("windows") + how.length - 1).alias("span")).alias("s"),
-    ).groupBy("uid").agg(F.collect_list("s").alias("wanted"))
-    fetched = texts.select("uid", _PACKED("text").alias("packed")).join(wanted, "uid").select(_SLICED("packed", "wanted").alias("s"))
-    fetched = fetched.select(F.inline("s")).dropDuplicates(["key", "content"])
-    records = fetched.mapInArrow(lambda batches: _gram_at(batches, how), _RECORDS)
+    wanted = halves.join(shared, "anchor_key", "left_semi").select("uid", F.struct(*_ASKED.split(", ")).alias("s"))
+    wanted = wanted.groupBy("uid").agg(F.collect_list("s").alias("wanted"))
+    packed = texts.select("uid", _PACKED("text").alias("packed")).join(wanted, "uid")
+    fetched = packed.select(_SLICED("packed", "wanted").alias("s"))
+    records = fetched.select(F.inline("s")).dropDuplicates(["key", "content", "base", "anchor_key"])
     runs = _shard_runs(records, how).union(
         contents.where("n > 1").select("key", "content", F.lit(0).alias("low"), F.col("windows").alias("high"))
     )
     found = segments.join(stage(runs, "runs"), ["key", "content"]).select(
-        F.col("uid").alias("_uid"), (F.col("first") + F.col("low")).alias("x"), (F.col("first") + F.col("high") + how.length - 1).alias("y")
+        F.col("uid").alias("_uid"),
+        (F.col("first") + F.col("low")).alias("x"),
+        (F.col("first") + F.col("high") + how.length - 1).alias("y"),
     )
     spans = found.groupBy("_uid").agg(F.collect_list("x").alias("_x"), F.collect_list("y").alias("_y"))
     others = [c for c in own if c != text]
