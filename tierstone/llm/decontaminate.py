@@ -19,7 +19,8 @@ _LAST = 2**63 - 1
 MARK = "\u0001"
 
 # Patterns of the canonical form. A name is a word inside a sentence that begins with
-# a capital and a small letter (words all in capitals are words like any other), a number a word that begins with a digit, a unit one of these words after a number.
+# a capital and a small letter (words all in capitals are words like any other), a number a word
+# that begins with a digit, a unit one of these words after a number.
 DECIMAL = r"([0-9])[.,]([0-9])"
 INSIDE = r"[^\x20\x09-\x0D.!?:…]"
 NAME = r"\p{Lu}\p{Ll}"
@@ -160,7 +161,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
         F.size(F.array_distinct(F.transform("slots", lambda s: s["doc"]))) == F.size("slots")
     )
     changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
-    consistent = runs.where(one_each).select("doc_id", "item_id", F.explode("at").alias("item_pos"), changed.alias("changed"))
+    consistent = runs.where(one_each).select(
+        "doc_id", "item_id", F.explode("at").alias("item_pos"), changed.alias("changed")
+    )
     scored = consistent.groupBy("doc_id", "item_id").agg(
         F.countDistinct("item_pos").alias("n_windows"), F.max("changed").cast("long").alias("n_slots")
     )

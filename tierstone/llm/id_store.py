@@ -61,7 +61,8 @@ class Segment:
         if data[8:40] != hashlib.sha256(dictionary.as_bytes()).digest():
             raise ValueError("the segment was written with another dictionary")
         n = int.from_bytes(data[40:48], "little")
-        self.ids, self.tokens, ends = (np.frombuffer(data, t, n, 48 + 8 * n * i) for i, t in enumerate(("<i8", "<u8", "<u8")))
+        kinds = enumerate(("<i8", "<u8", "<u8"))
+        self.ids, self.tokens, ends = (np.frombuffer(data, t, n, 48 + 8 * n * i) for i, t in kinds)
         self._from, self._data = 48 + 24 * n, memoryview(data)
         self._bounds = np.concatenate([[0], ends.astype(np.int64)])
         self._unpacker = zstandard.ZstdDecompressor(dict_data=dictionary)

@@ -165,7 +165,8 @@ def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") ->
 
     With one class only, every score is that class's smoothed share; without rows it is 0.5.
     """
-    labelled = docs.where(F.col(label).isin(0, 1)).select(F.col(label).cast("int").alias("y"), docs[f"`{text}`"].alias("text"))
+    labelled = docs.where(F.col(label).isin(0, 1))
+    labelled = labelled.select(F.col(label).cast("int").alias("y"), F.col(f"`{text}`").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, n = WordHasher(), np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros(2, dtype=np.int64)
@@ -177,7 +178,8 @@ def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") ->
             at = np.flatnonzero(seen[y])
             if n[y]:
                 at, counts = np.append(at, -1), np.append(seen[y, at], n[y])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), y)), pa.array(at), pa.array(counts)], ["y", "feature", "n"])
+                columns = [pa.array(np.full(len(at), y)), pa.array(at), pa.array(counts)]
+                yield pa.RecordBatch.from_arrays(columns, ["y", "feature", "n"])
 
     # at most two rows per feature reach the driver, however many documents there are
     totals = labelled.mapInArrow(count, "y long, feature long, n long").groupBy("feature").agg(
@@ -198,7 +200,8 @@ def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") ->
 
     # copies of a text count once here, so that no group of copies can fill the sample
     hashed = labelled.select("y", F.xxhash64("text").alias("h"), "text")
-    distinct = {r["y"]: r["n"] for r in hashed.select("y", "h").distinct().groupBy("y").agg(F.count("*").alias("n")).collect()}
+    per_class = hashed.select("y", "h").distinct().groupBy("y").agg(F.count("*").alias("n"))
+    distinct = {r["y"]: r["n"] for r in per_class.collect()}
     bars = {k: min(1.0, fit.sample / 2 / n) for k, n in distinct.items()}
     unit = F.col("h") / F.lit(2.0**64) + 0.5
     chosen = hashed.where(unit <= F.when(F.col("y") == 1, bars[1]).otherwise(bars[0]))

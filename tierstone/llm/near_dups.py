@@ -318,7 +318,8 @@ def _across(members: DataFrame, star: DataFrame, found: DataFrame, sets: DataFra
     )
     # buckets of one block share calls of about ``together`` members; larger ones have calls of their own
     calls = max(1, inside.where("blocks = 1").count() // sketch.together)
-    inside = inside.withColumn("call", F.when(F.col("blocks") > 1, F.col("bucket")).otherwise(F.pmod("bucket", F.lit(calls))))
+    shared_call = F.pmod("bucket", F.lit(calls))
+    inside = inside.withColumn("call", F.when(F.col("blocks") > 1, F.col("bucket")).otherwise(shared_call))
     inside = inside.join(sets.select(F.col("id").alias("rep"), "bands", "packed"), "rep")
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     common = ("call", "blocks", "bucket", "band", "rep", "n", "g", "bands", "packed")

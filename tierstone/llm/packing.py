@@ -263,7 +263,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
     cells_of = spark.createDataFrame(split, "length long, cells long")
     mixed = F.xxhash64("doc_id", "piece", "ids_crc32")
     dealt = pieces.join(F.broadcast(cells_of), "length").withColumn("cell", F.pmod(mixed, F.col("cells")))
-    counts = sorted((r["length"], r["cell"], r["n"]) for r in dealt.groupBy("length", "cell").agg(F.count("*").alias("n")).collect())
+    per_cell = dealt.groupBy("length", "cell").agg(F.count("*").alias("n")).collect()
+    counts = sorted((r["length"], r["cell"], r["n"]) for r in per_cell)
     before, offsets = {}, []
     for length, cell, n in counts:
         offsets.append((length, cell, before.get(length, 0)))
@@ -283,7 +284,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
     return ranked.mapInArrow(place, f"{_PIECES}, sequence_id long, offset long")
 
 
-def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, text: str = "text") -> DataFrame:
+def sequences(
+    docs: DataFrame,
+    packed: DataFrame,
+    tokenizer: str,
+    end_id: int = 0,
+    capacity: int = 2048,
+    text: str = "text",
+) -> DataFrame:
     """The packed sequences themselves: ``sequence_id``, ``ids`` (little-endian unsigned 32-bit)
     and ``pieces``, an array of ``offset, doc_id, piece``. Needs unique ids. At most ``capacity``
     tokens meet in a row, so no group grows with the data."""
@@ -300,7 +308,8 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, end_id: int =
 
     tokens = _narrow(docs, text).mapInArrow(cut, "doc_id long, piece int, ids binary")
     met = packed.select("doc_id", "piece", "sequence_id", "offset").join(tokens, ["doc_id", "piece"])
-    grouped = met.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "ids"))).alias("p"))
+    placed = F.collect_list(F.struct("offset", "doc_id", "piece", "ids"))
+    grouped = met.groupBy("sequence_id").agg(F.sort_array(placed).alias("p"))
     return grouped.select(
         "sequence_id",
         F.aggregate("p", F.lit(b""), lambda held, x: F.concat(held, x["ids"])).alias("ids"),

@@ -12,7 +12,18 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierstone.llm import decontaminate, id_store, line_dedup, nbsvm, near_dups, packing, quality_lines, sharding, site_templates, substring_dedup
+from tierstone.llm import (
+    decontaminate,
+    id_store,
+    line_dedup,
+    nbsvm,
+    near_dups,
+    packing,
+    quality_lines,
+    sharding,
+    site_templates,
+    substring_dedup,
+)
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
 

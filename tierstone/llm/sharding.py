@@ -144,7 +144,8 @@ def shuffle_into_shards(docs: DataFrame, shards: int, seed: int = 0) -> DataFram
         return celled(df.mapInArrow(lambda batches: _deal(batches, plan), schema))
 
     light = dealt(docs.select(F.lit(1).cast("byte").alias("_one")))
-    sizes = sorted((r["_shard"], r["_cell"], r["n"]) for r in light.groupBy("_shard", "_cell").agg(F.count("*").alias("n")).collect())
+    per_cell = light.groupBy("_shard", "_cell").agg(F.count("*").alias("n")).collect()
+    sizes = sorted((r["_shard"], r["_cell"], r["n"]) for r in per_cell)
     begin, before = [], {}
     for shard, cell, n in sizes:
         begin.append((shard, cell, before.get(shard, 0)))

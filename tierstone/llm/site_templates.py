@@ -285,7 +285,9 @@ def extract(pages: DataFrame, template: Template = Template()) -> DataFrame:
         F.collect_list(F.when(F.col("inside"), F.col("subtree"))).alias("_a"),
     )
     whole = pages.select(
-        F.struct(*[pages[f"`{c}`"] for c in own]).alias("_row"), F.xxhash64(host_of(pages["url"])).alias("_host"), host_of(pages["url"]).isNotNull().alias("_has")
+        F.struct(*[pages[f"`{c}`"] for c in own]).alias("_row"),
+        F.xxhash64(host_of(pages["url"])).alias("_host"),
+        host_of(pages["url"]).isNotNull().alias("_has"),
     )
     host = F.when(F.col("_has"), F.col("_host"))
     if rows <= template.broadcast_rows:
@@ -296,5 +298,6 @@ def extract(pages: DataFrame, template: Template = Template()) -> DataFrame:
         copies = lists.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         joined = dealt.join(copies, (host == F.col("host")) & (F.col("_salt") == F.col("_s")), "left")
     return joined.select(
-        *[F.col(f"_row.`{c}`").alias(c) for c in own], _main_text(F.col("_row.html"), F.col("_t"), F.col("_a")).alias("_main")
+        *[F.col(f"_row.`{c}`").alias(c) for c in own],
+        _main_text(F.col("_row.html"), F.col("_t"), F.col("_a")).alias("_main"),
     )
