@@ -137,7 +137,8 @@ def lookup_join(
     ``max_broadcast_bytes``: the fact table is then not shuffled at all. The size is
     measured on the pruned rows, unless an upper bound from :func:`in_memory_bytes` or the
     table's commit record is given as ``dim_bytes`` and already settles it. Beyond that, or
-    with ``broadcast="never"`` (``"measured"``: the caller found it to fit), both sides shuffle on the key in one join: rows of hot keys,
+    with ``broadcast="never"`` (``"measured"``: the caller found it to fit), both sides shuffle
+    on the key in one join: rows of hot keys,
     and rows without a key if they are many, are dealt to several tasks, and the lookup's rows
     of those keys alone are copied to each. Hot keys are counted in ``fact`` first; when that
     is itself a join, count them in the table that they come from with :func:`hot_key_rows`

@@ -102,7 +102,11 @@ def landing_inventory_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listing held against the files that the rows of each extract were read from."""
     raw = landing(spark, sf_dir)
     listed = landing_inventory(spark, [raw.orders, raw.customers, raw.products])
-    extracts = {"orders": (raw.orders, ORDERS), "customers": (raw.customers, CUSTOMERS), "products": (raw.products, PRODUCTS)}
+    extracts = {
+        "orders": (raw.orders, ORDERS),
+        "customers": (raw.customers, CUSTOMERS),
+        "products": (raw.products, PRODUCTS),
+    }
     read = [
         scan_csv(spark, files, schema)
         .groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
