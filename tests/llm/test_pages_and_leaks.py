@@ -78,6 +78,17 @@ def test_copies_and_changed_values_are_caught(spark):
     assert {3, 4, 5, 6}.isdisjoint(slots)
 
 
+def test_one_odd_value_costs_only_the_windows_over_it(spark):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(56)]
+    words[5] = words[50] = "12"
+    passage = " ".join(words)
+    drawn = "a farmer sells 3 sacks of corn and then buys 5 crates of pears while the market is open on the square of town"
+    items = [(1, passage), (2, drawn), (3, "4 hens and 4 cows " * 6)]
+    texts = [passage[::-1].replace("21", "51", 1)[::-1], drawn.replace("3", "4").replace("5", "4"), passage.replace("12", "15", 1)]
+    texts += ["".join(f"{i} hens and {i + 1} cows " for i in range(10, 22, 2))]  # no window has one value for 4
+    assert _leaks(spark, texts, items) == [(0, 1, 1), (1, 2, 2), (2, 1, 1)]
+
+
 def test_shuffled_joins_give_the_same(spark):
     texts = [ITEM, "x " + ITEM, None]
     items = [(1, ITEM), (2, ITEM.replace("120", "90")), (3, None), (4, "too short"), (1, ITEM)]

@@ -2,8 +2,8 @@
 
 Numbers, names and units become typed placeholders, so a question whose values were changed has
 the same template as the original. Windows of templates are hash-joined; where they match, the
-values in the slots are compared, and only a consistent renaming (one value of the document for
-each value of the item) counts.
+values in the slots are compared, and a window counts only as a consistent renaming (in it, one
+value of the document for each value of the item; two values of the item may become the same).
 """
 
 from __future__ import annotations
@@ -109,6 +109,27 @@ def _small(df: DataFrame, match: Match) -> DataFrame:
     return F.broadcast(df) if df.count() <= match.broadcast_rows else df
 
 
+def _span(pos: Column, match: Match) -> Column:
+    return F.sequence(pos, pos + F.lit(match.window - 1))
+
+
+def _slots(positions: Column) -> Column:
+    """The distinct slots of the item at ``positions``, each with the word of the document there."""
+    return F.array_distinct(
+        F.transform(
+            F.filter(positions, lambda p: _is_slot(F.get("_words", p))),
+            # named by hand: in a lambda within another one, aliases are lost
+            lambda p: F.named_struct(
+                F.lit("item"), F.get("_words", p), F.lit("doc"), F.get("_tokens", p + F.col("shift"))
+            ),
+        )
+    )
+
+
+def _one_value_each(slots: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(slots, lambda s: s["item"]))) == F.size(slots)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: str = "text") -> DataFrame:
     """One row per document and item that it leaks: ``doc_id``, ``item_id``, ``n_items``,
     ``n_windows``, ``item_windows``, ``n_slots``.
@@ -146,24 +167,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
     runs = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("at"))
     item_words = items.select("item_id", F.col("_tokens").alias("_words"))
     runs = runs.join(hit_docs, "doc_id").join(_small(item_words, match), "item_id")
-    # the words that the matching windows cover, and the slots among them
-    covered = F.array_distinct(
-        F.flatten(F.transform("at", lambda p: F.sequence(p, p + F.lit(match.window - 1))))
-    )
-    slots = F.array_distinct(
-        F.transform(
-            F.filter(covered, lambda p: _is_slot(F.get("_words", p))),
-            lambda p: F.struct(F.get("_words", p).alias("item"), F.get("_tokens", p + F.col("shift")).alias("doc")),
-        )
-    )
-    runs = runs.select("doc_id", "item_id", "at", slots.alias("slots"))
-    one_each = (F.size(F.array_distinct(F.transform("slots", lambda s: s["item"]))) == F.size("slots")) & (
-        F.size(F.array_distinct(F.transform("slots", lambda s: s["doc"]))) == F.size("slots")
-    )
-    changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
-    consistent = runs.where(one_each).select(
-        "doc_id", "item_id", F.explode("at").alias("item_pos"), changed.alias("changed")
-    )
+    # a window counts if each value of the item in its slots stands for one value of the document
+    runs = runs.withColumn("at", F.filter("at", lambda p: _one_value_each(_slots(_span(p, match)))))
+    covered = F.array_distinct(F.flatten(F.transform("at", lambda p: _span(p, match))))
+    changed = F.size(F.filter(_slots(covered), lambda s: s["item"] != s["doc"]))
+    consistent = runs.select("doc_id", "item_id", F.explode("at").alias("item_pos"), changed.alias("changed"))
     scored = consistent.groupBy("doc_id", "item_id").agg(
         F.countDistinct("item_pos").alias("n_windows"), F.max("changed").cast("long").alias("n_slots")
     )
