@@ -89,6 +89,18 @@ def test_one_odd_value_costs_only_the_windows_over_it(spark):
     assert _leaks(spark, texts, items) == [(0, 1, 1), (1, 2, 2), (2, 1, 1)]
 
 
+def test_copies_match_in_any_case(spark):
+    full = "Lucy told Mary and Anna that John of Leeds saw Peter with Paul near Boston and Dover on Monday"
+    texts = [ITEM.lower(), ITEM.upper(), full.lower(), f"so {full.upper()} it is", ITEM[:60].lower()]
+    assert _leaks(spark, texts, [(1, ITEM), (2, full)]) == [(0, 1, 0), (1, 1, 0), (2, 2, 0), (3, 2, 0)]
+
+
+def test_names_that_begin_sentences_are_slots(spark):
+    item = "Tom has 3 red apples in his bag. Anna gives him 4 more of them. Tom then eats 2 on the way. How many are left?"
+    texts = [item.replace("Tom", "Ivan").replace("Anna", "Mary"), item.replace("Tom", "Ivan").replace("3", "8")]
+    assert [x[:2] for x in _leaks(spark, texts, [(1, item)])] == [(0, 1), (1, 1)]
+
+
 def test_shuffled_joins_give_the_same(spark):
     texts = [ITEM, "x " + ITEM, None]
     items = [(1, ITEM), (2, ITEM.replace("120", "90")), (3, None), (4, "too short"), (1, ITEM)]

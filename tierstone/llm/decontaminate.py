@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierstone.sources import stage
 
 _LAST = 2**63 - 1
 MARK = "\u0001"
+START = MARK + "s"
 
 # Patterns of the canonical form. A name is a word inside a sentence that begins with
 # a capital and a small letter (words all in capitals are words like any other), a number a word
@@ -45,20 +46,41 @@ class Match:
     broadcast_rows: int = 1_000_000
 
 
-def canonical(text: Column) -> Column:
-    """Lower-case words with one space between; names and units marked with their type."""
+def canonical(text: Column, starts: bool = False) -> Column:
+    """Lower-case words with one space between; names and units marked with their type.
+
+    With ``starts``, other words that begin like a name (at the start of a sentence, mostly) are
+    marked too, with a mark of their own."""
     t = F.coalesce(text, F.lit(""))
     for _ in range(2):
         t = F.regexp_replace(t, DECIMAL, "$1_$2")
     t = F.replace(t, F.lit("\n"), F.lit(" "))
     # the blank first: it is found fast, and few blanks go on to the two conditions
     t = F.regexp_replace(t, rf" (?={NAME})(?<={INSIDE} {{1,40}})", f" {MARK}p")
+    if starts:
+        t = F.regexp_replace(F.concat(F.lit(" "), t), rf"([^\p{{L}}\p{{N}}\x01_])(?={NAME})", f"$1{START}")
     t = F.trim(F.regexp_replace(F.lower(t), NO_WORD, " "))
     return F.regexp_replace(t, rf"([0-9]) ({UNITS})( |\z)", f"$1 {MARK}u$2$3")
 
 
+def _split(canon: Column) -> Column:
+    return F.filter(F.split(canon, " "), lambda w: w != "")
+
+
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(canonical(text), " "), lambda w: w != "")
+    return _split(canonical(text))
+
+
+def _forms(df: DataFrame, *carry: str) -> DataFrame:
+    """``carry`` and the words of column ``_text`` in three forms of the same length: ``_tokens``,
+    ``_named`` with names at the start of sentences too, and ``_plain`` without any mark."""
+    df = df.select(*carry, canonical(F.col("_text"), starts=True).alias("_canon"))
+    return df.select(
+        *carry,
+        _split(F.replace("_canon", F.lit(START), F.lit(""))).alias("_tokens"),
+        _split(F.replace("_canon", F.lit(START), F.lit(MARK + "p"))).alias("_named"),
+        _split(F.regexp_replace("_canon", MARK + "[psu]", "")).alias("_plain"),
+    )
 
 
 def _is_number(word: Column) -> Column:
@@ -79,29 +101,51 @@ def _is_slot(word: Column) -> Column:
 
 
 def _windowed(df: DataFrame, match: Match, *carry: str) -> DataFrame:
-    """``carry``, ``pos`` and ``key`` of every window of column ``_tokens`` that is literal enough."""
-    w = match.window
+    """``carry``, ``pos``, ``form`` and ``key`` of the windows of the forms that ``_forms`` makes.
+
+    Form 0 has the windows of ``_tokens`` that are literal enough, form 1 those of ``_named`` that
+    are and differ from them, form 2 all windows of ``_plain`` that have a slot. A window without
+    a slot is the same in all forms and made once."""
+    w, many = match.window, 2 * match.window
+    # the slots of a window are counted in one sum: those of form 0 as ``many``, names at starts as 1
     hashed = df.select(
         *carry,
-        F.transform("_tokens", lambda x: F.xxhash64(typed(x))).alias("_h"),
-        F.transform("_tokens", lambda x: F.when(_is_slot(x), 1).otherwise(0)).alias("_s"),
+        F.transform("_tokens", lambda x: F.xxhash64(typed(x))).alias("_h0"),
+        F.transform("_named", lambda x: F.xxhash64(typed(x))).alias("_h1"),
+        F.transform("_plain", lambda x: F.xxhash64(x)).alias("_h2"),
+        F.zip_with(
+            "_tokens", "_named", lambda t, x: F.when(_is_slot(t), many).when(t != x, 1).otherwise(0)
+        ).alias("_s"),
     )
 
-    def key(i: Column) -> Column:
-        return F.xxhash64(*[F.get("_h", i + j) for j in range(w)])
-
-    def slots(i: Column) -> Column:
-        return sum((F.get("_s", i + j) for j in range(1, w)), F.get("_s", i))
-
-    starts = F.sequence(F.lit(0), F.size("_h") - w)
-    # without a slot, as most texts are, every window is literal; the slots are looked at only then
-    literal = F.transform(starts, key)
-    mixed = F.transform(starts, lambda i: F.when(slots(i) <= w - match.literals, key(i)))
-    keys = F.when(F.size("_h") >= w, F.when(F.array_max("_s") == 0, literal).otherwise(mixed))
+    def key(h: str, i: Column) -> Column:
+        return F.xxhash64(*[F.get(h, i + j) for j in range(w)])
+
+    starts = F.sequence(F.lit(0), F.size("_h0") - w)
+    sums = F.transform(starts, lambda i: sum((F.get("_s", i + j) for j in range(1, w)), F.get("_s", i)))
+    hashed = hashed.select("*", F.when((F.size("_h0") >= w) & (F.array_max("_s") > 0), sums).alias("_sums"))
+
+    def mixed(h: str, wanted) -> Column:
+        return F.transform("_sums", lambda n, i: F.when(wanted(n), key(h, i)))
+
+    few = w - match.literals
+    # without a slot every window is literal; the slots are looked at only then
+    literal = F.transform(starts, lambda i: key("_h0", i))
+    keys = F.when(
+        F.col("_sums").isNotNull(),
+        F.concat(
+            mixed("_h0", lambda n: n < (few + 1) * many),
+            mixed("_h1", lambda n: (n % many > 0) & (F.floor(n / many) + n % many <= few)),
+            mixed("_h2", lambda n: n >= many),
+        ),
+    ).when(F.size("_h0") >= w, literal)
     # A column of its own first, so that rows are made and joined in generated code. The outer form
     # infers no filter on the array: one would be pushed down and run the hashing once per element.
-    made = hashed.select(*carry, keys.alias("_keys"))
-    return made.select(*carry, F.posexplode_outer("_keys").alias("pos", "key")).where("key is not null")
+    made = hashed.select(*carry, F.greatest(F.size("_h0") - w + 1, F.lit(1)).alias("_n"), keys.alias("_keys"))
+    made = made.select(*carry, "_n", F.posexplode_outer("_keys").alias("_at", "key")).where("key is not null")
+    return made.select(
+        *carry, (F.col("_at") % F.col("_n")).alias("pos"), F.floor(F.col("_at") / F.col("_n")).cast("int").alias("form"), "key"
+    )
 
 
 def _small(df: DataFrame, match: Match) -> DataFrame:
@@ -140,45 +184,71 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
     cannot be told from chance and are not searched. Rows that repeat a ``doc_id`` are judged
     together; a null ``doc_id`` stays null in the result.
     """
-    items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), tokens(benchmark["text"]).alias("_tokens"))
+    items = _forms(benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("_text")), "item_id")
     items = items.withColumn("template", F.sha2(F.array_join(F.transform("_tokens", typed), " "), 256))
     items = stage(
-        items.where(F.size("_tokens") >= match.window).groupBy("template").agg(
-            F.min("item_id").alias("item_id"), F.count("*").alias("n_items"),
-            F.min_by("_tokens", F.struct("item_id", "_tokens")).alias("_tokens"),
-        ).drop("template"),
+        items.where(F.size("_tokens") >= match.window).withColumn("n_items", F.count("*").over(Window.partitionBy("template")))
+        .withColumn("first", F.row_number().over(Window.partitionBy("template").orderBy("item_id", "_tokens")) == 1)
+        .withColumn("item_id", F.min("item_id").over(Window.partitionBy("template"))),
         "bench_items",
     )
-    windows = stage(_windowed(items, match, "item_id").withColumnRenamed("pos", "item_pos"), "bench_windows")
-    sizes = windows.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    firsts = items.where("first").select("item_id", "n_items", F.col("_tokens").alias("_words"), F.col("_named").alias("_named_words"))
+    # items of one template have the same windows but for the values that are plain words
+    windows = stage(
+        _windowed(items, match, "item_id").withColumnsRenamed({"pos": "item_pos", "form": "item_form"}).distinct(), "bench_windows"
+    )
+    sizes = windows.where("item_form = 0").groupBy("item_id").agg(F.count("*").alias("sized"))
+    firsts = stage(firsts.join(sizes, "item_id", "left"), "bench_sizes")
 
     ident = F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST))
     narrow = docs.select(ident.alias("doc_id"), docs[f"`{text}`"].alias("_text"))
-    split = narrow.select("doc_id", tokens(F.col("_text")).alias("_tokens"))
+    split = _forms(narrow, "doc_id")
     keys = stage(windows.select("key").distinct(), "bench_keys")
     found = stage(_windowed(split, match, "doc_id").join(_small(keys, match), "key", "left_semi"), "window_hits")
     ids = stage(found.select("doc_id").distinct(), "hit_ids")
     hit_docs = stage(
-        narrow.join(_small(ids, match), "doc_id", "left_semi").select("doc_id", tokens(F.col("_text")).alias("_tokens")),
+        _forms(narrow.join(_small(ids, match), "doc_id", "left_semi"), "doc_id").drop("_plain"),
         "hit_docs",
     )
 
     pairs = found.join(_small(windows, match), "key").withColumn("shift", F.col("pos") - F.col("item_pos"))
-    runs = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("at"))
-    item_words = items.select("item_id", F.col("_tokens").alias("_words"))
-    runs = runs.join(hit_docs, "doc_id").join(_small(item_words, match), "item_id")
+    # plain words match with their values; the other forms only if the slots agree
+    plain = (F.col("form") == 2) | (F.col("item_form") == 2)
+    as_named = (F.col("form") == 1) | (F.col("item_form") == 1)
+    runs = pairs.where(~plain).groupBy("doc_id", "item_id", "shift", as_named.alias("named")).agg(F.collect_set("item_pos").alias("at"))
+    runs = runs.join(hit_docs, "doc_id").join(_small(firsts.select("item_id", "_words", "_named_words"), match), "item_id")
+    runs = runs.withColumn("_words", F.when(F.col("named"), F.col("_named_words")).otherwise(F.col("_words")))
+    runs = runs.withColumn("_tokens", F.when(F.col("named"), F.col("_named")).otherwise(F.col("_tokens")))
     # a window counts if each value of the item in its slots stands for one value of the document
     runs = runs.withColumn("at", F.filter("at", lambda p: _one_value_each(_slots(_span(p, match)))))
     covered = F.array_distinct(F.flatten(F.transform("at", lambda p: _span(p, match))))
-    changed = F.size(F.filter(_slots(covered), lambda s: s["item"] != s["doc"]))
-    consistent = runs.select("doc_id", "item_id", F.explode("at").alias("item_pos"), changed.alias("changed"))
-    scored = consistent.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("item_pos").alias("n_windows"), F.max("changed").cast("long").alias("n_slots")
+    changed = F.size(F.filter(_slots(covered), lambda s: s["item"] != s["doc"])).cast("long")
+    # windows of form 0 are scored by themselves as well: of an item full of slots they are but a part
+    hits = runs.select("doc_id", "item_id", F.explode("at").alias("item_pos"), (~F.col("named")).alias("form_0"), changed.alias("changed"))
+    hits = hits.unionByName(
+        pairs.where(plain).select("doc_id", "item_id", "item_pos", F.lit(False).alias("form_0"), F.lit(0).cast("long").alias("changed"))
+    )
+    scored = hits.groupBy("doc_id", "item_id").agg(
+        F.countDistinct(F.when(F.col("form_0"), F.col("item_pos"))).alias("n_0"),
+        F.max(F.when(F.col("form_0"), F.col("changed"))).alias("slots_0"),
+        F.countDistinct("item_pos").alias("n_all"),
+        F.max("changed").alias("slots_all"),
+    )
+    scored = scored.join(firsts, "item_id")
+    all_windows = (F.size("_words") - match.window + 1).cast("long")
+
+    def enough(n: str, of: Column) -> Column:
+        return (F.col(n) >= of * match.share) | (F.col(n) >= match.run)
+
+    by_0 = F.coalesce((F.col("n_0") > 0) & enough("n_0", F.col("sized")), F.lit(False))
+    return scored.where(by_0 | enough("n_all", all_windows)).select(
+        F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"),
+        "item_id",
+        "n_items",
+        F.when(by_0, F.col("n_0")).otherwise(F.col("n_all")).alias("n_windows"),
+        F.when(by_0, F.col("sized")).otherwise(all_windows).alias("item_windows"),
+        F.when(by_0, F.col("slots_0")).otherwise(F.col("slots_all")).alias("n_slots"),
     )
-    scored = scored.join(sizes, "item_id").join(items.select("item_id", "n_items"), "item_id")
-    return scored.where(
-        (F.col("n_windows") >= F.col("item_windows") * match.share) | (F.col("n_windows") >= match.run)
-    ).select(F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"), "item_id", "n_items", "n_windows", "item_windows", "n_slots")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: str = "text") -> DataFrame:
