@@ -101,6 +101,14 @@ def test_names_that_begin_sentences_are_slots(spark):
     assert [x[:2] for x in _leaks(spark, texts, [(1, item)])] == [(0, 1), (1, 1)]
 
 
+def test_dense_and_short_items_are_searched(spark):
+    dense, short = "Solve 3 x 4 + 5 x 6 - 7 x 8 + 9 x 10.", "What is the capital city of Mongolia?"
+    texts = [f"Now: {dense} Done.", f"He asked: {short.upper()} Nobody knew.", "What is the capital city of France?", dense.replace("x", "y"), "7 x", None]
+    items = [(1, dense), (2, short), (3, "what is the capital city of mongolia"), (4, "Mongolia?"), (5, ""), (6, None)]
+    for rows in (10**6, -1):
+        assert _leaks(spark, texts, items, broadcast_rows=rows) == [(0, 1, 0), (1, 2, 0), (1, 4, 0)]
+
+
 def test_shuffled_joins_give_the_same(spark):
     texts = [ITEM, "x " + ITEM, None]
     items = [(1, ITEM), (2, ITEM.replace("120", "90")), (3, None), (4, "too short"), (1, ITEM)]

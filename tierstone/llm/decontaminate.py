@@ -148,6 +148,41 @@ def _windowed(df: DataFrame, match: Match, *carry: str) -> DataFrame:
     )
 
 
+def _short_keys(df: DataFrame, lengths: list[int], *carry: str) -> DataFrame:
+    """``carry`` and ``key`` of every run of plain words that has one of ``lengths``."""
+    df = df.select(*carry, F.transform("_plain", lambda x: F.xxhash64(x)).alias("_h"))
+
+    def runs(n: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size("_h") - n)
+        keys = F.transform(starts, lambda i: F.xxhash64(F.lit(n), *[F.get("_h", i + j) for j in range(n)]))
+        return F.when(F.size("_h") >= n, keys).otherwise(F.array().cast("array<bigint>"))
+
+    made = df.select(*carry, F.array_distinct(F.concat(*[runs(n) for n in lengths])).alias("_keys"))
+    return made.select(*carry, F.explode_outer("_keys").alias("key")).where("key is not null")
+
+
+def _short_leaks(split: DataFrame, items: DataFrame, match: Match) -> DataFrame:
+    """Documents that hold a whole item of fewer words than a window, its values included.
+
+    Items of the same words are one; each is one window."""
+    lengths = sorted(r[0] for r in items.select(F.size("_plain")).distinct().collect())
+    if not lengths:
+        return split.sparkSession.createDataFrame([], "doc_id long, item_id long, n_items long, n_windows long, item_windows long, n_slots long")
+    whole = items.select("item_id", F.size("_plain").alias("n"), F.transform("_plain", lambda x: F.xxhash64(x)).alias("_h"))
+    key = F.lit(None).cast("long")
+    for n in lengths:
+        key = F.when(F.col("n") == n, F.xxhash64(F.lit(n), *[F.get("_h", F.lit(j)) for j in range(n)])).otherwise(key)
+    keys = stage(
+        whole.groupBy(key.alias("key")).agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items")), "bench_short"
+    )
+    found = _short_keys(split, lengths, "doc_id").join(_small(keys, match), "key").select("doc_id", "item_id", "n_items").distinct()
+    one = F.lit(1).cast("long")
+    return found.select(
+        F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"), "item_id", "n_items",
+        one.alias("n_windows"), one.alias("item_windows"), F.lit(0).cast("long").alias("n_slots"),
+    )
+
+
 def _small(df: DataFrame, match: Match) -> DataFrame:
     """A staged frame, broadcast if its rows are counted to be few."""
     return F.broadcast(df) if df.count() <= match.broadcast_rows else df
@@ -180,11 +215,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
 
     Items with the same template are one, under their least ``item_id``; ``n_items`` counts them.
     ``n_windows`` of the item's ``item_windows`` were found with consistent slots, and ``n_slots``
-    values differ from the item's. A null text has no words; items of fewer words than a window
-    cannot be told from chance and are not searched. Rows that repeat a ``doc_id`` are judged
+    values differ from the item's. A null text has no words. An item of fewer words than a window is
+    one window of its own, found with its values and in any case; such items of the same words are one. Rows that repeat a ``doc_id`` are judged
     together; a null ``doc_id`` stays null in the result.
     """
     items = _forms(benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("_text")), "item_id")
+    short = stage(items.where(F.size("_tokens").between(1, match.window - 1)).select("item_id", "_plain"), "bench_short_items")
     items = items.withColumn("template", F.sha2(F.array_join(F.transform("_tokens", typed), " "), 256))
     items = stage(
         items.where(F.size("_tokens") >= match.window).withColumn("n_items", F.count("*").over(Window.partitionBy("template")))
@@ -241,7 +277,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
         return (F.col(n) >= of * match.share) | (F.col(n) >= match.run)
 
     by_0 = F.coalesce((F.col("n_0") > 0) & enough("n_0", F.col("sized")), F.lit(False))
-    return scored.where(by_0 | enough("n_all", all_windows)).select(
+    found = scored.where(by_0 | enough("n_all", all_windows)).select(
         F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"),
         "item_id",
         "n_items",
@@ -249,6 +285,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
         F.when(by_0, F.col("sized")).otherwise(all_windows).alias("item_windows"),
         F.when(by_0, F.col("slots_0")).otherwise(F.col("slots_all")).alias("n_slots"),
     )
+    return found.unionByName(_short_leaks(split, short, match))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: str = "text") -> DataFrame:
