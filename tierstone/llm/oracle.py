@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tierstone.llm import decontaminate as b
 from tierstone.llm import quality_lines as q
+from tierstone.llm import target_resampling as t
 
 
 def _quoted(pattern: str) -> str:
@@ -160,8 +161,56 @@ where n_windows >= item_windows * {match.share} or n_windows >= {match.run}
 """
 
 
+def _draw_sql(draw: t.Draw = t.Draw()) -> str:
+    """For windows of one word. CRC-32 of the distinct words, byte by byte, from a table of bytes."""
+    assert draw.n == 1
+    step = "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    return f"""
+with d as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{t._NOT_WORD}]+') as ws
+  from documents
+), b as (
+  select unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^{t._NOT_WORD}]+')) as w
+  from benchmark
+), counted as (
+  select w, sum(s)::bigint as s, sum(t)::bigint as t from (
+    select w, count(*) as s, 0 as t from (select unnest(ws) as w from d) group by w
+    union all select w, 0, count(*) from b group by w) group by w
+), bytes as (
+  select list(v order by i) as crcs from (
+    select i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: {step}) as v from (select unnest(range(256)) as i))
+), hashed as (
+  select w, s, t, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(len(hex(w)) // 2), lambda k:
+      16 * (strpos('0123456789ABCDEF', hex(w)[2 * k + 1]) - 1) + strpos('0123456789ABCDEF', hex(w)[2 * k + 2]) - 1)),
+    lambda c, x: xor(crcs[(xor(c, x) & 255) + 1], c >> 8))) % {draw.buckets} as bucket
+  from counted, bytes
+), gains as (
+  select bucket, floor(1000 * ln((sum(t) + 1)::double * (any_value(all_s) + {draw.buckets})::double
+                                 / ((sum(s) + 1)::double * (any_value(all_t) + {draw.buckets})::double)))::bigint as gain
+  from hashed, (select sum(s) as all_s, sum(t) as all_t from counted) group by bucket
+), weights as (
+  select doc_id, sum(gain)::bigint as weight
+  from (select doc_id, unnest(ws) as w from d) join hashed using (w) join gains using (bucket) group by doc_id
+), scored as (
+  select doc_id, len(ws) as n_features, coalesce(weight, 0) as weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('{draw.seed}:' || doc_id)[1:8])::bigint + 0.5::double)
+                                                    / 4294967296::double)))::bigint as score
+  from d left join weights using (doc_id)
+), ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as r, count(*) over () as n
+  from scored where n_features >= {draw.least_words}
+)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score::bigint as score, r::bigint as rank
+from scored left join (select doc_id, r from ranked where r <= {draw.percent} * n // 100) using (doc_id)
+"""
+
+
 SQL: dict[str, str] = {
     "op2_quality_lines": _quality_sql(),
     "op6_decontaminate": _leaks_sql(),
     "op10_line_dedup": _LINES,
+    "op12_target_resampling": _draw_sql(),
 }

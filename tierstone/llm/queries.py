@@ -13,16 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.llm import (
+    cross_tokenizer,
     decontaminate,
     id_store,
     line_dedup,
     nbsvm,
     near_dups,
+    ngram_join,
     packing,
     quality_lines,
     sharding,
     site_templates,
     substring_dedup,
+    target_resampling,
 )
 from tierstone.llm.shipping import ship
 from tierstone.sources import scratch_path
@@ -108,6 +111,20 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return cross_tokenizer.link_scores(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = target_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("n_words")
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_id_store": op1_id_store,
     "op2_quality_lines": op2_quality_lines,
@@ -119,4 +136,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_dups": op8_near_dups,
     "op9_pattern_packing": op9_pattern_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_cross_tokenizer": op11_cross_tokenizer,
+    "op12_target_resampling": op12_target_resampling,
+    "op13_ngram_join": op13_ngram_join,
 }

@@ -13,7 +13,7 @@ import re
 from functools import cache
 
 import numpy as np
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 # White space of the Unicode property White_Space, which the tokenizers' patterns go by.
 _WHITE = "\t-\r \x85\xa0  -     　"
@@ -30,20 +30,30 @@ _TOGETHER = 1024
 class PieceEncoder:
     """Little-endian unsigned 32-bit ids of texts. The cache is bounded and starts anew when full."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self._tokenizer.encode_special_tokens = plain
+        # strings of special tokens, which count in the case they are given in
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._special = [] if plain else [x.content.lower() for x in added if x.special]
         self._cache: dict[str, bytes] = {}
         # a tokenizer that lower-cases gives A-Z and a-z the same ids: look them up as one
         self._folds = "Lowercase" in str(self._tokenizer.normalizer)
         # ids that can only begin a word after a blank, or only end one
-        vocabulary = self._tokenizer.get_vocab()
+        self.vocabulary = vocabulary = self._tokenizer.get_vocab()
+        # byte-level without normalizer and with all bytes in the vocabulary: ids spell their text
+        whole = set(pre_tokenizers.ByteLevel.alphabet()) <= set(vocabulary)
+        self.lossless = self._tokenizer.normalizer is None and "ByteLevel" in str(self._tokenizer.decoder) and whole
         suffix = self._tokenizer.model.end_of_word_suffix
         self._marks_end = bool(suffix)
         self._marked = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._marked[[i for x, i in vocabulary.items() if (x.endswith(suffix) if suffix else x.startswith(_BLANK))]] = True
 
+    def _has_special(self, text: str) -> bool:
+        lowered = text.lower()
+        return any(x in lowered for x in self._special)
+
     def _each(self, pieces: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
@@ -75,7 +85,7 @@ class PieceEncoder:
             self._cache.clear()
         held, found, unseen = self._cache.get, [], set()
         for text in texts:
-            if self._folds:
+            if self._folds and not (self._special and self._has_special(text)):
                 text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
             pieces = _PIECES.findall(text)
             ids = list(map(held, pieces))
@@ -94,6 +104,10 @@ class PieceEncoder:
 
 
 @cache
-def encoder(path: str) -> PieceEncoder:
-    """One per process: workers are reused, and so is what they have looked up."""
-    return PieceEncoder(path)
+def encoder(path: str, plain: bool = False) -> PieceEncoder:
+    """One per process: workers are reused, and so is what they have looked up.
+
+    Strings of special tokens in a text are those tokens, as the library has it; ordinary text
+    if ``plain``.
+    """
+    return PieceEncoder(path, plain)
