@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -27,10 +28,12 @@ BITS = 18
 
 @dataclass(frozen=True)
 class Fit:
-    """``sample`` bounds the distinct texts, half of each class, that the hinge-loss model is fitted
-    on (the least hashes; a few more by chance); the counts use all rows."""
+    """``sample`` bounds the distinct texts that the hinge-loss model is fitted on, and ``features``
+    the features they have together (four bytes each on the driver); half of each class, the
+    least hashes, a few more by chance. The counts use all rows."""
 
     sample: int = 12_000
+    features: int = 12_000_000
     smoothing: float = 1.0
     cost: float = 1.0
     mix_in: float = 0.25  # of the plain mean weight, as in interpolated models of this kind
@@ -100,24 +103,25 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: np.ndarray, y: np.nd
     The features of row ``i`` are ``rows[i]`` with the values ``values[rows[i]]``, and a bias.
     """
     random = np.random.default_rng(fit.seed)
-    w, bias, alpha = np.zeros(len(values)), 0.0, np.zeros(len(rows))
-    x = [values[r] for r in rows]
-    norm = [float(v @ v) + 1.0 for v in x]
+    # what a feature adds to a margin: its weight times its value, which steps change by the square
+    added, square, bias, alpha = np.zeros(len(values)), values * values, 0.0, np.zeros(len(rows))
+    norm = [float(square[r].sum()) + 1.0 for r in rows]
     share = {k: max(1, int((y == k).sum())) for k in (-1, 1)}
     cost = np.where(y > 0, fit.cost * len(y) / (2 * share[1]), fit.cost * len(y) / (2 * share[-1]))
     for _ in range(fit.epochs):
         moved = 0.0
         for i in random.permutation(len(rows)):
-            gradient = y[i] * (w[rows[i]] @ x[i] + bias) - 1
+            gradient = y[i] * (added[rows[i]].sum() + bias) - 1
             new = min(max(alpha[i] - gradient / norm[i], 0.0), cost[i])
             step = (new - alpha[i]) * y[i]
             if step:
-                w[rows[i]] += step * x[i]
+                added[rows[i]] += step * square[rows[i]]
                 bias += step
                 moved = max(moved, abs(step))
                 alpha[i] = new
         if moved < 1e-3:
             break
+    w = np.divide(added, values, out=np.zeros(len(values)), where=values != 0)
     return w, bias
 
 
@@ -163,21 +167,23 @@ def with_labels(docs: DataFrame, labels: DataFrame, key: str = "doc_id", broadca
 def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") -> Model:
     """A model of ``label`` (0 or 1) from the labelled rows; rows with null labels are left out.
 
-    With one class only, every score is that class's smoothed share; without rows it is 0.5.
+    With one class only, every score is that class's smoothed share; without rows it is 0.5. Rows
+    count one by one, whatever their ids, so null and repeated ids make no difference here;
+    :func:`with_labels` gives a label to every row that has its id, and to none without an id.
     """
     labelled = docs.where(F.col(label).isin(0, 1))
     labelled = labelled.select(F.col(label).cast("int").alias("y"), F.col(f"`{text}`").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, n = WordHasher(), np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros(2, dtype=np.int64)
+        hasher, seen, n = WordHasher(), np.zeros((2, 1 << BITS), dtype=np.int64), np.zeros((2, 2), dtype=np.int64)
         for batch in batches:
             for y, features in zip(batch.column(0).to_pylist(), _each_text(batch, 1, hasher)):
                 seen[y, features] += 1
-                n[y] += 1
-        for y in (0, 1):  # one row per class and feature that the task saw
+                n[y] += 1, len(features)
+        for y in (0, 1):  # one row per class and feature that the task saw; -1 has texts, -2 features
             at = np.flatnonzero(seen[y])
-            if n[y]:
-                at, counts = np.append(at, -1), np.append(seen[y, at], n[y])
+            if n[y, 0]:
+                at, counts = np.append(at, [-1, -2]), np.append(seen[y, at], n[y])
                 columns = [pa.array(np.full(len(at), y)), pa.array(at), pa.array(counts)]
                 yield pa.RecordBatch.from_arrays(columns, ["y", "feature", "n"])
 
@@ -188,6 +194,7 @@ def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") ->
     ).toPandas()
     rows = totals[totals["feature"] == -1]
     n1, n0 = (int(rows[c].iloc[0]) if len(rows) else 0 for c in ("n1", "n0"))
+    all_features = totals[totals["feature"] == -2]
     if not n1 or not n0:
         share = (n1 + 1) / (n1 + n0 + 2)
         return Model(np.zeros(1 << BITS), 0.0, 1.0, float(np.log(share / (1 - share))))
@@ -199,23 +206,27 @@ def train(docs: DataFrame, label: str, fit: Fit = Fit(), text: str = "text") ->
     ratio[(pos + neg) == 2 * fit.smoothing] = 0  # never seen in training
 
     # copies of a text count once here, so that no group of copies can fill the sample
+    long_ = {k: int(all_features[c].iloc[0]) / n for k, c, n in ((1, "n1", n1), (0, "n0", n0))}  # features of a text
     hashed = labelled.select("y", F.xxhash64("text").alias("h"), "text")
     per_class = hashed.select("y", "h").distinct().groupBy("y").agg(F.count("*").alias("n"))
     distinct = {r["y"]: r["n"] for r in per_class.collect()}
-    bars = {k: min(1.0, fit.sample / 2 / n) for k, n in distinct.items()}
+    bars = {k: min(1.0, fit.sample / 2 / n, fit.features / 2 / (n * long_[k])) for k, n in distinct.items()}
     unit = F.col("h") / F.lit(2.0**64) + 0.5
     chosen = hashed.where(unit <= F.when(F.col("y") == 1, bars[1]).otherwise(bars[0]))
-    chosen = chosen.groupBy("y", "h").agg(F.min("text").alias("text")).select("y", "text")
+    chosen = chosen.groupBy("y", "h").agg(F.min("text").alias("text")).select("y", "h", "text")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+        hasher, packer = WordHasher(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            found = [x.tolist() for x in _each_text(batch, 1, hasher)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["y", "features"])
+            found = [packer.compress(np.diff(x, prepend=0).astype("<i4").tobytes()) for x in _each_text(batch, 2, hasher)]
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["y", "h", "features"])
 
-    picked = sorted(chosen.mapInArrow(listed, "y int, features array<int>").collect(), key=lambda r: (r["y"], r["features"]))
+    # packed gaps between features: one or two bytes each; unpacked four
+    picked = sorted(chosen.mapInArrow(listed, "y int, h long, features binary").collect(), key=lambda r: (r["y"], r["h"]))
     y = np.array([1 if r["y"] else -1 for r in picked])
-    x = [np.array(r["features"], dtype=np.int64) for r in picked]
+    unpacker = zstandard.ZstdDecompressor()
+    x = [np.cumsum(np.frombuffer(unpacker.decompress(r["features"]), "<i4"), dtype=np.int32) for r in picked]
     scale = 1 / np.sqrt(np.mean([float(ratio[r] @ ratio[r]) for r in x]) + 1e-12)
     w, bias = dual_coordinate_descent(x, ratio * scale, y, fit)
     w = (1 - fit.mix_in) * w + fit.mix_in * np.abs(w).mean()
