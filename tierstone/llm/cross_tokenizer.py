@@ -3,7 +3,7 @@
 Both tokenizers spell a blank and the text. Their tokens end at byte offsets; wherever both end,
 a group of tokens is complete. The two arrays of ends are walked together at an index shift (how
 many more tokens the second one has used so far). While ends are equal at that shift, the walk
-probes stretches of 1, 2, 4, ... tokens with one comparison each and jumps over those that are
+probes stretches of 8, 16, 32, ... tokens with one comparison each and jumps over those that are
 equal throughout; in the stretch that is not, halves lead to the first difference. There the
 group is resolved token by token, and the walk goes on at the shift after it.
 
@@ -15,7 +15,6 @@ are shuffled to be summed over the corpus, and come back to the block as one arr
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -34,21 +33,13 @@ from tierstone.sources import stage
 
 BLOCK_BYTES = 2 << 20
 TEXTS_TOGETHER = 256 << 10  # bytes of texts that share a call of the tokenizers
-CACHE_WORDS = 600_000
-LONGEST_WORD = 64
+SHORT = 8  # tokens of the shortest stretch that is probed at once
 
 _MARK = "▁"
-# cut at blanks and line feeds, and between letters and a mark of punctuation
-_ENDS = ".,;:!?"
-_WORDS = re.compile(rf"\n| *[a-zA-Z]+(?=[{_ENDS}\n ]|$)| *[^ \n]+| +")
 
 
 class PieceTokens:
-    """Ids of texts by a sentencepiece model that spells blanks as marks and adds one in front.
-
-    If no piece of the vocabulary reaches across a cut of ``_WORDS``, the parts keep apart and
-    frequent ones are looked up. Other vocabularies get whole texts.
-    """
+    """Ids of texts by a sentencepiece model that spells blanks as marks and adds one in front."""
 
     def __init__(self, path: str):
         self._model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -57,43 +48,15 @@ class PieceTokens:
             bytes([int(x[3:5], 16)]) if self._model.is_byte(i) else x.replace(_MARK, " ").encode()
             for i, x in enumerate(pieces)
         ]
-        self._blank, self._feed = self._model.piece_to_id(_MARK), self._model.piece_to_id("<0x0A>")
-        keeps = self._model.encode("  a \n") == [*self._model.encode("  a"), self._blank, self._feed]
-        across = re.compile(f"[^{_MARK}]{_MARK}|[a-zA-Z][{_ENDS}]|\n")
-        self._apart = keeps and not any(across.search(x) for x in pieces)
-        self._cache: dict[str, bytes | None] = {}
 
-    def _spelt(self, ids: list[int], spelling: str) -> bytes | None:
+    def _spelt(self, ids: list[int], text: str) -> bytes | None:
         found = b"".join(map(self.spelling.__getitem__, ids))
-        return np.array(ids, dtype="<u4").tobytes() if found == spelling.encode("utf-8", "surrogatepass") else None
-
-    def _whole(self, texts: list[str]) -> list[bytes | None]:
-        return [self._spelt(ids, " " + x) for x, ids in zip(texts, self._model.encode(texts, num_threads=1))]
-
-    def _parts(self, parts: list[str]) -> list[bytes | None]:
-        """A part without a blank in front follows a line feed, whose ids and mark are dropped."""
-        given = [x[1:] if x[0] == " " else "\n" + x for x in parts]
-        found = self._model.encode(given, num_threads=1)
-        return [self._spelt((ids if x[0] == " " else ids[2:]) or [self._blank], x) for x, ids in zip(parts, found)]
+        same = found == b" " + text.encode("utf-8", "surrogatepass")
+        return np.array(ids, dtype="<u4").tobytes() if same else None
 
     def encode(self, texts: list[str]) -> list[bytes | None]:
         """Little-endian unsigned 32-bit ids of each text; none if they don't spell a blank and it."""
-        if not self._apart:
-            return self._whole(texts)
-        if len(self._cache) > CACHE_WORDS:
-            self._cache.clear()
-        # a text with a mark of its own is never spelt right: a mark is read as a blank
-        held, words = self._cache, [[] if _MARK in x else _WORDS.findall(" " + x) for x in texts]
-        unseen = list(set().union(*words).difference(held)) if words else []
-        held.update(zip(unseen, self._parts(unseen)))
-        found = []
-        for x in words:
-            ids = list(map(held.__getitem__, x))
-            found.append(b"".join(ids) if ids and None not in ids else None)
-        for x in unseen:
-            if len(x) > LONGEST_WORD:
-                del held[x]
-        return found
+        return [self._spelt(ids, x) for x, ids in zip(texts, self._model.encode(texts, num_threads=1))]
 
 
 def _byte_level(vocabulary: dict[str, int]) -> list[bytes]:
@@ -146,14 +109,15 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.n
     while i < n_a and j < n_b:
         begin, x, y = i, list_a[i], list_b[j]
         if x == y:
-            i, j, step = i + 1, j + 1, 1
-            while list_a[i : i + step] == list_b[j : j + step] and i < n_a:
+            i, j, step = i + 1, j + 1, SHORT
+            while i + step <= n_a and list_a[i : i + step] == list_b[j : j + step]:
                 i, j, step = i + step, j + step, 2 * step
-            while step > 1:  # the first difference is among the next ``step`` tokens
+            while step > SHORT:  # the first difference is among the next ``step`` tokens
                 step >>= 1
-                if list_a[i : i + step] == list_b[j : j + step]:
+                if i + step <= n_a and list_a[i : i + step] == list_b[j : j + step]:
                     i, j = i + step, j + step
-            i, j = min(i, n_a), min(j, n_b)
+            while i < n_a and j < n_b and list_a[i] == list_b[j]:
+                i, j = i + 1, j + 1
             runs.append(i - begin)
         else:
             while x != y:
