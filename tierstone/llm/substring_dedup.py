@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from tierstone.llm.induced_sort import sort_suffixes
-from tierstone.llm.words import mix, powers_of
+from tierstone.llm.words import mix, powers_of, text_blocks
 from tierstone.sources import stage
 
 _U = np.uint64
@@ -97,18 +97,20 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return held
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=4)
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return powers_of(int(_ODD), n), powers_of(pow(int(_ODD), -1, 1 << 64), n)
 
 
-def segments_of(data: np.ndarray, how: Repeats) -> Iterator[tuple[np.ndarray, ...]]:
-    """Blocks of (anchor hash, content hash, first window, number of windows, place of the anchor
-    in the first window, hashes of the longer anchors) of one text.
+def segments_of(data: np.ndarray, ends: np.ndarray, how: Repeats) -> Iterator[tuple[np.ndarray, ...]]:
+    """Blocks of (number of the text, anchor hash, content hash, first window in its text, number
+    of windows, place of the anchor in the first window, hashes of the longer anchors).
 
-    A segment's content is the bytes of all its windows and the place of the anchor in them. The
-    longer anchors' hashes are 32 bits each, the right one above.
+    ``data`` has texts one after the other, which end at ``ends``. A segment's content is the bytes
+    of all its windows and the place of the anchor in them. The longer anchors' hashes are 32 bits
+    each, the right one above.
     """
+    begins = np.concatenate([[0], ends[:-1]])
     windows = len(data) - how.length + 1
     for a in range(0, windows, how.block):
         b = min(windows, a + how.block)
@@ -117,38 +119,45 @@ def segments_of(data: np.ndarray, how: Repeats) -> Iterator[tuple[np.ndarray, ..
         low = _U((1 << _POSITION_BITS) - 1)
         ranked = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
         least = _sliding_least(ranked, how.length - how.gram + 1)
-        place = (least & low).astype(np.int64)
-        first = np.flatnonzero(np.diff(place, prepend=-1))
+        place = (least & low).astype(np.int32)
+        # windows that lie in one text; a segment ends with its text
+        at = np.arange(a, b)
+        text = np.repeat(np.arange(len(ends)), ends - begins)[a:b]
+        inside = at + how.length <= ends[text]
+        changes = np.diff(place, prepend=-1) != 0
+        changes[1:] |= (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])
+        first = np.flatnonzero(changes)
         count = np.diff(np.append(first, len(place)))
+        first, count = first[inside[first]], count[inside[first]]
+        text = text[first]
         # contents: sums of mixed gram hashes, each by a power that depends on where it stands
         powers, inverse = _powers_to(1 << max(16, len(grams).bit_length()))
         sums = np.zeros(len(grams) + 1, dtype=np.uint64)
         np.cumsum(grams * powers[: len(grams)], out=sums[1:])
         end = first + count - 1 + how.length - how.gram + 1
-        anchor = place[first]
+        anchor = place[first].astype(np.int64)
+        least_at = np.maximum(begins[text] - a, 0)
+        most_at = np.minimum(ends[text] - a - how.gram + 1, len(grams))
 
-        def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return mix((sums[np.minimum(b, len(grams))] - sums[a]) * inverse[a])
+        def between(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return mix((sums[np.minimum(y, most_at)] - sums[x]) * inverse[x])
 
         total = between(first, end)
         right = between(anchor, anchor + how.right + 1)
-        left = between(np.maximum(anchor - how.left, 0), anchor + 1)
+        left = between(np.maximum(anchor - how.left, least_at), anchor + 1)
         sides = (right & ~_U(0xFFFFFFFF)) | (left >> _U(32))
         content = mix(total ^ mix((count.astype(np.uint64) << _U(20)) ^ (anchor - first).astype(np.uint64)))
-        yield grams[anchor], content, first + a, count, anchor - first, sides
+        yield text, grams[anchor], content, first + a - begins[text], count, anchor - first, sides
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
-        held, size = [], 0
-        for uid, text in zip(batch.column(0).to_pylist(), texts):
-            data = np.frombuffer(text.as_py() or b"", dtype=np.uint8)
-            for keys, contents, first, count, place, sides in segments_of(data, how):
+        uids, held, size = batch.column(0).to_numpy(), [], 0
+        for a, b, data, ends in text_blocks(batch, 1):
+            for text, keys, contents, first, count, place, sides in segments_of(data, ends, how):
                 size += len(keys)
-                shape = (count << 16) | place
-                uids, hashes = np.full(len(keys), uid, np.int64), (x.view(np.int64) for x in (keys, contents, sides))
-                held.append((uids, *hashes, first, shape))
+                hashes = (x.view(np.int64) for x in (keys, contents, sides))
+                held.append((uids[a:b][text], *hashes, first, (count << 16) | place))
             if size > 20_000:
                 yield _anchor_batch(held)
                 held, size = [], 0
@@ -214,8 +223,8 @@ def _repeated_runs(shard: pd.DataFrame, how: Repeats) -> pd.DataFrame:
     order = sort_suffixes(data, how.sort_memory)
     order = order[is_window[order]]
     found = np.zeros(len(data), dtype=bool)
-    for a in range(0, len(order) - 1, 1 << 18):
-        p = order[a : a + (1 << 18) + 1].astype(np.int64)
+    for a in range(0, len(order) - 1, 1 << 15):
+        p = order[a : a + (1 << 15) + 1].astype(np.int64)
         q, p = p[1:], p[:-1]
         done = 0
         for step in (8, 24, 64, how.length):  # common prefixes up to the length, the unequal ones left early
