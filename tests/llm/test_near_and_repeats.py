@@ -16,10 +16,7 @@ LAST = 2**63 - 1
 
 
 def _found(df, sketch=near_dups.Sketch()):
-    return {
-        (LAST if r["doc_id"] is None else r["doc_id"]): (r["n_shingles"], LAST if r["component_id"] is None else r["component_id"])
-        for r in near_dups.near_duplicates(df, sketch).collect()
-    }
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dups.near_duplicates(df, sketch).collect()}
 
 
 def _edited(seed, edits, base):
@@ -30,8 +27,9 @@ def _edited(seed, edits, base):
 
 
 def test_groups_of_awkward_rows(spark):
-    rows = [(LAST if r[0] is None else r[0], r[1]) for r in odd_rows()]
-    assert _found(frame(spark, clashes=True)) == near_groups(rows)
+    want = near_groups([(LAST if r[0] is None else r[0], r[1]) for r in odd_rows()])
+    want[None] = (want.pop(LAST)[0], None)
+    assert _found(frame(spark, clashes=True)) == want
 
 
 def test_edited_copies_across_the_bar(spark):
@@ -52,6 +50,16 @@ def test_one_of_each_group_stays(spark):
     assert near_dups.keep_first(frame(spark, [])).collect() == []
 
 
+def test_rows_without_an_id_are_told_apart(spark):
+    """A copy without an id goes, unrelated rows without one stay; one text of a group stays."""
+    body = " ".join(f"w{i}" for i in range(60))
+    texts = [(1, body), (None, body), (None, "an unrelated text that has no id at all"), (None, None), (None, "")]
+    texts += [(None, f"x {body[40:]} y{i}") for i in range(3)] + [(7, "some rows repeat an id"), (7, "with another text under it")]
+    kept = [r["text"] for r in near_dups.keep_first(frame(spark, [(i, t, "", "", 0) for i, t in texts])).collect()]
+    assert kept.count(body) == 1 and sum((t or "").startswith("x ") for t in kept) == 1 and len(kept) == 7
+    assert {None, "", texts[2][1], texts[-1][1], texts[-2][1]} <= set(kept)
+
+
 def test_registers_merge_and_estimate():
     sketch = near_dups.Sketch()
     m = sketch.multipliers()

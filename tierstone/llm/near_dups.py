@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,6 @@ from tierstone.llm.components import components
 from tierstone.llm.words import WordHasher, mix, shingles, text_blocks
 from tierstone.sources import stage
 
-_LAST = 2**63 - 1
 _U = np.uint64
 
 
@@ -104,9 +104,9 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nda
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[pa.RecordBatch]:
     hasher, multipliers = WordHasher(), sketch.multipliers()
-    packer = zstandard.ZstdCompressor(level=1)
+    packer, number = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId() << 33
     for batch in batches:
-        for a, b, data, ends in text_blocks(batch, 1):
+        for a, b, data, ends in text_blocks(batch, 2):
             words, word_ends = hasher.words(data, ends)
             n, s1, s2, bands, packed, w, t = [], [], [], [], [], 0, 0
             for word_end, end in zip(word_ends.tolist(), ends.tolist()):
@@ -122,25 +122,34 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch], sketch: Sketch) -> Iterator[
                 w, t = word_end, end
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
-                    pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(packed, pa.binary()),
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n, pa.int64()),
+                    pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(packed, pa.binary()), pa.array(range(number, number + len(n)), pa.int64()),
                 ],
-                ["id", "n", "s1", "s2", "bands", "packed"],
+                ["key", "doc", "n", "s1", "s2", "bands", "packed", "id"],
             )
+            number += len(n)
 
 
 def sketches(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "text") -> DataFrame:
-    """Per row: ``id``, set size ``n``, set digest ``s1, s2``, packed registers, packed text.
+    """Per row: ``key``, ``doc``, set size ``n``, set digest ``s1, s2``, packed registers and text.
 
-    A null ``doc_id`` counts as the largest id. Without words, registers and text are null.
+    ``doc`` is the ``doc_id``, ``key`` what tells documents apart: the id, or for rows without one
+    the digest of their text. Without words, registers and text are null.
     """
-    narrow = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)).alias("id"), docs[f"`{text}`"].alias("text"))
+    narrow = docs.select(identity(docs, text).alias("key"), docs["doc_id"].cast("long").alias("doc"), docs[f"`{text}`"].alias("text"))
     return narrow.mapInArrow(
         lambda batches: _sketch_rows(batches, sketch),
-        "id long, n long, s1 long, s2 long, bands array<bigint>, packed binary",
+        "key string, doc long, n long, s1 long, s2 long, bands array<bigint>, packed binary, id long",
     )
 
 
+def identity(docs: DataFrame, text: str) -> Column:
+    """The id of a row as text, or the digest of its text, so that unrelated rows stay apart."""
+    own = F.concat(F.lit("text:"), F.md5(F.coalesce(docs[f"`{text}`"], F.lit("")).cast("binary")))
+    return F.coalesce(docs["doc_id"].cast("long").cast("string"), own)
+
+
 def _set_of(packed: bytes, hasher: WordHasher, size: int) -> np.ndarray:
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
     words, _ = hasher.words(data, np.array([len(data)]))
@@ -189,13 +198,27 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "tex
     """Per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``.
 
     ``component_id`` is the least id reachable over links of at least ``sketch.percent``. Texts
-    without words are linked with nothing. Rows that repeat a ``doc_id`` are one document; a null
-    ``doc_id`` counts as the largest.
+    without words are linked with nothing. Rows are linked by their texts alone, so those that
+    repeat an id, or have none, are documents of their own; a group without any id has a null
+    component.
     """
+    found = _grouped(docs, sketch, text)
+    return found.select(
+        F.col("doc").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("least_doc")).otherwise(F.col("doc")).alias("component_id"),
+    )
+
+
+def _grouped(docs: DataFrame, sketch: Sketch, text: str) -> DataFrame:
+    """Per row: ``key, doc, n``, and of its group the least id, ``least_doc``, and the least
+    key of the rows without an id, ``least_key``."""
     sets = stage(sketches(docs, sketch, text), "sketches")
+    unnamed = F.when(F.col("doc").isNull(), F.col("key"))
     classes = stage(
         sets.where("n > 0").groupBy("s1", "s2").agg(
-            F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands")
+            F.min("id").alias("rep"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"),
+            F.min("doc").alias("least_doc"), F.min(unnamed).alias("least_key"),
         ),
         "classes",
     )
@@ -213,17 +236,16 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "tex
     if extra.limit(1).count():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(extra), "groups")
 
-    reps = classes.select("s1", "s2", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
-        "s1", "s2", F.coalesce("component", "rep").alias("component")
+    # groups of several classes are few: what they share is found apart from all the others
+    ends = found.union(found.select("component", "component").distinct()).toDF("rep", "component")
+    linked = stage(classes.select("rep", "least_doc", "least_key").join(ends, "rep"), "linked")
+    least = linked.groupBy("component").agg(F.min("least_doc").alias("_doc"), F.min("least_key").alias("_key"))
+    of = linked.select("rep", "component").join(least, "component").drop("component").withColumn("_many", F.lit(True))
+    named = classes.join(of, "rep", "left").select(
+        "s1", "s2", *[F.when(F.col("_many"), F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("_doc", "least_doc"), ("_key", "least_key"))]
     )
     # one row per document: a copy of a hot set moves by its digest, which a skewed join splits
-    out = sets.select("id", "n", "s1", "s2").join(stage(reps, "reps"), ["s1", "s2"], "left")
-    ident = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(
-        F.nullif("id", F.lit(_LAST)).alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        F.nullif(ident, F.lit(_LAST)).alias("component_id"),
-    )
+    return sets.select("key", "doc", "n", "s1", "s2").join(stage(named, "reps"), ["s1", "s2"], "left")
 
 
 def _sizes_allow(n: str, m: str, sketch: Sketch) -> str:
@@ -337,12 +359,13 @@ def _across(members: DataFrame, star: DataFrame, found: DataFrame, sets: DataFra
 
 
 def keep_first(docs: DataFrame, sketch: Sketch = Sketch(), text: str = "text") -> DataFrame:
-    """The documents whose id is the least of their group; columns as in ``docs``."""
-    gone = near_duplicates(docs, sketch, text).where("doc_id is null or doc_id != component_id")
-    gone = gone.select(F.coalesce("doc_id", F.lit(_LAST)).alias("_gone"), "component_id").where(
-        F.coalesce("component_id", F.lit(_LAST)) != F.col("_gone")
-    )
-    return docs.join(
-        stage(gone.select("_gone").distinct(), "gone"),
-        F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)) == F.col("_gone"), "left_anti",
-    )
+    """The documents whose id is the least of their group; columns as in ``docs``.
+
+    Rows without an id come last: one text of a group without ids stays, that of the least digest.
+    Rows with one id, or without one and of one text, are one document: they stay or go together.
+    """
+    found = _grouped(docs, sketch, text)
+    first = F.coalesce(F.col("least_doc").cast("string"), F.col("least_key"))
+    # an id stays if any of its rows is the first of its group
+    gone = found.groupBy(F.col("key").alias("_gone")).agg(F.max((F.col("n") == 0) | (F.col("key") == first)).alias("_stays"))
+    return docs.join(stage(gone.where("not _stays").select("_gone"), "gone"), identity(docs, text) == F.col("_gone"), "left_anti")
