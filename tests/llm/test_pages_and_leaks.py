@@ -106,7 +106,14 @@ def test_dense_and_short_items_are_searched(spark):
     texts = [f"Now: {dense} Done.", f"He asked: {short.upper()} Nobody knew.", "What is the capital city of France?", dense.replace("x", "y"), "7 x", None]
     items = [(1, dense), (2, short), (3, "what is the capital city of mongolia"), (4, "Mongolia?"), (5, ""), (6, None)]
     for rows in (10**6, -1):
-        assert _leaks(spark, texts, items, broadcast_rows=rows) == [(0, 1, 0), (1, 2, 0), (1, 4, 0)]
+        assert _leaks(spark, texts, items, broadcast_rows=rows) == [(0, 1, 0), (1, 2, 0)]
+
+
+def test_items_of_few_words_are_searched_as_lines(spark):
+    """A word that any text may have makes no leak, a line that is the item does."""
+    texts = ["This is why it happened.", "Q:\nWHY?\nBecause.", "The reason why", "So it goes on", None, "why"]
+    assert _leaks(spark, texts, [(1, "Why?"), (2, "so it goes"), (3, "and so it goes on")]) == [(1, 1, 0), (5, 1, 0)]
+    assert _leaks(spark, texts, [(1, "Why?"), (2, "so it goes")], short=1) == [(0, 1, 0), (1, 1, 0), (2, 1, 0), (3, 2, 0), (5, 1, 0)]
 
 
 def test_shuffled_joins_give_the_same(spark):
@@ -121,6 +128,10 @@ def test_clean_keeps_other_documents(spark):
     kept = decontaminate.clean(docs, _benchmark(spark, [(1, ITEM)]))
     assert kept.columns == docs.columns and sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 2]
     assert decontaminate.clean(docs, _benchmark(spark, [])).count() == 4
+    rows = [(None, t, None, None, None) for t in (ITEM, "x", None, ITEM, "Another text without an id")] + [(5, "y", None, None, None)]
+    docs = frame(spark, rows)
+    assert sorted((r["text"] or "") for r in decontaminate.clean(docs, _benchmark(spark, [(1, ITEM)])).collect()) == ["", "Another text without an id", "x", "y"]
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, _benchmark(spark, [(1, ITEM)])).collect()] == [(None, 1)]
     assert decontaminate.leaks(frame(spark, []), _benchmark(spark, [(1, ITEM)])).collect() == []
 
 

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tierstone.sources import stage
 
-_LAST = 2**63 - 1
 MARK = "\u0001"
 START = MARK + "s"
+BITS = 1 << 16
 
 # Patterns of the canonical form. A name is a word inside a sentence that begins with
 # a capital and a small letter (words all in capitals are words like any other), a number a word
@@ -37,12 +37,14 @@ UNITS = (
 @dataclass(frozen=True)
 class Match:
     """Windows of ``window`` words with at least ``literals`` plain ones. A document leaks an item
-    if matches cover ``share`` of the item's windows, or ``run`` windows of a long item."""
+    if matches cover ``share`` of the item's windows, or ``run`` windows of a long item. Items of
+    fewer words than a window are searched whole, those of fewer than ``short`` as lines only."""
 
     window: int = 8
     literals: int = 4
     share: float = 0.5
     run: int = 20
+    short: int = 4
     broadcast_rows: int = 1_000_000
 
 
@@ -100,85 +102,123 @@ def _is_slot(word: Column) -> Column:
     return word.startswith(MARK) | _is_number(word)
 
 
+def vocabulary(items: DataFrame) -> bytes:
+    """Which of ``BITS`` hash values the words of the items have: a byte 1 or 0 for each, so its size
+    is fixed. ``items`` has their ``_plain`` words."""
+    words = items.select(F.explode("_plain").alias("word")).select(F.pmod(F.xxhash64("word"), F.lit(BITS)).alias("bit"))
+    table = bytearray(b"0" * BITS)
+    for r in words.distinct().toLocalIterator():  # as many as there are hash values at most
+        table[r["bit"]] = ord("1")
+    return bytes(table)
+
+
+def _known(df: DataFrame, table: bytes) -> DataFrame:
+    """Adds ``_known``, a byte per word: 1 if it can stand in an item's window, as a slot or a word
+    of the items. A window that matches has eight such words in a row, so no other is hashed."""
+
+    def known(x: Column) -> Column:
+        held = F.substring(F.lit(table), F.pmod(F.xxhash64(x), F.lit(BITS)).cast("int") + 1, 1)
+        return F.when(_is_slot(x), F.lit("1")).otherwise(held.cast("string"))
+
+    return df.select("*", F.array_join(F.transform("_named", known), "").cast("binary").alias("_known"))
+
+
+def _starts(df: DataFrame, width: int) -> Column:
+    """Where windows of ``width`` words begin: everywhere, or where all their words are known.
+
+    Columns that a lambda reads stand outside of it too: with one use alone the optimizer would put
+    what makes them into the lambda, and run it once per element."""
+    size = F.length("_known") if "_known" in df.columns else F.size("_plain")
+    every = F.when(size >= width, F.sequence(F.lit(0), size - width)).otherwise(F.array().cast("array<int>"))
+    if "_known" not in df.columns:
+        return every
+    run = F.lit(b"1" * width)
+    return F.filter(every, lambda i: F.substring(F.col("_known"), i + 1, width) == run)
+
+
 def _windowed(df: DataFrame, match: Match, *carry: str) -> DataFrame:
     """``carry``, ``pos``, ``form`` and ``key`` of the windows of the forms that ``_forms`` makes.
 
     Form 0 has the windows of ``_tokens`` that are literal enough, form 1 those of ``_named`` that
     are and differ from them, form 2 all windows of ``_plain`` that have a slot. A window without
     a slot is the same in all forms and made once."""
-    w, many = match.window, 2 * match.window
-    # the slots of a window are counted in one sum: those of form 0 as ``many``, names at starts as 1
-    hashed = df.select(
-        *carry,
-        F.transform("_tokens", lambda x: F.xxhash64(typed(x))).alias("_h0"),
-        F.transform("_named", lambda x: F.xxhash64(typed(x))).alias("_h1"),
-        F.transform("_plain", lambda x: F.xxhash64(x)).alias("_h2"),
-        F.zip_with(
-            "_tokens", "_named", lambda t, x: F.when(_is_slot(t), many).when(t != x, 1).otherwise(0)
-        ).alias("_s"),
+    w, many, few = match.window, 2 * match.window, match.window - match.literals
+
+    def slots(i: Column) -> Column:
+        """The slots of a window in one sum: those of form 0 as ``many``, names at starts as 1."""
+        each = []
+        for j in range(w):
+            t, x = F.get("_tokens", i + j), F.get("_named", i + j)
+            each.append(F.when(_is_slot(t), many).when(t != x, 1).otherwise(0))
+        return sum(each[1:], each[0])
+
+    def made(form: int, word, wanted) -> Column:
+        def window(at: Column) -> Column:
+            # fields of a lambda's variable are named by hand: in a lambda, aliases are lost
+            key = F.xxhash64(*[word(at["i"] + j) for j in range(w)])
+            return F.named_struct(F.lit("pos"), at["i"], F.lit("form"), F.lit(form), F.lit("key"), key)
+
+        return F.transform(F.filter("_at", lambda at: wanted(at["n"])), window)
+
+    found = df.select("*", _starts(df, w).alias("_starts"))
+    counted = F.transform("_starts", lambda i: F.named_struct(F.lit("i"), i, F.lit("n"), slots(i)))
+    found = found.select("*", counted.alias("_at"))
+    windows = F.concat(
+        made(0, lambda i: typed(F.get("_tokens", i)), lambda n: n < (few + 1) * many),
+        made(1, lambda i: typed(F.get("_named", i)), lambda n: (n % many > 0) & (F.floor(n / many) + n % many <= few)),
+        made(2, lambda i: F.get("_plain", i), lambda n: n >= many),
     )
-
-    def key(h: str, i: Column) -> Column:
-        return F.xxhash64(*[F.get(h, i + j) for j in range(w)])
-
-    starts = F.sequence(F.lit(0), F.size("_h0") - w)
-    sums = F.transform(starts, lambda i: sum((F.get("_s", i + j) for j in range(1, w)), F.get("_s", i)))
-    hashed = hashed.select("*", F.when((F.size("_h0") >= w) & (F.array_max("_s") > 0), sums).alias("_sums"))
-
-    def mixed(h: str, wanted) -> Column:
-        return F.transform("_sums", lambda n, i: F.when(wanted(n), key(h, i)))
-
-    few = w - match.literals
-    # without a slot every window is literal; the slots are looked at only then
-    literal = F.transform(starts, lambda i: key("_h0", i))
-    keys = F.when(
-        F.col("_sums").isNotNull(),
-        F.concat(
-            mixed("_h0", lambda n: n < (few + 1) * many),
-            mixed("_h1", lambda n: (n % many > 0) & (F.floor(n / many) + n % many <= few)),
-            mixed("_h2", lambda n: n >= many),
-        ),
-    ).when(F.size("_h0") >= w, literal)
     # A column of its own first, so that rows are made and joined in generated code. The outer form
     # infers no filter on the array: one would be pushed down and run the hashing once per element.
-    made = hashed.select(*carry, F.greatest(F.size("_h0") - w + 1, F.lit(1)).alias("_n"), keys.alias("_keys"))
-    made = made.select(*carry, "_n", F.posexplode_outer("_keys").alias("_at", "key")).where("key is not null")
-    return made.select(
-        *carry, (F.col("_at") % F.col("_n")).alias("pos"), F.floor(F.col("_at") / F.col("_n")).cast("int").alias("form"), "key"
-    )
+    rows = found.select(*carry, windows.alias("_windows")).select(*carry, F.explode_outer("_windows").alias("_w"))
+    return rows.select(*carry, "_w.pos", "_w.form", "_w.key").where("key is not null")
 
 
 def _short_keys(df: DataFrame, lengths: list[int], *carry: str) -> DataFrame:
     """``carry`` and ``key`` of every run of plain words that has one of ``lengths``."""
-    df = df.select(*carry, F.transform("_plain", lambda x: F.xxhash64(x)).alias("_h"))
 
     def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("_h") - n)
-        keys = F.transform(starts, lambda i: F.xxhash64(F.lit(n), *[F.get("_h", i + j) for j in range(n)]))
-        return F.when(F.size("_h") >= n, keys).otherwise(F.array().cast("array<bigint>"))
+        keys = F.transform(_starts(df, n), lambda i: F.xxhash64(F.lit(n), *[F.xxhash64(F.get("_plain", i + j)) for j in range(n)]))
+        return F.when(F.size("_plain") >= n, keys).otherwise(F.array().cast("array<bigint>"))
 
     made = df.select(*carry, F.array_distinct(F.concat(*[runs(n) for n in lengths])).alias("_keys"))
     return made.select(*carry, F.explode_outer("_keys").alias("key")).where("key is not null")
 
 
-def _short_leaks(split: DataFrame, items: DataFrame, match: Match) -> DataFrame:
-    """Documents that hold a whole item of fewer words than a window, its values included.
+def _whole_key(words: str, lengths: list[int]) -> Column:
+    """The key of a run of words that has one of ``lengths``; null otherwise."""
+    key = F.lit(None).cast("long")
+    for n in lengths:
+        hashed = F.xxhash64(F.lit(n), *[F.xxhash64(F.get(words, F.lit(j))) for j in range(n)])
+        key = F.when(F.size(words) == n, hashed).otherwise(key)
+    return key
+
+
+def _short_leaks(split: DataFrame, narrow: DataFrame, items: DataFrame, match: Match) -> DataFrame:
+    """Documents that hold a whole item of fewer words than a window, its values included: anywhere,
+    or as a line of its own if it has fewer than ``short`` words, which any text may have.
 
     Items of the same words are one; each is one window."""
     lengths = sorted(r[0] for r in items.select(F.size("_plain")).distinct().collect())
+    columns = "_id string, item_id long, n_items long, n_windows long, item_windows long, n_slots long"
     if not lengths:
-        return split.sparkSession.createDataFrame([], "doc_id long, item_id long, n_items long, n_windows long, item_windows long, n_slots long")
-    whole = items.select("item_id", F.size("_plain").alias("n"), F.transform("_plain", lambda x: F.xxhash64(x)).alias("_h"))
-    key = F.lit(None).cast("long")
-    for n in lengths:
-        key = F.when(F.col("n") == n, F.xxhash64(F.lit(n), *[F.get("_h", F.lit(j)) for j in range(n)])).otherwise(key)
-    keys = stage(
-        whole.groupBy(key.alias("key")).agg(F.min("item_id").alias("item_id"), F.count("*").alias("n_items")), "bench_short"
+        return split.sparkSession.createDataFrame([], columns)
+    keys = items.groupBy(_whole_key("_plain", lengths).alias("key")).agg(
+        F.min("item_id").alias("item_id"), F.count("*").alias("n_items")
     )
-    found = _short_keys(split, lengths, "doc_id").join(_small(keys, match), "key").select("doc_id", "item_id", "n_items").distinct()
+    keys = stage(keys, "bench_short")
+    anywhere, alone = ([n for n in lengths if (n >= match.short) == wanted] for wanted in (True, False))
+    found = []
+    if anywhere:
+        found.append(_short_keys(split, anywhere, "_id"))
+    if alone:
+        lines = _forms(narrow.select("_id", F.explode(F.split("_text", "\n")).alias("_text")), "_id")
+        found.append(lines.select("_id", _whole_key("_plain", alone).alias("key")).where("key is not null"))
+    rows = found[0] if len(found) == 1 else found[0].union(found[1])
+    hits = rows.join(_small(keys, match), "key").select("_id", "item_id", "n_items").distinct()
     one = F.lit(1).cast("long")
-    return found.select(
-        F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"), "item_id", "n_items",
+    return hits.select(
+        "_id", "item_id", "n_items",
         one.alias("n_windows"), one.alias("item_windows"), F.lit(0).cast("long").alias("n_slots"),
     )
 
@@ -209,6 +249,12 @@ def _one_value_each(slots: Column) -> Column:
     return F.size(F.array_distinct(F.transform(slots, lambda s: s["item"]))) == F.size(slots)
 
 
+def _identity(docs: DataFrame, text: str) -> Column:
+    """The id of a row, or the digest of its text: rows without an id are known by their text."""
+    own = F.concat(F.lit("text:"), F.md5(F.coalesce(docs[f"`{text}`"], F.lit("")).cast("binary")))
+    return F.coalesce(docs["doc_id"].cast("long").cast("string"), own)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: str = "text") -> DataFrame:
     """One row per document and item that it leaks: ``doc_id``, ``item_id``, ``n_items``,
     ``n_windows``, ``item_windows``, ``n_slots``.
@@ -216,10 +262,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
     Items with the same template are one, under their least ``item_id``; ``n_items`` counts them.
     ``n_windows`` of the item's ``item_windows`` were found with consistent slots, and ``n_slots``
     values differ from the item's. A null text has no words. An item of fewer words than a window is
-    one window of its own, found with its values and in any case; such items of the same words are one. Rows that repeat a ``doc_id`` are judged
-    together; a null ``doc_id`` stays null in the result.
+    one window of its own, found with its values and in any case; such items of the same words are
+    one. Rows that repeat a ``doc_id`` are judged together. Rows without one are documents of their
+    own, one for each text; their ``doc_id`` in the result is null.
     """
+    found = _leaks(docs, benchmark, match, text)
+    ident = F.when(~F.col("_id").startswith("text:"), F.col("_id").cast("long"))
+    return found.select(ident.alias("doc_id"), *found.columns[1:])
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, match: Match, text: str) -> DataFrame:
+    """As :func:`leaks`, by the identity of documents, ``_id``."""
     items = _forms(benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("_text")), "item_id")
+    words = items.select("_plain")
     short = stage(items.where(F.size("_tokens").between(1, match.window - 1)).select("item_id", "_plain"), "bench_short_items")
     items = items.withColumn("template", F.sha2(F.array_join(F.transform("_tokens", typed), " "), 256))
     items = stage(
@@ -236,14 +291,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
     sizes = windows.where("item_form = 0").groupBy("item_id").agg(F.count("*").alias("sized"))
     firsts = stage(firsts.join(sizes, "item_id", "left"), "bench_sizes")
 
-    ident = F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST))
-    narrow = docs.select(ident.alias("doc_id"), docs[f"`{text}`"].alias("_text"))
-    split = _forms(narrow, "doc_id")
+    narrow = docs.select(_identity(docs, text).alias("_id"), docs[f"`{text}`"].alias("_text"))
+    split = _known(_forms(narrow, "_id"), vocabulary(stage(words, "bench_words")))
     keys = stage(windows.select("key").distinct(), "bench_keys")
-    found = stage(_windowed(split, match, "doc_id").join(_small(keys, match), "key", "left_semi"), "window_hits")
-    ids = stage(found.select("doc_id").distinct(), "hit_ids")
+    found = stage(_windowed(split, match, "_id").join(_small(keys, match), "key", "left_semi"), "window_hits")
+    ids = stage(found.select("_id").distinct(), "hit_ids")
     hit_docs = stage(
-        _forms(narrow.join(_small(ids, match), "doc_id", "left_semi"), "doc_id").drop("_plain"),
+        _forms(narrow.join(_small(ids, match), "_id", "left_semi"), "_id").drop("_plain"),
         "hit_docs",
     )
 
@@ -251,8 +305,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
     # plain words match with their values; the other forms only if the slots agree
     plain = (F.col("form") == 2) | (F.col("item_form") == 2)
     as_named = (F.col("form") == 1) | (F.col("item_form") == 1)
-    runs = pairs.where(~plain).groupBy("doc_id", "item_id", "shift", as_named.alias("named")).agg(F.collect_set("item_pos").alias("at"))
-    runs = runs.join(hit_docs, "doc_id").join(_small(firsts.select("item_id", "_words", "_named_words"), match), "item_id")
+    runs = pairs.where(~plain).groupBy("_id", "item_id", "shift", as_named.alias("named")).agg(F.collect_set("item_pos").alias("at"))
+    runs = runs.join(hit_docs, "_id").join(_small(firsts.select("item_id", "_words", "_named_words"), match), "item_id")
     runs = runs.withColumn("_words", F.when(F.col("named"), F.col("_named_words")).otherwise(F.col("_words")))
     runs = runs.withColumn("_tokens", F.when(F.col("named"), F.col("_named")).otherwise(F.col("_tokens")))
     # a window counts if each value of the item in its slots stands for one value of the document
@@ -260,11 +314,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
     covered = F.array_distinct(F.flatten(F.transform("at", lambda p: _span(p, match))))
     changed = F.size(F.filter(_slots(covered), lambda s: s["item"] != s["doc"])).cast("long")
     # windows of form 0 are scored by themselves as well: of an item full of slots they are but a part
-    hits = runs.select("doc_id", "item_id", F.explode("at").alias("item_pos"), (~F.col("named")).alias("form_0"), changed.alias("changed"))
+    hits = runs.select("_id", "item_id", F.explode("at").alias("item_pos"), (~F.col("named")).alias("form_0"), changed.alias("changed"))
     hits = hits.unionByName(
-        pairs.where(plain).select("doc_id", "item_id", "item_pos", F.lit(False).alias("form_0"), F.lit(0).cast("long").alias("changed"))
+        pairs.where(plain).select("_id", "item_id", "item_pos", F.lit(False).alias("form_0"), F.lit(0).cast("long").alias("changed"))
     )
-    scored = hits.groupBy("doc_id", "item_id").agg(
+    scored = hits.groupBy("_id", "item_id").agg(
         F.countDistinct(F.when(F.col("form_0"), F.col("item_pos"))).alias("n_0"),
         F.max(F.when(F.col("form_0"), F.col("changed"))).alias("slots_0"),
         F.countDistinct("item_pos").alias("n_all"),
@@ -278,18 +332,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: s
 
     by_0 = F.coalesce((F.col("n_0") > 0) & enough("n_0", F.col("sized")), F.lit(False))
     found = scored.where(by_0 | enough("n_all", all_windows)).select(
-        F.nullif("doc_id", F.lit(_LAST)).alias("doc_id"),
+        "_id",
         "item_id",
         "n_items",
         F.when(by_0, F.col("n_0")).otherwise(F.col("n_all")).alias("n_windows"),
         F.when(by_0, F.col("sized")).otherwise(all_windows).alias("item_windows"),
         F.when(by_0, F.col("slots_0")).otherwise(F.col("slots_all")).alias("n_slots"),
     )
-    return found.unionByName(_short_leaks(split, short, match))
+    return found.unionByName(_short_leaks(split, narrow, short, match))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, match: Match = Match(), text: str = "text") -> DataFrame:
-    """The documents that leak no item; columns as in ``docs``."""
-    found = leaks(docs, benchmark, match, text).select(F.coalesce("doc_id", F.lit(_LAST)).alias("_leaks")).distinct()
-    gone = _small(stage(found, "leaks"), match)
-    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)) == F.col("_leaks"), "left_anti")
+    """The documents that leak no item; columns as in ``docs``. Rows without an id go by their text."""
+    found = _leaks(docs, benchmark, match, text).select(F.col("_id").alias("_leaks")).distinct()
+    return docs.join(_small(stage(found, "leaks"), match), _identity(docs, text) == F.col("_leaks"), "left_anti")
