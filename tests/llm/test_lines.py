@@ -92,3 +92,10 @@ def test_cuckoo_filter_holds_deletes_and_survives_storage():
     again = CuckooFilter.from_bytes(held.to_bytes())
     assert again.contains(keys[20_000:]).all() and again.contains(keys[:20_000]).mean() < 0.001
     assert not CuckooFilter(8).insert(keys[:100])
+
+
+def test_documents_without_own_lines_can_go(spark, tmp_path):
+    rows = [(1, LINE, "", "", 0), (2, f"{LINE}\n \n", "", "", 0), (3, f"{LINE}\nown", "", "", 0), (4, "", "", "", 0), (5, None, "", "", 0)]
+    for drop, want in ((True, {1: LINE, 3: "own", 4: "", 5: None}), (False, {1: LINE, 2: " \n", 3: "own", 4: "", 5: None})):
+        found = line_dedup.dedup(frame(spark, rows), str(tmp_path / str(drop)), drop_emptied=drop).collect()
+        assert {r["doc_id"]: r["text"] for r in found} == want

@@ -251,14 +251,18 @@ class LineIndex:
         )
 
 
-def dedup(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, path: str, text: str = "text", drop_emptied: bool = False) -> DataFrame:
     """Documents without the lines that an earlier document holds; columns as in ``docs``.
 
-    No document goes. ``n_chars``, if there is one, is counted anew; a null text stays null.
+    With ``drop_emptied``, documents go of which no word is left; those that had none on arrival
+    stay. Without, no document goes. ``n_chars``, if there is one, is counted anew; a null text
+    stays null.
     """
     index = LineIndex(docs.sparkSession, path)
     index.insert(docs, text)
     df = index.resolve(docs, text)
+    if drop_emptied:
+        df = df.where((F.col("_lines.n_dropped") == 0) | F.col("_lines.text").rlike(r"[^\x20\x09-\x0D]"))
     cleaned = F.when(F.col(f"`{text}`").isNotNull(), F.col("_lines.text"))
     new = {text: cleaned}
     if "n_chars" in docs.columns and text != "n_chars":
