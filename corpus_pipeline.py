@@ -20,9 +20,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that a document with a smaller id holds too go; no document does."""
+    """Lines that a document with a smaller id holds too go, and documents that had no others."""
     ship(spark)
-    return line_dedup.dedup(docs, scratch_path(spark, "line_index"))
+    return line_dedup.dedup(docs, scratch_path(spark, "line_index"), drop_emptied=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
