@@ -1,6 +1,7 @@
 import math
 import random
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 from unittest import mock
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, rows
 from tierstone.operators import ranking
-from tierstone.operators import customer_spend, dense_rank_global, sales_by, top_ranked
+from tierstone.operators import customer_spend, dense_rank_global, exact_avg, exact_sum, sales_by, top_ranked
 from tierstone.plans import top_customers
 
 
@@ -118,7 +119,15 @@ def test_values_that_cannot_be_sorted_fail_at_any_size(spark):
         with pytest.raises(AnalysisException):
             dense_rank_global(df, "v", buckets=buckets).collect()
     with pytest.raises(ValueError, match="buckets"):
-        dense_rank_global(spark.range(3), "id", buckets=10**9)
+        dense_rank_global(spark.range(3), "id", buckets=0)
+
+
+def test_a_million_ranges_are_planned(spark):
+    """Ranks come from a table of offsets: no literal, and no number of ranges, is too large."""
+    df = spark.range(3_000).select((F.col("id") * 7 % 1013).cast("double").alias("v"))
+    found = dense_rank_global(df, "v", buckets=10**6, rank_type="bigint")
+    assert found.schema["rank"].dataType.simpleString() == "bigint" and len(plan(found)) < 100_000
+    assert rows(found) == rows(dense_rank_global(df, "v", rank_type="bigint"))
 
 
 @pytest.mark.parametrize("buckets", [64, 512])
@@ -184,6 +193,35 @@ def test_sales_by(spark):
     assert rows(sales_by(df, ["city"], ordered=False)) == sorted(want, key=repr)
 
 
+def test_totals_do_not_depend_on_the_order_of_rows(spark):
+    """Bit for bit, over 50 ways of dealing rows whose double sums differ."""
+    values = [0.1, 0.7, 1e15, -1e15, 0.005, 1234567.89, 3.3333333, None] * 40
+    df = spark.createDataFrame(
+        [(f"o{i}", f"c{i % 3}", "n", f"x{i % 2}", v) for i, v in enumerate(values)],
+        "order_id string, customer_id string, customer_name string, city string, amount double",
+    ).withColumn("other", F.rand(7))
+    double, exact, reports = set(), set(), set()
+    for i in range(50):
+        dealt = df.repartition(1 + i % 9, F.xxhash64("order_id", F.lit(i))).sortWithinPartitions(F.xxhash64("order_id", F.lit(-i)))
+        double.add(dealt.agg(F.sum("amount")).first()[0])
+        exact.add(dealt.agg(exact_sum("amount"), exact_avg("amount")).first())
+        if i % 10 == 0:
+            reports.add((tuple(rows(sales_by(dealt, "city", ordered=False))), tuple(rows(customer_spend(dealt)))))
+    assert len(exact) == len(reports) == 1 and len(double) > 1
+    total = sum(Decimal(str(v)) for v in values if v is not None)
+    assert exact.pop() == (float(total), float(total) / 280)
+
+
+def test_totals_that_no_decimal_holds(spark):
+    df = spark.createDataFrame(
+        [("a", 1e300), ("a", 1e300), ("b", float("inf")), ("b", 1.0), ("c", float("nan")), ("d", None), ("e", 9e25), ("e", 9e25)],
+        "k string, v double",
+    )
+    found = {r["k"]: r["s"] for r in df.groupBy("k").agg(exact_sum("v").alias("s")).collect()}
+    assert found["a"] == 2e300 and found["b"] == float("inf") and found["c"] != found["c"]
+    assert found["d"] is None and found["e"] == 1.8e26
+
+
 def test_totals_combine_before_the_shuffle(spark):
     df = spark.range(100, numPartitions=4).selectExpr(
         "'c' as customer_id", "'n' as customer_name", "'x' as city", "id as order_id",

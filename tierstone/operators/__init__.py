@@ -6,7 +6,7 @@ from tierstone.operators.lookup import (
     in_memory_bytes,
     lookup_join,
 )
-from tierstone.operators.metrics import customer_spend, sales_by
+from tierstone.operators.metrics import customer_spend, exact_avg, exact_sum, sales_by
 from tierstone.operators.quality import (
     dedupe_by_key,
     fill_defaults,
@@ -28,6 +28,8 @@ __all__ = [
     "in_memory_bytes",
     "lookup_join",
     "require_not_null",
+    "exact_avg",
+    "exact_sum",
     "sales_by",
     "top_ranked",
 ]
