@@ -4,13 +4,14 @@ from pyspark.sql import types as T
 
 from tests.helpers import rows
 from tierstone.operators import dedupe_by_key
-from tierstone.plans import bronze_rows, ingest
+from tierstone.plans import bronze_rows, ingest, rejected_values
 from tierstone.plans.fixed_values import CUSTOMER_KEYS, ORDERS
 from tierstone.sources import (
     SchemaChanged,
     count_lines,
     infer_schema,
     landing_inventory,
+    latest_commit,
     lock_schema,
     read_snapshot,
     scan_csv,
@@ -150,3 +151,22 @@ def test_declared_orders_schema(spark):
         "status",
         "amount",
     ]
+
+
+def test_values_of_another_type_are_kept(spark, tmp_path):
+    """A column locked as a number keeps the text that arrives later, with its line and file."""
+    first, second, table = tmp_path / "a.csv", tmp_path / "b.csv", str(tmp_path / "t")
+    first.write_text("id,zip,when\nk1,200,2024-01-02\n")
+    assert ingest(spark, str(first), table).rejected_rows == 0
+    second.write_text('id,zip,when\nk2,2O0-B,2024-01-03\nk3,7,soon\nk4,x,"late, or never"\nk5,8,2024-01-04\nk6,9,2024-01-05,extra\nk7,,\n')
+    commit = ingest(spark, str(second), table)
+    assert (commit.num_rows, commit.rejected_rows) == (6, 4) and "__source_line" not in commit.schema.names
+    found = {(r["line"][:2], r["column"]): (r["value"], r["expected"], r["source_file"]) for r in rejected_values(spark, table).collect()}
+    assert found == {
+        ("k2", "zip"): ("2O0-B", "int", "b.csv"), ("k3", "when"): ("soon", "date", "b.csv"), ("k4", "zip"): ("x", "int", "b.csv"),
+        ("k4", "when"): ("late, or never", "date", "b.csv"), ("k6", None): (None, "3 fields", "b.csv"),
+    }
+    stored = read_snapshot(spark, table)
+    assert stored.columns == ["id", "zip", "when", "ingestion_timestamp", "source_file"] and stored.where("zip is null").count() == 3
+    assert latest_commit(spark, table).rejected_rows == 4
+    assert rejected_values(spark, ingest(spark, str(second), table, keep_rejects=False)).count() == 0

@@ -2,6 +2,7 @@ import shutil
 import tempfile
 from datetime import datetime, timedelta, timezone
 from types import SimpleNamespace
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tierstone.sources import (
     read_commit,
     read_snapshot,
     scratch_path,
+    settle_conflicts,
     snapshot_history,
     stage,
     write_snapshot,
@@ -179,3 +181,19 @@ def test_a_version_committed_twice_is_refused(spark, tmp_path):
         with pytest.raises(ConflictingVersions):
             use()
     assert rows(read_snapshot(spark, path, version_as_of=0)) == [(0,), (1,)] and commit.version == 0
+
+
+def test_two_writers_of_one_version_can_be_settled(spark, tmp_path):
+    """The first commit stays current; the other is in the history, and its rows can be read."""
+    path = str(tmp_path / "t")
+    write_snapshot(spark.range(3), path)
+    with mock.patch.object(snapshots, "_current", lambda *_: None):  # a writer that saw no table
+        late = write_snapshot(spark.range(9), path)
+    with pytest.raises(ConflictingVersions):
+        read_snapshot(spark, path)
+    losers = settle_conflicts(spark, path)
+    assert [x.folder for x in losers] == [late.folder] and read_commit(spark, losers[0]).count() == 9
+    assert read_snapshot(spark, path).count() == read_snapshot(spark, path, version_as_of=0).count() == 3
+    assert settle_conflicts(spark, path) == []
+    assert sorted(r["operation"] for r in snapshot_history(spark, path).collect()) == ["SUPERSEDED", "WRITE", "WRITE"]
+    assert write_snapshot(read_commit(spark, late), path).version == 1 and read_snapshot(spark, path).count() == 9

@@ -1,4 +1,4 @@
-from tierstone.plans.bronze import bronze_rows, ingest
+from tierstone.plans.bronze import bronze_rows, ingest, rejected_values
 from tierstone.plans.gold import enrich_orders, top_customers
 from tierstone.plans.layers import Landing, layer_audit, refresh, table_path
 from tierstone.plans.silver import silver_customers, silver_orders, silver_products
@@ -10,6 +10,7 @@ __all__ = [
     "ingest",
     "layer_audit",
     "refresh",
+    "rejected_values",
     "silver_customers",
     "silver_orders",
     "silver_products",

@@ -17,6 +17,8 @@ from tierstone.sources.snapshots import (
     latest_commit,
     read_commit,
     read_snapshot,
+    read_source_lines,
+    settle_conflicts,
     snapshot_history,
     write_snapshot,
 )
@@ -36,9 +38,11 @@ __all__ = [
     "lock_schema",
     "read_commit",
     "read_snapshot",
+    "read_source_lines",
     "scan_csv",
     "schema_by_header",
     "scratch_path",
+    "settle_conflicts",
     "snapshot_history",
     "stage",
     "with_ingest_audit",

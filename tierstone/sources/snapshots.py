@@ -9,7 +9,7 @@ A version exists once its history line does, and the line names the data folder.
 or repeated attempt leaves an unnamed folder that no reader sees; a committed folder is
 never written again, so a table can be read while it is being rebuilt, and old versions
 stay readable. One writer per table at a time is assumed; two that commit the same version are
-found out by the next read, which refuses to choose.
+found out by the next read, which refuses to choose until ``settle_conflicts`` has.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,8 +30,10 @@ from tierstone.sources.files import SchemaChanged
 _HISTORY = (
     "version long, timestamp timestamp, operation string,"
     " operationParameters map<string,string>, schema_json string, num_rows long,"
-    " in_memory_bytes long, folder string, upstream_folder string, upstream_rows long"
+    " in_memory_bytes long, folder string, upstream_folder string, upstream_rows long,"
+    " rejected_rows long"
 )
+_SUPERSEDED = "SUPERSEDED"
 _MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -48,7 +50,8 @@ class Commit:
     """One stored version. ``in_memory_bytes`` bounds its size as a broadcast table.
 
     ``upstream_folder`` and ``upstream_rows`` tell what it was built from: a folder of another
-    table, or the rows counted in the source files.
+    table, or the rows counted in the source files. ``rejected_rows`` counts the rows whose source
+    line is kept beside them, see :func:`write_snapshot`.
     """
 
     path: str
@@ -59,6 +62,7 @@ class Commit:
     folder: str
     upstream_folder: str | None = None
     upstream_rows: int | None = None
+    rejected_rows: int | None = None
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
@@ -85,7 +89,22 @@ def _newest(commits: DataFrame, path: str) -> Commit | None:
         return None
     row = rows[0]
     if len(rows) == 2 and rows[1]["version"] == row["version"]:
-        raise ConflictingVersions(f"{path}: version {row['version']} was committed twice")
+        live = _live(commits.where(F.col("version") == row["version"]).collect())
+        if len(live) > 1:
+            raise ConflictingVersions(
+                f"{path}: version {row['version']} was committed twice; settle_conflicts() keeps the first"
+            )
+        row = live[0]
+    return _commit(row, path)
+
+
+def _live(rows: list[Row]) -> list[Row]:
+    """Commits of one version that are not superseded, the first one first."""
+    gone = {r["folder"] for r in rows if r["operation"] == _SUPERSEDED}
+    return sorted((r for r in rows if r["folder"] not in gone), key=lambda r: (r["timestamp"], r["folder"]))
+
+
+def _commit(row: Row, path: str) -> Commit:
     return Commit(
         path=path,
         version=row["version"],
@@ -95,9 +114,31 @@ def _newest(commits: DataFrame, path: str) -> Commit | None:
         folder=row["folder"],
         upstream_folder=row["upstream_folder"],
         upstream_rows=row["upstream_rows"],
+        rejected_rows=row["rejected_rows"],
     )
 
 
+def settle_conflicts(spark: SparkSession, path: str) -> list[Commit]:
+    """Make a table readable again after two writers committed the same version.
+
+    Of such a version the first commit stays (by time, then by folder name, so every caller
+    settles alike). The others get a line in the history that says so, and are returned: their
+    rows are kept, and ``read_commit`` reads them, to be written again as a version of their own.
+    """
+    commits, found = _commits(spark, path), []
+    repeated = commits.groupBy("version").agg(F.count("*").alias("n")).where("n > 1").select("version")
+    lines: dict[int, list[Row]] = {}
+    for line in commits.join(repeated, "version", "left_semi").collect():  # few: conflicts alone
+        lines.setdefault(line["version"], []).append(line)
+    for _, of_version in sorted(lines.items()):
+        for loser in _live(of_version)[1:]:
+            kept = [f for f in commits.schema if f.name not in ("operation", "operationParameters")]
+            record = {f.name: F.lit(loser[f.name]).cast(f.dataType) for f in kept}
+            _append_history(spark, path, record | {"operation": F.lit(_SUPERSEDED)})
+            found.append(_commit(loser, path))
+    return found
+
+
 def _current(spark: SparkSession, path: str) -> Commit | None:
     """The current version; None when there is no table yet. Reads the history once."""
     try:
@@ -126,19 +167,23 @@ def write_snapshot(
     committed_at: datetime | None = None,
     upstream: Commit | None = None,
     upstream_rows: int | None = None,
+    source_line: str | None = None,
 ) -> Commit:
     """Replace the table's content by ``df`` as a new version.
 
     Column names and types must match the current version unless ``overwrite_schema``.
     Rows are counted and sized while they are written, so neither verifying a write nor
     sizing a lookup table costs another scan. ``upstream`` is the version that ``df`` was made
-    from; ``upstream_rows`` counts its rows where that is no table.
+    from; ``upstream_rows`` counts its rows where that is no table. ``source_line`` names a column
+    with the text that a row was read from, where that did not fit: it is stored and counted in the
+    same pass, but is no column of the table.
     """
     spark = df.sparkSession
     current = _current(spark, path)
-    if current and not overwrite_schema and _columns(current.schema) != _columns(df.schema):
+    schema = T.StructType([f for f in df.schema if f.name != source_line])
+    if current and not overwrite_schema and _columns(current.schema) != _columns(schema):
         raise SchemaChanged(
-            f"{path}: table has {_columns(current.schema)}, frame has {_columns(df.schema)};"
+            f"{path}: table has {_columns(current.schema)}, frame has {_columns(schema)};"
             " pass overwrite_schema=True to change it"
         )
     version = current.version + 1 if current else 0
@@ -149,10 +194,12 @@ def write_snapshot(
     df.observe(
         written,
         F.count(F.lit(1)).alias("rows"),
-        F.sum(row_bytes(df.schema)).alias("bytes"),
+        F.sum(row_bytes(schema)).alias("bytes"),
+        (F.count(F.col(source_line)) if source_line else F.count(F.lit(None))).alias("rejected"),
     ).write.parquet(f"{path}/{folder}")
     num_rows = written.get["rows"]
     size = written.get["bytes"] if num_rows else 0
+    rejected = written.get["rejected"]
 
     if upstream is not None:
         upstream_rows = upstream.num_rows
@@ -165,15 +212,16 @@ def write_snapshot(
         "operationParameters": F.create_map(
             *[F.lit(x) for pair in parameters.items() for x in pair]
         ),
-        "schema_json": F.lit(df.schema.json()),
+        "schema_json": F.lit(schema.json()),
         "num_rows": F.lit(num_rows),
         "in_memory_bytes": F.lit(size),
         "folder": F.lit(folder),
         "upstream_folder": F.lit(upstream_folder).cast("string"),
         "upstream_rows": F.lit(upstream_rows).cast("long"),
+        "rejected_rows": F.lit(rejected).cast("long"),
     }
     _append_history(spark, path, record)
-    return Commit(path, version, num_rows, size, df.schema, folder, upstream_folder, upstream_rows)
+    return Commit(path, version, num_rows, size, schema, folder, upstream_folder, upstream_rows, rejected)
 
 
 def read_commit(spark: SparkSession, commit: Commit) -> DataFrame:
@@ -181,6 +229,13 @@ def read_commit(spark: SparkSession, commit: Commit) -> DataFrame:
     return spark.read.schema(commit.schema).parquet(f"{commit.path}/{commit.folder}")
 
 
+def read_source_lines(spark: SparkSession, commit: Commit, source_line: str) -> DataFrame:
+    """The rows of a stored version that kept their ``source_line``, with it as a last column."""
+    schema = T.StructType([*commit.schema, T.StructField(source_line, T.StringType())])
+    stored = spark.read.schema(schema).parquet(f"{commit.path}/{commit.folder}")
+    return stored.where(F.col(source_line).isNotNull())
+
+
 def read_snapshot(
     spark: SparkSession,
     path: str,

@@ -194,6 +194,10 @@ _BODIES = {
     "join_null_keys_large_lookup": _NULL_KEYS,
     "gold_enriched_large_lookups": f"select *, {_UPDATED} from enriched",
     "gold_enriched_orders": f"select *, {_UPDATED} from enriched",
+    "bronze_rejects": """select order_id, 'orders.csv' as source_file, 'quantity' as "column", '2O' as "value", 'int' as expected
+      from raw_orders where quantity = 20 and status = 'pending'
+      union all select order_id, 'orders.csv', 'amount', 'n/a', 'double'
+      from raw_orders where quantity = 31 and product_id is not null""",
     "sales_by_city": "select * from by_city",
     "sales_by_category": "select * from by_category",
     "customer_spend": "select * from spend",

@@ -73,6 +73,14 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spoilt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders with text in some numbers: a letter for a digit, a word for an amount."""
+    orders = raw_orders(spark, sf_dir)
+    quantity = F.when((F.col("quantity") == 20) & (F.col("status") == "pending"), "2O").otherwise(_text("quantity"))
+    amount = F.when((F.col("quantity") == 31) & F.col("product_id").isNotNull(), "n/a").otherwise(_text("amount"))
+    return orders.withColumns({"quantity": quantity, "amount": amount})
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = _table(spark, sf_dir, "customer")
     nations = _table(spark, sf_dir, "nation")

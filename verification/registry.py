@@ -45,7 +45,7 @@ from tierstone.sources import (
     write_snapshot,
 )
 from verification.layers import stored, stored_data, tables_root
-from verification.raw_tables import landing
+from verification.raw_tables import landing, spoilt_orders, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -79,6 +79,17 @@ def shown(df: DataFrame) -> DataFrame:
 # --- sources ---------------------------------------------------------------------------
 
 
+@query("bronze_rejects")
+def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that don't fit the declared schema, with the order they came with."""
+    files = write_csv(spoilt_orders(spark, sf_dir), scratch_path(spark, "spoilt"))
+    commit = plans.ingest(spark, files, scratch_path(spark, "rejects"), ORDERS, source_file="orders.csv")
+    found = plans.rejected_values(spark, commit)
+    order_id = F.nullif(F.split_part("line", F.lit(","), F.lit(1)), F.lit(""))
+    return found.select(order_id.alias("order_id"), "source_file", "column", "value", "expected")
+
+
+
 @query("csv_declared_schema")
 def csv_declared_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, landing(spark, sf_dir).orders, ORDERS)
