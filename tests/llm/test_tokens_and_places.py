@@ -22,7 +22,6 @@ WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe
 
 def _plain(path, text):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -160,3 +159,16 @@ def test_every_place_is_equally_likely(spark):
         for r in sharding.shuffle_into_shards(docs, 2, seed).where("doc_id = 0").collect():
             slots[r["_place"]["slot"]] += 1
     assert len(slots) > 3
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_strings_of_special_tokens_are_those_tokens(name):
+    """As the library has it by default; ordinary text on demand."""
+    path = public_tokenizers.path(name)
+    texts = ["a<|endoftext|>b", "A <|EndOfText|> B", "x.<|endoftext|>\n y", "<|startoftext|>", "Up <|endoftext|>,Down", "<|endoftext|"]
+    for plain in (False, True):
+        tokenizer = Tokenizer.from_file(path)
+        if plain:
+            tokenizer.encode_special_tokens = True
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert token_ids.PieceEncoder(path, plain).encode(texts) == want
