@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from functools import cache
 from unittest import mock
 
 import numpy as np
@@ -15,13 +16,16 @@ from tokenizers import Tokenizer
 
 from tests.llm.helpers import frame, odd_rows
 from tierstone.llm import id_store, packing, sharding
-from tierstone.llm.token_ids import encoder
+from tierstone.llm.token_ids import PieceEncoder, encoder
 
 WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
+_tokenizer = cache(Tokenizer.from_file)
+
+
 def _plain(path, text):
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = _tokenizer(path)
     return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
@@ -171,4 +175,4 @@ def test_strings_of_special_tokens_are_those_tokens(name):
         if plain:
             tokenizer.encode_special_tokens = True
         want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-        assert token_ids.PieceEncoder(path, plain).encode(texts) == want
+        assert PieceEncoder(path, plain).encode(texts) == want
