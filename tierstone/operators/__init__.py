@@ -14,6 +14,7 @@ from tierstone.operators.quality import (
     require_not_null,
 )
 from tierstone.operators.ranking import dense_rank_global, top_ranked
+from tierstone.operators.removed import removed_rows
 
 __all__ = [
     "completed_only",
@@ -27,6 +28,7 @@ __all__ = [
     "hot_keys",
     "in_memory_bytes",
     "lookup_join",
+    "removed_rows",
     "require_not_null",
     "exact_avg",
     "exact_sum",
