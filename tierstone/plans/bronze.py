@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
@@ -71,6 +71,7 @@ def ingest(
     committed_at: datetime | None = None,
     count_source: bool = False,
     keep_rejects: bool = True,
+    before_commit: Callable[[str], None] | None = None,
     **options,
 ) -> Commit:
     """Replace bronze ``table`` by the files' rows: one pass over the files, no shuffle.
@@ -81,7 +82,8 @@ def ingest(
     again. Values that do not fit their column are null in it; their lines are kept for
     :func:`rejected_values` and counted in the commit, in the same pass, unless ``keep_rejects`` is
     off. ``count_source`` counts the files' lines in a pass of its own, for the audit.
-    ``options`` are those of :func:`bronze_rows`.
+    ``before_commit`` is that of :func:`tierstone.sources.write_snapshot`, ``options`` are those of
+    :func:`bronze_rows`.
     """
     if schema is None:
         options.setdefault("lock_path", f"{table}/schema_lock")
@@ -100,6 +102,7 @@ def ingest(
             committed_at=committed_at,
             upstream_rows=count_lines(spark, files) if count_source else None,
             source_line=SOURCE_LINE if keep else None,
+            before_commit=before_commit,
         )
     except (PySparkException, Py4JJavaError) as e:
         if "CSV header" in str(e):  # of a file after the first, found by the task that reads it

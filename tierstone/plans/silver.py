@@ -51,18 +51,28 @@ def typed_orders(df: DataFrame, strict: bool = False) -> DataFrame:
 def silver_orders(
     bronze_orders: DataFrame,
     *,
-    flag_mode: str = "post_fill",
-    normalise_status: bool = False,
-    strict: bool = False,
     prefer: Sequence[Column] = (),
-    updated_at: datetime | None = None,
+    **options,
 ) -> DataFrame:
     """Dedupe, reject, fill, type and flag, in that order: it decides which rows survive.
 
     Duplicates go first, so an order whose surviving copy lacks a customer or product is
     rejected. One shuffle (by order id); everything after it runs in the same stage.
+    ``options`` are those of :func:`trusted_orders`.
     """
-    orders = require_not_null(dedupe_by_key(bronze_orders, ORDER_KEY, prefer=prefer), CRITICAL)
+    return trusted_orders(dedupe_by_key(bronze_orders, ORDER_KEY, prefer=prefer), **options)
+
+
+def trusted_orders(
+    orders: DataFrame,
+    *,
+    flag_mode: str = "post_fill",
+    normalise_status: bool = False,
+    strict: bool = False,
+    updated_at: datetime | None = None,
+) -> DataFrame:
+    """Orders without repeats: reject, fill, type and flag. No shuffle."""
+    orders = require_not_null(orders, CRITICAL)
     if normalise_status:
         orders = orders.withColumn("status", F.lower(F.trim("status")))
     defaults = {"status": UNKNOWN_STATUS, "amount": NO_AMOUNT}

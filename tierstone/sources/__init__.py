@@ -1,3 +1,4 @@
+from tierstone.sources.arrivals import FileChanged, file_ledger, new_files, note_files
 from tierstone.sources.files import (
     SchemaChanged,
     check_header,
@@ -14,8 +15,10 @@ from tierstone.sources.snapshots import (
     Commit,
     ConflictingVersions,
     VersionNotFound,
+    all_commits,
     latest_commit,
     read_commit,
+    read_commits,
     read_snapshot,
     read_source_lines,
     settle_conflicts,
@@ -27,16 +30,22 @@ from tierstone.sources.workspace import scratch_path, stage
 __all__ = [
     "Commit",
     "ConflictingVersions",
+    "FileChanged",
     "SchemaChanged",
     "VersionNotFound",
+    "all_commits",
     "check_header",
     "count_lines",
+    "file_ledger",
     "header_names",
     "infer_schema",
     "landing_inventory",
     "latest_commit",
     "lock_schema",
+    "new_files",
+    "note_files",
     "read_commit",
+    "read_commits",
     "read_snapshot",
     "read_source_lines",
     "scan_csv",

@@ -15,6 +15,7 @@ found out by the next read, which refuses to choose until ``settle_conflicts`` h
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from uuid import uuid4
@@ -155,6 +156,26 @@ def latest_commit(spark: SparkSession, path: str) -> Commit:
     return commit
 
 
+def all_commits(spark: SparkSession, path: str) -> list[Commit]:
+    """Every version of the table, oldest first; none when there is no table yet."""
+    try:
+        lines = _commits(spark, path).collect()
+    except VersionNotFound:
+        return []
+    by_version: dict[int, list[Row]] = {}
+    for line in lines:
+        by_version.setdefault(line["version"], []).append(line)
+    found = []
+    for version in sorted(by_version):
+        live = _live(by_version[version])
+        if len(live) > 1:
+            raise ConflictingVersions(
+                f"{path}: version {version} was committed twice; settle_conflicts() keeps the first"
+            )
+        found.append(_commit(live[0], path))
+    return found
+
+
 def _columns(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema}
 
@@ -168,6 +189,8 @@ def write_snapshot(
     upstream: Commit | None = None,
     upstream_rows: int | None = None,
     source_line: str | None = None,
+    partition_by: str | None = None,
+    before_commit: Callable[[str], None] | None = None,
 ) -> Commit:
     """Replace the table's content by ``df`` as a new version.
 
@@ -176,7 +199,10 @@ def write_snapshot(
     sizing a lookup table costs another scan. ``upstream`` is the version that ``df`` was made
     from; ``upstream_rows`` counts its rows where that is no table. ``source_line`` names a column
     with the text that a row was read from, where that did not fit: it is stored and counted in the
-    same pass, but is no column of the table.
+    same pass, but is no column of the table. ``partition_by`` lays the rows out in a folder per
+    value of a column. ``before_commit`` is called with the data folder's name once its rows are
+    written and before the version exists: what it stores about a folder that no version names
+    does not count.
     """
     spark = df.sparkSession
     current = _current(spark, path)
@@ -191,12 +217,14 @@ def write_snapshot(
     # Observed directly under the write, i.e. in the result stage, where Spark counts every
     # partition once even when tasks are retried.
     written = Observation()
-    df.observe(
+    counted = df.observe(
         written,
         F.count(F.lit(1)).alias("rows"),
         F.sum(row_bytes(schema)).alias("bytes"),
         (F.count(F.col(source_line)) if source_line else F.count(F.lit(None))).alias("rejected"),
-    ).write.parquet(f"{path}/{folder}")
+    )
+    writer = counted.write.partitionBy(partition_by) if partition_by else counted.write
+    writer.parquet(f"{path}/{folder}")
     num_rows = written.get["rows"]
     size = written.get["bytes"] if num_rows else 0
     rejected = written.get["rejected"]
@@ -220,6 +248,8 @@ def write_snapshot(
         "upstream_rows": F.lit(upstream_rows).cast("long"),
         "rejected_rows": F.lit(rejected).cast("long"),
     }
+    if before_commit:
+        before_commit(folder)
     _append_history(spark, path, record)
     return Commit(path, version, num_rows, size, schema, folder, upstream_folder, upstream_rows, rejected)
 
@@ -229,6 +259,13 @@ def read_commit(spark: SparkSession, commit: Commit) -> DataFrame:
     return spark.read.schema(commit.schema).parquet(f"{commit.path}/{commit.folder}")
 
 
+def read_commits(spark: SparkSession, commits: list[Commit]) -> DataFrame:
+    """The rows of several versions of one table, which share their columns; runs no job."""
+    if not commits:
+        raise VersionNotFound("no version to read")
+    return spark.read.schema(commits[-1].schema).parquet(*[f"{c.path}/{c.folder}" for c in commits])
+
+
 def read_source_lines(spark: SparkSession, commit: Commit, source_line: str) -> DataFrame:
     """The rows of a stored version that kept their ``source_line``, with it as a last column."""
     schema = T.StructType([*commit.schema, T.StructField(source_line, T.StringType())])

@@ -38,6 +38,8 @@ def _sales(key: str) -> str:
     from enriched group by {key}"""
 
 
+_EXACT = "cast(sum(cast(cast(amount as varchar) as decimal(38, 12))) as double)"
+
 # Named steps; each may use the ones above it.
 _STEPS = {
     "raw_orders": """
@@ -101,6 +103,10 @@ _STEPS = {
     where s.status = 'completed'""",
     "by_city": _sales("city"),
     "by_category": _sales("category"),
+    # small groups end on half a cent more often, so the totals are exact here as in the library
+    "by_customer": f"""select customer_id, count(order_id) as total_orders,
+      {_money(_EXACT)} as total_revenue, {_money(f"{_EXACT} / count(amount)")} as avg_order_value
+    from enriched group by customer_id""",
     "spend": f"""
     select customer_id, customer_name, count(order_id) as total_orders,
       {_money("sum(amount)")} as total_spent
@@ -135,6 +141,24 @@ _NULL_KEYS = (
     " from raw_orders o left join silver_people c on o.customer_id = c.customer_id"
 )
 
+_EARLY = "order_date < '1995'"
+
+_OTHERS = ("customer_id", "product_id", "quantity", "order_date", "status", "amount")
+_COPIES = f"(partition by order_id order by {', '.join(f'{c} nulls last' for c in _OTHERS)})"
+_REMOVED = f"""
+    select {_ORDER_COLUMNS}, reason, count(*) as copies,
+      case when reason = 'duplicate' then first_customer_id is not null and first_product_id is not null end
+        as survivor_kept,
+      {', '.join(f"case when reason = 'duplicate' then first_{c} end as survivor_{c}" for c in _OTHERS)}
+    from (select *, case when copy_no > 1 then 'duplicate'
+        when customer_id is null and product_id is null then 'missing_customer_id&missing_product_id'
+        when customer_id is null then 'missing_customer_id'
+        when product_id is null then 'missing_product_id' end as reason
+      from (select *, row_number() over {_COPIES} as copy_no,
+          {', '.join(f"first_value({c}) over {_COPIES} as first_{c}" for c in _OTHERS)}
+        from raw_orders) as numbered) as judged
+    where reason is not null group by all"""
+
 _BODIES = {
     # sources
     "csv_declared_schema": _RAW_ORDERS,
@@ -183,6 +207,19 @@ _BODIES = {
     " from silver_people",
     "silver_products": f"select *, 'products.csv' as source_file, {_AUDIT}, {_UPDATED}"
     " from raw_products",
+    "removed_orders": _REMOVED,
+    "removed_orders_large_lookup": _REMOVED,
+    # arrivals
+    "arrivals_ledger": f"""select cast(0 as bigint) as version, count(*) as "rows", true as all_noted
+      from raw_orders where {_EARLY}
+      union all select 1, count(*), true from raw_orders where not {_EARLY} or quantity = 3""",
+    "arrivals_bronze_orders": f"""select *, {_AUDIT} from (
+      select * from raw_orders where {_EARLY}
+      union all select * from raw_orders where not {_EARLY} or quantity = 3) as arrived""",
+    "arrivals_dedupe_orders": f"select *, {_AUDIT} from deduped",
+    "arrivals_sales_by_city": "select * from by_city",
+    "arrivals_sales_by_category": "select * from by_category",
+    "arrivals_sales_by_customer": "select * from by_customer",
     # gold
     "join_customers_left": "select s.order_id, s.customer_id, s.amount, c.customer_name, c.city"
     " from silver s left join silver_people c on s.customer_id = c.customer_id",

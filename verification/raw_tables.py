@@ -10,6 +10,7 @@ within an order, which gives natural duplicates with differing content.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -131,3 +132,11 @@ def _landing(spark: SparkSession, application: str, sf_dir: str) -> Landing:
 def landing(spark: SparkSession, sf_dir: str) -> Landing:
     """The three extracts as CSV files; written once per application and scale."""
     return _landing(spark, spark.sparkContext.applicationId, sf_dir)
+
+
+def arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[str]:
+    """All raw orders in two arrivals, by day; the second brings orders of three pieces again."""
+    orders = raw_orders(spark, sf_dir)
+    early = F.col("order_date") < "1995"
+    yield write_csv(orders.where(early), f"{folder}/first")
+    yield write_csv(orders.where(~early | (F.col("quantity") == 3)), f"{folder}/second")

@@ -19,6 +19,7 @@ from tierstone.operators import (
     fill_defaults,
     flag_quality,
     lookup_join,
+    removed_rows,
     require_not_null,
     sales_by,
 )
@@ -35,16 +36,19 @@ from tierstone.plans.fixed_values import (
 )
 from tierstone.plans.silver import normalised_customers, order_issues
 from tierstone.sources import (
+    all_commits,
+    file_ledger,
     infer_schema,
     landing_inventory,
     lock_schema,
+    read_commits,
     read_snapshot,
     scan_csv,
     scratch_path,
     snapshot_history,
     write_snapshot,
 )
-from verification.layers import stored, stored_data, tables_root
+from verification.layers import arrivals_root, stored, stored_data, tables_root
 from verification.raw_tables import landing, spoilt_orders, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -301,6 +305,74 @@ def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(plans.silver_products(stored(spark, sf_dir, "bronze_products")))
 
 
+@query("removed_orders")
+def removed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every raw order that the cleaning removes, with the rule and the copy that survived."""
+    return removed_rows(stored_data(spark, sf_dir, "bronze_orders"), ORDER_KEY, CRITICAL)
+
+
+@query("removed_orders_large_lookup")
+def removed_orders_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where the surviving copies are beyond the broadcast bound, one row counts as hot."""
+    bronze = stored_data(spark, sf_dir, "bronze_orders")
+    return removed_rows(bronze, ORDER_KEY, CRITICAL, broadcast="never", min_hot_rows=2)
+
+
+# --- arrivals --------------------------------------------------------------------------
+
+
+@query("arrivals_ledger")
+def arrivals_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each arrival, and whether every file of it is in the ledger under its version."""
+    table = f"{arrivals_root(spark, sf_dir)}/bronze"
+    files = file_ledger(spark, table).groupBy("version").agg(F.countDistinct("file").alias("files"))
+    arrivals = reduce(
+        DataFrame.unionByName,
+        [
+            read_commits(spark, [c])
+            .agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("source_file").alias("read"))
+            .withColumn("version", F.lit(c.version).cast("long"))
+            for c in all_commits(spark, table)
+        ],
+    )
+    return arrivals.join(files, "version").select(
+        "version", "rows", (F.col("files") >= F.col("read")).alias("all_noted")
+    )
+
+
+@query("arrivals_bronze_orders")
+def arrivals_bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = f"{arrivals_root(spark, sf_dir)}/bronze"
+    return shown(read_commits(spark, all_commits(spark, table))).drop("source_file")
+
+
+@query("arrivals_dedupe_orders")
+def arrivals_dedupe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders merged over two arrivals, the second of which brings some rows again."""
+    merged = plans.merged_orders(spark, f"{arrivals_root(spark, sf_dir)}/orders")
+    return shown(merged).drop("source_file")
+
+
+def _arrived_sales(spark: SparkSession, sf_dir: str, key: str, by: str, lookup: str) -> DataFrame:
+    sums = f"{arrivals_root(spark, sf_dir)}/sales_{key}"
+    return plans.merged_sales(spark, sums, key, by, stored(spark, sf_dir, lookup))
+
+
+@query("arrivals_sales_by_city")
+def arrivals_sales_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arrived_sales(spark, sf_dir, "customer_id", "city", "silver_customers")
+
+
+@query("arrivals_sales_by_category")
+def arrivals_sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arrived_sales(spark, sf_dir, "product_id", "category", "silver_products")
+
+
+@query("arrivals_sales_by_customer")
+def arrivals_sales_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.merged_sales(spark, f"{arrivals_root(spark, sf_dir)}/sales_customer_id", "customer_id")
+
+
 # --- gold ------------------------------------------------------------------------------
 
 
