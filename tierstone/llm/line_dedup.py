@@ -123,6 +123,10 @@ def _without(texts: pa.Array, dropped: pa.Array) -> pa.Array:
     )
 
 
+# a filter on the result must not be pushed below the function, which would then run twice
+_without = _without.asNondeterministic()
+
+
 class LineIndex:
     """The index under ``path``, on storage that all executors share. One writer at a time."""
 
