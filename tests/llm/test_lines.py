@@ -72,6 +72,56 @@ def test_deleting_a_document_brings_its_line_back(spark, tmp_path):
     assert index._shared().count() == 0
 
 
+def test_a_reopened_index_goes_on(spark, tmp_path):
+    docs = frame(spark, [(i, f"{LINE}\nonly in {i}, this one\nshared by {i // 2}, these two", "en", "a", 1) for i in range(40)])
+    path = str(tmp_path / "index")
+    index = line_dedup.LineIndex(spark, path)
+    with pytest.raises(LookupError):
+        index.delete(docs.select("doc_id"))
+    with pytest.raises(LookupError):
+        index.resolve(docs)
+    index.insert(docs.where("doc_id < 30"))
+    again = line_dedup.LineIndex(spark.newSession(), path)
+    assert (again.generation, again.shards) == (1, index.shards)
+    again.delete(docs.where("doc_id = 0").select("doc_id"))
+    more = line_dedup.LineIndex(spark, path)
+    more.keys_per_shard = 1
+    more.insert(docs.where("doc_id >= 30"))
+    assert more.shards > index.shards  # 20 shared lines for 8 shards of one
+
+    left = docs.where("doc_id > 0")
+    last = line_dedup.LineIndex(spark, path)
+    assert last.shards == more.shards
+    got = sorted((r["doc_id"], r["_lines"]["n_lines"], r["_lines"]["text"]) for r in last.resolve(left).collect())
+    rows = sorted((r["doc_id"], r["text"]) for r in left.collect())
+    assert got == [(i, n, "\n".join(lines)) for (i, _), (n, lines) in zip(rows, deduped_lines(rows))]
+    fresh = line_dedup.LineIndex(spark, str(tmp_path / "fresh"))
+    fresh.insert(left)
+    assert sorted(map(tuple, last._shared().collect())) == sorted(map(tuple, fresh._shared().collect()))
+
+
+def test_a_small_change_keeps_the_filters_of_other_shards(spark, tmp_path):
+    texts = [(i, "\n".join(f"line {j} of many lines" for j in range(200)), "", "", 0) for i in range(2)]
+    index = line_dedup.LineIndex(spark, str(tmp_path / "index"))
+    index.insert(frame(spark, texts))
+    before = {r["shard"]: bytes(r["blob"]) for r in index._filters().collect()}
+    index.insert(frame(spark, [(i, "a new line of two", "", "", 0) for i in (5, 6)]))
+    after = {r["shard"]: bytes(r["blob"]) for r in index._filters().collect()}
+    assert len(after) == len(before) and sum(after[s] != before[s] for s in after) == 1
+
+
+def test_a_failed_change_leaves_the_index_as_it_was(spark, tmp_path, monkeypatch):
+    docs = frame(spark, [(i, LINE, "en", "a", 1) for i in range(4)])
+    index = line_dedup.LineIndex(spark, str(tmp_path / "index"))
+    index.insert(docs.where("doc_id < 2"))
+    with monkeypatch.context() as m:
+        m.setattr(line_dedup.LineIndex, "_write_filters", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            index.insert(docs.where("doc_id = 2"))
+    index.insert(docs.where("doc_id >= 2"))
+    assert [tuple(r) for r in index._shared().select("refs", "first_id").collect()] == [(4, 0)]
+
+
 def test_dedup_keeps_columns_and_nulls(spark, tmp_path):
     docs = frame(spark, clashes=True)
     out = line_dedup.dedup(docs, str(tmp_path / "index"))

@@ -11,7 +11,8 @@ those of the smallest id. The index keeps
   without a look at any table; only hits meet ``shared``, which settles them exactly.
 
 All tables are written under one folder, a generation per change, so that lost executors and
-retried tasks read what was written.
+retried tasks read what was written. ``log`` has a row per generation that is complete: a later job
+that opens the index goes on from there, and what a failed change left is never read.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ import math
 import struct
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -40,6 +43,7 @@ BROADCAST_BYTES = 64 << 20
 ROWS_PER_PROBE = 1_000_000
 _LAST = 2**63 - 1
 _KEYS = "doc_id long, k1 long, k2 long"
+_LOG = "generation long, token string, shards int"
 
 
 def ident(doc_id: Column) -> Column:
@@ -128,23 +132,46 @@ _without = _without.asNondeterministic()
 
 
 class LineIndex:
-    """The index under ``path``, on storage that all executors share. One writer at a time."""
+    """The index under ``path``, on storage that all executors share. One writer at a time.
+
+    Opened where there is one already, it has that one's lines and shards. A change counts the keys
+    that it names anew and touches the filters of their shards; the other postings are read for
+    those keys, but not shuffled.
+    """
 
     def __init__(self, spark: SparkSession, path: str, shards: int | None = None):
-        self.spark, self.path, self.shards, self.generation = spark, path.rstrip("/"), shards, 0
-        self.broadcast_bytes = BROADCAST_BYTES
+        self.spark, self.path, self.shards = spark, path.rstrip("/"), shards
+        self.broadcast_bytes, self.keys_per_shard = BROADCAST_BYTES, KEYS_PER_SHARD
+        self._tokens: list[str] = []  # of the generations, from the first on
+        try:
+            log = spark.read.schema(_LOG).parquet(f"{self.path}/log").orderBy("generation").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        if [r["generation"] for r in log] != list(range(1, len(log) + 1)):
+            raise RuntimeError(f"{self.path}: two writers changed the index at once")
+        if log:
+            self._tokens, self.shards = [r["token"] for r in log], log[-1]["shards"]
 
-    def _at(self, table: str, generation: int | None = None) -> str:
-        return f"{self.path}/{table}/generation={self.generation if generation is None else generation}"
+    @property
+    def generation(self) -> int:
+        return len(self._tokens)
 
-    def _read(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self._at(table))
+    def _at(self, table: str, generation: int | None = None) -> str:
+        generation = generation or self.generation
+        if not generation:
+            raise LookupError(f"no line index at {self.path}")
+        return f"{self.path}/{table}/{generation}-{self._tokens[generation - 1]}"
 
-    def _postings(self, upto: int) -> DataFrame:
+    def _postings(self, *generations: int) -> DataFrame:
         schema = f"{_KEYS}, change int"
-        parts = [self.spark.read.schema(schema).parquet(self._at("postings", g)) for g in range(1, upto + 1)]
+        parts = [self.spark.read.schema(schema).parquet(self._at("postings", g)) for g in generations]
         return reduce(DataFrame.union, parts)
 
+    def _all_postings(self) -> DataFrame:
+        return self._postings(*range(1, self.generation + 1))
+
     @staticmethod
     def _live(postings: DataFrame) -> DataFrame:
         return postings.groupBy("k1", "k2", "doc_id").agg(F.sum("change").alias("n")).where("n > 0")
@@ -161,39 +188,60 @@ class LineIndex:
         self._change(line_keys(docs, text=text).withColumn("change", F.lit(1)))
 
     def delete(self, doc_ids: DataFrame) -> None:
-        """Take back documents by ``doc_id``; lines that only they had kept come back elsewhere."""
-        if not self.generation:
-            return
+        """Take back documents by ``doc_id``; lines that only they had kept come back elsewhere.
+
+        Raises ``LookupError`` where there is no index."""
+        self._at("postings")
         gone = doc_ids.select(ident(doc_ids["doc_id"]).alias("doc_id")).distinct()
-        live = self._live(self._postings(self.generation)).join(gone, "doc_id", "left_semi")
+        live = self._live(self._all_postings().join(gone, "doc_id", "left_semi"))
         self._change(live.select("doc_id", "k1", "k2", (-F.col("n")).cast("int").alias("change")))
 
     def _change(self, postings: DataFrame) -> None:
-        old, self.generation = self.generation, self.generation + 1
-        postings.write.parquet(self._at("postings"))
-        # the rows of one insertion are distinct per document already, so they need no sum first
-        live = self._postings(1) if self.generation == 1 else self._live(self._postings(self.generation))
-        self._counts(live).write.parquet(self._at("shared"))
-        self._write_filters(old)
+        before, shards = list(self._tokens), self.shards
+        self._tokens = [*before, uuid4().hex[:12]]
+        try:
+            postings.write.parquet(self._at("postings"))
+            if not before:
+                # the rows of one insertion are distinct per document already, so they need no sum first
+                self._counts(self._postings(1)).write.parquet(self._at("shared"))
+                self._write_filters()
+            else:
+                keys = self._postings(self.generation).select("k1", "k2").distinct()
+                live = self._live(self._all_postings().join(keys, ["k1", "k2"], "left_semi"))
+                others = self._shared(len(before)).join(keys, ["k1", "k2"], "left_anti")
+                others.unionByName(self._counts(live)).write.parquet(self._at("shared"))
+                self._write_filters(len(before), keys)
+            log = self.spark.createDataFrame([(self.generation, self._tokens[-1], self.shards)], _LOG)
+            log.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        except BaseException:
+            self._tokens, self.shards = before, shards
+            raise
 
     def _shared(self, generation: int | None = None) -> DataFrame:
         schema = "k1 long, k2 long, refs long, first_id long"
         return self.spark.read.schema(schema).parquet(self._at("shared", generation))
 
-    def _write_filters(self, old: int) -> None:
-        shared, n = self._shared(), None
-        if self.shards is None:
-            n = shared.count()
-            self.shards = 1 << max(3, math.ceil(math.log2(max(1, n) / KEYS_PER_SHARD)))
+    def _write_filters(self, old: int = 0, changed: DataFrame | None = None) -> None:
+        """Filters over the shared keys: those of generation ``old``, put right in the shards of the
+        ``changed`` keys. All are made anew, with more shards, once there are too many keys for them."""
+        shared = self._shared()
+        n = shared.count()
+        if self.shards is None or n > 2 * self.keys_per_shard * self.shards:
+            self.shards, old = 1 << max(3, math.ceil(math.log2(max(1, n) / self.keys_per_shard))), 0
         shards = self.shards
+        every = self.spark.range(shards).select(F.col("id").cast("int").alias("shard"))
         now = shared.select(shard_of(F.col("k1"), shards).alias("shard"), "k1", F.lit(1).alias("now"))
+        kept = None
         if old:
+            touched = [r["shard"] for r in changed.select(shard_of(F.col("k1"), shards).alias("shard")).distinct().collect()]
+            held = self._filters(old)
+            blobs, kept = held.where(F.col("shard").isin(touched)), held.where(~F.col("shard").isin(touched))
             before = self._shared(old).select(shard_of(F.col("k1"), shards).alias("shard"), "k1", F.lit(1).alias("before"))
-            keys = before.join(now, ["shard", "k1"], "full_outer")
+            here = F.col("shard").isin(touched)
+            keys = before.where(here).join(now.where(here), ["shard", "k1"], "full_outer")
         else:
             keys = now.withColumn("before", F.lit(None).cast("int"))
-        every = self.spark.range(shards).select(F.col("id").cast("int").alias("shard"))
-        blobs = self._filters(old) if old else every.withColumn("blob", F.lit(None).cast("binary"))
+            blobs = every.withColumn("blob", F.lit(None).cast("binary"))
 
         def apply(key, keys: pd.DataFrame, blob: pd.DataFrame) -> pd.DataFrame:
             held = blob["blob"].iloc[0] if len(blob) else None
@@ -213,7 +261,7 @@ class LineIndex:
         filters = (
             keys.groupBy("shard").cogroup(blobs.groupBy("shard")).applyInPandas(apply, "shard int, blob binary")
         )
-        filters.write.parquet(self._at("filters"))
+        (filters if kept is None else filters.unionByName(kept)).write.parquet(self._at("filters"))
 
     def _filters(self, generation: int | None = None) -> DataFrame:
         return self.spark.read.schema("shard int, blob binary").parquet(self._at("filters", generation))
@@ -225,7 +273,7 @@ class LineIndex:
         if size <= self.broadcast_bytes:
             return line_keys(docs, {r["shard"]: r["blob"] for r in filters.collect()}, text)
         keys = line_keys(docs, text=text)
-        rows = self._postings(self.generation).count()
+        rows = self._all_postings().count()
         salts = max(1, math.ceil(4 * rows / shards / ROWS_PER_PROBE))
         dealt = keys.withColumn("shard", shard_of(F.col("k1"), shards)).withColumn(
             "salt", F.pmod(F.xxhash64("doc_id", "k2"), F.lit(salts)).cast("int")
