@@ -25,6 +25,13 @@ ITEM = "A train leaves Boston at 7 with Mary aboard and covers 120 km before it
         ("<div role='dialog'>c</div><p hidden>h</p><p style='display: none'>n</p>left", "left"),
         ("<article><p>cut off <b>he", "cut off he"),
         ("<ul><li>a<ul><li>b</ul><li>c</ul>", "a\nb\nc"),
+        ("<article><p id='notice-period'>a</p><h2 id='share-of-income'>b</h2><p class='social'>c</p></article>", "a\nb"),
+        ("<div class='content has-sidebar'><p>text</p></div>", "text"),
+        ("<div class='sidebar'><article><p>text</p></article></div><div class='comment-list'>c</div>", "text"),
+        ("<article><p>t</p><section class='comments'><p>longer than the text</p></section></article>", "t"),
+        ("<main><p>A long text of the page.</p></main><section><article><h3>Related</h3></article></section>", "A long text of the page."),
+        ("<article></article><p>text</p>", "text"),
+        ("<main><p>a</p><article><p>the longer part</p></article></main>", "the longer part"),
     ],
 )
 def test_main_text(html, text):
@@ -57,6 +64,26 @@ def test_templates_of_a_host_go(spark):
     assert site_templates.extract(_pages(spark, [])).collect() == []
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    own = [(i, f"https://h.org/{i}", f"<div><p>Paragraph {i} is its own.</p><p>Second {i}.</p></div><p>Imprint</p>", "r", "h", "s") for i in range(12)]
+    copies = [(100 + i, f"https://h.org/c{i}", f"<div id=n{i}><p>A story.</p><p>Its end.</p></div><p>Imprint</p>", "r", "h", "s") for i in range(30)]
+    got = {r["page_id"]: r["_main"] for r in site_templates.extract(_pages(spark, own + copies)).collect()}
+    assert all(got[100 + i] == "A story.\nIts end." for i in range(30))
+    assert all(got[i] == f"Paragraph {i} is its own.\nSecond {i}." for i in range(12))
+
+
+def test_recurrence_alone_finds_what_many_pages_share(spark):
+    """A block on one page in twelve stays, on one in six it goes, or on a number of pages."""
+    def page(i):
+        extra = ("<p>On a sixth.</p>" if i % 6 == 0 else "") + ("<p>On a twelfth.</p>" if i % 12 == 1 else "")
+        return (i, f"https://h.org/{i}", f"{extra}<p>Text {i}.</p>", "r", "h", "s")
+
+    pages = _pages(spark, [page(i) for i in range(120)])
+    assert all(r["_main"] == (f"On a twelfth.\nText {r['page_id']}." if r["page_id"] % 12 == 1 else f"Text {r['page_id']}.") for r in site_templates.extract(pages).collect())
+    many = site_templates.extract(pages, site_templates.Template(many=9))
+    assert all(r["_main"] == f"Text {r['page_id']}." for r in many.collect())
+
+
 def _benchmark(spark, rows):
     return spark.createDataFrame(rows, "item_id long, text string")
 

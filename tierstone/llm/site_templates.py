@@ -1,8 +1,8 @@
 """Main text of web pages, with site templates removed.
 
 Every element subtree of a page has a hash over its tags and text. Spark counts, per host, on how
-many pages each hash occurs; subtrees that recur across many pages of their host are template and
-go. What is left is the article: menus, headers, footers, sidebars, notices, adverts, forms,
+many pages each hash occurs, copies of a page counting once; subtrees that recur across many pages
+of their host are template and go. What is left is the article: menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments are told by their tags, roles, classes and ids.
 """
 
@@ -51,6 +51,12 @@ DROP_WORDS = frozenset(
     "breadcrumbs share sharing social related recommended comment comments disqus respond reply replies footer masthead "
     "pagination pager widget toolbar".split()
 )
+# Words that go with those in a name of the same meaning, as in "comment-list".
+FRAME_WORDS = frozenset(
+    "area bar block bottom box btn container content css div first fixed floating footer form global google group "
+    "header heading holder icon icons inner item items js last left link links list main outer page panel primary "
+    "reader readers right row secondary section site slot sticky text title top ui unit user users wrap wrapper".split()
+)
 
 _ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
 _MARKUP = re.compile(
@@ -63,46 +69,63 @@ _MARKUP = re.compile(
 )
 _NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
+# An article or main part with less than one part in so many of the text that is left is no root.
+ROOT_SHARE = 10
 
 
 @dataclass(frozen=True)
 class Template:
-    """A subtree is template on at least ``pages`` pages that are ``share`` of its host's pages.
+    """A subtree is template on at least ``pages`` pages that are ``share`` of its host's pages, or on
+    ``many`` pages. Pages of a host with the same text count once.
 
-    Inside an article the bar is higher, so that passages which many articles quote stay."""
+    Inside an article the bar is higher and a share alone, so that passages which many articles
+    quote stay."""
 
     pages: int = 8
-    share: float = 0.3
+    share: float = 0.1
+    many: int = 1000
     article_pages: int = 20
     article_share: float = 0.9
     broadcast_rows: int = 200_000
 
 
-def _dropped(tag: str, attrs: str, in_article: bool) -> bool:
+def _names_extra(value: str) -> bool:
+    """Whether a class or id names something beside the text: all of the name, not a word in it."""
+    for name in value.split():
+        found = {x for x in _WORD.findall(name) if len(x) > 1}
+        if not DROP_WORDS.isdisjoint(found) and found <= DROP_WORDS | FRAME_WORDS:
+            return True
+    return False
+
+
+def _dropped(tag: str, attrs: str, in_article: bool) -> str:
+    """``by tag`` (or role, or because it is hidden), ``by name``, or nothing if it stays."""
     if tag in DROP_TAGS or (tag == "header" and not in_article):
-        return True
+        return "by tag"
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return ""
+    named = ""
     for name, value in _NAMED.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            if not DROP_WORDS.isdisjoint(_WORD.findall(value)) and tag not in ("html", "body", "main"):
-                return True
+            if tag not in ("html", "body", "main") and _names_extra(value):
+                named = "by name"
         elif name == "role":
             if value in DROP_ROLES:
-                return True
+                return "by tag"
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "by tag"
         elif name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-    return False
+            return "by tag"
+    return named
 
 
 class Page:
     """One parsed page: block elements with hashes, and blocks of text in page order."""
 
     def __init__(self, html: str):
-        self.parent, self.drop, self.kind, self.digest = [-1], [False], [""], [0]
+        self.parent, self.drop, self.kind, self.digest = [-1], [""], [""], [0]
+        self.in_main = [False]
         self.blocks: list[tuple[int, str]] = []
         self._parts: list[list[bytes]] = [[]]
         self._open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, block element, muted
@@ -164,8 +187,9 @@ class Page:
             return
         in_article = self.kind[inside] == "article"
         self.parent.append(inside)
-        self.drop.append(self.drop[inside] or _dropped(tag, attrs, in_article))
+        self.drop.append(_dropped(tag, attrs, in_article))
         role_main = tag == "main" or "role" in attrs and re.search(r"\brole\s*=\s*[\"']?main\b", attrs, re.IGNORECASE)
+        self.in_main.append(self.in_main[inside] or bool(role_main))
         kind = "article" if tag == "article" else "main" if role_main and not in_article else ""
         self.kind.append(kind or self.kind[inside])
         self.digest.append(0)
@@ -208,17 +232,37 @@ class Page:
         }
 
     def main_text(self, templates: frozenset[int] = frozenset(), article_templates: frozenset[int] = frozenset()) -> str:
-        gone = list(self.drop)
-        for i in range(1, len(gone)):
+        n = len(self.parent)
+        gone = [x == "by tag" for x in self.drop]
+        for i in range(1, n):
+            gone[i] = gone[i] or gone[self.parent[i]]
+        # code points of each subtree, of articles and main parts where the page has them
+        whole, rooted = [0] * n, [0] * n
+        for e, t in self.blocks:
+            if not gone[e]:
+                whole[e] += len(t)
+                rooted[e] += len(t) if self.kind[e] else 0
+        for i in range(n - 1, 0, -1):
+            whole[self.parent[i]] += whole[i]
+            rooted[self.parent[i]] += rooted[i]
+        held_by = rooted if rooted[0] else whole
+        for i in range(1, n):
             p = self.parent[i]
             held = article_templates if self.kind[p] == "article" else templates
+            # a name does not take most of the page's text with it, whatever it says
+            by_name = self.drop[i] == "by name" and (self.kind[i] != "" or 2 * held_by[i] <= held_by[0])
             # the page's own frame is no template, however alike two pages are
-            gone[i] = gone[i] or gone[p] or (self.digest[i] in held and self.kind[i] == self.kind[p])
+            gone[i] = gone[i] or gone[p] or by_name or (self.digest[i] in held and self.kind[i] == self.kind[p])
         left = [(e, t) for e, t in self.blocks if not gone[e]]
-        for kind in ("article", "main"):
-            if any(k == kind and not g for k, g in zip(self.kind, gone)):
-                left = [(e, t) for e, t in left if self.kind[e] == kind]
-                break
+        articles = [(e, t) for e, t in left if self.kind[e] == "article"]
+        main = [(e, t) for e, t in left if self.in_main[e]]
+        # teasers are articles too: the root is what holds the text
+        sizes = [sum(len(t) for _, t in x) for x in (articles, main, left)]
+        beside = sum(len(t) for e, t in main if self.kind[e] != "article")
+        if 0 < sizes[0] >= beside and ROOT_SHARE * sizes[0] >= sizes[2]:
+            left = articles
+        elif 0 < sizes[1] and ROOT_SHARE * sizes[1] >= sizes[2]:
+            left = main
         return "\n".join(t for _, t in left)
 
 
@@ -231,33 +275,40 @@ def host_of(url: Column) -> Column:
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
-            hosts, digests, inside = [], [], []
-            for host, html in zip(batch.column(0)[at : at + 256], batch.column(1)[at : at + 256]):
+            hosts, bodies, digests, inside = [], [], [], []
+            for host, body, html in zip(*[batch.column(i)[at : at + 256] for i in range(3)]):
                 found = Page(html.as_py()).subtrees()
                 hosts += [host.as_py()] * len(found)
+                bodies += [body.as_py()] * len(found)
                 digests += [d for d, _ in found]
                 inside += [i for _, i in found]
-            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip((hosts, digests, inside), kinds)], ["host", "subtree", "inside"]
+                [pa.array(x, t) for x, t in zip((hosts, bodies, digests, inside), kinds)],
+                ["host", "body", "subtree", "inside"],
             )
 
 
 def site_templates(pages: DataFrame, template: Template = Template()) -> DataFrame:
     """``host`` (64-bit hash), ``subtree``, ``inside``: subtrees that recur across the host's pages.
 
-    A host keeps at most its mean number of subtrees a page divided by ``share``.
+    Pages of a host that have the same text between their tags count as one, so that a group of
+    copies is no template. A host keeps at most its mean number of subtrees a page divided by
+    ``share``, or all subtrees divided by ``many``.
     """
-    hosted = pages.select(F.xxhash64(host_of(pages["url"])).alias("host"), "html").where(
-        host_of(pages["url"]).isNotNull() & F.col("html").isNotNull()
-    )
-    seen = hosted.mapInArrow(_subtrees, "host long, subtree long, inside boolean")
-    counted = seen.groupBy("host", "subtree", "inside").agg(F.count("*").alias("n")).where(
+    text = F.regexp_replace("html", "<[^>]*>", "")
+    hosted = pages.select(
+        F.xxhash64(host_of(pages["url"])).alias("host"), F.xxhash64(text).alias("body"), "html"
+    ).where(host_of(pages["url"]).isNotNull() & F.col("html").isNotNull())
+    seen = hosted.mapInArrow(_subtrees, "host long, body long, subtree long, inside boolean")
+    bodies = F.count_distinct("body")
+    counted = seen.groupBy("host", "subtree", "inside").agg(bodies.alias("n")).where(
         F.col("n") >= F.when(F.col("inside"), template.article_pages).otherwise(template.pages)
     )
-    sizes = hosted.groupBy("host").agg(F.count("*").alias("pages"))
+    sizes = hosted.groupBy("host").agg(bodies.alias("pages"))
     share = F.when(F.col("inside"), template.article_share).otherwise(template.share)
-    return counted.join(sizes, "host").where(F.col("n") >= F.col("pages") * share).select("host", "subtree", "inside")
+    recurs = (F.col("n") >= F.col("pages") * share) | (~F.col("inside") & (F.col("n") >= template.many))
+    return counted.join(sizes, "host").where(recurs).select("host", "subtree", "inside")
 
 
 @F.arrow_udf(StringType())
@@ -275,7 +326,7 @@ def extract(pages: DataFrame, template: Template = Template()) -> DataFrame:
     """``pages`` with a column ``_main``: the main text, empty if there is none.
 
     A null html is empty. Pages without a host share no template with others. Rows that repeat a
-    page count as pages. A column named ``_main`` in the input is replaced.
+    page each have its text, and count once when recurrence is counted. A column named ``_main`` in the input is replaced.
     """
     own = [c for c in pages.columns if c != "_main"]
     found = stage(site_templates(pages, template), "site_templates")
