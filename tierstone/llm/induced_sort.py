@@ -5,10 +5,11 @@ suffixes are sorted by recursion on names of the pieces between them; from their
 induces that of the L suffixes, and a sweep back that of the S suffixes. A sweep takes suffixes
 in ascending order from a priority queue and puts their left neighbours into it.
 
-The queue takes and gives arrays of (key, position) tuples, kept by ranges of keys, and puts the
-ranges that are not being swept on disk when it holds more than ``memory`` bytes. Since tuples of
-equal key arrive in order, a range only needs a stable sort by key. Texts and results of a large
-input are files mapped into memory.
+The queue takes and gives arrays of (key, position) tuples, one 64-bit word each with the key
+above, kept by ranges of keys, and puts the ranges that are not being swept on disk when it holds
+more than ``memory`` bytes. Since tuples of equal key arrive in order, a range only needs a stable
+sort by key. The text, its types and the results are arrays in memory: the caller cuts its input
+into shards that fit.
 """
 
 from __future__ import annotations
@@ -20,29 +21,32 @@ import numpy as np
 
 RANGES = 512
 SEEDS_PER_RANGE = 700  # fewer, and the steps per range cost more than the tuples in it
+_KEY = 32  # bits below the key, which hold the position
+_POSITION = np.int64((1 << _KEY) - 1)
 
 
 class TupleQueue:
-    """A priority queue of (key, position) with non-decreasing removals, by ranges of keys."""
+    """A priority queue of (key, position) with non-decreasing removals, by ranges of keys.
+
+    Ranges are as wide as a power of two, so that a shift tells them apart."""
 
     def __init__(self, top: int, folder: str, memory: int, ranges: int = RANGES):
-        self._width = max(1, -(-top // ranges))
-        self.ranges = -(-top // self._width)
+        self.bits = (max(1, -(-top // ranges)) - 1).bit_length()
+        self.ranges = max(1, -(-top >> self.bits))
         self._parts: list[list[np.ndarray]] = [[] for _ in range(self.ranges)]
         self._spilled: set[int] = set()
         self._folder, self._memory, self._held = folder, memory, 0
 
-    def push(self, keys: np.ndarray, positions: np.ndarray) -> None:
-        if not len(keys):
+    def push(self, tuples: np.ndarray) -> None:
+        if not len(tuples):
             return
-        tuples = np.stack([keys, positions])
-        where = keys // self._width
-        if where[0] != where[-1] or (where != where[0]).any():
-            order = np.argsort(where.astype(np.uint16), kind="stable")  # by digits
-            tuples, where = tuples[:, order], where[order]
-        cut = np.flatnonzero(np.diff(where)) + 1
-        for part in np.split(tuples, cut, axis=1):
-            self._parts[int(part[0, 0]) // self._width].append(part)
+        where = (tuples >> (_KEY + self.bits)).astype(np.uint16)
+        if (where != where[0]).any():
+            order = np.argsort(where, kind="stable")  # by digits
+            tuples, where = tuples[order], where[order]
+        cuts = [0, *(np.flatnonzero(where[1:] != where[:-1]) + 1).tolist(), len(tuples)]
+        for a, b, index in zip(cuts, cuts[1:], where[cuts[:-1]].tolist()):
+            self._parts[index].append(tuples[a:b])
         self._held += tuples.nbytes
         if self._held > self._memory:
             self._spill()
@@ -54,61 +58,68 @@ class TupleQueue:
         for index, parts in enumerate(self._parts):
             if parts:
                 with open(self._file(index), "ab") as out:
-                    out.write(np.ascontiguousarray(np.concatenate(parts, axis=1).T).tobytes())
+                    for part in parts:
+                        out.write(part.tobytes())
                 self._spilled.add(index)
                 self._parts[index] = []
         self._held = 0
 
-    def take(self, index: int) -> np.ndarray:
+    def take(self, index: int) -> list[np.ndarray]:
         """All tuples of a range, in order of arrival."""
         parts = self._parts[index]
         self._held -= sum(x.nbytes for x in parts)
         self._parts[index] = []
         if index in self._spilled:
-            parts = [np.fromfile(self._file(index), dtype=np.int64).reshape(-1, 2).T, *parts]
+            parts = [np.fromfile(self._file(index), dtype=np.int64), *parts]
             os.remove(self._file(index))
             self._spilled.discard(index)
-        return np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), dtype=np.int64)
+        return parts
+
 
+def _tuples(keys: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    return (keys.astype(np.int64) << _KEY) | positions
 
-def _sweep(seeds: np.ndarray, seed_keys: np.ndarray, key_of, top: int, folder: str, memory: int) -> np.ndarray:
+
+def _sweep(seeds: np.ndarray, seed_keys: np.ndarray, left_keys: np.ndarray, top: int, folder: str, memory: int) -> np.ndarray:
     """Positions that the seeds induce, in sweep order; seeds come in that order and are left out.
 
-    Seeds have odd keys, induced positions even ones. ``key_of(positions)``: the key of each left
-    neighbour, or -1 where it is not induced.
+    Seeds have odd keys, induced positions even ones. ``left_keys``: for each position, the key of
+    its left neighbour, or -1 where that is not induced.
     """
     queue, out = TupleQueue(top, folder, memory, min(RANGES, 1 + len(seeds) // SEEDS_PER_RANGE)), []
-    starts = np.searchsorted(seed_keys, np.arange(queue.ranges + 1) * queue._width)
+    width = 1 << queue.bits
+    small = np.uint16 if width <= 1 << 16 else np.int64  # sorted by digits, not by comparisons
+    starts = np.searchsorted(seed_keys, np.arange(queue.ranges + 1) * width).tolist()
+    seeds = _tuples(seed_keys, seeds)
+
+    def by_key(tuples: np.ndarray, base: int) -> np.ndarray:
+        return tuples[np.argsort(((tuples >> _KEY) - base).astype(small), kind="stable")]
+
     for index in range(queue.ranges):
-        a, b = starts[index], starts[index + 1]
-        waiting = np.stack([seed_keys[a:b], seeds[a:b]])
-        arrived = queue.take(index)
-        if not waiting.shape[1] and not arrived.shape[1]:
-            continue
-        waiting = np.concatenate([arrived, waiting], axis=1)
-        waiting = waiting[:, np.argsort(waiting[0], kind="stable")]
-        end = (index + 1) * queue._width
-        while waiting.shape[1]:
-            keys, at = waiting
-            pushed = key_of(at)
-            # the longest run from the front whose pushes all come after it; else the first key alone
-            lowest = np.minimum.accumulate(np.where(pushed >= 0, pushed, top))
-            bad = np.flatnonzero(lowest <= keys)
-            n = int(np.searchsorted(keys, keys[bad[0]])) if len(bad) else len(keys)
-            if not n:
-                n = int(np.searchsorted(keys, keys[0], side="right"))
-            out.append(at[:n][(keys[:n] & 1) == 0].astype(np.int32))
-            new, to = pushed[:n], at[:n] - 1
-            there = (new >= 0) & (new < end)
-            later = (new >= 0) & ~there
-            queue.push(new[later], to[later])
-            waiting = waiting[:, n:]
+        waiting, base = [*queue.take(index), seeds[starts[index] : starts[index + 1]]], index * width
+        waiting = np.concatenate(waiting) if len(waiting) > 1 else waiting[0]
+        if width > 2:  # else induced positions, which have the even key, come first already
+            waiting = by_key(waiting, base)
+        while len(waiting):
+            at = waiting & _POSITION
+            new = left_keys[at]
+            there = (new >= 0) & (new < base + width)
+            n = len(waiting)
+            if there.any():
+                # the longest run from the front whose pushes all come after it; else the first key alone
+                keys = waiting >> _KEY
+                lowest = np.minimum.accumulate(np.where(there, new, top))
+                bad = np.flatnonzero(lowest <= keys)
+                if len(bad):
+                    n = int(np.searchsorted(keys, keys[bad[0]])) or int(np.searchsorted(keys, keys[0], side="right"))
+                    new, there, at = new[:n], there[:n], at[:n]
+            done, waiting = waiting[:n], waiting[n:]
+            out.append(at[(done >> _KEY) & 1 == 0].astype(np.int32))
+            later = new >= base + width
+            queue.push(_tuples(new[later], at[later] - 1))
             if there.any():
-                come = np.stack([new[there], to[there]])
-                come = come[:, np.argsort(come[0], kind="stable")]
                 # after those of the same key that wait already: they were induced before
-                place = np.searchsorted(waiting[0], come[0], side="right")
-                waiting = np.insert(waiting, place, come, axis=1)
+                waiting = by_key(np.concatenate([waiting, _tuples(new[there], at[there] - 1)]), base)
     return np.concatenate(out) if out else np.zeros(0, dtype=np.int32)
 
 
@@ -125,31 +136,38 @@ def _is_s(text: np.ndarray) -> np.ndarray:
 
 
 def _names(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, top: int) -> tuple[np.ndarray, int]:
-    """Ranks of the pieces from each LMS position to the next, and how many differ."""
+    """Ranks of the pieces from each LMS position to the next, and how many differ.
+
+    Pieces are compared by as many symbols at a time as fit a word beside the names so far."""
     length = np.append(np.diff(lms) + 1, 1)
+    bits = (2 * top + 1).bit_length()
+    together = max(1, (62 - len(lms).bit_length()) // bits)
+    symbols = np.zeros(len(text) + together, dtype=np.int64)
+    symbols[: len(text)] = 2 * text.astype(np.int64) + is_s + 1
     names, step = np.zeros(len(lms), dtype=np.int64), 0
-    base = 2 * top + 1
     open_ = np.arange(len(lms))
     while len(open_):
-        inside = step < length[open_]
-        at = np.minimum(lms[open_] + step, len(text) - 1)
-        symbol = np.where(inside, 2 * text[at].astype(np.int64) + is_s[at] + 1, 0)
-        key = names[open_] * base + symbol
-        order = np.argsort(key, kind="stable")
-        ranked, group = key[order], names[open_][order]
+        key, begin, rest = names[open_], lms[open_] + step, length[open_] - step
+        for i in range(together):
+            key <<= bits
+            key |= np.where(rest > i, symbols[begin + i], 0)
+        order = np.argsort(key)
+        ranked, group = key[order], names[open_[order]]
         new = np.ones(len(order), dtype=bool)
         new[1:] = ranked[1:] != ranked[:-1]
         first = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
+        size = np.diff(np.append(first, len(order)))
         # names are the number of smaller pieces: rank within the old group, from its start
-        begin = np.searchsorted(group, group, side="left")
-        names[open_[order]] = group + (first[run] - begin)
-        size = np.diff(np.append(first, len(order)))[run]
-        more = (size > 1) & (step + 1 < length[open_[order]])
+        heads = np.flatnonzero(np.diff(group, prepend=-1))
+        old = np.repeat(heads, np.diff(np.append(heads, len(order))))
+        names[open_[order]] = group + np.repeat(first, size) - old
+        step += together
+        more = np.repeat(size > 1, size) & (rest[order] > together)
         open_ = np.sort(open_[order[more]])
-        step += 1
-    distinct = np.unique(names)
-    return np.searchsorted(distinct, names), len(distinct)
+    held = np.zeros(len(lms), dtype=bool)
+    held[names] = True
+    rank = np.cumsum(held) - 1
+    return rank[names], int(rank[-1]) + 1
 
 
 def suffix_array(text: np.ndarray, top: int, folder: str, memory: int) -> np.ndarray:
@@ -161,34 +179,32 @@ def suffix_array(text: np.ndarray, top: int, folder: str, memory: int) -> np.nda
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
     names, distinct = _names(text, is_s, lms, top)
     if distinct == len(lms):
-        order = np.argsort(names)
+        order = np.empty(len(lms), dtype=np.int64)
+        order[names] = np.arange(len(lms))
     else:
-        order = suffix_array(names, distinct, folder, memory).astype(np.int64)
+        order = suffix_array(names, distinct, folder, memory)
     seeds = lms[order]
-
-    def key_of_l(at: np.ndarray) -> np.ndarray:
-        left = np.maximum(at - 1, 0)
-        return np.where((at > 0) & ~is_s[left], 2 * text[left].astype(np.int64), -1)
-
-    larger = _sweep(seeds, 2 * text[seeds].astype(np.int64) + 1, key_of_l, 2 * top, folder, memory)
-
-    def key_of_s(at: np.ndarray) -> np.ndarray:
-        left = np.maximum(at - 1, 0)
-        return np.where((at > 0) & is_s[left], 2 * (top - 1 - text[left].astype(np.int64)), -1)
-
-    down = larger[::-1].astype(np.int64)
-    smaller = _sweep(down, 2 * (top - 1 - text[down].astype(np.int64)) + 1, key_of_s, 2 * top, folder, memory)
-    return _merge(text, larger, smaller[::-1], n)
-
-
-def _merge(text: np.ndarray, larger: np.ndarray, smaller: np.ndarray, n: int) -> np.ndarray:
+    symbol, left = text.astype(np.int32), np.empty(n, dtype=np.int32)
+    left[0] = -1
+    left[1:] = np.where(is_s[:-1], -1, 2 * symbol[:-1])
+    larger = _sweep(seeds, 2 * symbol[seeds] + 1, left, 2 * top, folder, memory)
+    # the other way round, keys count down from the greatest symbol
+    left[1:] = np.where(is_s[:-1], 2 * (top - 1 - symbol[:-1]), -1)
+    down = larger[::-1]
+    smaller = _sweep(down, 2 * (top - 1 - symbol[down]) + 1, left, 2 * top, folder, memory)
+    return _merge(symbol, larger, smaller[::-1], top)
+
+
+def _merge(symbol: np.ndarray, larger: np.ndarray, smaller: np.ndarray, top: int) -> np.ndarray:
     """All suffixes: per first symbol the L ones, then the S ones; the last suffix comes first."""
-    both = np.concatenate([np.array([n - 1], dtype=np.int32), larger, smaller])
-    key = 2 * text[both].astype(np.int64)
-    key[1 + len(larger) :] += 1
-    if key.max() < 1 << 16:
-        key = key.astype(np.uint16)  # sorted by digits, not by comparisons
-    return both[np.argsort(key, kind="stable")]
+    of_l, of_s = symbol[larger], symbol[smaller]
+    out = np.empty(1 + len(larger) + len(smaller), dtype=np.int32)
+    out[0] = len(symbol) - 1
+    some_s, some_l = (np.cumsum(np.bincount(x, minlength=top)) for x in (of_s, of_l))
+    before = np.concatenate([[0], some_s[:-1]])  # S suffixes with a smaller symbol
+    out[1 + np.arange(len(larger)) + before[of_l]] = larger
+    out[1 + np.arange(len(smaller)) + some_l[of_s]] = smaller
+    return out
 
 
 def sort_suffixes(data: np.ndarray, memory: int = 64 << 20) -> np.ndarray:

@@ -209,6 +209,15 @@ def _longer_anchors(batches: Iterator[pa.RecordBatch], how: Repeats) -> Iterator
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], batch.schema.names)
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every position as one word, the first one lowest; zeros behind the end."""
+    out = np.zeros(len(data) + 8, dtype=np.uint64)
+    out[: len(data)] = data
+    for shift in (1, 2, 4):
+        out[:-shift] |= out[shift:] << _U(8 * shift)
+    return out[: len(data)]
+
+
 def _repeated_runs(shard: pd.DataFrame, how: Repeats) -> pd.DataFrame:
     """Runs of windows ``[low, high)`` of the contents that equal a window of the shard elsewhere."""
     texts, base = shard["bytes"].to_list(), shard["base"].to_numpy()
@@ -222,18 +231,15 @@ def _repeated_runs(shard: pd.DataFrame, how: Repeats) -> pd.DataFrame:
     is_window = np.cumsum(change[:-1]) > 0
     order = sort_suffixes(data, how.sort_memory)
     order = order[is_window[order]]
-    found = np.zeros(len(data), dtype=bool)
-    for a in range(0, len(order) - 1, 1 << 15):
-        p = order[a : a + (1 << 15) + 1].astype(np.int64)
-        q, p = p[1:], p[:-1]
-        done = 0
-        for step in (8, 24, 64, how.length):  # common prefixes up to the length, the unequal ones left early
-            step = min(step, how.length)
-            for at in range(done, step, 8):
-                span = np.arange(at, min(at + 8, step))
-                same = (data[p[:, None] + span] == data[q[:, None] + span]).all(axis=1)
+    eights, found = _eights(data), np.zeros(len(data), dtype=bool)
+    for a in range(0, len(order) - 1, 1 << 16):
+        p = order[a : a + (1 << 16) + 1].astype(np.int64)
+        p, q = p[:-1], p[1:]
+        for at in range(0, how.length, 8):  # common prefixes up to the length, the unequal ones left early
+            unread = _U(8 * max(0, 8 - (how.length - at)))
+            same = (eights[p + at] ^ eights[q + at]) << unread == 0
+            if not same.all():
                 p, q = p[same], q[same]
-            done = step
         found[p] = found[q] = True
     edge = np.diff(found.astype(np.int8), prepend=0, append=0)
     run_low, run_high = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
