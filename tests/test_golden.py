@@ -217,6 +217,15 @@ def test_files_with_more_columns(spark, landing, tmp_path):
     assert read_snapshot(spark, table_path(root, "gold_enriched_orders")).count() == 8
 
 
+def test_orders_laid_out_by_day_and_status(spark, landing, root, tmp_path):
+    laid = str(tmp_path / "tables")
+    refresh(spark, landing, laid, orders_layout=["order_date", "status"])
+    for name in ("silver_orders", "gold_sales_by_city", "gold_top_customers"):
+        stored = (read_snapshot(spark, table_path(r, name)) for r in (root, laid))
+        want, got = (x.drop("ingestion_timestamp", "updated_timestamp", "source_file") for x in stored)
+        assert got.columns == want.columns and rows(got) == rows(want)
+
+
 def test_task_sizes_follow_the_data():
     mb, tb = 1024**2, 1024**4
     assert shuffle_partitions(0, 8) == 8

@@ -13,6 +13,8 @@ from tierstone.sources import (
     ConflictingVersions,
     SchemaChanged,
     VersionNotFound,
+    all_commits,
+    expire_snapshots,
     latest_commit,
     read_commit,
     read_snapshot,
@@ -197,3 +199,79 @@ def test_two_writers_of_one_version_can_be_settled(spark, tmp_path):
     assert settle_conflicts(spark, path) == []
     assert sorted(r["operation"] for r in snapshot_history(spark, path).collect()) == ["SUPERSEDED", "WRITE", "WRITE"]
     assert write_snapshot(read_commit(spark, late), path).version == 1 and read_snapshot(spark, path).count() == 9
+
+
+def test_old_versions_expire(spark, table, frames, tmp_path):
+    """Their rows go, their lines stay; the current version and the numbering are as before."""
+    assert expire_snapshots(spark, table, keep_last=3) == []
+    assert [c.version for c in expire_snapshots(spark, table, keep_last=1, older_than=FEB)] == [0]
+    assert rows(read_snapshot(spark, table, version_as_of=1)) == rows(frames[1])
+    for missing in ({"version_as_of": 0}, {"timestamp_as_of": JAN}):
+        with pytest.raises(VersionNotFound, match="expired"):
+            read_snapshot(spark, table, **missing)
+    assert [c.version for c in expire_snapshots(spark, table)] == [1]
+    assert expire_snapshots(spark, table) == []
+    assert [c.version for c in all_commits(spark, table)] == [2]
+    assert sorted(p.name.split("-")[0] for p in tmp_path.glob("t/v=*")) == ["v=2"]
+    assert rows(read_snapshot(spark, table)) == rows(frames[2]) and settle_conflicts(spark, table) == []
+    log = [(r["version"], r["operation"]) for r in snapshot_history(spark, table).collect()]
+    assert sorted(log) == [(0, "EXPIRED"), (0, "WRITE"), (1, "EXPIRED"), (1, "WRITE"), (2, "WRITE")]
+    assert write_snapshot(frames[0], table).version == 3
+    with pytest.raises(ValueError, match="keep_last"):
+        expire_snapshots(spark, table, keep_last=0)
+
+
+def test_expiry_that_failed_is_made_good(spark, table, tmp_path):
+    kept = {p.name: p for p in tmp_path.glob("t/v=*")}
+    expire_snapshots(spark, table)
+    [current] = tmp_path.glob("t/v=*")
+    gone = next(p for name, p in kept.items() if name != current.name)
+    shutil.copytree(current, gone)  # as if its files had not been removed
+    assert expire_snapshots(spark, table) == [] and not gone.exists() and current.exists()
+
+
+def test_versions_that_are_read_together_do_not_expire(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2):
+        write_snapshot(spark.range(n), path, adds=True)
+    with pytest.raises(ValueError, match="together"):
+        expire_snapshots(spark, path)
+    assert len(all_commits(spark, path)) == 2
+
+
+def _files_read(df):
+    """Rows, and the files that the scan opened for them."""
+    found = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return found, leaves.apply(0).metrics().apply("numFiles").value()
+
+
+def test_a_day_and_status_read_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    orders = spark.range(6000).select(
+        F.col("id").alias("order_id"),
+        F.expr("nullif(date_add(date'2024-01-01', cast(id % 20 as int)), date'2024-01-03')").alias("order_date"),
+        F.expr("case when id % 3 = 0 then 'completed' when id % 7 > 0 then 'open / new' end").alias("status"),
+        F.col("id").cast("double").alias("amount"),
+    )
+    commit = write_snapshot(orders, path, layout=["order_date", "status"])
+    assert commit.num_rows == 6000 and read_snapshot(spark, path).dtypes == orders.dtypes
+    every, all_files = _files_read(read_snapshot(spark, path))
+    assert sorted(map(repr, every)) == sorted(map(repr, orders.collect()))
+    day = "order_date = date'2024-01-05' and status = 'completed'"
+    found, few = _files_read(read_snapshot(spark, path).where(day))
+    assert sorted(found) == sorted(orders.where(day).collect()) and 0 < few < 0.1 * all_files
+    assert write_snapshot(orders, path).version == 1  # the layout is no part of the schema
+
+
+def test_layouts_that_would_change_values_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError, match="double"):
+        write_snapshot(spark.range(3).withColumn("x", F.rand()), path, layout=["x"])
+    texts = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "n int, s string")
+    with pytest.raises(ValueError, match="empty text"):
+        write_snapshot(texts, path, layout=["s"])
+    with pytest.raises(VersionNotFound):
+        read_snapshot(spark, path)
+    write_snapshot(texts.where("s is null or s != ''"), path, layout=["s"])
+    assert rows(read_snapshot(spark, path)) == [(1, "a"), (3, None)]

@@ -74,7 +74,7 @@ def ingest_new(
     noted = spark.createDataFrame(arrived, found.schema)
     paths = [_GLOB.sub(r"\\\1", row["file"]) for row in sorted(arrived)]
     return ingest(
-        spark, paths, table, schema, before_commit=lambda folder: note_files(noted, table, folder), **options
+        spark, paths, table, schema, adds=True, before_commit=lambda folder: note_files(noted, table, folder), **options
     )
 
 
@@ -160,6 +160,7 @@ def merge_orders(
         committed_at=committed_at,
         upstream=upstream,
         partition_by=_BUCKET,
+        adds=True,
         before_commit=place,
     )
 
@@ -216,7 +217,7 @@ def merge_sales(spark: SparkSession, orders_table: str, table: str, key: str, **
             if replaced:
                 lost = _partial(_rows(spark, orders_table, before, replaced), key, -1, **options)
                 parts = _added(parts.unionByName(lost), key)
-            added.append(write_snapshot(parts, table, upstream=change))
+            added.append(write_snapshot(parts, table, upstream=change, adds=True))
         before = change
     return added
 

@@ -71,6 +71,7 @@ def ingest(
     committed_at: datetime | None = None,
     count_source: bool = False,
     keep_rejects: bool = True,
+    adds: bool = False,
     before_commit: Callable[[str], None] | None = None,
     **options,
 ) -> Commit:
@@ -82,8 +83,8 @@ def ingest(
     again. Values that do not fit their column are null in it; their lines are kept for
     :func:`rejected_values` and counted in the commit, in the same pass, unless ``keep_rejects`` is
     off. ``count_source`` counts the files' lines in a pass of its own, for the audit.
-    ``before_commit`` is that of :func:`tierstone.sources.write_snapshot`, ``options`` are those of
-    :func:`bronze_rows`.
+    ``adds`` and ``before_commit`` are those of :func:`tierstone.sources.write_snapshot`, ``options``
+    those of :func:`bronze_rows`.
     """
     if schema is None:
         options.setdefault("lock_path", f"{table}/schema_lock")
@@ -102,6 +103,7 @@ def ingest(
             committed_at=committed_at,
             upstream_rows=count_lines(spark, files) if count_source else None,
             source_line=SOURCE_LINE if keep else None,
+            adds=adds,
             before_commit=before_commit,
         )
     except (PySparkException, Py4JJavaError) as e:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
@@ -64,6 +64,7 @@ def refresh(
     strict_header: bool = True,
     corrupt_column: str | None = None,
     count_source: bool = False,
+    orders_layout: Sequence[str] = (),
 ) -> dict[str, Commit]:
     """Rebuild all ten tables under ``root`` from the raw files; returns their commits.
 
@@ -73,8 +74,10 @@ def refresh(
     or locked ones raise; ``overwrite_schema`` lets them bring changed columns, and
     ``strict_header=False`` reads by position whatever the headers say. ``corrupt_column`` keeps
     the text of malformed lines in the bronze tables. ``count_source`` counts the files' lines
-    apart, so that the audit can tell a row that was lost in reading. Safe to run again: it
-    adds versions.
+    apart, so that the audit can tell a row that was lost in reading. ``orders_layout`` stores
+    silver orders in a folder per value of some columns, ``("order_date", "status")`` say, at the
+    price of one more shuffle: queries of a few days then read those days alone, and the gold
+    tables the completed orders. Safe to run again: it adds versions.
 
     Task sizes are set in a session of its own, a copy of the caller's, which stays as it is.
     """
@@ -88,8 +91,8 @@ def refresh(
         options |= {"corrupt_column": corrupt_column, "count_source": count_source}
         return ingest(spark, files, table_path(root, table), **options, **commit)
 
-    def saved(table: str, rows: DataFrame) -> Commit:
-        return write_snapshot(rows, table_path(root, table), upstream=done[UPSTREAM[table]], **commit)
+    def saved(table: str, rows: DataFrame, layout: Sequence[str] = ()) -> Commit:
+        return write_snapshot(rows, table_path(root, table), upstream=done[UPSTREAM[table]], layout=layout, **commit)
 
     def read(table: str) -> DataFrame:
         rows = read_commit(spark, done[table])
@@ -110,7 +113,7 @@ def refresh(
         with shuffles_sized_for(spark, done["bronze_orders"].in_memory_bytes):
             build(
                 silver_orders=lambda t: saved(
-                    t, silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at)
+                    t, silver_orders(read("bronze_orders"), flag_mode=flag_mode, updated_at=at), orders_layout
                 ),
                 silver_customers=lambda t: saved(
                     t, silver_customers(read("bronze_customers"), updated_at=at)

@@ -16,6 +16,7 @@ from tierstone.sources.snapshots import (
     ConflictingVersions,
     VersionNotFound,
     all_commits,
+    expire_snapshots,
     latest_commit,
     read_commit,
     read_commits,
@@ -36,6 +37,7 @@ __all__ = [
     "all_commits",
     "check_header",
     "count_lines",
+    "expire_snapshots",
     "file_ledger",
     "header_names",
     "infer_schema",

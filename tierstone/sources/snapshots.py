@@ -10,12 +10,14 @@ or repeated attempt leaves an unnamed folder that no reader sees; a committed fo
 never written again, so a table can be read while it is being rebuilt, and old versions
 stay readable. One writer per table at a time is assumed; two that commit the same version are
 found out by the next read, which refuses to choose until ``settle_conflicts`` has.
+``expire_snapshots`` removes the rows of old versions; their lines in the history stay.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from uuid import uuid4
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierstone.functions import row_bytes
+from tierstone.functions import named, row_bytes
 from tierstone.sources.files import SchemaChanged
 
 _HISTORY = (
@@ -34,7 +36,11 @@ _HISTORY = (
     " in_memory_bytes long, folder string, upstream_folder string, upstream_rows long,"
     " rejected_rows long"
 )
-_SUPERSEDED = "SUPERSEDED"
+_SUPERSEDED, _EXPIRED = "SUPERSEDED", "EXPIRED"
+_OVERWRITE, _APPEND = "Overwrite", "Append"
+_FOLDER = re.compile(r"v=\d+-[0-9a-f]{12}")
+# Types whose values come back from the name of a folder as they were.
+_LAYOUT_TYPES = (T.DateType, T.StringType, T.BooleanType, T.IntegralType)
 _MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -66,7 +72,16 @@ class Commit:
     rejected_rows: int | None = None
 
 
+def _path(spark: SparkSession, name: str):
+    """A path, and the file system that it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _commits(spark: SparkSession, path: str) -> DataFrame:
+    history, files = _path(spark, f"{path}/history")
+    if not files.exists(history):  # asked first: Spark logs a read that fails, as an error of its own
+        raise VersionNotFound(f"no table at {path}")
     try:
         return (
             spark.read.schema(_HISTORY)
@@ -91,6 +106,8 @@ def _newest(commits: DataFrame, path: str) -> Commit | None:
     row = rows[0]
     if len(rows) == 2 and rows[1]["version"] == row["version"]:
         live = _live(commits.where(F.col("version") == row["version"]).collect())
+        if not live:
+            raise VersionNotFound(f"version {row['version']} of {path} has expired")
         if len(live) > 1:
             raise ConflictingVersions(
                 f"{path}: version {row['version']} was committed twice; settle_conflicts() keeps the first"
@@ -100,8 +117,8 @@ def _newest(commits: DataFrame, path: str) -> Commit | None:
 
 
 def _live(rows: list[Row]) -> list[Row]:
-    """Commits of one version that are not superseded, the first one first."""
-    gone = {r["folder"] for r in rows if r["operation"] == _SUPERSEDED}
+    """Commits of one version that are neither superseded nor expired, the first one first."""
+    gone = {r["folder"] for r in rows if r["operation"] in (_SUPERSEDED, _EXPIRED)}
     return sorted((r for r in rows if r["folder"] not in gone), key=lambda r: (r["timestamp"], r["folder"]))
 
 
@@ -133,13 +150,59 @@ def settle_conflicts(spark: SparkSession, path: str) -> list[Commit]:
         lines.setdefault(line["version"], []).append(line)
     for _, of_version in sorted(lines.items()):
         for loser in _live(of_version)[1:]:
-            kept = [f for f in commits.schema if f.name not in ("operation", "operationParameters")]
-            record = {f.name: F.lit(loser[f.name]).cast(f.dataType) for f in kept}
-            _append_history(spark, path, record | {"operation": F.lit(_SUPERSEDED)})
+            _append_history(spark, path, _again(loser, _SUPERSEDED, {}))
             found.append(_commit(loser, path))
     return found
 
 
+def _again(line: Row, operation: str, parameters: dict[str, str]) -> dict[str, Column]:
+    """A line that says what became of the commit of another one."""
+    schema = T.StructType.fromDDL(_HISTORY)
+    kept = [f for f in schema if f.name not in ("operation", "operationParameters")]
+    record = {f.name: F.lit(line[f.name]).cast(f.dataType) for f in kept} | {"operation": F.lit(operation)}
+    if parameters:
+        record["operationParameters"] = F.create_map(*[F.lit(x) for pair in parameters.items() for x in pair])
+    return record
+
+
+def expire_snapshots(
+    spark: SparkSession, path: str, *, keep_last: int = 1, older_than: datetime | None = None
+) -> list[Commit]:
+    """Remove the rows of old versions: all but the ``keep_last`` newest, and with ``older_than``
+    only those committed before that moment. Returns what was removed, oldest first.
+
+    The current version always stays. A line in the history says that a version has expired before
+    any file of it goes, so that readers get :class:`VersionNotFound` and not a part of it; a call
+    that fails half-way is made good by the next one. Queries that still read such a version fail:
+    choose ``older_than`` so that none does. A table whose versions are read together, as those of
+    daily arrivals are, is refused: none of them is old.
+    """
+    if keep_last < 1:
+        raise ValueError("keep_last must be at least 1: the current version stays")
+    lines = _commits(spark, path).collect()  # a line per commit
+    if any((r["operationParameters"] or {}).get("mode") == _APPEND for r in lines):
+        raise ValueError(f"{path}: its versions are read together, none can expire")
+    by_version: dict[int, list[Row]] = {}
+    for line in lines:
+        by_version.setdefault(line["version"], []).append(line)
+    live = [found for version in sorted(by_version) if (found := _live(by_version[version]))]
+    if conflicts := [found[0]["version"] for found in live if len(found) > 1]:
+        raise ConflictingVersions(f"{path}: settle_conflicts() first, versions {conflicts} were committed twice")
+    bound = older_than.astimezone().replace(tzinfo=None) if older_than else None
+    old = [found[0] for found in live[:-keep_last]]
+    old = [r for r in old if bound is None or r["timestamp"] < bound]
+    now = datetime.now(timezone.utc).isoformat()
+    for line in old:
+        _append_history(spark, path, _again(line, _EXPIRED, {"expiredAt": now}))
+    # those of earlier calls too, which may have failed before their files were gone
+    for line in [*old, *(r for r in lines if r["operation"] == _EXPIRED)]:
+        if not _FOLDER.fullmatch(line["folder"]):
+            raise ValueError(f"{path}: {line['folder']!r} is no folder of a version")
+        folder, files = _path(spark, f"{path}/{line['folder']}")
+        files.delete(folder, True)
+    return [_commit(line, path) for line in old]
+
+
 def _current(spark: SparkSession, path: str) -> Commit | None:
     """The current version; None when there is no table yet. Reads the history once."""
     try:
@@ -157,7 +220,7 @@ def latest_commit(spark: SparkSession, path: str) -> Commit:
 
 
 def all_commits(spark: SparkSession, path: str) -> list[Commit]:
-    """Every version of the table, oldest first; none when there is no table yet."""
+    """Every version of the table that has not expired, oldest first; none when there is no table."""
     try:
         lines = _commits(spark, path).collect()
     except VersionNotFound:
@@ -172,7 +235,7 @@ def all_commits(spark: SparkSession, path: str) -> list[Commit]:
             raise ConflictingVersions(
                 f"{path}: version {version} was committed twice; settle_conflicts() keeps the first"
             )
-        found.append(_commit(live[0], path))
+        found += [_commit(line, path) for line in live]
     return found
 
 
@@ -180,6 +243,15 @@ def _columns(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema}
 
 
+def _laid_out(df: DataFrame, layout: Sequence[str], path: str) -> DataFrame:
+    """Rows of equal values in ``layout`` in one task, or a few where they are many."""
+    for name in layout:
+        kind = df.schema[name].dataType
+        if not isinstance(kind, _LAYOUT_TYPES):
+            raise ValueError(f"{path}: a folder's name does not keep {kind.simpleString()} values, as {name} has")
+    return df.hint("rebalance", *[named(c) for c in layout]) if layout else df
+
+
 def write_snapshot(
     df: DataFrame,
     path: str,
@@ -190,6 +262,8 @@ def write_snapshot(
     upstream_rows: int | None = None,
     source_line: str | None = None,
     partition_by: str | None = None,
+    layout: Sequence[str] = (),
+    adds: bool = False,
     before_commit: Callable[[str], None] | None = None,
 ) -> Commit:
     """Replace the table's content by ``df`` as a new version.
@@ -200,7 +274,12 @@ def write_snapshot(
     from; ``upstream_rows`` counts its rows where that is no table. ``source_line`` names a column
     with the text that a row was read from, where that did not fit: it is stored and counted in the
     same pass, but is no column of the table. ``partition_by`` lays the rows out in a folder per
-    value of a column. ``before_commit`` is called with the data folder's name once its rows are
+    value of a column, from the tasks that hold them. ``layout`` names columns whose values get a
+    folder each, after a shuffle that brings their rows together, with values of many rows split
+    over several tasks: a filter on them lists and reads those folders alone. Choose columns whose
+    folders hold about a hundred megabytes or more; a day and a status of 100 TB of orders have
+    some ten gigabytes. ``adds`` notes that all versions are read together, see
+    :func:`read_commits`. ``before_commit`` is called with the data folder's name once its rows are
     written and before the version exists: what it stores about a folder that no version names
     does not count.
     """
@@ -217,14 +296,21 @@ def write_snapshot(
     # Observed directly under the write, i.e. in the result stage, where Spark counts every
     # partition once even when tasks are retried.
     written = Observation()
-    counted = df.observe(
+    folders = [partition_by] if partition_by else list(layout)
+    texts = [c for c in layout if isinstance(df.schema[c].dataType, T.StringType)]
+    # the name of a folder does not tell empty text from null
+    empty = sum((F.count_if(named(c) == "") for c in texts), F.lit(0))
+    counted = _laid_out(df, layout, path).observe(
         written,
         F.count(F.lit(1)).alias("rows"),
         F.sum(row_bytes(schema)).alias("bytes"),
         (F.count(F.col(source_line)) if source_line else F.count(F.lit(None))).alias("rejected"),
+        empty.alias("empty"),
     )
-    writer = counted.write.partitionBy(partition_by) if partition_by else counted.write
+    writer = counted.write.partitionBy(*folders) if folders else counted.write
     writer.parquet(f"{path}/{folder}")
+    if texts and written.get["empty"]:
+        raise ValueError(f"{path}: {texts} hold empty text, which a layout by folders would make null")
     num_rows = written.get["rows"]
     size = written.get["bytes"] if num_rows else 0
     rejected = written.get["rejected"]
@@ -232,7 +318,9 @@ def write_snapshot(
     if upstream is not None:
         upstream_rows = upstream.num_rows
     upstream_folder = upstream.folder if upstream else None
-    parameters = {"mode": "Overwrite", "overwriteSchema": str(overwrite_schema).lower()}
+    parameters = {"mode": _APPEND if adds else _OVERWRITE, "overwriteSchema": str(overwrite_schema).lower()}
+    if layout:
+        parameters["layout"] = ",".join(layout)
     record = {
         "version": F.lit(version),
         "timestamp": F.lit(committed_at or datetime.now(timezone.utc)),
@@ -256,7 +344,9 @@ def write_snapshot(
 
 def read_commit(spark: SparkSession, commit: Commit) -> DataFrame:
     """The rows of one stored version; runs no job."""
-    return spark.read.schema(commit.schema).parquet(f"{commit.path}/{commit.folder}")
+    stored = spark.read.schema(commit.schema).parquet(f"{commit.path}/{commit.folder}")
+    # columns that folders are named by come last
+    return stored if stored.columns == commit.schema.names else stored.select(*map(named, commit.schema.names))
 
 
 def read_commits(spark: SparkSession, commits: list[Commit]) -> DataFrame:

@@ -141,7 +141,8 @@ _NULL_KEYS = (
     " from raw_orders o left join silver_people c on o.customer_id = c.customer_id"
 )
 
-_EARLY = "order_date < '1995'"
+_EARLY = "order_date < '1998'"
+_MONTH = "cast(date_trunc('month', order_date) as date)"
 
 _OTHERS = ("customer_id", "product_id", "quantity", "order_date", "status", "amount")
 _COPIES = f"(partition by order_id order by {', '.join(f'{c} nulls last' for c in _OTHERS)})"
@@ -183,6 +184,13 @@ _BODIES = {
       'Overwrite' as mode, schema_changed, num_rows, true as has_timestamp
     from (select 0 as version, 'false' as schema_changed, count(*) as num_rows from raw_products
       union all select 1, 'true', count(*) from raw_products) as commits""",
+    "snapshot_expiry": """select cast(version as bigint) as version, operation, num_rows,
+      num_rows as rows_kept, num_rows as departments
+    from (select 0 as version, 'WRITE' as operation union all select 0, 'EXPIRED' union all select 1, 'WRITE') as log,
+      (select count(*) as num_rows from raw_products) as products""",
+    "layout_all_orders": f"select *, {_MONTH} as order_month from silver",
+    "layout_completed_of_a_month": f"select *, {_MONTH} as order_month from silver"
+    f" where status = 'completed' and {_MONTH} = date '1997-03-01'",
     # single steps
     "filter_completed": f"{_RAW_ORDERS} where status = 'completed'",
     "drop_critical_nulls": f"{_RAW_ORDERS} where customer_id is not null"

@@ -137,6 +137,6 @@ def landing(spark: SparkSession, sf_dir: str) -> Landing:
 def arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[str]:
     """All raw orders in two arrivals, by day; the second brings orders of three pieces again."""
     orders = raw_orders(spark, sf_dir)
-    early = F.col("order_date") < "1995"
+    early = F.col("order_date") < "1998"
     yield write_csv(orders.where(early), f"{folder}/first")
     yield write_csv(orders.where(~early | (F.col("quantity") == 3)), f"{folder}/second")

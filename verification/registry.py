@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ from tierstone.plans.fixed_values import (
 from tierstone.plans.silver import normalised_customers, order_issues
 from tierstone.sources import (
     all_commits,
+    expire_snapshots,
     file_ledger,
     infer_schema,
     landing_inventory,
@@ -223,6 +224,36 @@ def snapshot_history_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("snapshot_expiry")
+def snapshot_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of a table whose first version has expired."""
+    table = _restated_products(spark, sf_dir)
+    expire_snapshots(spark, table, keep_last=1)
+    kept = read_snapshot(spark, table).agg(F.count(F.lit(1)).alias("rows_kept"), F.count("department").alias("departments"))
+    return snapshot_history(spark, table).select("version", "operation", "num_rows").crossJoin(kept)
+
+
+@cache
+def _by_month(spark: SparkSession, application: str, sf_dir: str) -> str:
+    table = scratch_path(spark, "orders_by_month")
+    orders = stored_data(spark, sf_dir, "silver_orders").withColumn("order_month", F.trunc("order_date", "MM"))
+    write_snapshot(orders, table, layout=["order_month", "status"])
+    return table
+
+
+@query("layout_all_orders")
+def layout_all_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored in a folder per month and status, read back."""
+    return read_snapshot(spark, _by_month(spark, spark.sparkContext.applicationId, sf_dir))
+
+
+@query("layout_completed_of_a_month")
+def layout_completed_of_a_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completed orders of one month, from its folder alone."""
+    orders = layout_all_orders(spark, sf_dir)
+    return completed_only(orders).where("order_month = date'1997-03-01'")
+
+
 # --- single steps ----------------------------------------------------------------------
 
 
