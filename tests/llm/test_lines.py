@@ -1,12 +1,15 @@
 """Quality rules and line dedup on awkward input, against plain versions."""
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import DOCS, LINE, deduped_lines, frame, odd_rows
 from tierstone.llm import line_dedup, quality_lines
 from tierstone.llm.cuckoo import CuckooFilter
+from tierstone.llm.oracle import SQL
 
 
 def test_quality_of_awkward_rows(spark):
@@ -37,6 +40,25 @@ def test_lines_that_fail_go_and_the_rest_stays(spark, line):
     assert [(r["doc_id"], r["text"], r["n_chars"]) for r in kept] == [(1, good, len(good))]
 
 
+def test_sound_text_in_long_or_wrapped_lines_stays(spark):
+    """One phrase in a long line, and prose whose lines seldom end a sentence."""
+    sound = " ".join(f"Sentence {i} has words{i} of{i} its{i} own{i}." for i in range(60))
+    phrase = sound.replace("Sentence 9 has", "Sentence 9 is powered by") + " It is about the privacy policy."
+    prose = [f"{'The' if i % 4 == 0 else 'and'} " + " ".join(f"w{i}x{j}" for j in range(9)) + ("." if i % 4 == 3 else "") for i in range(40)]
+    lists = "\n".join(f"Menu{i} Entry{i} Page{i} Other{i} More{i} Item{i} End{i}" for i in range(40))
+    few = "\n".join(f"word{i} of{i}" for i in range(60))
+    texts = [phrase, "\n".join(prose), lists, few, "\n\n".join(prose) + "\nA heading of six words here", f"{sound}\nThis page is powered by them. See the privacy policy."]
+    df = frame(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    kept = {r["doc_id"]: r["text"] for r in quality_lines.clean(df).collect()}
+    assert kept == {0: phrase, 1: texts[1], 4: "\n".join(prose), 5: sound}
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": range(len(texts)), "text": texts}))
+    connection.execute(SQL["op2_quality_lines"])
+    columns = [d[0] for d in connection.description]
+    got = quality_lines.measure(df).select("doc_id", "_quality.*").select(*columns)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(connection.fetchall())
+
+
 def test_empty_tables(spark, tmp_path):
     empty = frame(spark, [])
     assert quality_lines.clean(empty).collect() == []

@@ -21,6 +21,7 @@ SYMBOLS = r"[#*$%&|<>]"
 
 # Fixed values of the line rules.
 SENTENCE_END = r"[.!?:;…。][\"')\]»”’]*(" + SPACE + r"|\z)"
+GOES_ON = r"^[\x20\x09-\x0D]*\p{Ll}"  # a line that begins in lower case
 SEPARATORS = r"[|»›·•<>→]"
 BOILERPLATE = (
     r"(?i)all rights reserved|copyright (\(c\)|©)|terms of (use|service)|privacy policy|"
@@ -31,7 +32,11 @@ BOILERPLATE = (
 
 @dataclass(frozen=True)
 class Rules:
-    """Limits of the rules; shares are per word of the line or document."""
+    """Limits of the rules; shares are per word of the line or document.
+
+    A line without the end of a sentence passes if it has ``min_wrapped_words`` and the next line
+    with a word goes on in lower case, as wrapped prose does. A boilerplate phrase costs a short
+    line; a long one may have one per 25 words."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -39,6 +44,8 @@ class Rules:
     max_line_separators: float = 0.2
     max_line_exclamations: float = 0.3
     max_line_repeats: float = 0.3
+    max_line_boilerplate: float = 0.04
+    min_wrapped_words: int = 6
     min_kept_share: float = 0.5
 
 
@@ -56,16 +63,18 @@ def _count(line: Column, pattern: str) -> Column:
     return F.size(F.split(line, pattern, -1)) - 1
 
 
-def _line_passes(line: Column, words: Column, rules: Rules) -> Column:
+def _line_passes(line: Column, words: Column, following: Column, rules: Rules) -> Column:
     n = F.size(words)
-    # a line without any end of a sentence is a heading, a menu or a list of words
+    wrapped = (n >= rules.min_wrapped_words) & F.coalesce(following.rlike(GOES_ON), F.lit(False))
+    phrases = F.when(line.rlike(BOILERPLATE), _count(line, BOILERPLATE)).otherwise(0)
+    # other lines without any end of a sentence are headings, menus or lists of words
     return (
-        line.rlike(SENTENCE_END)
+        (line.rlike(SENTENCE_END) | wrapped)
         & (_count(line, SYMBOLS) <= n * rules.max_line_symbols)
         & (_count(line, SEPARATORS) <= n * rules.max_line_separators)
         & (_count(line, "!") <= n * rules.max_line_exclamations)
         & (_adjacent_repeats(words) <= n * rules.max_line_repeats)
-        & ~line.rlike(BOILERPLATE)
+        & (phrases <= n * rules.max_line_boilerplate)
     )
 
 
@@ -101,9 +110,9 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
     given = [f"_given{i}" for i in range(len(own))]
     df = docs.select(*[docs[f"`{c}`"].alias(g) for c, g in zip(own, given)])
     df = df.withColumn("_t", F.coalesce(given[own.index(text)], F.lit("")))
-    df = df.withColumn("_w", _words(F.col("_t"))).withColumn(
-        "_lines", F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(NOT_SPACE))
-    )
+    df = df.withColumn("_lines", F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(NOT_SPACE)))
+    # words are split by line, once, for the lines as for the whole text
+    df = df.withColumn("_by_line", F.transform("_lines", _words)).withColumn("_w", F.flatten("_by_line"))
     df = df.withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
     df = df.withColumn(
         "_g",
@@ -123,11 +132,11 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
         ),
     )
     judged = F.transform(
-        F.transform("_lines", lambda x: F.struct(x.alias("line"), _words(x).alias("w"))),
-        lambda s: F.struct(
-            s["line"].alias("line"),
-            F.size(s["w"]).alias("n"),
-            _line_passes(s["line"], s["w"], rules).alias("ok"),
+        "_lines",
+        lambda line, i: F.struct(
+            line.alias("line"),
+            F.size(F.get("_by_line", i)).alias("n"),
+            _line_passes(line, F.get("_by_line", i), F.get("_lines", i + 1), rules).alias("ok"),
         ),
     )
     df = df.withColumn("_judged", F.filter(judged, lambda s: s["ok"]))
