@@ -1,11 +1,14 @@
 """Main text of pages, benchmark leaks and the quality classifier."""
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import frame
 from tierstone.llm import decontaminate, nbsvm, site_templates
+from tierstone.llm.oracle import _leaks_sql
 from tierstone.llm.site_templates import Page
 
 ITEM = "A train leaves Boston at 7 with Mary aboard and covers 120 km before it meets the slow train from Dover with John at the old bridge."
@@ -143,6 +146,40 @@ def test_items_of_few_words_are_searched_as_lines(spark):
     assert _leaks(spark, texts, [(1, "Why?"), (2, "so it goes")], short=1) == [(0, 1, 0), (1, 1, 0), (2, 1, 0), (3, 2, 0), (5, 1, 0)]
 
 
+def test_sql_agrees_on_every_case(spark):
+    """Code and SQL by the same rules, which the cases can tell from other rules."""
+    full = "Lucy told Mary and Anna that John of Leeds saw Peter with Paul near Boston and Dover on Monday"
+    starts = "Tom has 3 red apples in his bag. Anna gives him 4 more of them. Tom then eats 2 on the way. How many are left?"
+    drawn = "a farmer sells 3 sacks of corn and then buys 5 crates of pears while the market is open on the square of town"
+    dense, short = "Solve 3 x 4 + 5 x 6 - 7 x 8 + 9 x 10.", "What is the capital city of Mongolia?"
+    long = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90))
+    items = [(1, ITEM), (2, full), (3, starts), (4, drawn), (5, dense), (6, short), (7, short.lower()), (8, "Why?"), (9, "so it goes"),
+             (10, ITEM.replace("120", "90")), (11, ""), (12, None), (13, "4 hens and 4 cows " * 6), (14, long), (15, long + " 12 eggs")]
+    changed = ITEM.replace("120 km", "350 miles").replace("Mary", "Lucy").replace("Boston", "Leeds").replace(" 7 ", " 9 ")
+    texts = [ITEM, ITEM.lower(), ITEM.upper(), changed, ITEM.replace("Mary aboard and covers 120 km", "Mary aboard and covers 7 km"), ITEM[:60],
+             full.lower(), full.upper(), starts.replace("Tom", "Ivan").replace("Anna", "Mary"), starts.replace("Tom", "Ivan").replace("3", "8"),
+             drawn.replace("3", "4").replace("5", "4"), drawn.replace("3", "5"), f"Now: {dense} Done.", dense.replace("x", "y"), f"He asked: {short.upper()} Nobody.",
+             "This is why it happened.", "Q:\nWHY?\nBecause.", "well, so it goes on", "So it\ngoes", "so it goes", None, "", f"{ITEM} {ITEM}",
+             "".join(f"{i} hens and {i + 1} cows " for i in range(10, 22, 2)), ITEM.replace(" ", "   "), long[:300], long[:170], "x " + long[200:] + " 13 eggs",
+             "Al Bo Cy met Di, Ed and 3.5 Kg 1,000 km. Al", "\x01s \x01pa 7 km"]
+    docs = frame(spark, [(i, t, "en", "a", 1) for i, t in enumerate(texts)])
+    connection, found = duckdb.connect(), {}
+    connection.register("documents", pa.table({"doc_id": range(len(texts)), "text": texts}))
+    connection.register("benchmark", pa.table({"item_id": [i for i, _ in items], "text": [t for _, t in items]}))
+    for options in ({}, {"short": 1}, {"share": 0.2}, {"run": 40}, {"literals": 7}):
+        match = decontaminate.Match(**options)
+        rows = decontaminate.leaks(docs, _benchmark(spark, items), match).collect()
+        found[str(options)] = sorted(tuple(r) for r in rows)
+        assert found[str(options)] == sorted(connection.execute(_leaks_sql(match)).fetchall()), options
+    assert len({str(x) for x in found.values()}) == len(found) and len(found["{}"]) > 15
+
+
+def test_large_tables_are_not_broadcast(spark):
+    df = spark.createDataFrame([("a" * 100, ["b" * 50, None]), (None, None)], "s string, w array<string>")
+    plans = [decontaminate._small(df, decontaminate.Match(broadcast_bytes=b)) for b in (10_000, 300)]
+    assert plans[0] is not df and plans[1] is df
+
+
 def test_shuffled_joins_give_the_same(spark):
     texts = [ITEM, "x " + ITEM, None]
     items = [(1, ITEM), (2, ITEM.replace("120", "90")), (3, None), (4, "too short"), (1, ITEM)]

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from tierstone.sources import stage
 
@@ -25,7 +26,8 @@ BITS = 1 << 16
 DECIMAL = r"([0-9])[.,]([0-9])"
 INSIDE = r"[^\x20\x09-\x0D.!?:…]"
 NAME = r"\p{Lu}\p{Ll}"
-NO_WORD = r"[^\p{L}\p{N}\x01_]+"
+NO_LETTER = r"[^\p{L}\p{N}\x01_]"
+NO_WORD = NO_LETTER + "+"
 UNITS = (
     "km|m|cm|mm|mi|miles|mile|ft|feet|foot|inches|inch|kg|g|mg|lb|lbs|pounds|pound|tons|ton|l|ml|liters|"
     "litres|gallons|gallon|s|sec|seconds|second|min|minutes|minute|h|hours|hour|days|day|weeks|week|months|"
@@ -38,7 +40,8 @@ UNITS = (
 class Match:
     """Windows of ``window`` words with at least ``literals`` plain ones. A document leaks an item
     if matches cover ``share`` of the item's windows, or ``run`` windows of a long item. Items of
-    fewer words than a window are searched whole, those of fewer than ``short`` as lines only."""
+    fewer words than a window are searched whole, those of fewer than ``short`` as lines only.
+    A table is broadcast if it is counted to have at most ``broadcast_rows`` and ``broadcast_bytes``."""
 
     window: int = 8
     literals: int = 4
@@ -46,6 +49,7 @@ class Match:
     run: int = 20
     short: int = 4
     broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = 128 << 20
 
 
 def canonical(text: Column, starts: bool = False) -> Column:
@@ -60,7 +64,7 @@ def canonical(text: Column, starts: bool = False) -> Column:
     # the blank first: it is found fast, and few blanks go on to the two conditions
     t = F.regexp_replace(t, rf" (?={NAME})(?<={INSIDE} {{1,40}})", f" {MARK}p")
     if starts:
-        t = F.regexp_replace(F.concat(F.lit(" "), t), rf"([^\p{{L}}\p{{N}}\x01_])(?={NAME})", f"$1{START}")
+        t = F.regexp_replace(F.concat(F.lit(" "), t), f"({NO_LETTER})(?={NAME})", f"$1{START}")
     t = F.trim(F.regexp_replace(F.lower(t), NO_WORD, " "))
     return F.regexp_replace(t, rf"([0-9]) ({UNITS})( |\z)", f"$1 {MARK}u$2$3")
 
@@ -224,8 +228,15 @@ def _short_leaks(split: DataFrame, narrow: DataFrame, items: DataFrame, match: M
 
 
 def _small(df: DataFrame, match: Match) -> DataFrame:
-    """A staged frame, broadcast if its rows are counted to be few."""
-    return F.broadcast(df) if df.count() <= match.broadcast_rows else df
+    """A staged frame, broadcast if its rows are counted to be few and not large."""
+    size = F.lit(64 + 16 * len(df.columns)).cast("long")
+    for field in df.schema:
+        if isinstance(field.dataType, ArrayType):  # of words
+            size += F.coalesce(F.octet_length(F.array_join(field.name, "")) + 24 * F.size(field.name), F.lit(0))
+        elif isinstance(field.dataType, StringType):
+            size += F.coalesce(F.octet_length(field.name), F.lit(0))
+    rows, held = df.agg(F.count("*"), F.sum(size)).first()
+    return F.broadcast(df) if rows <= match.broadcast_rows and (held or 0) <= match.broadcast_bytes else df
 
 
 def _span(pos: Column, match: Match) -> Column:

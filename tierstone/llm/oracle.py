@@ -32,19 +32,21 @@ with d as (
   from (select doc_id, unnest([i, i + 1, i + 2]) as p from counted where n >= 2)
   group by doc_id
 ), lines as (
-  select doc_id, line,
+  select doc_id, line, lead(line) over (partition by doc_id order by pos) as following,
          list_filter(regexp_split_to_array(line, {space}), lambda x: x <> '') as w
-  from (select doc_id, unnest(string_split(t, chr(10))) as line from d)
+  from (select doc_id, unnest(string_split(t, chr(10))) as line,
+               generate_subscripts(string_split(t, chr(10)), 1) as pos from d)
   where regexp_matches(line, {_quoted(q.NOT_SPACE)})
 ), judged as (
   select doc_id, line, len(w) as n,
-         regexp_matches(line, {_quoted(q.SENTENCE_END)})
+         (regexp_matches(line, {_quoted(q.SENTENCE_END)})
+          or len(w) >= {rules.min_wrapped_words} and coalesce(regexp_matches(following, {_quoted(q.GOES_ON)}), false))
          and {count(q.SYMBOLS)} <= len(w) * {rules.max_line_symbols}
          and {count(q.SEPARATORS)} <= len(w) * {rules.max_line_separators}
          and {count("!")} <= len(w) * {rules.max_line_exclamations}
          and len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1]))
              <= len(w) * {rules.max_line_repeats}
-         and not regexp_matches(line, {_quoted(q.BOILERPLATE)}) as ok
+         and {count(q.BOILERPLATE)} <= len(w) * {rules.max_line_boilerplate} as ok
   from lines
 ), by_doc as (
   select doc_id, count(*) - count(distinct line) as n_dup_lines,
@@ -93,71 +95,121 @@ from judged group by doc_id
 
 
 def _leaks_sql(match: b.Match = b.Match()) -> str:
-    def words(source: str) -> str:
-        t = "coalesce(text, '')"
+    """For tables whose ids are unique and not null."""
+    n, few, many = match.window, match.window - match.literals, 2 * match.window
+    start = "concat(chr(1), 's')"
+
+    def canonical(text: str) -> str:
+        t = f"coalesce({text}, '')"
         for _ in range(2):
             t = f"regexp_replace({t}, {_quoted(b.DECIMAL)}, '\\1_\\2', 'g')"
         t = f"replace({t}, chr(10), ' ')"
         for _ in range(2):  # RE2 has no look-behind: two passes mark names that follow names
-            t = f"regexp_replace({t}, {_quoted(f"({b.INSIDE} {{0,39}}) ({b.NAME})")}, concat('\\1 ', chr(1), 'p', '\\2'), 'g')"
+            t = f"regexp_replace({t}, {_quoted(f'({b.INSIDE} {{0,39}}) ({b.NAME})')}, concat('\\1 ', chr(1), 'p', '\\2'), 'g')"
+        t = f"regexp_replace(concat(' ', {t}), {_quoted(f'({b.NO_LETTER})({b.NAME})')}, concat('\\1', chr(1), 's', '\\2'), 'g')"
         t = f"trim(regexp_replace(lower({t}), {_quoted(b.NO_WORD)}, ' ', 'g'))"
         units = _quoted(f"([0-9]) ({b.UNITS})( |" + r"\z)")
-        t = f"regexp_replace({t}, {units}, concat('\\1 ', chr(1), 'u', '\\2', '\\3'), 'g')"
-        return f"list_filter(string_split({t}, ' '), lambda x: x <> '')"
+        return f"regexp_replace({t}, {units}, concat('\\1 ', chr(1), 'u', '\\2', '\\3'), 'g')"
+
+    def split(canon: str) -> str:
+        return f"list_filter(string_split({canon}, ' '), lambda x: x <> '')"
+
+    plain = split("regexp_replace(c, concat(chr(1), '[psu]'), '', 'g')")
+    forms = f"""{split(f"replace(c, {start}, '')")} as w,
+      {split(f"replace(c, {start}, concat(chr(1), 'p'))")} as named, {plain} as p"""
 
     def is_slot(word: str) -> str:
         return f"(starts_with({word}, chr(1)) or left({word}, 1) between '0' and '9')"
 
-    typed = """list_transform(w, lambda x: case when starts_with(x, chr(1)) then left(x, 2)
+    def typed(words: str) -> str:
+        return f"""list_transform({words}, lambda x: case when starts_with(x, chr(1)) then left(x, 2)
       when left(x, 1) between '0' and '9' then concat(chr(1), 'n') else x end)"""
-    n = match.window
 
     def windows(source: str, ident: str) -> str:
+        """In three forms; ``slots`` counts those of the first form as ``many``, names at starts as 1."""
+        at = f"[i : i + {n - 1}]"
         return f"""
-  select {ident}, i - 1 as pos, array_to_string(h[i : i + {n - 1}], ' ') as key
-  from (select {ident}, h, unnest(range(1, len(h) - {n - 2})) as i from {source} where len(h) >= {n})
-  where len(list_filter(h[i : i + {n - 1}], lambda x: starts_with(x, chr(1)))) <= {n - match.literals}"""
+  select distinct {ident}, pos, form, key from (
+    select {ident}, i - 1 as pos, unnest([0, 1, 2]) as form, list_sum(slots{at}) as s,
+      unnest([array_to_string(t{at}, ' '), array_to_string(u{at}, ' '), array_to_string(p{at}, ' ')]) as key
+    from (select {ident}, {typed("w")} as t, {typed("named")} as u, p, unnest(range(1, len(w) - {n - 2})) as i,
+            list_transform(range(1, len(w) + 1), lambda k: case when {is_slot("w[k]")} then {many}
+              when w[k] <> named[k] then 1 else 0 end) as slots
+          from {source} where len(w) >= {n}))
+  where case form when 0 then s < {(few + 1) * many}
+    when 1 then s % {many} > 0 and s // {many} + s % {many} <= {few} else s >= {many} end"""
 
+    key = "(doc_id, item_id, shift, as_named)"
     return f"""
-with all_items as (
-  select item_id, w, {typed} as h from (select item_id, {words("benchmark")} as w from benchmark)
-), items as (
-  select min(item_id) as item_id, count(*) as n_items, arg_min(w, item_id) as w, any_value(h) as h
-  from all_items where len(h) >= {n} group by array_to_string(h, ' ')
-), docs as (
-  select doc_id, w, {typed} as h from (select doc_id, {words("documents")} as w from documents)
-), item_windows as ({windows("items", "item_id")}
+with all_items as materialized (
+  select item_id, {forms} from (select item_id, {canonical("text")} as c from benchmark)
+), docs as materialized (
+  select doc_id, text, {forms} from (select doc_id, text, {canonical("text")} as c from documents)
+), keyed as (
+  select *, array_to_string({typed("w")}, ' ') as template from all_items where len(w) >= {n}
+), items as materialized (
+  select min(item_id) as item_id, count(*) as n_items, arg_min(w, item_id) as w, arg_min(named, item_id) as named
+  from keyed group by template
+), members as (
+  select min(item_id) over (partition by template) as item_id, w, named, p from keyed
+), item_windows as materialized ({windows("members", "item_id")}
 ), doc_windows as ({windows("docs", "doc_id")}
-), hits as (
-  select doc_id, item_id, d.pos - i.pos as shift, i.pos as item_pos
+), pairs as materialized (
+  select doc_id, item_id, d.pos - i.pos as shift, i.pos as item_pos,
+    d.form = 2 or i.form = 2 as is_plain, d.form = 1 or i.form = 1 as as_named
   from doc_windows d join item_windows i using (key)
-), covered as (
-  select distinct doc_id, item_id, shift, p
-  from (select doc_id, item_id, shift, unnest(range(item_pos, item_pos + {n})) as p from hits)
-), slots as (
-  select distinct doc_id, item_id, shift, items.w[p + 1] as item, docs.w[p + shift + 1] as doc
-  from covered join items using (item_id) join docs using (doc_id)
-  where {is_slot("items.w[p + 1]")}
-), checked as (
-  select doc_id, item_id, shift, count(*) filter (where item <> doc) as changed
-  from slots group by doc_id, item_id, shift
-  having count(distinct item) <> count(*) or count(distinct doc) <> count(*)
+), matched as (
+  select distinct doc_id, item_id, shift, as_named, item_pos from pairs where not is_plain
+), slots as materialized (
+  select distinct doc_id, item_id, shift, as_named, item_pos, item, doc from (
+    select doc_id, item_id, shift, as_named, item_pos,
+      case when as_named then items.named[q + 1] else items.w[q + 1] end as item,
+      case when as_named then docs.named[q + shift + 1] else docs.w[q + shift + 1] end as doc
+    from (select *, unnest(range(item_pos, item_pos + {n})) as q from matched)
+    join items using (item_id) join docs using (doc_id))
+  where {is_slot("item")}
+), consistent as materialized (
+  select * from matched except
+  select doc_id, item_id, shift, as_named, item_pos from slots
+  group by doc_id, item_id, shift, as_named, item_pos having count(distinct item) <> count(*)
 ), changes as (
-  select doc_id, item_id, shift, count(*) filter (where item <> doc) as changed
-  from slots group by doc_id, item_id, shift
+  select doc_id, item_id, shift, as_named, count(*) as changed from (
+    select distinct doc_id, item_id, shift, as_named, item, doc
+    from slots join consistent using (doc_id, item_id, shift, as_named, item_pos) where item <> doc)
+  group by doc_id, item_id, shift, as_named
+), hits as (
+  select doc_id, item_id, item_pos, (not as_named) as form_0, coalesce(changed, 0) as changed
+  from consistent left join changes using {key}
+  union all select doc_id, item_id, item_pos, false, 0 from pairs where is_plain
 ), scored as (
-  select doc_id, item_id, count(distinct item_pos) as n_windows, max(coalesce(changed, 0)) as n_slots
-  from hits left join changes using (doc_id, item_id, shift)
-  where not exists (
-    select 1 from checked c
-    where c.doc_id = hits.doc_id and c.item_id = hits.item_id and c.shift = hits.shift)
-  group by doc_id, item_id
+  select doc_id, item_id, count(distinct item_pos) filter (where form_0) as n_0,
+    max(changed) filter (where form_0) as slots_0, count(distinct item_pos) as n_all, max(changed) as slots_all
+  from hits group by doc_id, item_id
+), judged as (
+  select *, len(w) - {n - 1} as all_windows,
+    coalesce(n_0 > 0 and (n_0 >= sized * {match.share} or n_0 >= {match.run}), false) as by_0
+  from scored join items using (item_id)
+  left join (select item_id, count(*) as sized from item_windows where form = 0 group by item_id) using (item_id)
+), short_items as materialized (
+  select array_to_string(p, ' ') as key, len(p) as n, min(item_id) as item_id, count(*) as n_items
+  from all_items where len(w) between 1 and {n - 1} group by all
+), short as (
+  select doc_id, item_id, n_items from docs
+  join short_items on n >= {match.short} and contains(concat(' ', array_to_string(p, ' '), ' '), concat(' ', key, ' '))
+  union
+  select doc_id, item_id, n_items
+  from (select doc_id, array_to_string({plain}, ' ') as key
+        from (select doc_id, {canonical("line")} as c
+              from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from docs)))
+  join short_items using (key) where n < {match.short}
 )
-select doc_id, item_id, n_items::bigint as n_items, n_windows::bigint as n_windows,
-       item_windows::bigint as item_windows, n_slots::bigint as n_slots
-from scored join items using (item_id)
-join (select item_id, count(*) as item_windows from item_windows group by item_id) using (item_id)
-where n_windows >= item_windows * {match.share} or n_windows >= {match.run}
+select doc_id, item_id, n_items::bigint as n_items,
+  (case when by_0 then n_0 else n_all end)::bigint as n_windows,
+  (case when by_0 then sized else all_windows end)::bigint as item_windows,
+  (case when by_0 then slots_0 else slots_all end)::bigint as n_slots
+from judged where by_0 or n_all >= all_windows * {match.share} or n_all >= {match.run}
+union all
+select doc_id, item_id, n_items::bigint, 1, 1, 0 from short
 """
 
 
