@@ -171,6 +171,28 @@ def test_draws(spark, monkeypatch, n, chars):
     assert got == _drawn(rows, target, draw) and sum(x[3] is not None for x in got.values()) > 10
 
 
+def test_the_query_weighs_by_the_floored_mean(spark, tmp_path):
+    """A long text scores no lower or higher for its length; means below zero are floored too."""
+    rows = [(i, f"plain words of the document number {i} " * (1 + i % 9)) for i in range(40)]
+    rows += [(100 + i, f"target words {i} " * 15) for i in range(20)] + [(200, None), (201, ""), (202, "one")]
+    target = ["Target words", "words of one kind", None]
+    frame(spark, [(i, t, "", "", 0) for i, t in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    aim = spark.createDataFrame(list(enumerate(target)), "item_id long, text string")
+    aim.write.parquet(f"{tmp_path}/benchmark.parquet")
+    # sums by brute force, which the mean's floor turns into the weights asked for
+    summed = _drawn(rows, target, target_resampling.Draw())
+    want, scores = {}, []
+    for i, (n, total, score, _) in summed.items():
+        weight = math.floor(total / n) if n else 0
+        want[i] = (n, weight, score - total + weight)
+        scores += [(-want[i][2], i)] if n >= 20 else []
+    drawn = {i: k for k, (_, i) in enumerate(sorted(scores)[: len(scores) * 10 // 100], 1)}
+    got = {r["doc_id"]: r for r in QUERIES["op12_target_resampling"](spark, str(tmp_path)).collect()}
+    assert {i: (r["n_features"], r["weight"], r["score"]) for i, r in got.items()} == want
+    assert {i: r["rank"] for i, r in got.items() if r["rank"]} == drawn and len(drawn) >= 4
+    assert any(w < 0 and total % n for (n, w, _), (_, total, *_) in zip(want.values(), summed.values()) if n)
+
+
 def test_draws_of_repeated_rows_and_empty_tables(spark):
     """A third of all rows alike: ranks stay apart. Without documents or target nothing fails."""
     rows = [(7, "the same old words again and again", "", "", 0)] * 40 + [(i, f"other words {i}", "", "", 0) for i in range(100, 180)]
