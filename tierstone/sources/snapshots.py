@@ -38,7 +38,7 @@ _HISTORY = (
 )
 _SUPERSEDED, _EXPIRED = "SUPERSEDED", "EXPIRED"
 _OVERWRITE, _APPEND = "Overwrite", "Append"
-_FOLDER = re.compile(r"v=\d+-[0-9a-f]{12}")
+_FOLDER = re.compile(r"v=\d+-[0-9a-f]{12}\Z")
 # Types whose values come back from the name of a folder as they were.
 _LAYOUT_TYPES = (T.DateType, T.StringType, T.BooleanType, T.IntegralType)
 _MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -196,7 +196,7 @@ def expire_snapshots(
         _append_history(spark, path, _again(line, _EXPIRED, {"expiredAt": now}))
     # those of earlier calls too, which may have failed before their files were gone
     for line in [*old, *(r for r in lines if r["operation"] == _EXPIRED)]:
-        if not _FOLDER.fullmatch(line["folder"]):
+        if not _FOLDER.match(line["folder"]):
             raise ValueError(f"{path}: {line['folder']!r} is no folder of a version")
         folder, files = _path(spark, f"{path}/{line['folder']}")
         files.delete(folder, True)
