@@ -193,6 +193,19 @@ def test_the_query_weighs_by_the_floored_mean(spark, tmp_path):
     assert any(w < 0 and total % n for (n, w, _), (_, total, *_) in zip(want.values(), summed.values()) if n)
 
 
+def test_histograms_are_written_by_their_buckets(spark, monkeypatch):
+    """One file for few buckets, however many tasks counted them, and the same gains."""
+    draw = target_resampling.Draw(buckets=40)
+    docs, aim = (frame(spark, [(i, f"{w} {i} x", "", "", 0) for i in range(30)]) for w in ("one two", "two"))
+    found, target = (target_resampling.features(x, draw) for x in (docs, aim))
+    one = target_resampling.gains(found, target, draw)
+    assert len(one.inputFiles()) == 1
+    monkeypatch.setattr(target_resampling, "BUCKETS_PER_TASK", 10)
+    several = target_resampling.gains(found, target, draw)
+    assert 1 < len(several.inputFiles()) <= 4
+    assert sorted(one.collect()) == sorted(several.collect()) and one.count() == 40
+
+
 def test_draws_of_repeated_rows_and_empty_tables(spark):
     """A third of all rows alike: ranks stay apart. Without documents or target nothing fails."""
     rows = [(7, "the same old words again and again", "", "", 0)] * 40 + [(i, f"other words {i}", "", "", 0) for i in range(100, 180)]
