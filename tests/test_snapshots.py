@@ -1,6 +1,7 @@
 import shutil
 import tempfile
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 from types import SimpleNamespace
 from unittest import mock
 
@@ -171,6 +172,42 @@ def test_cluster_without_a_shared_folder_is_refused():
     assert scratch_path(local, "x").startswith("file:/warehouse/scratch/tierstone/x-")
 
 
+class _Standalone:
+    """The session, as if on a standalone cluster; ``lost`` files lie on another machine."""
+
+    def __init__(self, spark, lost=0, **conf):
+        self.conf = SimpleNamespace(get=lambda k, default=None: {"spark.master": "spark://host:7077", **conf}.get(k, default))
+        self.sparkContext, self.range, self._spark, self._lost = spark.sparkContext, spark.range, spark, lost
+
+    @property
+    def read(self):
+        return self
+
+    def schema(self, ddl):
+        return self
+
+    def parquet(self, path):
+        for file in list(Path(path.removeprefix("file://")).glob("part-*"))[: self._lost]:
+            file.unlink()
+        return self._spark.read.schema("id long").parquet(path)
+
+
+def test_standalone_cluster_may_share_a_mounted_folder(spark, tmp_path):
+    """Machines that mount a folder share it, also the warehouse; a first write tells."""
+    mounted = _Standalone(spark, **{"spark.checkpoint.dir": f"file://{tmp_path}/mounted/"})
+    assert scratch_path(mounted, "x").startswith(f"file://{tmp_path}/mounted/tierstone/x-")
+    assert scratch_path(mounted, "x").startswith(f"file://{tmp_path}/mounted/tierstone/x-")
+    assert len(list((tmp_path / "mounted/tierstone").iterdir())) == 1  # tried once
+    unnamed = _Standalone(spark, **{"spark.sql.warehouse.dir": f"file://{tmp_path}/warehouse"})
+    assert scratch_path(unnamed, "x").startswith(f"file://{tmp_path}/warehouse/scratch/tierstone/x-")
+
+
+def test_standalone_cluster_that_shares_no_folder_is_refused(spark, tmp_path):
+    apart = _Standalone(spark, lost=1, **{"spark.checkpoint.dir": f"file://{tmp_path}/apart"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(apart, "x")
+
+
 def test_a_version_committed_twice_is_refused(spark, tmp_path):
     path = str(tmp_path / "t")
     write_snapshot(spark.range(2).toDF("n"), path)
