@@ -120,6 +120,26 @@ def test_a_frequent_length_is_ranked_in_cells(spark):
     assert (packed.offset == lengths.cumsum() - packed.length).all()
 
 
+def test_pieces_are_written_by_their_number(spark, monkeypatch):
+    """Few documents go to one file, however many tasks read and rank them; many to several, with the same rows."""
+    names = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    docs = frame(spark, [(i, "some words " * (1 + i % 17), "en", "a", 1) for i in range(90)]).repartition(24)
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        found = []
+        for each, files in ((50_000, 1), (30, 3)):
+            monkeypatch.setattr(packing, "ROWS_PER_FILE", each)
+            packed = packing.pack(docs, BYTE)
+            assert len(packed.inputFiles()) == files and packed.rdd.getNumPartitions() == files
+            found.append(sorted(packed.collect()))
+        assert found[0] == found[1] and len(found[0]) == 90
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_rows_that_repeat_an_id_are_packed_each(spark):
     assert packing.pack(frame(spark), BYTE).where("doc_id is null or doc_id = 9").count() == 3
 

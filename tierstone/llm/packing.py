@@ -29,6 +29,9 @@ from tierstone.sources import stage
 CELL_ROWS = 2_000
 MOST_CELLS = 64
 MOST_CELL_ROWS = 1_000_000
+# Documents, or pieces, whose rows of five numbers go to one file. Where Hadoop's native library is
+# missing, each file costs processes that start with the executor's memory mapped.
+ROWS_PER_FILE = 50_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -240,6 +243,10 @@ def _cells(n: int) -> int:
     return max(min(math.ceil(n / CELL_ROWS), MOST_CELLS), math.ceil(n / MOST_CELL_ROWS))
 
 
+def _files(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_FILE))
+
+
 def _narrow(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"))
 
@@ -249,11 +256,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
 
     A document's tokens are its ids and ``end_id``; a null text has the end alone. Documents of
     more than ``capacity`` tokens are cut. Rows that repeat a ``doc_id``, or have none, are packed
-    as documents of their own. No documents: no rows.
+    as documents of their own. No documents: no rows. ``docs`` is counted, then read.
     """
-    pieces = stage(
-        _narrow(docs, text).mapInArrow(lambda batches: _pieces(batches, tokenizer, end_id, capacity), _PIECES), "pieces"
-    )
+    cut = _narrow(docs, text).mapInArrow(lambda batches: _pieces(batches, tokenizer, end_id, capacity), _PIECES)
+    # not coalesced, which would encode the texts in those few tasks
+    pieces = stage(cut.repartition(_files(docs.count())), "pieces")
     spark = docs.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     places = Places.of(plan(histogram, capacity))
@@ -281,7 +288,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
             columns = [*batch.columns[:-1], pa.array(sequence), pa.array(offset)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, f"{_PIECES}, sequence_id long, offset long")
+    placed = ranked.mapInArrow(place, f"{_PIECES}, sequence_id long, offset long")
+    return placed.coalesce(_files(sum(histogram.values())))
 
 
 def sequences(
