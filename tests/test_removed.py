@@ -1,7 +1,12 @@
 """Reasons of removed rows: they account for every row, on awkward keys too."""
 
-from tests.helpers import rows
+import time
+
+import pytest
+
+from tests.helpers import plan, rows
 from tierstone.operators import dedupe_by_key, removed_rows, require_not_null
+from tierstone.sources import shuffles_removed
 
 SCHEMA = "id string, customer string, amount double, ingestion_timestamp timestamp"
 LINES = [
@@ -52,3 +57,54 @@ def test_all_columns_are_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], "k string, n int")
     found = removed_rows(df, ["k", "n"], ["n"])
     assert rows(found.select("k", "reason", "copies")) == [("a", "duplicate", 1), ("b", "missing_n", 1)]
+
+
+def test_a_row_is_shuffled_once_for_the_lookup(spark):
+    """By its key; the other exchange has the surviving copies, of repeated keys alone."""
+    found = plan(removed(spark, LINES, broadcast="never"))
+    assert found.count("Arguments: hashpartitioning") == 2 and "SortMergeJoin" in found
+
+
+def test_hot_keys_may_be_given(spark):
+    lines = LINES * 20
+    hot = {'{"id":"a"}': 80, "{}": 60, None: 5}
+    assert rows(removed(spark, lines).drop("amount")) == rows(
+        removed(spark, lines, broadcast="never", min_hot_rows=10, hot=hot).drop("amount")
+    )
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_the_first_shuffle_is_gone_before_the_second(spark):
+    there = _shuffle_files(spark)
+    found = removed(spark, LINES, broadcast="never", hot={})
+    for _ in range(100):  # removed in the background
+        if not _shuffle_files(spark) - there:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - there
+    assert found.count() == 8
+
+
+def test_the_session_keeps_its_own_setting(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), shuffles_removed(spark), shuffles_removed(spark):
+        assert spark.conf.get(name) == "true"
+        1 / 0
+    assert spark.conf.get(name) == before
+    with shuffles_removed(spark):
+        with shuffles_removed(spark):
+            pass
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name) == before
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast": "never"}, {"broadcast": "never", "min_hot_rows": 2}])
+def test_zero_has_one_sign(spark, options):
+    df = spark.createDataFrame([(-0.0, -0.0), (0.0, 0.0), (0.0, -0.0), (1.0, -0.0)], "k double, n double")
+    found = removed_rows(df, ["k"], ["n"], **options).selectExpr("string(k)", "string(n)", "reason", "copies", "string(survivor_n)")
+    assert rows(found) == [("0.0", "0.0", "duplicate", 2, "0.0")]

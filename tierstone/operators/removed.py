@@ -11,13 +11,44 @@ from pyspark.sql import types as T
 
 from tierstone.functions import named
 from tierstone.functions.fixed_values import FLAG_SEPARATOR
-from tierstone.operators.lookup import lookup_join
+from tierstone.operators.lookup import HOT_KEY_ROWS, MAX_HOT_KEYS, fits_broadcast, lookup_join
 from tierstone.operators.quality import AUDIT_TIMES
-from tierstone.sources import stage
+from tierstone.sources import shuffles_removed, stage
 
 _KEY, _ROWS, _COPIES, _REASON = "__key", "__rows", "__copies", "__reason"
 
 
+def _with_survivors(rows: DataFrame, firsts: DataFrame, key: Column, **lookup_options) -> DataFrame:
+    """Equal rows, counted, with the surviving copy of their key where it is repeated.
+
+    Beyond the broadcast bound a row is shuffled once, to the task of its key, where equal rows are
+    counted and the lookup finds them in place. Rows of hot keys, which ``firsts`` tells, are
+    counted by content instead, and then dealt out by the lookup.
+    """
+    survivors = [c for c in firsts.columns if c != _KEY]
+
+    def counted(some: DataFrame) -> DataFrame:
+        keyed = some.withColumn(_KEY, key)
+        return keyed.groupBy(*map(named, keyed.columns)).agg(F.count(F.lit(1)).alias(_COPIES))
+
+    def looked_up(copies: DataFrame, found: DataFrame, **options) -> DataFrame:
+        return lookup_join(copies, found, _KEY, survivors, **(lookup_options | options))
+
+    if fits_broadcast(firsts, **lookup_options):
+        return looked_up(counted(rows), firsts, broadcast="measured")
+    hot = lookup_options.get("hot")
+    if hot is None:
+        many = firsts.where(F.col(_ROWS) >= lookup_options.get("min_hot_rows", HOT_KEY_ROWS))
+        hot = dict(many.select(_KEY, _ROWS).orderBy(F.desc(_ROWS), _KEY).limit(MAX_HOT_KEYS).collect())
+    if not hot:
+        return looked_up(counted(rows.repartition(key)), firsts, broadcast="never", hot={})
+    is_hot, keyed = named(_KEY).isin([k for k in hot if k is not None]), rows.withColumn(_KEY, key)
+    others = keyed.where(~is_hot).drop(_KEY).repartition(key)
+    return looked_up(counted(others), firsts, broadcast="never", hot={}).unionByName(
+        looked_up(counted(keyed.where(is_hot).drop(_KEY)), firsts.where(is_hot), broadcast="never", hot=hot)
+    )
+
+
 def removed_rows(df: DataFrame, keys: Sequence[str], required: Sequence[str], **lookup_options) -> DataFrame:
     """What :func:`dedupe_by_key` (by its default order) and then :func:`require_not_null` remove.
 
@@ -27,26 +58,29 @@ def removed_rows(df: DataFrame, keys: Sequence[str], required: Sequence[str], **
     ``survivor_<column>`` and whether that one stays, ``survivor_kept``. The copies and the rows
     that stay add up to the rows of ``df``.
 
-    Equal rows are counted before anything else moves, and the surviving copies, of repeated keys
-    alone, are looked up as in :func:`tierstone.operators.lookup_join` (``lookup_options`` are
-    its), so no key is gathered in one task.
+    The first copy of each key is found in map tasks before it moves, and the surviving copies, of
+    repeated keys alone, are looked up as in :func:`tierstone.operators.lookup_join`
+    (``lookup_options`` are its), so no hot key is gathered in one task. Every row is shuffled
+    twice, and the shuffle files of the first time are gone before the second.
     """
     content = [c for c in df.columns if c not in AUDIT_TIMES]
     others = [c for c in content if c not in keys]
+    kinds = {f.name: f.dataType for f in df.schema}
+    floating = {c for c, kind in kinds.items() if isinstance(kind, (T.DoubleType, T.FloatType))}
+    # zero has one sign, as in a grouping
+    rows = df.select(*[(named(c) + F.lit(0.0)).cast(kinds[c]).alias(c) if c in floating else named(c) for c in content])
     key = F.to_json(F.struct(*[named(c) for c in keys]))
-    copies = df.groupBy(*map(named, content)).agg(F.count(F.lit(1)).alias(_COPIES)).withColumn(_KEY, key)
     # nulls last, as in the dedupe: structs are compared field by field
     order = [x for i, c in enumerate(others) for x in (named(c).isNull().alias(f"n{i}"), named(c).alias(f"v{i}"))]
     firsts = (
-        copies.groupBy(_KEY)
-        .agg(F.min(F.struct(F.lit(0).alias("x"), *order)).alias("f"), F.sum(_COPIES).alias(_ROWS))
+        rows.groupBy(key.alias(_KEY))
+        .agg(F.min(F.struct(F.lit(0).alias("x"), *order)).alias("f"), F.count(F.lit(1)).alias(_ROWS))
         .where(F.col(_ROWS) > 1)
         .select(_KEY, _ROWS, *[F.col(f"f.v{i}").alias(f"survivor_{c}") for i, c in enumerate(others)])
     )
-    firsts = stage(firsts, "survivors")  # read twice: once to be sized
-    survivors = [c for c in firsts.columns if c != _KEY]
-    joined = lookup_join(copies, firsts, _KEY, survivors, **lookup_options)
-    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    with shuffles_removed(df.sparkSession):
+        firsts = stage(firsts, "survivors")  # read twice: once to be sized
+    joined = _with_survivors(rows, firsts, key, **lookup_options)
 
     def missing(column: str, prefix: str = "") -> Column:
         null = named(prefix + column).isNull()

@@ -15,7 +15,7 @@ from tierstone.plans.fixed_values import CUSTOMER_KEYS, ORDERS, PRODUCT_KEYS
 from tierstone.plans.gold import enrich_orders, top_customers
 from tierstone.plans.sizing import shuffles_sized_for, splits_sized_for, total_bytes
 from tierstone.plans.silver import silver_customers, silver_orders, silver_products
-from tierstone.sources import Commit, latest_commit, read_commit, write_snapshot
+from tierstone.sources import Commit, latest_commit, read_commit, shuffles_removed, write_snapshot
 
 # Table -> the table its rows come from; None for raw files.
 UPSTREAM = {
@@ -104,7 +104,7 @@ def refresh(
             running = {table: pool.submit(step, table) for table, step in steps.items()}
         done.update({table: job.result() for table, job in running.items()})
 
-    with splits_sized_for(spark, total_bytes(spark, landing.orders)):
+    with shuffles_removed(spark), splits_sized_for(spark, total_bytes(spark, landing.orders)):
         build(
             bronze_orders=lambda t: ingested(t, landing.orders, schema=ORDERS),
             bronze_customers=lambda t: ingested(t, landing.customers, overrides=CUSTOMER_KEYS),

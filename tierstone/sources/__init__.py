@@ -26,7 +26,7 @@ from tierstone.sources.snapshots import (
     snapshot_history,
     write_snapshot,
 )
-from tierstone.sources.workspace import scratch_path, stage
+from tierstone.sources.workspace import scratch_path, shuffles_removed, stage
 
 __all__ = [
     "Commit",
@@ -54,6 +54,7 @@ __all__ = [
     "schema_by_header",
     "scratch_path",
     "settle_conflicts",
+    "shuffles_removed",
     "snapshot_history",
     "stage",
     "with_ingest_audit",

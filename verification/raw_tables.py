@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.plans import Landing
-from tierstone.sources import scratch_path
+from tierstone.sources import scratch_path, shuffles_removed
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,9 +112,10 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV with a header, edge spaces kept (Spark's writer trims them by default)."""
-    df.write.options(
-        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.options(
+            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
     return path
 
 
