@@ -65,6 +65,15 @@ def test_a_row_is_shuffled_once_for_the_lookup(spark):
     assert found.count("Arguments: hashpartitioning") == 2 and "SortMergeJoin" in found
 
 
+def test_hot_keys_are_read_off_the_survivors(spark, monkeypatch):
+    """Not counted in the rows, which would shuffle all of them once more."""
+    monkeypatch.setattr("tierstone.operators.lookup.hot_key_rows", None)
+    lines = LINES * 20
+    found = removed(spark, lines, broadcast="never", min_hot_rows=50)
+    assert "__salt" in plan(found)
+    assert rows(found.drop("amount")) == rows(removed(spark, lines).drop("amount"))
+
+
 def test_hot_keys_may_be_given(spark):
     lines = LINES * 20
     hot = {'{"id":"a"}': 80, "{}": 60, None: 5}
