@@ -117,3 +117,10 @@ def test_zero_has_one_sign(spark, options):
     df = spark.createDataFrame([(-0.0, -0.0), (0.0, 0.0), (0.0, -0.0), (1.0, -0.0)], "k double, n double")
     found = removed_rows(df, ["k"], ["n"], **options).selectExpr("string(k)", "string(n)", "reason", "copies", "string(survivor_n)")
     assert rows(found) == [("0.0", "0.0", "duplicate", 2, "0.0")]
+
+
+def test_unknown_options_are_errors(spark):
+    with pytest.raises(ValueError, match="sometimes"):
+        removed(spark, LINES, broadcast="sometimes")
+    with pytest.raises(TypeError, match="hottest"):
+        removed(spark, LINES, hottest=1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,21 +31,25 @@ def _with_survivors(rows: DataFrame, firsts: DataFrame, key: Column, **lookup_op
         keyed = some.withColumn(_KEY, key)
         return keyed.groupBy(*map(named, keyed.columns)).agg(F.count(F.lit(1)).alias(_COPIES))
 
-    def looked_up(copies: DataFrame, found: DataFrame, **options) -> DataFrame:
-        return lookup_join(copies, found, _KEY, survivors, **(lookup_options | options))
+    small = fits_broadcast(firsts, **lookup_options)
+    if lookup_options.get("broadcast", "auto") == "auto":
+        lookup_options["broadcast"] = "measured" if small else "never"
 
-    if fits_broadcast(firsts, **lookup_options):
-        return looked_up(counted(rows), firsts, broadcast="measured")
+    def looked_up(copies: DataFrame, found: DataFrame, hot: Mapping) -> DataFrame:
+        return lookup_join(copies, found, _KEY, survivors, **(lookup_options | {"hot": hot}))
+
+    if small:
+        return looked_up(counted(rows), firsts, {})
     hot = lookup_options.get("hot")
     if hot is None:
         many = firsts.where(F.col(_ROWS) >= lookup_options.get("min_hot_rows", HOT_KEY_ROWS))
         hot = dict(many.select(_KEY, _ROWS).orderBy(F.desc(_ROWS), _KEY).limit(MAX_HOT_KEYS).collect())
     if not hot:
-        return looked_up(counted(rows.repartition(key)), firsts, broadcast="never", hot={})
+        return looked_up(counted(rows.repartition(key)), firsts, {})
     is_hot, keyed = named(_KEY).isin([k for k in hot if k is not None]), rows.withColumn(_KEY, key)
     others = keyed.where(~is_hot).drop(_KEY).repartition(key)
-    return looked_up(counted(others), firsts, broadcast="never", hot={}).unionByName(
-        looked_up(counted(keyed.where(is_hot).drop(_KEY)), firsts.where(is_hot), broadcast="never", hot=hot)
+    return looked_up(counted(others), firsts, {}).unionByName(
+        looked_up(counted(keyed.where(is_hot).drop(_KEY)), firsts.where(is_hot), hot)
     )
 
 
